@@ -30,6 +30,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
