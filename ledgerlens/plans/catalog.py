@@ -81,3 +81,119 @@ register("ACS-ALL", acs_sql.summary_sql(14))(summary_df)
 def _acs_all_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, a, l = summary_inputs(spark, sf_dir)
     return acs.contract_summary(c, a, l, AS_OF, LINK_CUTOFF, grouping="sql", method="boundaries", pick="first")
+
+
+# ---------------------------------------------------------------------------
+# LAL: linked-accountant change log
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerlens.operators import links as lal  # noqa: E402
+from ledgerlens.operators import monthly as asm  # noqa: E402
+from ledgerlens.plans.fixtures import INGESTION_DAY  # noqa: E402
+from ledgerlens.plans.oracle_links_monthly import asm_sql, lal_sql  # noqa: E402
+
+
+def _lal_inputs(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return lal.prepare_link_inputs(fx["snapshot"], fx["previous_accounts"])
+
+
+@register("LAL-1", lal_sql("1"))
+def _lal1(spark, sf_dir):
+    snap, _ = _lal_inputs(spark, sf_dir)
+    return lal.entrepreneur_links(snap)
+
+
+@register("LAL-2", lal_sql("2"))
+def _lal2(spark, sf_dir):
+    snap, prev = _lal_inputs(spark, sf_dir)
+    return lal.link_changes(lal.entrepreneur_links(snap), prev)
+
+
+@register("LAL-3", lal_sql("3"))
+def _lal3(spark, sf_dir):
+    snap, prev = _lal_inputs(spark, sf_dir)
+    return lal.link_log(lal.link_changes(lal.entrepreneur_links(snap), prev), AS_OF)
+
+
+@register("LAL-ALL", lal_sql("ALL"))
+def _lal_all(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return lal.linked_accountant_log(fx["snapshot"], fx["previous_accounts"], AS_OF, day=INGESTION_DAY)
+
+
+# ---------------------------------------------------------------------------
+# ASM: monthly account summary (6 months back from AS_OF)
+# ---------------------------------------------------------------------------
+def _ym(m):
+    return (F.floor(m / 12).cast("int") * 100 + (m % 12 + 1).cast("int")).alias("yearmonth")
+
+
+def _asm_inputs(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return fx.contracts, fx.accounts
+
+
+@register("ASM-1", asm_sql("1"))
+def _asm1(spark, sf_dir):
+    c, _ = _asm_inputs(spark, sf_dir)
+    return asm.month_assignments(c, AS_OF).select(
+        "environment", "accountcode", "contractnumber", "itemcode", "eventtype", "yearmonth", "monthend",
+        "prevmonthend", "active")
+
+
+_PK_COLS = ["environment", "accountcode", "itemcode", "contracttype", "contractnumber", "quantity", "accountid",
+            "yearmonth"]
+
+
+@register("ASM-2", asm_sql("2"))
+def _asm2(spark, sf_dir):
+    c, a = _asm_inputs(spark, sf_dir)
+    return asm.monthly_package(c, a, AS_OF).select(*_PK_COLS)
+
+
+@register("ASM-3", asm_sql("3"))
+def _asm3(spark, sf_dir):
+    c, a = _asm_inputs(spark, sf_dir)
+    return asm.stamp_month(asm.monthly_package(c, a, AS_OF)).select(*_PK_COLS, "year", "month")
+
+
+_TOT_COLS = ["numberofarchivedadmins", "numberofavailableadmins", "numberofpayingusers", "numberoffreeusers",
+             "mrr", "numberofusers"]
+
+
+@register("ASM-4", asm_sql("4"))
+def _asm4(spark, sf_dir):
+    c, _ = _asm_inputs(spark, sf_dir)
+    return asm.monthly_totals(c, AS_OF).select("environment", "accountcode", "contractnumber", _ym(F.col("m")),
+                                               *_TOT_COLS)
+
+
+@register("ASM-5", asm_sql("5"))
+def _asm5(spark, sf_dir):
+    c, a = _asm_inputs(spark, sf_dir)
+    return asm.attach_totals(asm.monthly_package(c, a, AS_OF), asm.monthly_totals(c, AS_OF)).select(
+        *_PK_COLS, *_TOT_COLS)
+
+
+@register("ASM-6", asm_sql("6"))
+def _asm6(spark, sf_dir):
+    c, _ = _asm_inputs(spark, sf_dir)
+    return asm.monthly_lifetime(c, AS_OF).select("environment", "accountcode", _ym(F.col("m")),
+                                                 "commerciallifetimemonths")
+
+
+@register("ASM-7", asm_sql("7"))
+def _asm7(spark, sf_dir):
+    c, _ = _asm_inputs(spark, sf_dir)
+    return asm.monthly_churn(c, AS_OF).select("environment", "accountcode", "contracttype", "contractnumber",
+                                              _ym(F.col("m")), "churned")
+
+
+def monthly_df(spark, sf_dir):
+    c, a = _asm_inputs(spark, sf_dir)
+    return asm.monthly_summary(c, a, AS_OF)
+
+
+register("ASM-ALL", asm_sql("ALL"))(monthly_df)

@@ -294,7 +294,7 @@ WHERE c.c_custkey % 10 <> 9
 # accountant flag and code as published before today's snapshot.
 PREVIOUS_ACCOUNTS_SQL = f"""
 SELECT
-  {_ENV.format(k='c.c_nationkey')} AS environment,
+  CASE WHEN c.c_nationkey % 7 = 3 THEN 'UK' ELSE {_ENV.format(k='c.c_nationkey')} END AS environment,
   CAST(c.c_custkey AS STRING) AS accountcode,
   CASE WHEN c.c_custkey % 23 = 4 THEN NULL WHEN c.c_custkey % 3 = 0 THEN 'true' ELSE 'false' END AS accountantorlinked,
   CASE WHEN c.c_custkey % 3 = 0 THEN 'AC' || CAST(c.c_custkey % 13 AS STRING)
