@@ -197,3 +197,87 @@ def monthly_df(spark, sf_dir):
 
 
 register("ASM-ALL", asm_sql("ALL"))(monthly_df)
+
+
+# ---------------------------------------------------------------------------
+# NAD: activity dashboard (reads the contract summary computed from the tables)
+# ---------------------------------------------------------------------------
+from ledgerlens.operators import dashboard as nad  # noqa: E402
+from ledgerlens.operators import history as cph  # noqa: E402
+from ledgerlens.plans.oracle_dash_history import cph_sql, nad_sql  # noqa: E402
+
+
+def _nad_inputs(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return summary_df(spark, sf_dir), fx.accounts, fx["users"], fx["activitydaily"], fx["calendar"]
+
+
+@register("NAD-1", nad_sql("1"))
+def _nad1(spark, sf_dir):
+    return nad._window_start_df(Fixtures(spark, sf_dir)["calendar"], AS_OF)
+
+
+@register("NAD-2", nad_sql("2"))
+def _nad2(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return nad.daily_activity(fx["activitydaily"], nad.window_start(fx["calendar"], AS_OF))
+
+
+@register("NAD-3", nad_sql("3"))
+def _nad3(spark, sf_dir):
+    s, a, _, _, cal = _nad_inputs(spark, sf_dir)
+    return nad.account_days(s, a, cal, AS_OF, nad.window_start(cal, AS_OF))
+
+
+@register("NAD-4", nad_sql("4"))
+def _nad4(spark, sf_dir):
+    s, a, _, _, cal = _nad_inputs(spark, sf_dir)
+    return nad.account_days(s, nad.classified_accounts(a), cal, AS_OF, nad.window_start(cal, AS_OF))
+
+
+def _nad5(on_date):
+    def run(spark, sf_dir):
+        s, a, u, act, cal = _nad_inputs(spark, sf_dir)
+        since = nad.window_start(cal, AS_OF)
+        days = nad.account_days(s, nad.classified_accounts(a), cal, AS_OF, since)
+        return nad.join_activity(days, u, nad.daily_activity(act, since), on_date)
+    return run
+
+
+register("NAD-5", nad_sql("5"))(_nad5(False))
+register("NAD-5-ondate", nad_sql("5", on_date=True))(_nad5(True))
+
+
+def dashboard_df(spark, sf_dir, on_date=False):
+    s, a, u, act, cal = _nad_inputs(spark, sf_dir)
+    return nad.no_activity(s, a, u, act, cal, AS_OF, on_date=on_date)
+
+
+register("NAD-ALL", nad_sql("ALL"))(dashboard_df)
+register("NAD-ALL-ondate", nad_sql("ALL", on_date=True))(lambda spark, sf: dashboard_df(spark, sf, True))
+
+
+# ---------------------------------------------------------------------------
+# CPH: contract history chart feed
+# ---------------------------------------------------------------------------
+def _cph_base(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cph.history_base(fx.contracts, summary_df(spark, sf_dir), fx["contracteventtypes"],
+                            fx["itemclassifications"])
+
+
+register("CPH-1", cph_sql("1"))(lambda spark, sf: _cph_base(spark, sf).select(
+    "accountid", "environment", "accountcode", "eventdate", "contracteventdescription", "itemdescription",
+    "linepackage", "quantity", "summrr"))
+register("CPH-2", cph_sql("2"))(lambda spark, sf: cph.history_points(_cph_base(spark, sf)))
+register("CPH-3", cph_sql("3"))(lambda spark, sf: cph.step_points(_cph_base(spark, sf)))
+register("CPH-4", cph_sql("4"))(lambda spark, sf: cph.current_points(_cph_base(spark, sf), AS_OF))
+
+
+def history_df(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cph.contract_history(fx.contracts, summary_df(spark, sf_dir), fx["contracteventtypes"],
+                                fx["itemclassifications"], AS_OF)
+
+
+register("CPH-ALL", cph_sql("ALL"))(history_df)

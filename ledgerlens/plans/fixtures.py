@@ -320,6 +320,13 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "crm_accounts": (CRM_ACCOUNTS_SQL, ["customer"]),
     "previous_accounts": (PREVIOUS_ACCOUNTS_SQL.replace("{{", "{").replace("}}", "}"), ["customer"]),
 }
+# Dimension views used by the contract history (one row per code).
+VIEWS["contracteventtypes"] = (
+    "SELECT DISTINCT environment, eventtype AS contracteventtypecode, eventdescription AS contracteventdescription "
+    "FROM {contracts}", ["contracts"])
+VIEWS["itemclassifications"] = (
+    "SELECT environment, itemcode, itemdescription, min(itemtype) AS itemtype FROM {contracts} "
+    "GROUP BY environment, itemcode, itemdescription", ["contracts"])
 # The snapshot template names its input ``contract_lines``; point it at the
 # described variant.
 VIEWS["snapshot"] = (SNAPSHOT_SQL.replace("{contract_lines}", "{contract_lines_described}"),
