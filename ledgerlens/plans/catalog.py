@@ -281,3 +281,67 @@ def history_df(spark, sf_dir):
 
 
 register("CPH-ALL", cph_sql("ALL"))(history_df)
+
+
+# ---------------------------------------------------------------------------
+# ADC: daily contract activity timeline (reads the summary computed from the tables)
+# ---------------------------------------------------------------------------
+from ledgerlens.operators import timeline as adc  # noqa: E402
+from ledgerlens.plans.oracle_timeline import adc_sql  # noqa: E402
+
+
+class _Adc:
+    """Shared intermediate plans of one (spark, sf_dir) run of the timeline."""
+
+    def __init__(self, spark, sf_dir):
+        fx = Fixtures(spark, sf_dir)
+        self.contracts = fx.contracts
+        self.base = adc.link_base(summary_df(spark, sf_dir), fx.accounts, fx.log, LINK_CUTOFF)
+        # the step queries show the de-duplicated intermediate of the original
+        self.timeline = adc.timeline_with_features(adc.timeline_events(self.contracts),
+                                                   adc.running_features(self.contracts), dedupe=True)
+        self.flagged = adc.linked_as_of_event(self.timeline, self.base)
+
+    def links(self):
+        return adc.link_events(self.flagged, self.base)
+
+    def union(self, tn_override=True):
+        return adc.timeline_union(self.flagged, adc.overwrite_on_link_date(self.links(), self.flagged),
+                                  tn_override)
+
+
+_BASE_COLS = ["environment", "accountcode", "firstcommstartdate", "hadcommcontract", "datefirstlinkedtoaccountant",
+              "entrepreneuraccountantlinked", "accountid", "linkstatus", "date"]
+_TL_COLS = ["environment", "accountcode", "eventdate", "eventtype", "packagecode", "linepackage",
+            "numberofusers", "valuepermonth", "numberofadministrations"]
+_FLAG_COLS = _TL_COLS + ["datefirstlinkedtoaccountant", "datefirstlinkedtoaccountantz", "accountid",
+                         "hadcommcontract"]
+
+register("ADC-1", adc_sql("1"))(lambda spark, sf: adc.first_link(Fixtures(spark, sf).log))
+register("ADC-2", adc_sql("2"))(lambda spark, sf: _Adc(spark, sf).base.select(*_BASE_COLS))
+register("ADC-3", adc_sql("3"))(lambda spark, sf: _Adc(spark, sf).base.select(
+    *_BASE_COLS, "accountantlinked", "datefirstlinkedtoaccountantz"))
+register("ADC-4", adc_sql("4"))(lambda spark, sf: adc.change_events(Fixtures(spark, sf).contracts).select(
+    "environment", "accountcode", "eventdate", "eventtype", "packagecode", "linepackage"))
+register("ADC-5", adc_sql("5"))(lambda spark, sf: adc.timeline_events(Fixtures(spark, sf).contracts))
+register("ADC-6", adc_sql("6"))(lambda spark, sf: adc.running_features(Fixtures(spark, sf).contracts))
+register("ADC-7", adc_sql("7"))(lambda spark, sf: adc.timeline_with_features(
+    adc.timeline_events(Fixtures(spark, sf).contracts), adc.running_features(Fixtures(spark, sf).contracts))
+    .select(*_TL_COLS))
+register("ADC-8", adc_sql("8"))(lambda spark, sf: _Adc(spark, sf).flagged.select(*_FLAG_COLS))
+register("ADC-9", adc_sql("9"))(lambda spark, sf: _Adc(spark, sf).flagged.select(*_FLAG_COLS, "accountantlinked"))
+register("ADC-10", adc_sql("10"))(lambda spark, sf: _Adc(spark, sf).links())
+register("ADC-11", adc_sql("11"))(lambda spark, sf: (lambda r: adc.overwrite_on_link_date(r.links(), r.flagged))(
+    _Adc(spark, sf)))
+register("ADC-12", adc_sql("12"))(lambda spark, sf: _Adc(spark, sf).union(tn_override=False))
+register("ADC-13", adc_sql("13"))(lambda spark, sf: _Adc(spark, sf).union())
+register("ADC-14", adc_sql("14"))(lambda spark, sf: (lambda r: adc.backfill_package(r.union(), r.contracts))(
+    _Adc(spark, sf)))
+
+
+def activity_df(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return adc.contract_activity(fx.contracts, fx.log, summary_df(spark, sf_dir), fx.accounts, LINK_CUTOFF)
+
+
+register("ADC-15", adc_sql("15"))(activity_df)
