@@ -345,3 +345,98 @@ def activity_df(spark, sf_dir):
 
 
 register("ADC-15", adc_sql("15"))(activity_df)
+
+
+# ---------------------------------------------------------------------------
+# LOAD: snapshot loads; ACC: accounts load; NRM: normalisation operators
+# ---------------------------------------------------------------------------
+from ledgerlens.functions.columns import month_end  # noqa: E402
+from ledgerlens.operators import accounts as accm  # noqa: E402
+from ledgerlens.operators import loads  # noqa: E402
+from ledgerlens.operators import normalize as nrm  # noqa: E402
+from ledgerlens.plans.oracle_loads import CARD_TEMPLATES, PROFILE_PREFIX, acc_sql, load_sql, nrm_sql  # noqa: E402
+
+
+def _snap(spark, sf_dir):
+    return loads.load_snapshot(Fixtures(spark, sf_dir)["snapshot"], INGESTION_DAY)
+
+
+register("LOAD-0", load_sql("0"))(_snap)
+register("LOAD-1", load_sql("1"))(lambda spark, sf: loads.load_contracts(_snap(spark, sf)))
+register("LOAD-2", load_sql("2"))(lambda spark, sf: loads.load_subsectors(_snap(spark, sf)))
+register("LOAD-3", load_sql("3"))(lambda spark, sf: loads.load_sectors(_snap(spark, sf)))
+register("LOAD-4", load_sql("4"))(lambda spark, sf: loads.load_resellers(_snap(spark, sf)))
+register("LOAD-5", load_sql("5"))(lambda spark, sf: loads.load_accountants(_snap(spark, sf)))
+register("LOAD-6", load_sql("6"))(lambda spark, sf: loads.load_event_types(_snap(spark, sf)))
+register("LOAD-7", load_sql("7"))(lambda spark, sf: loads.load_item_classifications(_snap(spark, sf)))
+register("LOAD-8", load_sql("8"))(lambda spark, sf: loads.load_account_managers(
+    _snap(spark, sf), Fixtures(spark, sf)["users"]))
+register("LOAD-9", load_sql("9"))(lambda spark, sf: loads.load_app_billing(
+    Fixtures(spark, sf)["appbillingproposal"], INGESTION_DAY))
+register("LOAD-10", load_sql("10"))(lambda spark, sf: loads.load_opportunities(
+    Fixtures(spark, sf)["opportunities"], INGESTION_DAY))
+register("LOAD-11", load_sql("11"))(lambda spark, sf: loads.load_app_usage(
+    Fixtures(spark, sf)["monthlyappusage"], INGESTION_DAY))
+
+
+def _acc_current(spark, sf_dir):
+    s = Fixtures(spark, sf_dir)["snapshot"]
+    from ledgerlens.sources.tables import read_ingestion_day
+    s = nrm.clean_strings(read_ingestion_day(s, INGESTION_DAY), upper=["environment"], all_columns=True)
+    s = nrm.cast_columns(s, timestamps=["lastmodified"], booleans=["meta_isdeleted"])
+    return accm.exclude_codes(nrm.current_records(s))
+
+
+def _acc_latest(spark, sf_dir):
+    return accm.latest_per_key(_acc_current(spark, sf_dir), ["environment", "code"], "lastmodified",
+                               accm.SNAPSHOT_ACCOUNT_COLUMNS)
+
+
+def accounts_df(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return accm.load_accounts(fx["snapshot"], fx["crm_accounts"], PROFILE_PREFIX, CARD_TEMPLATES, INGESTION_DAY)
+
+
+register("ACC-1", acc_sql("1"))(lambda spark, sf: _acc_current(spark, sf).select(
+    "environment", "code", "account", "lastmodified"))
+register("ACC-2", acc_sql("2"))(_acc_latest)
+register("ACC-3", acc_sql("3"))(lambda spark, sf: accm.enrich_accounts(
+    _acc_latest(spark, sf), Fixtures(spark, sf)["crm_accounts"]))
+register("ACC-4", acc_sql("4"))(lambda spark, sf: _acc_latest(spark, sf).select(
+    "environment", "code", accm.blank_key_fields(*accm.KEY_FIELDS).alias("numberofblankkeyfields")))
+register("ACC-5", acc_sql("5"))(lambda spark, sf: _acc_latest(spark, sf).select(
+    "account", accm.account_hash("account").alias("accountidhash")))
+register("ACC-6", acc_sql("6"))(lambda spark, sf: _acc_latest(spark, sf).select(
+    "account", accm.profile_url("account", PROFILE_PREFIX).alias("customerprofileurl")))
+register("ACC-7", acc_sql("7"))(lambda spark, sf: accounts_df(spark, sf).select("environment", "accountid", "eolcardurl"))
+register("ACC-8", acc_sql("8"))(accounts_df)
+
+
+@register("NRM-1", nrm_sql("1"))
+def _nrm1(spark, sf_dir):
+    s = Fixtures(spark, sf_dir)["snapshot"].select(
+        "contractnumber", "quantity", "linepackage", "accountmanagercode", "valuepermonth", "lastmodified", "blocked",
+        "eventdate", "exchangerate", F.col("quantity").alias("quantitylong"))
+    return nrm.cast_columns(s, integers=["quantity", "linepackage", "accountmanagercode"], doubles=["valuepermonth"],
+                            timestamps=["lastmodified"], booleans=["blocked"], dates=["eventdate"],
+                            floats=["exchangerate"], longs=["quantitylong"])
+
+
+register("NRM-2", nrm_sql("2"))(lambda spark, sf: nrm.rename_columns(
+    Fixtures(spark, sf)["previous_accounts"], {"accountcode": "code", "not_there": "ignored"}))
+register("NRM-3", nrm_sql("3"))(lambda spark, sf: nrm.clean_strings(
+    Fixtures(spark, sf)["appbillingproposal"], upper=["item", "environment"]))
+register("NRM-4", nrm_sql("4"))(lambda spark, sf: nrm.normalize_environment(Fixtures(spark, sf).accounts))
+register("NRM-5", nrm_sql("5"))(lambda spark, sf: nrm.current_records(nrm.cast_columns(
+    Fixtures(spark, sf)["appbillingproposal"], booleans=["meta_isdeleted"])))
+register("NRM-6", nrm_sql("6"))(lambda spark, sf: nrm.null_sentinel_date(nrm.cast_columns(
+    Fixtures(spark, sf)["snapshot"].select("contractnumber", "cancellationdate"), dates=["cancellationdate"])))
+register("NRM-7", nrm_sql("7"))(lambda spark, sf: nrm.drop_metadata(Fixtures(spark, sf)["monthlyappusage"]))
+register("NRM-8", nrm_sql("8"))(lambda spark, sf: acs.prepare_summary_inputs(*summary_inputs(spark, sf))[0].select(
+    "environment", "accountcode", "itemcode", "contracttype", "eventtype", "inflowoutflow"))
+register("NRM-9", nrm_sql("9"))(lambda spark, sf: lal.prepare_link_inputs(
+    Fixtures(spark, sf)["snapshot"], Fixtures(spark, sf)["previous_accounts"])[0].select(
+    "environment", "code", "accountantcode", "accountantorlinked", "meta_isdeleted"))
+register("NRM-10", nrm_sql("10"))(lambda spark, sf: Fixtures(spark, sf).contracts.select(
+    "contractnumber", "eventdate", month_end(F.col("eventdate"), -1).alias("prevmonthend"),
+    month_end(F.col("eventdate"), 0).alias("monthend")))

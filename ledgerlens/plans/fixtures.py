@@ -271,6 +271,21 @@ FROM {contract_lines} l
 JOIN {customer} c ON CAST(c.c_custkey AS STRING) = l.accountcode
 """
 
+SNAPSHOT_COLUMNS = [
+    "environment", "code", "account", "name", "contractnumber", "contracttype", "startdate", "enddate",
+    "finaldate", "eventdate", "inflowoutflow", "itemcode", "packagecode", "linepackage", "quantity",
+    "numberofadministrations", "numberofusers", "contractlinevalue", "valuepermonth", "valueperyear",
+    "contractlinevaluedc", "valuepermonthdc", "valueperyeardc", "exchangerate", "cancellationdate",
+    "itembasepricepermonth", "itembasepriceperyear", "eventyearmonth", "eventyear", "eventmonth", "eventtype",
+    "eventdescription", "item", "itemdescription", "itemtype", "isaccountant", "accountantorlinked",
+    "entrepreneuraccountantlinked", "accountantcode", "accountantname", "sectorcode", "sectordescription",
+    "subsectorcode", "subsectordescription", "resellercode", "resellername", "accountmanagercode",
+    "accountmanagername", "accountmanageraccountantcode", "businesslinecode", "businesslinedescription",
+    "chamberofcommerce", "vatnumber", "postcode", "city", "state", "country", "compsizecode", "bustypecode",
+    "accountclassificationcode", "leadsourcecode", "blocked", "lastmodified", "meta_load_enddts", "meta_isdeleted",
+    "ingestionyear", "ingestionmonth", "ingestionday",
+]
+
 # Raw CRM accounts joined by ACC-3 (id = the account id of the snapshot).
 CRM_ACCOUNTS_SQL = """
 SELECT
@@ -302,6 +317,95 @@ SELECT
 FROM {{customer}} c
 """
 
+# Raw app billing proposals (one per order).
+APP_BILLING_SQL = f"""
+SELECT
+  CAST(o.o_orderkey AS STRING) AS id,
+  CASE WHEN o.o_orderkey % 3 = 0 THEN ' ' || lower(o.o_orderpriority) ELSE o.o_orderpriority END AS item,
+  CASE WHEN c.c_custkey % 4 = 1 THEN lower({_ENV.format(k='c.c_nationkey')}) || ' '
+       ELSE {_ENV.format(k='c.c_nationkey')} END AS environment,
+  CAST(o.o_custkey AS STRING) AS accountcode,
+  CAST(o.o_totalprice AS STRING) AS amount,
+  CASE WHEN o.o_orderkey % 11 = 0 THEN '2024-01-20 00:00:00' END AS meta_load_enddts,
+  CASE WHEN o.o_orderkey % 13 = 0 THEN 'true' ELSE 'false' END AS meta_isdeleted,
+  '2024' AS ingestionyear, '1' AS ingestionmonth,
+  CASE WHEN o.o_orderkey % 5 = 0 THEN '30' ELSE '31' END AS ingestionday
+FROM {{orders}} o JOIN {{customer}} c ON o.o_custkey = c.c_custkey
+"""
+
+# Raw CRM opportunities (one per order).
+OPPORTUNITIES_SQL = f"""
+SELECT
+  CAST(o.o_orderkey AS STRING) AS id,
+  CASE WHEN c.c_custkey % 4 = 1 THEN ' ' || lower({_ENV.format(k='c.c_nationkey')})
+       ELSE {_ENV.format(k='c.c_nationkey')} END AS country,
+  c.c_name AS accountname,
+  CAST(c.c_custkey AS STRING) AS accountcode,
+  CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS actiondate,
+  CAST(o.o_totalprice AS STRING) AS amountfc,
+  CAST(o.o_totalprice AS STRING) AS amountdc,
+  CAST(CAST(CAST(o.o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) AS STRING) AS closedate,
+  CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS created,
+  'user' || CAST(o.o_orderkey % 17 AS STRING) AS creator,
+  CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS modified,
+  'EUR' AS currency,
+  'Opportunity ' || CAST(o.o_orderkey AS STRING) AS name,
+  CAST(o.o_orderkey % 5 AS STRING) AS opportunitystage,
+  'Stage ' || CAST(o.o_orderkey % 5 AS STRING) AS opportunitystagedescription,
+  o.o_orderstatus AS opportunitystatus,
+  CAST((o.o_orderkey % 10) * 10 AS STRING) AS probability,
+  'owner' || CAST(o.o_orderkey % 7 AS STRING) AS owner,
+  '1.0' AS ratefc,
+  'Owner ' || CAST(o.o_orderkey % 7 AS STRING) AS ownerfullname,
+  CAST(o.o_orderkey % 4 AS STRING) AS leadsource,
+  'Lead source ' || CAST(o.o_orderkey % 4 AS STRING) AS leadsourcedescription,
+  'Sales ' || o.o_orderpriority AS salesdescription,
+  CAST(o.o_orderkey % 6 AS STRING) AS reasoncode,
+  'Reason ' || CAST(o.o_orderkey % 6 AS STRING) AS reasondescription,
+  CASE WHEN o.o_orderkey % 9 = 0 THEN NULL ELSE '  note ' || CAST(o.o_orderkey AS STRING) || '  ' END AS notes,
+  'P' || CAST(o.o_orderkey % 8 AS STRING) AS project,
+  'P' || CAST(o.o_orderkey % 8 AS STRING) AS projectcode,
+  o.o_orderpriority AS salestype,
+  'Project ' || CAST(o.o_orderkey % 8 AS STRING) AS projectdescription,
+  'C' || CAST(o.o_orderkey % 3 AS STRING) AS campaign,
+  CAST(o.o_orderkey % 2 AS STRING) AS opportunitytype,
+  'Type ' || CAST(o.o_orderkey % 2 AS STRING) AS opportunitytypedescription,
+  'CH' || CAST(o.o_custkey % 3 AS STRING) AS channel,
+  'Campaign ' || CAST(o.o_orderkey % 3 AS STRING) AS campaigndescription,
+  'Channel ' || CAST(o.o_custkey % 3 AS STRING) AS channeldescription,
+  'internal' AS internalnote,
+  CASE WHEN o.o_orderkey % 11 = 0 THEN '2024-01-20 00:00:00' END AS meta_load_enddts,
+  CASE WHEN o.o_orderkey % 13 = 0 THEN 'true' ELSE 'false' END AS meta_isdeleted,
+  '2024' AS ingestionyear, '1' AS ingestionmonth,
+  CASE WHEN o.o_orderkey % 5 = 0 THEN '30' ELSE '31' END AS ingestionday
+FROM {{orders}} o JOIN {{customer}} c ON o.o_custkey = c.c_custkey
+"""
+
+# Raw monthly app usage (one per event).
+APP_USAGE_SQL = f"""
+SELECT
+  'app' || CAST(e.event_id % 7 AS STRING) AS app,
+  CASE WHEN e.event_id % 2 = 0 THEN 'partner' || CAST(e.event_id % 5 AS STRING) END AS partner,
+  CAST(e.user_id AS STRING) AS usedbycustomer,
+  ' id' || CAST(e.event_id AS STRING) AS id,
+  'entry' || CAST(e.event_id % 97 AS STRING) AS entryid,
+  CASE WHEN c.c_custkey % 4 = 1 THEN lower({_ENV.format(k='c.c_nationkey')})
+       ELSE {_ENV.format(k='c.c_nationkey')} END AS environment,
+  CAST(CAST(e.ts AS DATE) AS STRING) AS firstappusagedate,
+  CASE WHEN e.event_type = 'view' THEN 'true' ELSE 'false' END AS isfreeconnection,
+  CAST(e.value AS STRING) AS usagevalue,
+  'h' || CAST(e.event_id % 1000 AS STRING) AS meta_hash,
+  CASE WHEN e.event_id % 13 = 0 THEN 'true' ELSE 'false' END AS meta_isdeleted,
+  '7' AS meta_lastupdateprocessid,
+  CASE WHEN e.event_id % 11 = 0 THEN '2024-01-20 00:00:00' END AS meta_load_enddts,
+  '2024-01-01 00:00:00' AS meta_load_startdts,
+  '7' AS meta_processid,
+  'crm' AS meta_source,
+  '2024' AS ingestionyear, '1' AS ingestionmonth,
+  CASE WHEN e.event_id % 5 = 0 THEN '30' ELSE '31' END AS ingestionday
+FROM {{events}} e JOIN {{customer}} c ON c.c_custkey = e.user_id
+"""
+
 # name -> (sql template, dependencies).  Dependencies are either driver tables
 # or other views; both appear as ``{name}`` placeholders in the template.
 VIEWS: dict[str, tuple[str, list[str]]] = {
@@ -320,6 +424,9 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "crm_accounts": (CRM_ACCOUNTS_SQL, ["customer"]),
     "previous_accounts": (PREVIOUS_ACCOUNTS_SQL.replace("{{", "{").replace("}}", "}"), ["customer"]),
 }
+VIEWS["appbillingproposal"] = (APP_BILLING_SQL, ["orders", "customer"])
+VIEWS["opportunities"] = (OPPORTUNITIES_SQL, ["orders", "customer"])
+VIEWS["monthlyappusage"] = (APP_USAGE_SQL, ["events", "customer"])
 # Dimension views used by the contract history (one row per code).
 VIEWS["contracteventtypes"] = (
     "SELECT DISTINCT environment, eventtype AS contracteventtypecode, eventdescription AS contracteventdescription "
