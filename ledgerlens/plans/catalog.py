@@ -440,3 +440,72 @@ register("NRM-9", nrm_sql("9"))(lambda spark, sf: lal.prepare_link_inputs(
 register("NRM-10", nrm_sql("10"))(lambda spark, sf: Fixtures(spark, sf).contracts.select(
     "contractnumber", "eventdate", month_end(F.col("eventdate"), -1).alias("prevmonthend"),
     month_end(F.col("eventdate"), 0).alias("monthend")))
+
+
+# ---------------------------------------------------------------------------
+# SRC / SNK: sources and sinks.  Sinks write under the session's checkpoint
+# directory (the cluster's shared folder) and read the result back.
+# ---------------------------------------------------------------------------
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from ledgerlens.plans.oracle_loads import day_filter  # noqa: E402
+from ledgerlens.session import ensure_checkpoint_dir  # noqa: E402
+from ledgerlens.sources import tables as io  # noqa: E402
+from ledgerlens.plans.fixtures import with_views  # noqa: E402
+
+
+def scratch_path(spark, name: str) -> str:
+    root = ensure_checkpoint_dir(spark)
+    return os.path.join(root, "ledgerlens-sinks", uuid.uuid4().hex, name)
+
+
+register("SRC-1", "SELECT * FROM customer")(
+    lambda spark, sf: io.read_table(spark, path=os.path.join(sf, "customer.parquet")))
+register("SRC-3", "SELECT * FROM orders")(
+    lambda spark, sf: io.read_table(spark, path=os.path.join(sf, "orde*.parquet")))
+
+
+@register("SRC-2", with_views(["appbillingproposal"], [], (
+    "SELECT * EXCLUDE (ingestionyear, ingestionmonth, ingestionday), CAST(ingestionyear AS INTEGER) AS ingestionyear, "
+    "CAST(ingestionmonth AS INTEGER) AS ingestionmonth, CAST(ingestionday AS INTEGER) AS ingestionday "
+    f"FROM appbillingproposal {day_filter(INGESTION_DAY)}")))
+def _src2(spark, sf_dir):
+    path = scratch_path(spark, "appbillingproposal")
+    io.write_table(Fixtures(spark, sf_dir)["appbillingproposal"], path,
+                   partition_by=["ingestionyear", "ingestionmonth", "ingestionday"])
+    return io.read_ingestion_day(io.read_table(spark, path=path), INGESTION_DAY)
+
+
+@register("SNK-1", with_views(["accounts"], [], "SELECT * FROM accounts"))
+def _snk1(spark, sf_dir):
+    path = scratch_path(spark, "accounts")
+    io.write_table(Fixtures(spark, sf_dir).accounts, path, files=1)
+    return io.read_table(spark, path=path)
+
+
+@register("SNK-2", lal_sql("ALL"))
+def _snk2(spark, sf_dir):
+    path = scratch_path(spark, "linkedaccountantlog")
+    log = _lal_all(spark, sf_dir)
+    io.append_log(log, path)
+    io.append_log(log, path)          # a re-run of the same day replaces, never duplicates
+    return io.read_table(spark, path=path)
+
+
+@register("SNK-3", asm_sql("ALL").replace(
+    "CAST(t.yearmonth // 100 AS VARCHAR) AS year, CAST(t.yearmonth % 100 AS VARCHAR) AS month",
+    "CAST(t.yearmonth // 100 AS INTEGER) AS year, CAST(t.yearmonth % 100 AS INTEGER) AS month"))
+def _snk3(spark, sf_dir):
+    path = scratch_path(spark, "accountsummary_monthly")
+    io.write_month(monthly_df(spark, sf_dir), path)
+    return io.read_table(spark, path=path)
+
+
+@register("SNK-4", load_sql("9"))
+def _snk4(spark, sf_dir):
+    path = scratch_path(spark, "appbillingproposal")
+    df = loads.load_app_billing(Fixtures(spark, sf_dir)["appbillingproposal"], INGESTION_DAY)
+    io.write_if_nonempty(df.where(F.lit(False)), io.write_table, path + "-empty")   # skipped: nothing to write
+    io.write_if_nonempty(df, io.write_table, path)
+    return io.read_table(spark, path=path)
