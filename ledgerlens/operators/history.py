@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import KEYS, as_date
+from ledgerlens.session import checkpoint_shared
 
-__all__ = ["history_base", "history_points", "step_points", "current_points", "contract_history",
+__all__ = ["history_lines", "history_base", "history_points", "step_points", "current_points", "contract_history",
            "HISTORY_COLUMNS"]
 
 COMMERCIAL = "C"
@@ -27,22 +28,17 @@ HISTORY_COLUMNS = ["accountid", "eventdate", "linepackage", "summrr", "descripti
 _DETAIL = KEYS + ["eventdate", "contracteventdescription", "itemdescription"]
 
 
-def history_base(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
-                 item_classifications: DataFrame) -> DataFrame:
-    """CPH-1: contract lines with their account id, event and item descriptions,
-    package flag (0 for price increases), summed quantity of the line's
-    (account, day, event, item) group and the account's running commercial MRR
-    up to and including the line's day.
-
-    Duplicate classification rows multiply lines and sums, as in the original.
-    """
+def history_lines(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
+                  item_classifications: DataFrame) -> DataFrame:
+    """The joined contract lines behind the history (one row per line and matching
+    summary / event type / classification row, as the original inner joins)."""
     env = F.upper(F.trim(F.col("environment")))
     c = contracts.select(env.alias("environment"), "accountcode", "eventdate", "eventtype", "itemcode",
                          "linepackage", "quantity", "contracttype", "valuepermonth")
     s = summary.select(env.alias("environment"), F.trim(F.col("accountcode")).alias("accountcode"), "accountid")
     et = event_types.select(env.alias("environment"), "contracteventtypecode", "contracteventdescription")
     ic = item_classifications.select(env.alias("environment"), F.col("itemcode").alias("_item"), "itemdescription")
-    base = (c.join(s, KEYS, "inner")
+    return (c.join(s, KEYS, "inner")
             .join(et, (c["environment"] == et["environment"]) & (c["eventtype"] == et["contracteventtypecode"]), "inner")
             .drop(et["environment"])
             .join(ic, (c["environment"] == ic["environment"]) & (c["itemcode"] == ic["_item"]), "inner")
@@ -51,17 +47,44 @@ def history_base(contracts: DataFrame, summary: DataFrame, event_types: DataFram
             .select(*KEYS, "accountid", "eventdate", "contracteventdescription", "itemdescription",
                     F.when(F.col("eventtype") == PRICE_INCREASE, F.lit(0)).otherwise(F.col("linepackage"))
                     .cast("int").alias("linepackage"),
-                    "quantity", "contracttype", "valuepermonth"))
-    detail = base.groupBy(*_DETAIL).agg(
-        F.sum("quantity").cast("double").alias("quantity_sum"),
-        F.sum(F.when(F.col("contracttype") == COMMERCIAL, F.col("valuepermonth")).otherwise(0)).alias("_mrr"))
-    daily = detail.groupBy(*KEYS, "eventdate").agg(F.sum("_mrr").alias("_mrr"))
-    running = Window.partitionBy(*KEYS).orderBy("eventdate").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    daily = daily.select(*KEYS, "eventdate", F.sum("_mrr").over(running).cast("double").alias("summrr"))
-    detail = detail.join(daily, KEYS + ["eventdate"], "inner").drop("_mrr")
-    return (base.join(detail, _DETAIL, "inner")
-            .select("accountid", *KEYS, "eventdate", "contracteventdescription", "itemdescription", "linepackage",
-                    F.col("quantity_sum").alias("quantity"), "summrr"))
+                    "quantity", "contracttype",
+                    F.when(F.col("contracttype") == COMMERCIAL, F.col("valuepermonth")).otherwise(0).alias("_m")))
+
+
+def _daily(lines: DataFrame):
+    """(account, day) running commercial MRR and (account id, day) line counts."""
+    g = lines.groupBy(*KEYS, "accountid", "eventdate").agg(F.count(F.lit(1)).alias("_n"), F.sum("_m").alias("_m"))
+    daily = g.groupBy(*KEYS, "eventdate").agg(F.sum("_m").alias("_m"))
+    running = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    daily = daily.select(*KEYS, "eventdate", F.sum("_m").over(running).cast("double").alias("summrr"))
+    per_id = (g.join(daily, KEYS + ["eventdate"], "inner")
+              .groupBy("accountid", "eventdate").agg(F.sum("_n").alias("_n"), F.max("summrr").alias("_mrr")))
+    return daily, per_id
+
+
+def _rows(lines: DataFrame, daily: DataFrame) -> DataFrame:
+    # one shuffle of the lines by (account, day): the detail-group window and the
+    # join with the daily running MRR both reuse that partitioning
+    lines = lines.repartition(*KEYS, "eventdate")
+    detail = Window.partitionBy(*_DETAIL)
+    rows = lines.withColumn("quantity", F.sum("quantity").over(detail).cast("double"))
+    return rows.join(daily, KEYS + ["eventdate"], "inner").select(
+        "accountid", *KEYS, "eventdate", "contracteventdescription", "itemdescription", "linepackage",
+        "quantity", "summrr")
+
+
+def history_base(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
+                 item_classifications: DataFrame) -> DataFrame:
+    """CPH-1: contract lines with their account id, event and item descriptions,
+    package flag (0 for price increases), summed quantity of the line's
+    (account, day, event, item) group and the account's running commercial MRR
+    up to and including the line's day.
+
+    Duplicate classification rows multiply lines and sums, as in the original.
+    """
+    lines = history_lines(contracts, summary, event_types, item_classifications)
+    daily, _ = _daily(lines)
+    return _rows(lines, daily)
 
 
 def history_points(base: DataFrame) -> DataFrame:
@@ -75,11 +98,7 @@ def _daily_points(base: DataFrame) -> DataFrame:
     return base.groupBy("accountid", "eventdate").agg(F.count(F.lit(1)).alias("_n"), F.max("summrr").alias("_mrr"))
 
 
-def step_points(base: DataFrame) -> DataFrame:
-    """CPH-3: the day before each change with the MRR before it (0 for the first
-    change); a day with several lines also yields a point with its own MRR.
-    Distinct (account, day, mrr)."""
-    daily = _daily_points(base)
+def _step_from_daily(daily: DataFrame) -> DataFrame:
     w = Window.partitionBy("accountid").orderBy("eventdate")
     daily = daily.withColumn("_prev", F.lag("_mrr", 1, 0.0).over(w))
     day_before = F.date_sub(F.col("eventdate"), 1)
@@ -90,11 +109,9 @@ def step_points(base: DataFrame) -> DataFrame:
                     F.lit(None).cast("string").alias("description")))
 
 
-def current_points(base: DataFrame, as_of) -> DataFrame:
-    """CPH-4: the account's latest MRR dated at its last change if that is on or
-    after ``as_of``, else at ``as_of``."""
+def _current_from_daily(daily: DataFrame, as_of) -> DataFrame:
     d = as_date(as_of)
-    last = _daily_points(base).groupBy("accountid").agg(
+    last = daily.groupBy("accountid").agg(
         F.max(F.struct(F.col("eventdate").alias("d"), F.col("_mrr").alias("m"))).alias("_last"))
     return last.select("accountid",
                        F.when(F.col("_last.d") >= d, F.col("_last.d")).otherwise(d).alias("eventdate"),
@@ -102,8 +119,31 @@ def current_points(base: DataFrame, as_of) -> DataFrame:
                        F.lit(None).cast("string").alias("description"))
 
 
+def step_points(base: DataFrame) -> DataFrame:
+    """CPH-3: the day before each change with the MRR before it (0 for the first
+    change); a day with several lines also yields a point with its own MRR.
+    Distinct (account, day, mrr).  The lag runs over one row per account day."""
+    return _step_from_daily(_daily_points(base))
+
+
+def current_points(base: DataFrame, as_of) -> DataFrame:
+    """CPH-4: the account's latest MRR dated at its last change if that is on or
+    after ``as_of``, else at ``as_of``."""
+    return _current_from_daily(_daily_points(base), as_of)
+
+
 def contract_history(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
-                     item_classifications: DataFrame, as_of) -> DataFrame:
-    """CPH-ALL: change points, step points and current points."""
-    base = history_base(contracts, summary, event_types, item_classifications)
-    return (history_points(base).unionByName(step_points(base)).unionByName(current_points(base, as_of)))
+                     item_classifications: DataFrame, as_of, checkpoint: bool = True) -> DataFrame:
+    """CPH-ALL: change points, step points and current points.
+
+    The joined lines feed all three outputs, so they are checkpointed once (in
+    the session's shared checkpoint folder) instead of being re-joined by every
+    branch; the row-level points shuffle them once, and the step and current
+    points come from the per (account id, day) aggregate.
+    """
+    lines = history_lines(contracts, summary, event_types, item_classifications)
+    if checkpoint:
+        lines = checkpoint_shared(lines, "history-lines")
+    daily, per_id = _daily(lines)
+    return (history_points(_rows(lines, daily)).unionByName(_step_from_daily(per_id))
+            .unionByName(_current_from_daily(per_id, as_of)))

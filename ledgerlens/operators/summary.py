@@ -7,7 +7,7 @@ whole row in a fused plan instead of fourteen aggregate+join rounds:
 * one ``groupBy(environment, accountcode)`` over all contract lines with
   filtered aggregates for steps 2, 3, 10, 11, 12 and 13;
 * a short chain of coarsening aggregations for the "latest package" steps
-  5-8 (line groups -> item/final-date -> item -> account);
+  5-8 (line groups -> item -> account);
 * one small aggregate each over the link log and the accounts (step 14).
 
 "Top-1 per account" is expressed as ``min``/``max`` over a struct whose field
@@ -405,35 +405,35 @@ def latest_packages(contracts: DataFrame, as_of, grouping: str = "code") -> Data
     """ACS-5..8 in one chain of coarsening aggregations over package lines on or
     before ``as_of``:
 
-    1. (account, type, item, finaldate, eventdate): summed quantities, latest
-       Inflow start/final dates;
-    2. (account, type, item, finaldate): candidate score per final date;
-    3. (account, type, item): best candidate of the item + the item's dates;
-    4. (account): best item per type, carrying that item's dates.
+    1. line groups (account, type, item, finaldate, event day): summed
+       quantities and the latest Inflow start/final dates.  Commercial lines are
+       grouped per event day (the "code" ranking sums per day), trial lines
+       without it (their ranking sums across days); a hash aggregate over the
+       raw lines with map-side combine;
+    2. (account, type, item): the item's best (finaldate, quantity) candidate and
+       the item's latest Inflow dates;
+    3. (account): best item per contract type, carrying that item's dates.
     """
     ct = _c("contracttype")
     lines = contracts.where(_pkg() & _past(as_of) & ct.isin(COMMERCIAL, TRIAL))
     tn = _c("eventtype").isin(NEW_TRIAL, PRICE_INCREASE)
     inflow = _inflow()
-    l1 = lines.groupBy(*KEYS, "contracttype", "itemcode", "finaldate", "eventdate").agg(
+    if grouping == "code":
+        day = F.when(ct == COMMERCIAL, _c("eventdate")).alias("_day")
+    elif grouping == "sql":
+        day = F.lit(None).cast("date").alias("_day")
+    else:
+        raise ValueError(f"unknown grouping {grouping!r}")
+    l1 = lines.groupBy(*KEYS, "contracttype", "itemcode", "finaldate", day).agg(
         F.sum("quantity").alias("q"),
         F.sum(F.when(tn, _c("quantity"))).alias("tq"),
         F.count(F.when(tn, F.lit(1))).alias("tn"),
         F.max(F.when(inflow, _c("startdate"))).alias("ms"),
         F.max(F.when(inflow, _c("finaldate"))).alias("mf"),
     )
-    if grouping == "code":
-        comm_score = F.max("q")             # best event-date group of the final date
-    elif grouping == "sql":
-        comm_score = F.sum("q")             # summed across event dates
-    else:
-        raise ValueError(f"unknown grouping {grouping!r}")
-    l2 = l1.groupBy(*KEYS, "contracttype", "itemcode", "finaldate").agg(
-        comm_score.alias("cq"), F.sum("tq").alias("tq"), F.sum("tn").alias("tn"),
-        F.max("ms").alias("ms"), F.max("mf").alias("mf"))
     f, item = _c("finaldate"), _c("itemcode")
-    l3 = l2.groupBy(*KEYS, "contracttype", "itemcode").agg(
-        F.max(F.struct(f.alias("f"), _c("cq").alias("q"), item.alias("item"))).alias("cbest"),
+    l2 = l1.groupBy(*KEYS, "contracttype", "itemcode").agg(
+        F.max(F.struct(f.alias("f"), _c("q").alias("q"), item.alias("item"))).alias("cbest"),
         F.max(F.when(_c("tn") > 0, F.struct(f.alias("f"), _c("tq").alias("q"), item.alias("item")))).alias("tbest"),
         F.max("ms").alias("ms"), F.max("mf").alias("mf"))
 
@@ -442,13 +442,13 @@ def latest_packages(contracts: DataFrame, as_of, grouping: str = "code") -> Data
             _c(f"{best}.f").alias("f"), _c(f"{best}.q").alias("q"), _c(f"{best}.item").alias("item"),
             _c("ms").alias("ms"), _c("mf").alias("mf"))))
 
-    l4 = l3.groupBy(*KEYS).agg(pick("cbest", COMMERCIAL).alias("c"), pick("tbest", TRIAL).alias("t"))
+    l3 = l2.groupBy(*KEYS).agg(pick("cbest", COMMERCIAL).alias("c"), pick("tbest", TRIAL).alias("t"))
 
     def dates(side: str, col: str) -> Column:
         # a NULL item never matches on the item join of the step-wise form
         return F.when(_c(f"{side}.item").isNotNull(), _c(f"{side}.{col}"))
 
-    return l4.select(
+    return l3.select(
         *KEYS,
         _c("c.item").alias("latestcommpackage"),
         dates("c", "ms").alias("latestcommstartdate"), dates("c", "mf").alias("latestcommfinaldate"),
@@ -473,10 +473,9 @@ def contract_summary(contracts: DataFrame, accounts: DataFrame, log: DataFrame,
     per_account = contracts.groupBy(*KEYS).agg(*aggs).withColumns(finish)
 
     packages = latest_packages(contracts, as_of, grouping)
-    spine = accounts.select(*KEYS, "accountid")
-    r = (per_account.join(spine, KEYS, "inner")
-         .join(packages, KEYS, "left")
-         .dropDuplicates(KEYS + ["accountid"]))
+    # de-duplicate the (narrow) account keys, not the wide joined rows
+    spine = accounts.select(*KEYS, "accountid").distinct()
+    r = per_account.join(spine, KEYS, "inner").join(packages, KEYS, "left")
     r = add_had_indicators(r)
     r = add_commercial_lifetime(r, as_of, method)
 

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import KEYS, as_date
+from ledgerlens.session import checkpoint_shared
 
 __all__ = ["first_link", "link_base", "change_events", "timeline_events", "running_features", "timeline_with_features",
            "linked_as_of_event", "link_events", "overwrite_on_link_date", "timeline_union", "backfill_package",
@@ -228,10 +229,19 @@ def _final_rows(timeline: DataFrame) -> DataFrame:
 
 
 def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame, accounts: DataFrame,
-                      cutoff=DEFAULT_LINK_CUTOFF) -> DataFrame:
-    """ADC-ALL (ADC-15): the daily contract activity timeline."""
+                      cutoff=DEFAULT_LINK_CUTOFF, checkpoint: bool = False) -> DataFrame:
+    """ADC-ALL (ADC-15): the daily contract activity timeline.
+
+    The flagged timeline feeds the change rows, the LINK candidates and the
+    link-day overwrite.  Those branches are aggregations that Spark recomputes
+    from the flagged lines; with ``checkpoint=True`` the flagged lines are
+    written once to the session's shared checkpoint folder instead (worth it
+    when re-reading the contracts costs more than writing the flagged lines).
+    """
     base = link_base(summary, accounts, log, cutoff)
     timeline = timeline_with_features(timeline_events(contracts), running_features(contracts), dedupe=False)
     flagged = linked_as_of_event(timeline, base)
+    if checkpoint:
+        flagged = checkpoint_shared(flagged, "activity-flagged")
     links = overwrite_on_link_date(link_events(flagged, base), flagged)
     return _final_rows(backfill_package(timeline_union(flagged, links), contracts))

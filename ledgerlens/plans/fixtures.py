@@ -492,9 +492,12 @@ def materialize(spark: SparkSession, sf_dir: str, target: str, names: list[str])
     """Write the views ``names`` of ``sf_dir`` as parquet under ``target`` and
     make later ``Fixtures(spark, sf_dir)`` read them from there."""
     fx = Fixtures(spark, sf_dir)
+    # spread every table over several files so that scans run in parallel, as
+    # they would over a real multi-file table
+    files = max(8, spark.sparkContext.defaultParallelism)
     for n in _dependency_order(names):
         if n in names:
-            fx.table(n).write.mode("overwrite").parquet(os.path.join(target, n))
+            fx.table(n).repartition(files).write.mode("overwrite").parquet(os.path.join(target, n))
     MATERIALIZED[sf_dir] = target
 
 

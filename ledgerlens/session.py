@@ -62,3 +62,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def checkpoint_shared(df, name: str = "intermediate"):
+    """Materialise an intermediate that feeds several outputs of one job.
+
+    Written once as a parquet table under the session's checkpoint directory
+    (the shared folder on a cluster; a scratch folder only when none is
+    configured) and read back: consumers read it instead of recomputing it, the
+    lineage is cut, and a lost executor does not force recomputation.  (A
+    reliable ``checkpoint()`` would compute its input twice unless cached; a
+    local checkpoint would not survive executor loss.)
+    """
+    import uuid
+
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root.rstrip('/')}/ledgerlens-intermediate/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
