@@ -185,11 +185,29 @@ def monthly_churn(grouped_or_contracts: DataFrame, as_of=None, start: int = 0, e
 def monthly_summary(contracts: DataFrame, accounts: DataFrame, as_of, start: int = 0, end: int = -6) -> DataFrame:
     """ASM-ALL: all reporting months in one plan, keyed by ``yearmonth``.
 
-    ``year``/``month`` are the partition columns for :func:`write_month`.
+    One scan and explode, one aggregation at (account, type, item, contract,
+    month), one repartition by (account, month).  Within that partitioning,
+    windows attach each contract's totals (ASM-4/5) and churn flag (ASM-7) to
+    its rows and the top-1 package per account-month (ASM-2) keeps the row,
+    so no totals/churn joins are needed.  The account id is the smallest of the
+    account (the last tie-break of the original ranking); the lifetime (ASM-6)
+    joins on (account, month).  ``year``/``month`` are the partition columns for
+    :func:`write_month`.
     """
-    g = _grouped(contracts, as_of, start, end)
-    r = attach_totals(monthly_package(g, accounts), monthly_totals(g))
-    r = r.join(monthly_lifetime(contracts, as_of, start, end), KEYS + ["m"], "left")
-    r = r.join(monthly_churn(g), KEYS + ["contracttype", "contractnumber", "m"], "left")
+    g = _grouped(contracts, as_of, start, end).repartition(*KEYS, "m")
+    tot_cols = ["numberofarchivedadmins", "numberofavailableadmins", "numberofpayingusers", "numberoffreeusers",
+                "mrr", "numberofusers"]
+    per_contract = Window.partitionBy(*KEYS, "m", "contractnumber")
+    per_type_contract = Window.partitionBy(*KEYS, "m", "contracttype", "contractnumber")
+    g = g.select(*KEYS, "m", "yearmonth", "contracttype", "itemcode", "contractnumber", "quantity", "n_pkg",
+                 *[F.sum(c).over(per_contract).alias(c) for c in tot_cols],
+                 F.max("churned").over(per_type_contract).alias("churned"))
+    rank = Window.partitionBy(*KEYS, "m").orderBy(
+        F.col("quantity").desc_nulls_last(), F.col("contracttype").asc_nulls_first(),
+        F.col("itemcode").asc_nulls_first(), F.col("contractnumber").asc_nulls_first())
+    top = (g.where(F.col("n_pkg") > 0).withColumn("_rn", F.row_number().over(rank))
+           .where(F.col("_rn") == 1).drop("_rn", "n_pkg"))
+    ids = accounts.groupBy(*KEYS).agg(F.min("accountid").alias("accountid"))
+    r = top.join(ids, KEYS, "inner").join(monthly_lifetime(contracts, as_of, start, end), KEYS + ["m"], "left")
     r = stamp_month(r.withColumnRenamed("itemcode", "packagecode"))
     return r.select(*MONTHLY_COLUMNS)

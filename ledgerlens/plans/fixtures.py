@@ -177,14 +177,16 @@ JOIN {{customer}} c ON c.c_custkey = u.user_id
 
 # Calendar: every day from three months before the first event month up to the
 # end of the month after the last event.
-CALENDAR_SQL = """
-SELECT CAST(CAST(b.lo AS DATE) + d.n * INTERVAL 1 DAY AS DATE) AS calendardate
-FROM (SELECT CAST(date_trunc('month', CAST(min(ts) AS DATE)) AS DATE) - INTERVAL 3 MONTH AS lo,
+_CALENDAR_BOUNDS = """SELECT CAST(date_trunc('month', CAST(min(ts) AS DATE)) AS DATE) - INTERVAL 3 MONTH AS lo,
              last_day(CAST(max(ts) AS DATE) + INTERVAL 1 MONTH) AS hi
-      FROM {events}) b
-JOIN (SELECT CAST(n AS INT) AS n FROM {day_numbers}) d
-  ON CAST(b.lo AS DATE) + d.n * INTERVAL 1 DAY <= b.hi
-"""
+      FROM {events}"""
+# Engine-specific only in how a day range is generated (no theta join).
+CALENDAR_SQL = {
+    "spark": "SELECT explode(sequence(CAST(b.lo AS DATE), CAST(b.hi AS DATE))) AS calendardate FROM ("
+             + _CALENDAR_BOUNDS + ") b",
+    "duckdb": "SELECT CAST(unnest(generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY))"
+              " AS DATE) AS calendardate FROM (" + _CALENDAR_BOUNDS + ") b",
+}
 
 # Raw daily snapshot ("contractstatistics"): one string-typed row per contract
 # line with the account attributes, type-2 metadata and ingestion date.  Keys
@@ -416,7 +418,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "linkedaccountantlog": (LINK_LOG_SQL.replace("{{", "{").replace("}}", "}"), ["events", "customer"]),
     "activitydaily": (ACTIVITY_SQL.replace("{{", "{").replace("}}", "}"), ["events", "customer"]),
     "users": (USERS_SQL.replace("{{", "{").replace("}}", "}"), ["events", "customer"]),
-    "calendar": (CALENDAR_SQL, ["events", "day_numbers"]),
+    "calendar": (CALENDAR_SQL, ["events"]),
     "snapshot": (SNAPSHOT_SQL, ["contract_lines_described", "customer"]),
     "contract_lines_described": (
         "SELECT l.*, " + _EVENT_DESCRIPTION.format(e="l.eventtype") + " AS eventdescription FROM {contract_lines} l",
@@ -439,16 +441,11 @@ VIEWS["itemclassifications"] = (
 VIEWS["snapshot"] = (SNAPSHOT_SQL.replace("{contract_lines}", "{contract_lines_described}"),
                      ["contract_lines_described", "customer"])
 
-# Day numbers 0..N for the calendar: a DuckDB range on the oracle side and
-# ``spark.range`` on the Spark side (bounded: a calendar spans months).
-DAY_NUMBERS_LIMIT = 400
-
-
 def _dependency_order(names: list[str]) -> list[str]:
     order: list[str] = []
 
     def visit(n: str) -> None:
-        if n in order or n in BASE_TABLES or n == "day_numbers":
+        if n in order or n in BASE_TABLES:
             return
         for d in VIEWS[n][1]:
             visit(d)
@@ -459,18 +456,16 @@ def _dependency_order(names: list[str]) -> list[str]:
     return order
 
 
+def _text(entry, engine: str) -> str:
+    return entry[engine] if isinstance(entry, dict) else entry
+
+
 def duckdb_ctes(names: list[str]) -> list[tuple[str, str]]:
     """(name, sql) pairs for the views ``names`` and everything they need."""
     ctes: list[tuple[str, str]] = []
-    needs_days = False
     for n in _dependency_order(names):
         text, deps = VIEWS[n]
-        if "day_numbers" in deps:
-            needs_days = True
-        subst = {d: d for d in deps}
-        ctes.append((n, text.format(**subst)))
-    if needs_days:
-        ctes.insert(0, ("day_numbers", f"SELECT range AS n FROM range({DAY_NUMBERS_LIMIT})"))
+        ctes.append((n, _text(text, "duckdb").format(**{d: d for d in deps})))
     return ctes
 
 
@@ -516,11 +511,9 @@ class Fixtures:
                 df = self.spark.read.parquet(os.path.join(stored, name))
             elif name in BASE_TABLES:
                 df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
-            elif name == "day_numbers":
-                df = self.spark.range(DAY_NUMBERS_LIMIT).withColumnRenamed("id", "n")
             else:
                 text, deps = VIEWS[name]
-                df = self.spark.sql(text, **{d: self.table(d) for d in deps})
+                df = self.spark.sql(_text(text, "spark"), **{d: self.table(d) for d in deps})
             self._cache[name] = df
         return self._cache[name]
 

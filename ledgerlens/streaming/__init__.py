@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The jobs rebuilt here are daily batch runs over daily snapshot partitions; the
+source system has no stream processing (no watermarks, windows over event time
+or stateful operators).  Re-runs and incremental daily loads are handled by the
+idempotent partition sinks in :mod:`ledgerlens.sources.tables`
+(``append_log`` per day, ``write_month`` per month) with explicit ``as_of`` /
+``day`` arguments, so no streaming operator is added.
+"""
