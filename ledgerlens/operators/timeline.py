@@ -192,17 +192,21 @@ def timeline_union(flagged: DataFrame, link_rows: DataFrame, tn_override: bool =
                         F.when(_c("eventtype") == NEW_TRIAL, F.lit(0)).otherwise(_c("accountantlinked")))
 
 
-def backfill_package(timeline: DataFrame, contracts: DataFrame) -> DataFrame:
+def backfill_package(timeline: DataFrame, contracts: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """ADC-14: a NULL package takes the largest (lower-cased) Inflow package item of
     the account's latest strictly earlier package days, i.e. the running max of
     the per-day item over earlier days; every package is lower-cased.
 
     The running max runs over one row per (account, day): candidate days and
-    the days needing a back-fill.
+    the days needing a back-fill.  ``days`` may name a superset of the days to
+    fill (e.g. all change and link days) so that the timeline itself is read
+    only once.
     """
     cand = (contracts.where((_c("inflowoutflow") == "Inflow") & (_c("linepackage") == 1))
             .groupBy(*KEYS, "eventdate").agg(F.max(F.lower(_c("itemcode"))).alias("_item")))
-    need = timeline.where(_c("packagecode").isNull() & _c("eventdate").isNotNull()).select(*KEYS, "eventdate").distinct()
+    if days is None:
+        days = timeline.where(_c("packagecode").isNull() & _c("eventdate").isNotNull()).select(*KEYS, "eventdate")
+    need = days.where(_c("eventdate").isNotNull()).distinct()
     days = need.join(cand, KEYS + ["eventdate"], "full")
     w = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, -1)
     fill = days.select(*KEYS, "eventdate", F.max("_item").over(w).alias("_fill"))
@@ -244,4 +248,7 @@ def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame,
     if checkpoint:
         flagged = checkpoint_shared(flagged, "activity-flagged")
     links = overwrite_on_link_date(link_events(flagged, base), flagged)
-    return _final_rows(backfill_package(timeline_union(flagged, links), contracts))
+    # every day a row can carry: change days and link days (z)
+    days = (timeline_events(contracts).select(*KEYS, "eventdate")
+            .unionByName(base.select(*KEYS, _c("datefirstlinkedtoaccountantz").alias("eventdate"))))
+    return _final_rows(backfill_package(timeline_union(flagged, links), contracts, days))
