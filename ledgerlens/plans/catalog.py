@@ -521,3 +521,8 @@ def _snk4(spark, sf_dir):
     io.write_if_nonempty(df.where(F.lit(False)), io.write_table, path + "-empty")   # skipped: nothing to write
     io.write_if_nonempty(df, io.write_table, path)
     return io.read_table(spark, path=path)
+
+
+# Whole-job aliases of the last step of each multi-step family.
+register("NAD-6", nad_sql("ALL"))(dashboard_df)
+register("ADC-ALL", adc_sql("15"))(activity_df)
