@@ -236,19 +236,42 @@ def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame,
                       cutoff=DEFAULT_LINK_CUTOFF, checkpoint: bool = False) -> DataFrame:
     """ADC-ALL (ADC-15): the daily contract activity timeline.
 
-    The flagged timeline feeds the change rows, the LINK candidates and the
-    link-day overwrite.  Those branches are aggregations that Spark recomputes
-    from the flagged lines; with ``checkpoint=True`` the flagged lines are
-    written once to the session's shared checkpoint folder instead (worth it
-    when re-reading the contracts costs more than writing the flagged lines).
+    The output has one row per (account, day, event type), and within such a
+    group the running features and the link flag are fixed (they depend on the
+    account and day only), so the change events are first aggregated to that
+    grain: the largest package, the largest lower-cased package and whether a
+    package is missing.  Everything downstream - features, link flag, LINK
+    candidates (whose tie-break is the largest package), the link-day overwrite,
+    the back-fill and the final pick - then runs on those grouped rows instead
+    of on raw event rows.  The first aggregation combines map-side, so a hot
+    account is reduced before any shuffle.
+
+    ``checkpoint=True`` writes the flagged groups once to the session's shared
+    checkpoint folder (its three consumers then read them instead of
+    recomputing them).
     """
     base = link_base(summary, accounts, log, cutoff)
-    timeline = timeline_with_features(timeline_events(contracts), running_features(contracts), dedupe=False)
-    flagged = linked_as_of_event(timeline, base)
+    pkg = _c("packagecode")
+    groups = timeline_events(contracts).groupBy(*KEYS, "eventdate", "eventtype").agg(
+        F.max(pkg).alias("packagecode"), F.max(F.lower(pkg)).alias("_lpkg"),
+        F.max(F.when(pkg.isNull(), F.lit(True))).alias("_missing"))
+    flagged = linked_as_of_event(groups.join(running_features(contracts), KEYS + ["eventdate"], "left"), base)
     if checkpoint:
         flagged = checkpoint_shared(flagged, "activity-flagged")
     links = overwrite_on_link_date(link_events(flagged, base), flagged)
-    # every day a row can carry: change days and link days (z)
+    cols = _UNION_COLS + ["_lpkg", "_missing"]
+    union = flagged.select(*cols).unionByName(links.withColumns({
+        "_lpkg": F.lower(pkg), "_missing": F.when(pkg.isNull(), F.lit(True))}).select(*cols))
+    union = union.withColumn("accountantlinked",
+                             F.when(_c("eventtype") == NEW_TRIAL, F.lit(0)).otherwise(_c("accountantlinked")))
+    cand = (contracts.where((_c("inflowoutflow") == "Inflow") & (_c("linepackage") == 1))
+            .groupBy(*KEYS, "eventdate").agg(F.max(F.lower(_c("itemcode"))).alias("_item")))
     days = (timeline_events(contracts).select(*KEYS, "eventdate")
-            .unionByName(base.select(*KEYS, _c("datefirstlinkedtoaccountantz").alias("eventdate"))))
-    return _final_rows(backfill_package(timeline_union(flagged, links), contracts, days))
+            .unionByName(base.select(*KEYS, _c("datefirstlinkedtoaccountantz").alias("eventdate")))
+            .where(_c("eventdate").isNotNull()).distinct())
+    w = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, -1)
+    fill = days.join(cand, KEYS + ["eventdate"], "full").select(
+        *KEYS, "eventdate", F.max("_item").over(w).alias("_fill"))
+    filled = union.join(fill, KEYS + ["eventdate"], "left").withColumn(
+        "packagecode", F.greatest(_c("_lpkg"), F.when(_c("_missing"), _c("_fill"))))
+    return _final_rows(filled.drop("_lpkg", "_missing", "_fill"))
