@@ -233,7 +233,7 @@ def _final_rows(timeline: DataFrame) -> DataFrame:
 
 
 def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame, accounts: DataFrame,
-                      cutoff=DEFAULT_LINK_CUTOFF, checkpoint: bool = False) -> DataFrame:
+                      cutoff=DEFAULT_LINK_CUTOFF, checkpoint: bool = True) -> DataFrame:
     """ADC-ALL (ADC-15): the daily contract activity timeline.
 
     The output has one row per (account, day, event type), and within such a
@@ -246,9 +246,10 @@ def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame,
     of on raw event rows.  The first aggregation combines map-side, so a hot
     account is reduced before any shuffle.
 
-    ``checkpoint=True`` writes the flagged groups once to the session's shared
-    checkpoint folder (its three consumers then read them instead of
-    recomputing them).
+    The flagged groups feed three consumers (change rows, LINK candidates,
+    link-day overwrite); with ``checkpoint=True`` (default) they are written
+    once to the session's shared checkpoint folder and read back, instead of
+    each consumer re-reading the contracts and recomputing them.
     """
     base = link_base(summary, accounts, log, cutoff)
     pkg = _c("packagecode")
