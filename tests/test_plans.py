@@ -25,11 +25,31 @@ def test_fused_summary_has_no_window(spark):
     assert "Window" not in p
 
 
-def test_timeline_windows_run_on_daily_rows(spark):
-    # every window in the timeline follows an aggregate (daily rows), never raw lines
-    df = entry.queries()["ADC-15"](spark, SF_SMALL)
-    p = df._jdf.queryExecution().optimizedPlan().toString()
-    assert p.count("Window") >= 1
+def _nodes(node):
+    """Walk an executed (adaptive) plan, descending into query stages."""
+    yield node
+    name = node.nodeName()
+    if "QueryStage" in name or name == "AdaptiveSparkPlan":
+        inner = node.plan() if "QueryStage" in name else node.executedPlan()
+        yield from _nodes(inner)
+        return
+    children = node.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+@pytest.mark.parametrize("name", ["ADC-15", "CPH-ALL", "ASM-ALL"])
+def test_ordered_windows_run_on_aggregated_rows(spark, name):
+    """Running / ranking windows (with an ORDER BY) sit above an aggregate: they see
+    one row per account-day or per pre-aggregated group, never raw lines."""
+    df = entry.queries()[name](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    root = df._jdf.queryExecution().executedPlan()
+    ordered = [n for n in _nodes(root) if n.nodeName() == "Window" and n.orderSpec().size() > 0]
+    assert ordered, name
+    for w in ordered:
+        below = {n.nodeName() for n in _nodes(w.child())}
+        assert below & {"HashAggregate", "SortAggregate", "ObjectHashAggregate"}, f"{name}: {w.toString()[:200]}"
 
 
 def test_filters_pushed_to_scan(spark):
