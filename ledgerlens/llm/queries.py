@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.storage import importable
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -60,3 +66,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
                          fingerprint.as_string(e).alias("edited_fingerprint"),
                          fingerprint.likeness(v, e).alias("near_edited"), fingerprint.likeness(v, n).alias("near_next"))
+
+
+# --- 7: benchmark decontamination ------------------------------------------
+from ledgerlens.llm import decontaminate  # noqa: E402
+
+
+@register("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))

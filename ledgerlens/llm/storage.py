@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/ledgerlens-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from its folder, as the driver does.
+    (A cluster without that folder on its machines ships the package with --py-files.)"""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known and root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
