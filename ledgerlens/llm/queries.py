@@ -77,3 +77,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+# --- 6: best-fit packing ------------------------------------------------------
+from ledgerlens.llm import packing  # noqa: E402
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, sf_dir), tokenizer_path())
