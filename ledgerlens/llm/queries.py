@@ -92,3 +92,29 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @register("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), tokenizer_path())
+
+
+# --- 4: quality classifier -----------------------------------------------------
+from ledgerlens.llm import quality  # noqa: E402
+
+ACCEPTED = 0.3
+
+
+@register("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), quality.remainder("doc_id", 5) == 0
+    network = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.scored(docs, network).select("doc_id", held_out.alias("held_out"), "score",
+                                                (F.col("score") >= ACCEPTED).cast("int").alias("predicted"))
+
+
+# --- 9: language identification -------------------------------------------------
+from ledgerlens.llm import langid  # noqa: E402
+
+
+@register("op9_langid")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = quality.remainder("doc_id", 4) == 2
+    raw = langid.dictionaries(documents(spark, sf_dir, "doc_id", "text", "lang"), ~held_out)
+    return langid.predicted(documents(spark, sf_dir), raw).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
