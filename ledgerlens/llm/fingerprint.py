@@ -150,11 +150,11 @@ def with_next(df: DataFrame, key: str, tie: Column, size: Column, carry: list[st
     places = F.when(is_top, F.array(F.struct(F.col("_range").cast("long").alias("r"), F.lit(0).alias("ghost")),
                                     F.struct(col(lambda r: above[r]).alias("r"), F.lit(1).alias("ghost")))).otherwise(
         F.array(F.struct(F.col("_range").cast("long").alias("r"), F.lit(0).alias("ghost"))))
-    order = Window.partitionBy("_place.r").orderBy("_place.ghost", F.col("_key").desc(), F.col("_tie").desc())
-    spread = rows.withColumn("_range", here).withColumn("_place", F.explode(places))
-    for c in carry:
-        spread = spread.withColumn(f"next_{c}", F.lead(c).over(order))
-    return spread.where(F.col("_place.ghost") == 0).select(*df.columns, *[f"next_{c}" for c in carry])
+    order = Window.partitionBy("_r").orderBy("_ghost", F.col("_key").desc(), F.col("_tie").desc())
+    spread = (rows.withColumn("_range", here).withColumn("_place", F.explode(places))
+              .select(*df.columns, "_key", "_tie", F.col("_place.r").alias("_r"), F.col("_place.ghost").alias("_ghost")))
+    followed = spread.select(*df.columns, "_ghost", *[F.lead(c).over(order).alias(f"next_{c}") for c in carry])
+    return followed.where("_ghost = 0").drop("_ghost")
 
 
 def edited_text(text: Column, following: Column, n_chars: Column) -> Column:

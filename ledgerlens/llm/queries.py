@@ -57,13 +57,13 @@ from ledgerlens.llm import fingerprint  # noqa: E402
 @register("op10_fingerprint")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = fingerprint.with_next(fingerprint.fingerprints(docs), "doc_id", F.xxhash64("text"),
+    both = fingerprint.with_next(docs.withColumn("vector", fingerprint.vector(F.col("text"))), "doc_id", F.xxhash64("text"),
                                  F.octet_length("text") + 8, ["text", "vector"])
     both = both.withColumn("n_chars", F.length("text").cast("long"))
     edited = both.withColumn("edited", fingerprint.edited_text(F.col("text"), F.col("next_text"), F.col("n_chars")))
     edited = edited.withColumn("edited_vector", fingerprint.vector(F.col("edited")))
     v, e, n = F.col("vector"), F.col("edited_vector"), F.col("next_vector")
-    return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+    return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint.as_string(v).alias("fingerprint"),
                          fingerprint.as_string(e).alias("edited_fingerprint"),
                          fingerprint.likeness(v, e).alias("near_edited"), fingerprint.likeness(v, n).alias("near_next"))
 
