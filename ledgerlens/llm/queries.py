@@ -118,3 +118,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = langid.dictionaries(documents(spark, sf_dir, "doc_id", "text", "lang"), ~held_out)
     return langid.predicted(documents(spark, sf_dir), raw).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+# --- 2: near-duplicates -----------------------------------------------------------
+from ledgerlens.llm import neardup  # noqa: E402
+
+
+@register("op2_neardup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(documents(spark, sf_dir), k=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
