@@ -128,3 +128,12 @@ from ledgerlens.llm import neardup  # noqa: E402
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(documents(spark, sf_dir), k=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+# --- 3: substring de-duplication ------------------------------------------------------
+from ledgerlens.llm import substring  # noqa: E402
+
+
+@register("op3_substring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(documents(spark, sf_dir))
