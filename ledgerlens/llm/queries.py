@@ -137,3 +137,13 @@ from ledgerlens.llm import substring  # noqa: E402
 @register("op3_substring")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.without_repeats(documents(spark, sf_dir))
+
+
+# --- 8: line de-duplication -----------------------------------------------------------
+from ledgerlens.llm import linededup  # noqa: E402
+
+
+@register("op8_linededup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.without_repeated_lines(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -93,3 +93,25 @@ def components(docs, k=2, percent=80):
     for i, (d, _) in enumerate(sets):
         least[root(i)] = min(least.get(root(i), d), d)
     return [(d, len(s), least[root(i)], d == least[root(i)]) for i, (d, s) in enumerate(sets)]
+
+
+def line_dedup(docs, percent=80):
+    """[(doc_id, n_lines, n_removed, kept_sha256)] by comparing each line with all earlier ones."""
+    earlier, by_word, out = [], {}, []
+    for doc_id, text in sorted(docs, key=lambda r: r[0]):
+        lines = text.split("\n") if text else []
+        kept = []
+        for line in lines:
+            words = frozenset(SPACED.findall(line.translate(LOWER)))
+            shared = {}
+            for w in words:
+                for j in by_word.get(w, ()):
+                    shared[j] = shared.get(j, 0) + 1
+            if not any(100 * n >= percent * (len(words) + len(earlier[j]) - n) for j, n in shared.items()):
+                kept.append(line)
+            if words:
+                for w in words:
+                    by_word.setdefault(w, []).append(len(earlier))
+                earlier.append(words)
+        out.append((doc_id, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return out
