@@ -147,3 +147,16 @@ from ledgerlens.llm import linededup  # noqa: E402
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.without_repeated_lines(documents(spark, sf_dir))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+# --- 5: licence scans ---------------------------------------------------------------------
+from ledgerlens.llm import license as licences  # noqa: E402
+
+
+@register("op5_licenses")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.license_scan(documents(spark, sf_dir))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    places = F.transform("matches", lambda m: F.concat_ws(":", m["rule"], m["first"], m["last"]))
+    return found.select("doc_id", "n_sentences", F.size("matches").cast("long").alias("n_matches"),
+                        F.concat_ws(",", names).alias("licenses"), F.concat_ws(",", places).alias("rules"))

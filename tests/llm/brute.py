@@ -115,3 +115,21 @@ def line_dedup(docs, percent=80):
                 earlier.append(words)
         out.append((doc_id, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
     return out
+
+
+def license_scan(text, sentences, rules, gap):
+    """(number of sentences, [(rule, licence, first, last)]) of one text."""
+    names = {" ".join(alnum_words(s)): name for name, s in sentences.items()}
+    kept = [n for n in (" ".join(alnum_words(x)) for x in re.split(r"[.!?;:](?=[\t-\r ]|\Z)|\n", text or "")) if n]
+    found = [(i, names[n]) for i, n in enumerate(kept) if n in names]
+    out, i = [], 0
+    while i < len(found):
+        for rule, name, wanted in rules:
+            part = found[i:i + len(wanted)]
+            if [n for _, n in part] == wanted and all(part[k + 1][0] - part[k][0] <= gap + 1 for k in range(len(part) - 1)):
+                out.append((rule, name, part[0][0], part[-1][0]))
+                i += len(wanted)
+                break
+        else:
+            i += 1
+    return len(kept), out
