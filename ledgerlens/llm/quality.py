@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -171,10 +171,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, rows: int = SAMPLE
     (a condition on doc_id) holds.  Null texts and labels other than 0 and 1 teach nothing."""
     known = labels.where(training & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
-    short = docs.where(F.octet_length("text") <= SAMPLE_TEXT).select("doc_id", "text")
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "text")
-    sample = (short.join(known, "doc_id").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= rows)
-              .select("text", "quality").collect())  # at most 2 * rows texts of SAMPLE_TEXT bytes
+    order = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id")]
+    ids = [known.where(F.col("quality") == y).orderBy(*order).limit(rows) for y in (0, 1)]
+    # at most 2 * rows ids, so they may be broadcast; one text of SAMPLE_TEXT bytes for each
+    sample = (docs.select("doc_id", "text").join(F.broadcast(ids[0].unionAll(ids[1])), "doc_id")
+              .where(F.octet_length("text") <= SAMPLE_TEXT).groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect())
     return train([(r["text"], r["quality"]) for r in sample], counts)
 
 
