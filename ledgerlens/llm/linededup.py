@@ -183,7 +183,10 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
     """(doc, line, early_doc, early_line, more) for the word lists of one group; ``more``
     rows, without a partner, name lines whose list has candidates that were not tried."""
     table = table.sort_by([("word", "ascending"), ("salt", "ascending"), ("doc", "ascending"), ("line", "ascending")])
-    col = {n: table.column(n).to_numpy() for n in ("doc", "line", "word", "salt", "place", "size", "bits", "salted")}
+    col = {n: table.column(n).to_numpy() for n in ("word", "salt", "doc", "line", "place", "size", "bits", "salted")}
+    new = np.ones(len(col["word"]), bool)  # repeated rows of a table are one
+    new[1:] = np.any([col[k][1:] != col[k][:-1] for k in ("word", "salt", "doc", "line")], axis=0)
+    col = {k: v[new] for k, v in col.items()}
     n = len(col["word"])
     opens = np.ones(n, bool)
     opens[1:] = (col["word"][1:] != col["word"][:-1]) | (col["salt"][1:] != col["salt"][:-1])
