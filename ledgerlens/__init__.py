@@ -6,4 +6,4 @@ the natural key ``(environment, accountcode)``, bounded windows and
 ``explode(sequence(...))`` grids, all visible to Catalyst.
 """
 
-__all__ = ["operators", "sources", "functions", "plans", "streaming"]
+__all__ = ["operators", "sources", "functions", "plans"]

@@ -17,10 +17,7 @@ __all__ = [
     "card_url",
     "environment_uk",
     "month_end",
-    "lenient_int",
-    "months_between_trunc",
-    "months_between_floor",
-    "nvl_int",
+    "lenient_integer",
 ]
 
 # The natural key of every per-account table.
@@ -44,15 +41,22 @@ def environment_uk(c: Column | str = "environment") -> Column:
     return F.when(c == "GB", F.lit("UK")).otherwise(c)
 
 
-def lenient_int(c: Column | str) -> Column:
-    """Integer cast that also accepts ``'5.0'``; unparsable text becomes NULL.
+# A plain decimal number: sign, digits, at most one point (no exponent, no type suffix).
+_DECIMAL = r"\A[\x09-\x0D\x20]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[\x09-\x0D\x20]*\z"
 
-    Under ANSI ``cast('5.0' as int)`` raises and ``try_cast`` gives NULL, while
-    the non-ANSI cast the jobs were written against gives 5.  Going through
-    DOUBLE reproduces that (and truncates toward zero like the old cast).
+
+def lenient_integer(c: Column | str, kind: str = "int") -> Column:
+    """Integer cast of text that also accepts ``'5.0'``; other text becomes NULL.
+
+    Under ANSI ``cast('5.0' as int)`` raises and ``try_cast`` gives NULL, while the
+    non-ANSI cast the jobs were written against drops the fraction.  The digits before
+    the point are cast as they are, so a long keeps all of them; ``'1e3'`` and ``'5d'``
+    are no integers; a value beyond the type is NULL.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("double").try_cast("int")
+    whole = F.regexp_extract(F.trim(F.translate(c, "\t\n\x0b\x0c\r", "     ")), r"\A([+-]?[0-9]*)", 1)
+    digits = F.when(whole.isin("", "+", "-"), F.lit("0")).otherwise(whole)
+    return F.when(c.rlike(_DECIMAL), digits.try_cast(kind))
 
 
 def blank_key_fields(*cols: str) -> Column:
@@ -96,17 +100,3 @@ def month_end(d, n: int | Column = 0) -> Column:
     """NRM-10: last day of the month ``n`` months after ``d``."""
     d = as_date(d) if not isinstance(d, Column) else d
     return F.last_day(F.add_months(d, n))
-
-
-def months_between_trunc(end: Column, start: Column) -> Column:
-    """Fractional months (Spark ``months_between``) truncated toward zero to INT."""
-    return F.months_between(end, start).cast("int")
-
-
-def months_between_floor(end: Column, start: Column) -> Column:
-    """Fractional months floored (BIGINT, as ``floor`` returns)."""
-    return F.floor(F.months_between(end, start))
-
-
-def nvl_int(c: Column, default: int = 0) -> Column:
-    return F.coalesce(c, F.lit(default))

@@ -28,7 +28,6 @@ __all__ = ["window_start", "daily_activity", "account_days", "classified_account
 # Account classifications shown on the dashboard, activity id of a page view.
 CLASSIFICATIONS = ("EOL", "ACC", "AC7", "JB0", "AC1", "EO1", "AC8")
 PAGE_VIEW = 1
-MAX_WINDOW_DAYS = 4 * 31
 
 
 def _window_start_df(calendar: DataFrame, as_of, months_back: int = 3) -> DataFrame:
@@ -72,9 +71,12 @@ def account_days(summary: DataFrame, accounts: DataFrame, calendar: DataFrame, a
                             "latestcommfinaldate")
              .join(accounts.select("accountid", "accountclassificationcode"), "accountid", "inner")
              .withColumn("calendardate", F.explode(days)))
-    window = calendar.where((F.col("calendardate") >= date_since) & (F.col("calendardate") <= F.date_sub(d, 1)))
-    # bounded: one calendar row per day of a window of at most MAX_WINDOW_DAYS days
-    return spine.join(F.broadcast(window.select("calendardate")), "calendardate", "inner").select(
+    # one row for each day of the window, however often the calendar lists it: no more
+    # days than lie between the window start and as_of, so it may be broadcast
+    window = (calendar.where((F.col("calendardate") >= date_since) & (F.col("calendardate") <= F.date_sub(d, 1)))
+              .groupBy("calendardate").agg(F.count(F.lit(1)).cast("int").alias("_times")))
+    joined = spine.join(F.broadcast(window), "calendardate", "inner")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
         "accountid", "accountcode", "environment", "calendardate", "accountclassificationcode")
 
 
@@ -116,6 +118,6 @@ def no_activity(summary: DataFrame, accounts: DataFrame, users: DataFrame, activ
     views = join_activity(days, users, daily_activity(activity, since), on_date)
     return views.select(
         "accountid", "accountcode", "environment", "calendardate",
-        F.col("pageviews").cast("int").alias("pageviewquantity"),
+        F.col("pageviews").cast("bigint").alias("pageviewquantity"),
         F.when(F.col("pageviews").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("activeornot"),
         F.concat(F.col("environment"), F.col("accountcode")).alias("enviroaccount"))

@@ -32,12 +32,15 @@ def history_lines(contracts: DataFrame, summary: DataFrame, event_types: DataFra
                   item_classifications: DataFrame) -> DataFrame:
     """The joined contract lines behind the history (one row per line and matching
     summary / event type / classification row, as the original inner joins)."""
-    env = F.upper(F.trim(F.col("environment")))
-    c = contracts.select(env.alias("environment"), "accountcode", "eventdate", "eventtype", "itemcode",
-                         "linepackage", "quantity", "contracttype", "valuepermonth")
-    s = summary.select(env.alias("environment"), F.trim(F.col("accountcode")).alias("accountcode"), "accountid")
-    et = event_types.select(env.alias("environment"), "contracteventtypecode", "contracteventdescription")
-    ic = item_classifications.select(env.alias("environment"), F.col("itemcode").alias("_item"), "itemdescription")
+    def t(name: str, out: str | None = None):
+        return F.trim(F.col(name)).alias(out or name)
+
+    env = F.upper(F.trim(F.col("environment"))).alias("environment")
+    c = contracts.select(env, t("accountcode"), "eventdate", t("eventtype"), t("itemcode"), "linepackage", "quantity",
+                         t("contracttype"), "valuepermonth")
+    s = summary.select(env, t("accountcode"), t("accountid"))
+    et = event_types.select(env, t("contracteventtypecode"), t("contracteventdescription"))
+    ic = item_classifications.select(env, t("itemcode", "_item"), t("itemdescription"))
     return (c.join(s, KEYS, "inner")
             .join(et, (c["environment"] == et["environment"]) & (c["eventtype"] == et["contracteventtypecode"]), "inner")
             .drop(et["environment"])
@@ -51,24 +54,30 @@ def history_lines(contracts: DataFrame, summary: DataFrame, event_types: DataFra
                     F.when(F.col("contracttype") == COMMERCIAL, F.col("valuepermonth")).otherwise(0).alias("_m")))
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL keys match each other, as they do in a window's groups."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys]
+    return left.join(right, on, "inner").drop(*[f"_r_{k}" for k in keys])
+
+
 def _daily(lines: DataFrame):
     """(account, day) running commercial MRR and (account id, day) line counts."""
     g = lines.groupBy(*KEYS, "accountid", "eventdate").agg(F.count(F.lit(1)).alias("_n"), F.sum("_m").alias("_m"))
     daily = g.groupBy(*KEYS, "eventdate").agg(F.sum("_m").alias("_m"))
     running = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     daily = daily.select(*KEYS, "eventdate", F.sum("_m").over(running).cast("double").alias("summrr"))
-    per_id = (g.join(daily, KEYS + ["eventdate"], "inner")
+    per_id = (_null_safe_join(g, daily, KEYS + ["eventdate"])
               .groupBy("accountid", "eventdate").agg(F.sum("_n").alias("_n"), F.max("summrr").alias("_mrr")))
     return daily, per_id
 
 
 def _rows(lines: DataFrame, daily: DataFrame) -> DataFrame:
-    # one shuffle of the lines by (account, day): the detail-group window and the
-    # join with the daily running MRR both reuse that partitioning
-    lines = lines.repartition(*KEYS, "eventdate")
-    detail = Window.partitionBy(*_DETAIL)
-    rows = lines.withColumn("quantity", F.sum("quantity").over(detail).cast("double"))
-    return rows.join(daily, KEYS + ["eventdate"], "inner").select(
+    # the group's quantity is aggregated and joined back: a hot account-day is combined
+    # map-side, and AQE may split the join, which a window over the lines would not allow
+    groups = lines.groupBy(*_DETAIL).agg(F.sum("quantity").cast("double").alias("_quantity"))
+    rows = _null_safe_join(lines.drop("quantity"), groups, _DETAIL).withColumnRenamed("_quantity", "quantity")
+    return _null_safe_join(rows, daily, KEYS + ["eventdate"]).select(
         "accountid", *KEYS, "eventdate", "contracteventdescription", "itemdescription", "linepackage",
         "quantity", "summrr")
 

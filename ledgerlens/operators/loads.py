@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.normalize import (cast_columns, clean_strings, current_records, drop_metadata,
                                             normalize_environment, null_sentinel_date, rename_columns)
+from ledgerlens.session import checkpoint_shared
 from ledgerlens.sources.tables import read_ingestion_day
 
 __all__ = ["load_snapshot", "load_contracts", "load_dimension", "load_subsectors", "load_sectors",
@@ -47,19 +48,21 @@ OPPORTUNITY_COLUMNS = [
 SENTINEL_DATE = _dt.date(9999, 12, 31)
 
 
-def load_snapshot(snapshot: DataFrame, day: _dt.date | None = None, persist: bool = False) -> DataFrame:
+def load_snapshot(snapshot: DataFrame, day: _dt.date | None = None) -> DataFrame:
     """LOAD-0: the day's snapshot trimmed (all columns), ``account``/``environment``
     upper-cased, ``meta_isdeleted`` typed, site GB published as UK."""
     if day is not None:
         snapshot = read_ingestion_day(snapshot, day)
     df = clean_strings(snapshot, upper=["account", "environment"], all_columns=True)
-    df = normalize_environment(cast_columns(df, booleans=["meta_isdeleted"]))
-    return df.persist() if persist else df
+    return normalize_environment(cast_columns(df, booleans=["meta_isdeleted"]))
 
 
-def load_all(snapshot: DataFrame, users: DataFrame, day: _dt.date | None = None) -> dict[str, DataFrame]:
-    """LOAD-0 fan-out: every snapshot-derived table from one cleaned snapshot."""
+def load_all(snapshot: DataFrame, users: DataFrame, day: _dt.date | None = None, checkpoint: bool = True) -> dict[str, DataFrame]:
+    """LOAD-0 fan-out: every snapshot-derived table from one cleaned snapshot, which is
+    written once to the shared checkpoint folder (``checkpoint=False``: cleaned for each)."""
     snap = load_snapshot(snapshot, day)
+    if checkpoint:
+        snap = checkpoint_shared(snap, "snapshot")
     return {
         "contracts": load_contracts(snap), "subsectors": load_subsectors(snap), "sectors": load_sectors(snap),
         "resellers": load_resellers(snap), "accountants": load_accountants(snap),
@@ -129,15 +132,16 @@ def load_item_classifications(snap: DataFrame, pick: str = "least") -> DataFrame
 
 def load_account_managers(snap: DataFrame, users: DataFrame) -> DataFrame:
     """LOAD-8: latest row per manager code over ALL rows, kept only when that row is
-    current and has a code (a deleted latest row drops the manager); joined to
-    the users on environment, name and numeric hid.
+    current and has a code (a deleted latest row drops the manager; among rows of one
+    time an open, live one comes first); joined to the users on environment, name and numeric hid.
 
     The latest row is an aggregate (``max`` of a struct led by the event time),
     not a window, so a manager with many rows is combined map-side.
     """
     df = cast_columns(snap, timestamps=["eventdate"], integers=["accountmanagercode"], booleans=["meta_isdeleted"])
     latest = df.groupBy("accountmanagercode").agg(F.max(F.struct(
-        F.col("eventdate").alias("t"), "accountmanagername", "businesslinecode", "businesslinedescription",
+        F.col("eventdate").alias("t"), F.col("meta_load_enddts").isNull().alias("open"), (~F.col("meta_isdeleted")).alias("live"),
+        "accountmanagername", "businesslinecode", "businesslinedescription",
         "environment", "meta_load_enddts", "meta_isdeleted")).alias("_r"))
     latest = latest.where(F.col("_r.meta_load_enddts").isNull() & ~F.col("_r.meta_isdeleted")
                           & F.col("accountmanagercode").isNotNull()).select(

@@ -16,7 +16,6 @@ the month as an extra grouping key.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import KEYS, as_date
@@ -79,58 +78,43 @@ def month_assignments(contracts: DataFrame, as_of, start: int = 0, end: int = -6
     hi = _ord(f) + F.when(f == F.last_day(f), 1).otherwise(0)
     lo = F.greatest(_ord(s), lo_grid)
     hi = F.least(hi, hi_grid)
-    months = F.when(lo <= hi, F.sequence(lo, hi))
+    # least / greatest skip NULLs; a line without start or end overlaps no month
+    months = F.when(s.isNotNull() & f.isNotNull() & (lo <= hi), F.sequence(lo, hi))
     first_active = F.when(e.isNotNull() & s.isNotNull(), _ord(F.greatest(s, e)))
     out = contracts.withColumn("m", F.explode(months))
     return out.select("*", *_month_columns(F.col("m")),
                       F.coalesce(F.col("m") >= first_active, F.lit(False)).alias("active"))
 
 
-def _grouped(contracts: DataFrame, as_of, start: int, end: int) -> DataFrame:
-    """One aggregation at (account, type, item, contract, month) feeding every part."""
-    x = month_assignments(contracts, as_of, start, end)
-    act, pkg = F.col("active"), F.col("linepackage") == 1
-    not_cancelled = F.col("eventtype") != CANCELLED
-    users = F.when(not_cancelled, F.col("numberofusers")).otherwise(0)
-    vpm = F.col("valuepermonth")
-    item = F.col("itemcode")
-
-    def s(v: Column, name: str) -> Column:
-        return F.sum(F.when(act, v)).alias(name)
-
-    churn_flag = F.when((F.col("finaldate") <= F.col("monthend"))
-                        & F.col("eventtype").isin(*FULL_CANCELLATIONS), 1).otherwise(0)
-    return x.groupBy(*KEYS, "contracttype", "itemcode", "contractnumber", "m", "yearmonth", "monthend").agg(
-        F.sum(F.when(act & pkg, F.col("quantity"))).alias("quantity"),
-        F.count(F.when(act & pkg, 1)).alias("n_pkg"),
-        F.count(F.when(act, 1)).alias("n_active"),
-        s(F.when((item != ARCHIVED_ITEM) & not_cancelled, F.col("numberofadministrations")).otherwise(0),
-          "numberofavailableadmins"),
-        s(F.when((item == ARCHIVED_ITEM) & not_cancelled, F.col("numberofadministrations")).otherwise(0),
-          "numberofarchivedadmins"),
-        s(users, "numberofusers"),
-        s(F.when(vpm != 0, users).otherwise(0), "numberofpayingusers"),
-        s(F.when(vpm == 0, users).otherwise(0), "numberoffreeusers"),
-        s(F.when(not_cancelled, vpm).otherwise(0), "mrr"),
-        F.max(F.when(pkg, churn_flag)).alias("churned"),
-    )
-
-
-def monthly_package(grouped_or_contracts: DataFrame, accounts: DataFrame, as_of=None, start: int = 0,
+def _lines(contracts: DataFrame, as_of, start: int, end: int) -> DataFrame:
+    """Assigned lines, unless ``as_of`` is None and they already are."""
+    return contracts if as_of is None else month_assignments(contracts, as_of, start, end)
+
+
+def _top_packages(contracts: DataFrame, as_of, start: int, end: int) -> DataFrame:
+    """Per (account, month) the first package group: quantity desc (NULL last), then
+    type, item and contract ascending (NULL first), as an aggregate over the summed groups."""
+    active = _lines(contracts, as_of, start, end).where(F.col("active") & (F.col("linepackage") == 1))
+    groups = active.groupBy(*KEYS, "contracttype", "itemcode", "contractnumber", "m", "yearmonth").agg(
+        F.sum("quantity").alias("quantity"))
+    q = F.col("quantity")
+    first = F.min(F.struct(q.isNull().alias("k0"), (-q).alias("k1"), "contracttype", "itemcode", "contractnumber"))
+    return groups.groupBy(*KEYS, "m", "yearmonth").agg(first.alias("_t")).select(
+        *KEYS, "m", "yearmonth", "_t.contracttype", "_t.itemcode", "_t.contractnumber", (-F.col("_t.k1")).alias("quantity"))
+
+
+def _account_ids(accounts: DataFrame) -> DataFrame:
+    """The first account id (NULL first) of each account: the last tie-break of the ranking."""
+    return accounts.groupBy(*KEYS).agg(F.min(F.struct("accountid"))["accountid"].alias("accountid"))
+
+
+def monthly_package(contracts: DataFrame, accounts: DataFrame, as_of=None, start: int = 0,
                     end: int = -6) -> DataFrame:
     """ASM-2: per account and month the main package contract: active package lines
     summed per (item, type, contract), joined to the account, top-1 by quantity desc,
     then type asc (ties: item, contract, account id ascending)."""
-    g = grouped_or_contracts if "n_pkg" in grouped_or_contracts.columns else \
-        _grouped(grouped_or_contracts, as_of, start, end)
-    pk = g.where(F.col("n_pkg") > 0).select(*KEYS, "itemcode", "contracttype", "contractnumber", "quantity",
-                                            "m", "yearmonth")
-    pk = pk.join(accounts.select(*KEYS, "accountid"), KEYS, "inner")
-    w = Window.partitionBy(*KEYS, "m").orderBy(
-        F.col("quantity").desc_nulls_last(), F.col("contracttype").asc_nulls_first(),
-        F.col("itemcode").asc_nulls_first(), F.col("contractnumber").asc_nulls_first(),
-        F.col("accountid").asc_nulls_first())
-    return pk.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return _top_packages(contracts, as_of, start, end).join(_account_ids(accounts), KEYS, "inner").select(
+        *KEYS, "itemcode", "contracttype", "contractnumber", "quantity", "m", "yearmonth", "accountid")
 
 
 def stamp_month(df: DataFrame) -> DataFrame:
@@ -139,15 +123,20 @@ def stamp_month(df: DataFrame) -> DataFrame:
                            "month": (F.col("yearmonth") % 100).cast("string")})
 
 
-def monthly_totals(grouped_or_contracts: DataFrame, as_of=None, start: int = 0, end: int = -6) -> DataFrame:
+TOTALS = ["numberofarchivedadmins", "numberofavailableadmins", "numberofpayingusers", "numberoffreeusers",
+          "mrr", "numberofusers"]
+
+
+def monthly_totals(contracts: DataFrame, as_of=None, start: int = 0, end: int = -6) -> DataFrame:
     """ASM-4: per (account, contract, month) admins, users and MRR of active lines;
     full cancellations (CFC) count zero, users are zeroed before paying/free split."""
-    g = grouped_or_contracts if "n_active" in grouped_or_contracts.columns else \
-        _grouped(grouped_or_contracts, as_of, start, end)
-    cols = ["numberofarchivedadmins", "numberofavailableadmins", "numberofpayingusers", "numberoffreeusers",
-            "mrr", "numberofusers"]
-    return (g.where(F.col("n_active") > 0).groupBy(*KEYS, "contractnumber", "m")
-            .agg(*[F.sum(c).alias(c) for c in cols]))
+    not_cancelled = F.col("eventtype") != CANCELLED
+    users = F.when(not_cancelled, F.col("numberofusers")).otherwise(0)
+    admins, vpm, item = F.col("numberofadministrations"), F.col("valuepermonth"), F.col("itemcode")
+    values = [F.when((item == ARCHIVED_ITEM) & not_cancelled, admins), F.when((item != ARCHIVED_ITEM) & not_cancelled, admins),
+              F.when(vpm != 0, users), F.when(vpm == 0, users), F.when(not_cancelled, vpm), users]
+    return (_lines(contracts, as_of, start, end).where("active").groupBy(*KEYS, "contractnumber", "m")
+            .agg(*[F.sum(v.otherwise(0) if v is not users else v).alias(n) for n, v in zip(TOTALS, values, strict=True)]))
 
 
 def attach_totals(packages: DataFrame, totals: DataFrame) -> DataFrame:
@@ -173,41 +162,27 @@ def monthly_lifetime(contracts: DataFrame, as_of, start: int = 0, end: int = -6)
                       .alias("commerciallifetimemonths"))
 
 
-def monthly_churn(grouped_or_contracts: DataFrame, as_of=None, start: int = 0, end: int = -6) -> DataFrame:
+def monthly_churn(contracts: DataFrame, as_of=None, start: int = 0, end: int = -6) -> DataFrame:
     """ASM-7: per (account, type, contract, month) 1 when a package line overlapping the
     month ends in it with a full cancellation (no event-date test)."""
-    g = grouped_or_contracts if "churned" in grouped_or_contracts.columns and "n_pkg" in \
-        grouped_or_contracts.columns else _grouped(grouped_or_contracts, as_of, start, end)
-    return (g.where(F.col("churned").isNotNull()).groupBy(*KEYS, "contracttype", "contractnumber", "m")
-            .agg(F.max("churned").alias("churned")))
+    ends = (F.col("finaldate") <= F.col("monthend")) & F.col("eventtype").isin(*FULL_CANCELLATIONS)
+    return (_lines(contracts, as_of, start, end).where(F.col("linepackage") == 1)
+            .groupBy(*KEYS, "contracttype", "contractnumber", "m")
+            .agg(F.max(F.when(ends, 1).otherwise(0)).alias("churned")))
 
 
 def monthly_summary(contracts: DataFrame, accounts: DataFrame, as_of, start: int = 0, end: int = -6) -> DataFrame:
     """ASM-ALL: all reporting months in one plan, keyed by ``yearmonth``.
 
-    One scan and explode, one aggregation at (account, type, item, contract,
-    month), one repartition by (account, month).  Within that partitioning,
-    windows attach each contract's totals (ASM-4/5) and churn flag (ASM-7) to
-    its rows and the top-1 package per account-month (ASM-2) keeps the row,
-    so no totals/churn joins are needed.  The account id is the smallest of the
-    account (the last tie-break of the original ranking); the lifetime (ASM-6)
-    joins on (account, month).  ``year``/``month`` are the partition columns for
-    :func:`write_month`.
+    Each part is an aggregate of the exploded lines at its own grain, combined
+    map-side: the top package per (account, month), totals per (account, contract,
+    month), churn per (account, type, contract, month).  They are joined on their
+    keys; a NULL contract or type finds no totals or churn, as in the original left
+    joins.  No window holds the lines of an account, and AQE may split the joins.
+    ``year``/``month`` are the partition columns for :func:`write_month`.
     """
-    g = _grouped(contracts, as_of, start, end).repartition(*KEYS, "m")
-    tot_cols = ["numberofarchivedadmins", "numberofavailableadmins", "numberofpayingusers", "numberoffreeusers",
-                "mrr", "numberofusers"]
-    per_contract = Window.partitionBy(*KEYS, "m", "contractnumber")
-    per_type_contract = Window.partitionBy(*KEYS, "m", "contracttype", "contractnumber")
-    g = g.select(*KEYS, "m", "yearmonth", "contracttype", "itemcode", "contractnumber", "quantity", "n_pkg",
-                 *[F.sum(c).over(per_contract).alias(c) for c in tot_cols],
-                 F.max("churned").over(per_type_contract).alias("churned"))
-    rank = Window.partitionBy(*KEYS, "m").orderBy(
-        F.col("quantity").desc_nulls_last(), F.col("contracttype").asc_nulls_first(),
-        F.col("itemcode").asc_nulls_first(), F.col("contractnumber").asc_nulls_first())
-    top = (g.where(F.col("n_pkg") > 0).withColumn("_rn", F.row_number().over(rank))
-           .where(F.col("_rn") == 1).drop("_rn", "n_pkg"))
-    ids = accounts.groupBy(*KEYS).agg(F.min("accountid").alias("accountid"))
-    r = top.join(ids, KEYS, "inner").join(monthly_lifetime(contracts, as_of, start, end), KEYS + ["m"], "left")
-    r = stamp_month(r.withColumnRenamed("itemcode", "packagecode"))
-    return r.select(*MONTHLY_COLUMNS)
+    lines = month_assignments(contracts, as_of, start, end)
+    r = attach_totals(monthly_package(lines, accounts), monthly_totals(lines))
+    r = r.join(monthly_lifetime(contracts, as_of, start, end), KEYS + ["m"], "left")
+    r = r.join(monthly_churn(lines), KEYS + ["contracttype", "contractnumber", "m"], "left")
+    return stamp_month(r.withColumnRenamed("itemcode", "packagecode")).select(*MONTHLY_COLUMNS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ledgerlens.functions.columns import as_date, environment_uk, lenient_int, month_end
+from ledgerlens.functions.columns import as_date, environment_uk, lenient_integer, month_end
 
 __all__ = [
     "cast_columns", "rename_columns", "clean_strings", "normalize_environment", "current_records",
@@ -31,16 +31,16 @@ def cast_columns(df: DataFrame, integers: Iterable[str] = (), longs: Iterable[st
     boolean, double, float, date (the last one wins, as chained casts would).
     """
     exprs = {c: F.col(c) for c in df.columns}
-    plan = [(timestamps, lambda c: c.try_cast("timestamp")), (integers, lenient_int),
-            (longs, lambda c: c.try_cast("double").try_cast("bigint")),
-            (booleans, lambda c: c.try_cast("boolean")), (doubles, lambda c: c.try_cast("double")),
-            (floats, lambda c: c.try_cast("float")), (dates, lambda c: c.try_cast("date"))]
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    plan = [(timestamps, "timestamp"), (integers, "int"), (longs, "bigint"), (booleans, "boolean"),
+            (doubles, "double"), (floats, "float"), (dates, "date")]
     lower = {c.lower(): c for c in df.columns}
-    for names, fn in plan:
+    for names, kind in plan:
         for n in names:
             real = lower.get(n.lower())
             if real is not None:
-                exprs[real] = fn(exprs[real])
+                whole = kind in ("int", "bigint") and real in text
+                exprs[real] = lenient_integer(exprs[real], kind) if whole else exprs[real].try_cast(kind)
     return df.select(*[e.alias(c) for c, e in exprs.items()])
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import KEYS, as_date
 
 __all__ = [
-    "TRIAL", "COMMERCIAL", "PILOT", "NEW_TRIAL", "PRICE_INCREASE", "INFLOW", "ARCHIVED_ITEM",
+    "TRIAL", "COMMERCIAL", "NEW_TRIAL", "PRICE_INCREASE", "INFLOW", "ARCHIVED_ITEM",
     "LINKED", "WITH_ACCOUNTANT", "WITHOUT_ACCOUNTANT", "DEFAULT_LINK_CUTOFF",
     "prepare_summary_inputs", "account_spine", "add_first_trial", "add_first_commercial",
     "add_had_indicators", "add_latest_commercial", "add_latest_commercial_dates", "add_latest_trial",
@@ -38,7 +38,7 @@ __all__ = [
 ]
 
 # Fixed values of the contract vocabulary.
-TRIAL, COMMERCIAL, PILOT = "T", "C", "P"
+TRIAL, COMMERCIAL = "T", "C"
 NEW_TRIAL, PRICE_INCREASE = "TN", "PI"
 INFLOW = "Inflow"
 ARCHIVED_ITEM = "EOL9950"
@@ -147,7 +147,7 @@ def _mrr_aggs(as_of) -> list[Column]:
 
 def _mrr_finish() -> dict[str, Column]:
     # round to cents, then the integer cast truncates toward zero
-    return {"latestmrr": F.round(_c("_mrr"), 2).cast("int")}
+    return {"latestmrr": F.round(_c("_mrr"), 2).cast("bigint")}
 
 
 def _entitlement_aggs(as_of) -> list[Column]:
@@ -156,7 +156,7 @@ def _entitlement_aggs(as_of) -> list[Column]:
     item, admins, users, vpm = _c("itemcode"), _c("numberofadministrations"), _c("numberofusers"), _c("valuepermonth")
 
     def s(value: Column, name: str) -> Column:
-        return F.sum(F.when(active, value)).cast("int").alias(name)
+        return F.sum(F.when(active, value)).cast("bigint").alias(name)
 
     return [
         s(F.when(item != ARCHIVED_ITEM, admins).otherwise(0), "latestnumberofavailableadmins"),
@@ -331,10 +331,11 @@ def add_churned(contracts: DataFrame, result: DataFrame, as_of) -> DataFrame:
 
 
 def _link_dates(log: DataFrame, pick: str) -> DataFrame:
-    agg = F.max("date") if pick == "latest" else F.min("date")
+    # a NULL date ranks first: it is the first link, and the latest only when it is the only one
+    agg = F.max(F.struct("date"))["date"] if pick == "latest" else F.min(F.struct("date"))["date"]
     if pick not in ("latest", "first"):
         raise ValueError(f"unknown pick {pick!r}")
-    return log.where(_c("linkstatus") == LINKED).groupBy(*KEYS).agg(agg.alias("linkdate"))
+    return log.where(_c("linkstatus") == LINKED).groupBy(*KEYS).agg(agg.alias("linkdate"), F.lit(True).alias("_linked"))
 
 
 def _account_link_flags(accounts: DataFrame) -> DataFrame:
@@ -348,7 +349,7 @@ def _account_link_flags(accounts: DataFrame) -> DataFrame:
 def _linked_columns(cutoff) -> dict[str, Column]:
     cutoff = as_date(cutoff)
     started = _c("firstcommstartdate") >= cutoff
-    linked = _c("linkdate").isNotNull()
+    linked = F.coalesce(_c("_linked"), F.lit(False))  # also by an entry without a date
     return {
         "accountantlinked": _c("_with"),
         "datefirstlinkedtoaccountant":

@@ -53,10 +53,11 @@ def _c(n: str) -> Column:
 
 
 def first_link(log: DataFrame) -> DataFrame:
-    """ADC-1: first 'Accountant Linked' date per account (environment trimmed)."""
+    """ADC-1: first 'Accountant Linked' date per account (environment trimmed); an
+    entry without a date is the first."""
     return (log.where(_c("linkstatus") == LINKED)
             .groupBy(F.trim(_c("environment")).alias("environment"), "accountcode")
-            .agg(F.min("date").alias("date"))
+            .agg(F.min(F.struct("date"))["date"].alias("date"))
             .withColumn("linkstatus", F.lit(LINKED)))
 
 
@@ -83,29 +84,43 @@ def link_base(summary: DataFrame, accounts: DataFrame, log: DataFrame, cutoff=DE
                           "datefirstlinkedtoaccountantz": z}))
 
 
+def _is_change() -> Column:
+    io = _c("inflowoutflow")
+    return (io == "Inflow") | ((io == "Outflow") & (_c("eventtype") == PRICE_CHANGE))
+
+
+def _is_timeline_event() -> Column:
+    fits = _c("linepackage") == F.when(_c("eventtype").isin(*PACKAGE_EVENTS), 1).otherwise(0)
+    return _is_change() & fits
+
+
 def change_events(contracts: DataFrame) -> DataFrame:
     """ADC-4: Inflow lines and Outflow price changes."""
-    io, et = _c("inflowoutflow"), _c("eventtype")
-    return contracts.where((io == "Inflow") | ((io == "Outflow") & (et == PRICE_CHANGE)))
+    return contracts.where(_is_change())
 
 
 def timeline_events(contracts: DataFrame) -> DataFrame:
     """ADC-5: change events whose package flag fits the event type (1 for package
     events TN/CN/CT/CDN/CUP, else 0)."""
-    fits = _c("linepackage") == F.when(_c("eventtype").isin(*PACKAGE_EVENTS), 1).otherwise(0)
-    return change_events(contracts).where(fits).select(*KEYS, "eventdate", "eventtype", "packagecode",
-                                                       "linepackage")
+    return contracts.where(_is_timeline_event()).select(*KEYS, "eventdate", "eventtype", "packagecode", "linepackage")
 
 
-def running_features(contracts: DataFrame) -> DataFrame:
-    """ADC-6: per account and event day the running totals of users, admins and MRR
-    over all contract lines; each line is cast to int first (cents truncated)."""
-    daily = contracts.groupBy(*KEYS, "eventdate").agg(
-        *[F.sum(_c(f).cast("int")).alias(f) for f in _FEATURES])
+def _daily_features() -> list[Column]:
+    """Sums over lines; each value is truncated to whole units first."""
+    return [F.sum(_c(f).cast("bigint")).alias(f) for f in _FEATURES]
+
+
+def _running(daily: DataFrame) -> DataFrame:
     w = Window.partitionBy(*KEYS).orderBy("eventdate").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select(*KEYS, "eventdate", *[F.sum(f).over(w).alias(f) for f in _FEATURES])
 
 
+def running_features(contracts: DataFrame) -> DataFrame:
+    """ADC-6: per account and event day the running totals of users, admins and MRR
+    over all contract lines; each line is cast to whole units first (cents truncated)."""
+    return _running(contracts.groupBy(*KEYS, "eventdate").agg(*_daily_features()))
+
+
 def timeline_with_features(events: DataFrame, features: DataFrame, dedupe: bool = True) -> DataFrame:
     """ADC-7: attach the running features of the event's day; optionally distinct."""
     out = events.join(features, KEYS + ["eventdate"], "left")
@@ -145,7 +160,10 @@ def link_events(flagged: DataFrame, base: DataFrame) -> DataFrame:
         cand_date.alias("eventdate"), filled["valuepermonth"].alias("valuepermonth"),
         filled["numberofadministrations"].alias("numberofadministrations"),
         filled["numberofusers"].alias("numberofusers"))).alias("_b"))
-    b = base.where(eligible)
+    # accounts may be published twice: one row each, the latest link date, then the largest id
+    z = "datefirstlinkedtoaccountantz"
+    one = base.where(eligible).groupBy(*KEYS).agg(F.max(F.struct(z, "accountid", "datefirstlinkedtoaccountant")).alias("_one"))
+    b = one.select(*KEYS, "_one.*")
     out = b.join(best, KEYS, "left")
     has = _c("_b").isNotNull()
     zero = F.lit(0).cast("bigint")
@@ -183,34 +201,39 @@ _UNION_COLS = ["eventdate", "environment", "accountcode", "packagecode", "eventt
                "numberofusers", "numberofadministrations", "valuepermonth", "accountid"]
 
 
-def timeline_union(flagged: DataFrame, link_rows: DataFrame, tn_override: bool = True) -> DataFrame:
+def timeline_union(flagged: DataFrame, link_rows: DataFrame, tn_override: bool = True, more: list[str] | None = None) -> DataFrame:
     """ADC-12/13: changes plus LINK rows (dated at z); new trials are never linked."""
-    u = flagged.select(*_UNION_COLS).unionByName(link_rows.select(*_UNION_COLS))
+    cols = _UNION_COLS + (more or [])
+    u = flagged.select(*cols).unionByName(link_rows.select(*cols))
     if not tn_override:
         return u
     return u.withColumn("accountantlinked",
                         F.when(_c("eventtype") == NEW_TRIAL, F.lit(0)).otherwise(_c("accountantlinked")))
 
 
-def backfill_package(timeline: DataFrame, contracts: DataFrame, days: DataFrame | None = None) -> DataFrame:
+def _item_candidates() -> Column:
+    """The largest lower-cased Inflow package item of some lines."""
+    return F.max(F.when((_c("inflowoutflow") == "Inflow") & (_c("linepackage") == 1), F.lower(_c("itemcode")))).alias("_item")
+
+
+def _fill_before(days: DataFrame) -> DataFrame:
+    """(account, day, _fill): the largest item of strictly earlier days; one row per account-day in and out."""
+    w = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, -1)
+    return days.where(_c("eventdate").isNotNull()).select(*KEYS, "eventdate", F.max("_item").over(w).alias("_fill"))
+
+
+def backfill_package(timeline: DataFrame, contracts: DataFrame) -> DataFrame:
     """ADC-14: a NULL package takes the largest (lower-cased) Inflow package item of
-    the account's latest strictly earlier package days, i.e. the running max of
-    the per-day item over earlier days; every package is lower-cased.
+    the account's strictly earlier package days, i.e. the running max of the per-day
+    item over earlier days; every package is lower-cased.
 
-    The running max runs over one row per (account, day): candidate days and
-    the days needing a back-fill.  ``days`` may name a superset of the days to
-    fill (e.g. all change and link days) so that the timeline itself is read
-    only once.
+    The running max runs over one row per (account, day): candidate days and the
+    days needing a back-fill.
     """
-    cand = (contracts.where((_c("inflowoutflow") == "Inflow") & (_c("linepackage") == 1))
-            .groupBy(*KEYS, "eventdate").agg(F.max(F.lower(_c("itemcode"))).alias("_item")))
-    if days is None:
-        days = timeline.where(_c("packagecode").isNull() & _c("eventdate").isNotNull()).select(*KEYS, "eventdate")
-    need = days.where(_c("eventdate").isNotNull()).distinct()
-    days = need.join(cand, KEYS + ["eventdate"], "full")
-    w = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, -1)
-    fill = days.select(*KEYS, "eventdate", F.max("_item").over(w).alias("_fill"))
-    out = timeline.join(fill, KEYS + ["eventdate"], "left")
+    candidates = contracts.groupBy(*KEYS, "eventdate").agg(_item_candidates())
+    need = timeline.where(_c("packagecode").isNull()).select(*KEYS, "eventdate", F.lit(None).cast("string").alias("_item"))
+    days = candidates.unionByName(need).groupBy(*KEYS, "eventdate").agg(F.max("_item").alias("_item"))
+    out = timeline.join(_fill_before(days), KEYS + ["eventdate"], "left")
     return out.withColumn("packagecode", F.lower(F.coalesce(_c("packagecode"), _c("_fill")))).drop("_fill")
 
 
@@ -227,8 +250,8 @@ def _final_rows(timeline: DataFrame) -> DataFrame:
     return best.select(
         _c("eventdate").cast("date").alias("date"), *KEYS, _c("_b.packagecode").alias("packagecode"), "eventtype",
         _c("_b.accountantlinked").cast("boolean").alias("accountantorlinked"),
-        _c("_b.users").cast("int").alias("numberofusers"),
-        _c("_b.admins").cast("int").alias("numberofadministrations"),
+        _c("_b.users").cast("bigint").alias("numberofusers"),
+        _c("_b.admins").cast("bigint").alias("numberofadministrations"),
         _c("_b.mrr").cast("float").alias("mrr"), _c("_b.accountid").alias("accountid"))
 
 
@@ -238,41 +261,32 @@ def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame,
 
     The output has one row per (account, day, event type), and within such a
     group the running features and the link flag are fixed (they depend on the
-    account and day only), so the change events are first aggregated to that
-    grain: the largest package, the largest lower-cased package and whether a
-    package is missing.  Everything downstream - features, link flag, LINK
-    candidates (whose tie-break is the largest package), the link-day overwrite,
-    the back-fill and the final pick - then runs on those grouped rows instead
-    of on raw event rows.  The first aggregation combines map-side, so a hot
-    account is reduced before any shuffle.
-
-    The flagged groups feed three consumers (change rows, LINK candidates,
-    link-day overwrite); with ``checkpoint=True`` (default) they are written
-    once to the session's shared checkpoint folder and read back, instead of
-    each consumer re-reading the contracts and recomputing them.
+    account and day only).  So the contracts are read once and aggregated to that
+    grain, combined map-side: feature sums and back-fill candidates over all lines,
+    the largest package, the largest lower-cased package and whether a package is
+    missing over the change events.  Everything downstream runs on those groups:
+    rolled up to days, they give the running features and the back-fill.
+
+    The groups and the link base feed several consumers; with ``checkpoint=True``
+    (default) each is written once to the session's shared checkpoint folder.
     """
-    base = link_base(summary, accounts, log, cutoff)
-    pkg = _c("packagecode")
-    groups = timeline_events(contracts).groupBy(*KEYS, "eventdate", "eventtype").agg(
-        F.max(pkg).alias("packagecode"), F.max(F.lower(pkg)).alias("_lpkg"),
-        F.max(F.when(pkg.isNull(), F.lit(True))).alias("_missing"))
-    flagged = linked_as_of_event(groups.join(running_features(contracts), KEYS + ["eventdate"], "left"), base)
-    if checkpoint:
-        flagged = checkpoint_shared(flagged, "activity-flagged")
+    keep = (lambda df, name: checkpoint_shared(df, name)) if checkpoint else (lambda df, name: df)
+    base = keep(link_base(summary, accounts, log, cutoff), "activity-base")
+    event, pkg = _is_timeline_event(), _c("packagecode")
+    groups = keep(contracts.groupBy(*KEYS, "eventdate", "eventtype").agg(
+        *_daily_features(), _item_candidates(), F.max(F.when(event, F.lit(True))).alias("_event"),
+        F.max(F.when(event, pkg)).alias("packagecode"), F.max(F.when(event, F.lower(pkg))).alias("_lpkg"),
+        F.max(F.when(event & pkg.isNull(), F.lit(True))).alias("_missing")), "activity-groups")
+    daily = groups.groupBy(*KEYS, "eventdate").agg(*[F.sum(f).alias(f) for f in _FEATURES], F.max("_item").alias("_item"))
+    changes = groups.where("_event").select(*KEYS, "eventdate", "eventtype", "packagecode", "_lpkg", "_missing")
+    flagged = keep(linked_as_of_event(timeline_with_features(changes, _running(daily), dedupe=False), base), "activity-flagged")
     links = overwrite_on_link_date(link_events(flagged, base), flagged)
-    cols = _UNION_COLS + ["_lpkg", "_missing"]
-    union = flagged.select(*cols).unionByName(links.withColumns({
-        "_lpkg": F.lower(pkg), "_missing": F.when(pkg.isNull(), F.lit(True))}).select(*cols))
-    union = union.withColumn("accountantlinked",
-                             F.when(_c("eventtype") == NEW_TRIAL, F.lit(0)).otherwise(_c("accountantlinked")))
-    cand = (contracts.where((_c("inflowoutflow") == "Inflow") & (_c("linepackage") == 1))
-            .groupBy(*KEYS, "eventdate").agg(F.max(F.lower(_c("itemcode"))).alias("_item")))
-    days = (timeline_events(contracts).select(*KEYS, "eventdate")
-            .unionByName(base.select(*KEYS, _c("datefirstlinkedtoaccountantz").alias("eventdate")))
-            .where(_c("eventdate").isNotNull()).distinct())
-    w = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, -1)
-    fill = days.join(cand, KEYS + ["eventdate"], "full").select(
-        *KEYS, "eventdate", F.max("_item").over(w).alias("_fill"))
-    filled = union.join(fill, KEYS + ["eventdate"], "left").withColumn(
+    more = ["_lpkg", "_missing"]
+    union = timeline_union(flagged, links.withColumns({
+        "_lpkg": F.lower(pkg), "_missing": F.when(pkg.isNull(), F.lit(True))}), more=more)
+    link_days = base.select(*KEYS, _c("datefirstlinkedtoaccountantz").alias("eventdate"), F.lit(None).cast("string").alias("_item"))
+    days = (daily.select(*KEYS, "eventdate", "_item").unionByName(link_days)
+            .groupBy(*KEYS, "eventdate").agg(F.max("_item").alias("_item")))
+    filled = union.join(_fill_before(days), KEYS + ["eventdate"], "left").withColumn(
         "packagecode", F.greatest(_c("_lpkg"), F.when(_c("_missing"), _c("_fill"))))
-    return _final_rows(filled.drop("_lpkg", "_missing", "_fill"))
+    return _final_rows(filled)

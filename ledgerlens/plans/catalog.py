@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.plans.fixtures import AS_OF, LINK_CUTOFF, Fixtures
+from ledgerlens.plans.fixtures import AS_OF, LINK_CUTOFF, STORED, Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,14 +44,10 @@ def summary_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary as read by the downstream jobs: the stored table when the
-    bench materialised one, else computed from the tables."""
-    import os
-
-    from ledgerlens.plans.fixtures import MATERIALIZED
-    stored = MATERIALIZED.get(sf_dir)
-    if stored and os.path.exists(os.path.join(stored, "summary")):
-        return spark.read.parquet(os.path.join(stored, "summary"))
+    """The summary as read by the downstream jobs: stored with the stored views, else
+    computed from the tables."""
+    if sf_dir.startswith(STORED):
+        return Fixtures(spark, sf_dir)["summary"]
     return summary_df(spark, sf_dir)
 
 
@@ -458,7 +454,6 @@ register("NRM-10", nrm_sql("10"))(lambda spark, sf: Fixtures(spark, sf).contract
 # SRC / SNK: sources and sinks.  Sinks write under the session's checkpoint
 # directory (the cluster's shared folder) and read the result back.
 # ---------------------------------------------------------------------------
-import os  # noqa: E402
 import uuid  # noqa: E402
 
 from ledgerlens.plans.oracle_loads import day_filter  # noqa: E402
@@ -468,14 +463,18 @@ from ledgerlens.plans.fixtures import with_views  # noqa: E402
 
 
 def scratch_path(spark, name: str) -> str:
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "ledgerlens-sinks", uuid.uuid4().hex, name)
+    return f"{ensure_checkpoint_dir(spark)}/ledgerlens-sinks/{uuid.uuid4().hex}/{name}"
 
 
-register("SRC-1", "SELECT * FROM customer")(
-    lambda spark, sf: io.read_table(spark, path=os.path.join(sf, "customer.parquet")))
-register("SRC-3", "SELECT * FROM orders")(
-    lambda spark, sf: io.read_table(spark, path=os.path.join(sf, "orde*.parquet")))
+def _catalogued(spark, sf_dir: str, name: str) -> DataFrame:
+    """The table of that name, declared in the session's catalogue over the given files."""
+    entry = f"ledgerlens_{name}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE default.{entry} USING parquet LOCATION '{sf_dir}/{name}.parquet'")
+    return io.read_table(spark, entry, database="default")
+
+
+register("SRC-1", "SELECT * FROM customer")(lambda spark, sf: _catalogued(spark, sf, "customer"))
+register("SRC-3", "SELECT * FROM orders")(lambda spark, sf: io.read_table(spark, path=f"{sf}/orde*.parquet"))
 
 
 @register("SRC-2", with_views(["appbillingproposal"], [], (
@@ -492,7 +491,7 @@ def _src2(spark, sf_dir):
 @register("SNK-1", with_views(["accounts"], [], "SELECT * FROM accounts"))
 def _snk1(spark, sf_dir):
     path = scratch_path(spark, "accounts")
-    io.write_table(Fixtures(spark, sf_dir).accounts, path, files=1)
+    io.write_table(Fixtures(spark, sf_dir).accounts, path)
     return io.read_table(spark, path=path)
 
 
@@ -523,6 +522,37 @@ def _snk4(spark, sf_dir):
     return io.read_table(spark, path=path)
 
 
+@register("LAL-ALL-dest", lal_sql("ALL"))
+def _lal_dest(spark, sf_dir):
+    """The job with its sink: read, transform, append the day's log."""
+    fx = Fixtures(spark, sf_dir)
+    path = scratch_path(spark, "linkedaccountantlog")
+    lal.linked_accountant_log(fx["snapshot"], fx["previous_accounts"], AS_OF, day=INGESTION_DAY, dest=path)
+    return io.read_table(spark, path=path)
+
+
+# The load job: one stored snapshot, eight tables.
+def _load_all(table: str):
+    return lambda spark, sf: loads.load_all(Fixtures(spark, sf)["snapshot"], Fixtures(spark, sf)["users"], INGESTION_DAY)[table]
+
+
+for _step, _table in enumerate(["contracts", "subsectors", "sectors", "resellers", "accountants", "contracteventtypes",
+                                "itemclassifications", "accountmanager"], start=1):
+    register(f"LOAD-ALL-{_table}", load_sql(str(_step)))(_load_all(_table))
+
+# The other outputs of the cleaning steps.
+register("NRM-8-accounts", with_views(["accounts"], [], "SELECT * REPLACE (upper(trim(environment)) AS environment, "
+                                      "trim(accountcode) AS accountcode) FROM accounts"))(
+    lambda spark, sf: acs.prepare_summary_inputs(*summary_inputs(spark, sf))[1])
+register("NRM-8-log", with_views(["linkedaccountantlog"], [], "SELECT * REPLACE (upper(trim(environment)) AS environment) "
+                                 "FROM linkedaccountantlog"))(
+    lambda spark, sf: acs.prepare_summary_inputs(*summary_inputs(spark, sf))[2])
+register("NRM-9-previous", with_views(["previous_accounts"], [], (
+    "SELECT upper(trim(environment)) AS environment, upper(trim(accountcode)) AS accountcode, "
+    "TRY_CAST(trim(accountantorlinked) AS BOOLEAN) AS accountantorlinked, upper(trim(accountantcode)) AS accountantcode "
+    "FROM previous_accounts")))(lambda spark, sf: _lal_inputs(spark, sf)[1])
+
+
 # Whole-job aliases of the last step of each multi-step family.
 register("NAD-6", nad_sql("ALL"))(dashboard_df)
 register("ADC-ALL", adc_sql("15"))(activity_df)

@@ -14,7 +14,6 @@ Everything is derived from the given tables, so all work grows with them.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -477,23 +476,22 @@ def with_views(views: list[str], body_ctes: list[tuple[str, str]], select: str)
     return "WITH " + ",\n".join(f"{n} AS (\n{s}\n)" for n, s in ctes) + "\n" + select
 
 
-# sf_dir -> directory holding materialised views (``<dir>/<view>`` parquet),
-# used by the bench to time the operators over stored domain tables, the way
-# the jobs read them, instead of re-deriving the views inside every query.
-MATERIALIZED: dict[str, str] = {}
+#: A ``sf_dir`` of this form names a folder of stored views (``<folder>/<view>``) instead
+#: of the driver tables: the queries then read them the way the jobs read domain tables.
+STORED = "stored:"
 
 
-def materialize(spark: SparkSession, sf_dir: str, target: str, names: list[str]) -> None:
-    """Write the views ``names`` of ``sf_dir`` as parquet under ``target`` and
-    make later ``Fixtures(spark, sf_dir)`` read them from there."""
+def materialize(spark: SparkSession, sf_dir: str, target: str, names: list[str]) -> str:
+    """Write the views ``names`` of ``sf_dir`` as parquet under ``target``; returns the
+    ``sf_dir`` under which queries read them."""
     fx = Fixtures(spark, sf_dir)
     # spread every table over several files so that scans run in parallel, as
     # they would over a real multi-file table
     files = max(8, spark.sparkContext.defaultParallelism)
     for n in _dependency_order(names):
         if n in names:
-            fx.table(n).repartition(files).write.mode("overwrite").parquet(os.path.join(target, n))
-    MATERIALIZED[sf_dir] = target
+            fx.table(n).repartition(files).write.mode("overwrite").parquet(f"{target}/{n}")
+    return STORED + target
 
 
 class Fixtures:
@@ -506,11 +504,10 @@ class Fixtures:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            stored = MATERIALIZED.get(self.sf_dir)
-            if stored and os.path.exists(os.path.join(stored, name)):
-                df = self.spark.read.parquet(os.path.join(stored, name))
+            if self.sf_dir.startswith(STORED):
+                df = self.spark.read.parquet(f"{self.sf_dir.removeprefix(STORED)}/{name}")
             elif name in BASE_TABLES:
-                df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 text, deps = VIEWS[name]
                 df = self.spark.sql(_text(text, "spark"), **{d: self.table(d) for d in deps})
@@ -531,7 +528,3 @@ class Fixtures:
     @property
     def log(self) -> DataFrame:
         return self.table("linkedaccountantlog")
-
-
-def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
-    return Fixtures(spark, sf_dir)

@@ -12,6 +12,7 @@ import datetime as _dt
 from ledgerlens.plans.fixtures import AS_OF, LINK_CUTOFF, with_views
 from ledgerlens.plans.oracle_summary import SUMMARY_VIEWS, d, months_between_sql, summary_ctes
 
+# The classifications shown on the dashboard.
 CLASSES = "('EOL', 'ACC', 'AC7', 'JB0', 'AC1', 'EO1', 'AC8')"
 
 
@@ -39,7 +40,7 @@ def _nad_ctes(as_of: _dt.date, classified: bool, on_date: bool) -> list[tuple[st
             LEFT JOIN ad ON {act_on}
             GROUP BY sp.accountid, sp.accountcode, sp.environment, sp.calendardate"""),
         ("nad", """SELECT accountid, accountcode, environment, calendardate,
-              CAST(pageviews AS INTEGER) AS pageviewquantity,
+              CAST(pageviews AS BIGINT) AS pageviewquantity,
               CASE WHEN pageviews IS NULL THEN 0 ELSE 1 END AS activeornot,
               environment || accountcode AS enviroaccount FROM pv"""),
     ]
@@ -58,21 +59,28 @@ def nad_sql(step: str, as_of: _dt.date = AS_OF, on_date: bool = False) -> str:
 def _cph_ctes(as_of: _dt.date) -> list[tuple[str, str]]:
     A = d(as_of)
     return [
-        ("hc", "SELECT * REPLACE (upper(trim(environment)) AS environment) FROM contracts"),
-        ("base", """SELECT s.accountid, hc.environment, hc.accountcode, hc.eventdate, et.contracteventdescription,
-              ic.itemdescription, CAST(CASE WHEN hc.eventtype = 'PI' THEN 0 ELSE hc.linepackage END AS INTEGER) AS linepackage,
+        # every column of the four inputs is trimmed
+        ("hc", """SELECT * REPLACE (upper(trim(environment)) AS environment, trim(accountcode) AS accountcode,
+              trim(eventtype) AS eventtype, trim(itemcode) AS itemcode, trim(contracttype) AS contracttype) FROM contracts"""),
+        ("het", """SELECT upper(trim(environment)) AS environment, trim(contracteventtypecode) AS code,
+              trim(contracteventdescription) AS contracteventdescription FROM contracteventtypes"""),
+        ("hic", """SELECT upper(trim(environment)) AS environment, trim(itemcode) AS code,
+              trim(itemdescription) AS itemdescription FROM itemclassifications"""),
+        ("hs", """SELECT upper(trim(environment)) AS environment, trim(accountcode) AS accountcode,
+              trim(accountid) AS accountid FROM summary"""),
+        ("base", """SELECT hs.accountid, hc.environment, hc.accountcode, hc.eventdate, het.contracteventdescription,
+              hic.itemdescription, CAST(CASE WHEN hc.eventtype = 'PI' THEN 0 ELSE hc.linepackage END AS INTEGER) AS linepackage,
               hc.contracttype, hc.quantity, hc.valuepermonth
             FROM hc
-            JOIN summary s ON hc.environment = upper(trim(s.environment)) AND hc.accountcode = trim(s.accountcode)
-            JOIN contracteventtypes et ON hc.environment = upper(trim(et.environment))
-              AND hc.eventtype = et.contracteventtypecode
-            JOIN itemclassifications ic ON hc.environment = upper(trim(ic.environment)) AND hc.itemcode = ic.itemcode
-            WHERE s.accountid IS NOT NULL"""),
+            JOIN hs ON hc.environment = hs.environment AND hc.accountcode = hs.accountcode
+            JOIN het ON hc.environment = het.environment AND hc.eventtype = het.code
+            JOIN hic ON hc.environment = hic.environment AND hc.itemcode = hic.code
+            WHERE hs.accountid IS NOT NULL"""),
         ("h", """SELECT accountid, environment, accountcode, eventdate, contracteventdescription, itemdescription, linepackage,
               CAST(sum(quantity) OVER (PARTITION BY environment, accountcode, eventdate, contracteventdescription,
                                                    itemdescription) AS DOUBLE) AS quantity,
               CAST(sum(CASE WHEN contracttype = 'C' THEN valuepermonth ELSE 0 END) OVER (
-                PARTITION BY environment, accountcode ORDER BY eventdate
+                PARTITION BY environment, accountcode ORDER BY eventdate NULLS FIRST
                 RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS summrr
             FROM base"""),
         ("p2", """SELECT accountid, eventdate, linepackage, summrr,
@@ -80,12 +88,12 @@ def _cph_ctes(as_of: _dt.date) -> list[tuple[str, str]]:
                 AS description FROM h"""),
         ("p3", """SELECT DISTINCT accountid, CAST(eventdate - INTERVAL 1 DAY AS DATE) AS eventdate,
               CAST(NULL AS INTEGER) AS linepackage,
-              lag(summrr, 1, 0) OVER (PARTITION BY accountid ORDER BY eventdate) AS summrr,
+              lag(summrr, 1, 0) OVER (PARTITION BY accountid ORDER BY eventdate NULLS FIRST) AS summrr,
               CAST(NULL AS VARCHAR) AS description FROM h"""),
         ("p4", f"""SELECT accountid, CASE WHEN eventdate >= {A} THEN eventdate ELSE {A} END AS eventdate,
               CAST(NULL AS INTEGER) AS linepackage, summrr, CAST(NULL AS VARCHAR) AS description
             FROM (SELECT accountid, eventdate, summrr,
-                    row_number() OVER (PARTITION BY accountid ORDER BY eventdate DESC) AS rn FROM h) t
+                    row_number() OVER (PARTITION BY accountid ORDER BY eventdate DESC NULLS LAST) AS rn FROM h) t
             WHERE rn = 1"""),
     ]
 

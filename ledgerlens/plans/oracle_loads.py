@@ -1,6 +1,6 @@
 """DuckDB oracle SQL for the snapshot loads (LOAD), the accounts load (ACC) and the
 normalisation operators (NRM).  Written in plain SQL: TRY_CAST for lenient
-casts (integers through DOUBLE and ``trunc``), window ``row_number`` picks."""
+casts (integers by their digits), window ``row_number`` picks."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import datetime as _dt
 from ledgerlens.plans.fixtures import AS_OF, INGESTION_DAY, SNAPSHOT_COLUMNS, with_views
 from ledgerlens.plans.oracle_summary import PREPARED, d
 
+# Column lists of the tables.
 CONTRACT_COLUMNS = [
     "environment", "code", "contractnumber", "contracttype", "startdate", "enddate", "finaldate", "eventdate",
     "inflowoutflow", "itemcode", "packagecode", "linepackage", "quantity", "numberofadministrations",
@@ -52,8 +53,11 @@ CARD_TEMPLATES = {
 }
 
 
-def lint(x: str) -> str:
-    return f"TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER)"
+def lint(x: str, kind: str = "INTEGER") -> str:
+    """The digits before the point of a plain decimal number, else NULL."""
+    digits = f"coalesce(nullif(regexp_extract(trim({x}), '^[+-]?[0-9]*'), ''), '0')"
+    return (f"CASE WHEN regexp_full_match(trim({x}), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') "
+            f"THEN TRY_CAST(CASE WHEN {digits} IN ('+', '-') THEN '0' ELSE {digits} END AS {kind}) END")
 
 
 def day_filter(day: _dt.date | None) -> str:
@@ -124,7 +128,8 @@ def _load_ctes() -> list[tuple[str, str]]:
               businesslinedescription, environment, TRY_CAST(eventdate AS TIMESTAMP) AS eventdate, meta_load_enddts,
               meta_isdeleted FROM snap"""),
         ("am1", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY accountmanagercode ORDER BY
-                eventdate DESC NULLS LAST, accountmanagername DESC NULLS LAST, businesslinecode DESC NULLS LAST,
+                eventdate DESC NULLS LAST, meta_load_enddts IS NULL DESC, NOT meta_isdeleted DESC NULLS LAST,
+                accountmanagername DESC NULLS LAST, businesslinecode DESC NULLS LAST,
                 businesslinedescription DESC NULLS LAST, environment DESC NULLS LAST, meta_load_enddts DESC NULLS LAST,
                 meta_isdeleted DESC NULLS LAST) AS rn FROM am) t
               WHERE rn = 1 AND meta_load_enddts IS NULL AND NOT meta_isdeleted AND accountmanagercode IS NOT NULL"""),
@@ -265,7 +270,7 @@ def nrm_sql(step: str, as_of: _dt.date = AS_OF) -> str:
             {lint('accountmanagercode')} AS accountmanagercode, TRY_CAST(valuepermonth AS DOUBLE) AS valuepermonth,
             TRY_CAST(lastmodified AS TIMESTAMP) AS lastmodified, TRY_CAST(blocked AS BOOLEAN) AS blocked,
             TRY_CAST(eventdate AS DATE) AS eventdate, TRY_CAST(exchangerate AS FLOAT) AS exchangerate,
-            CAST(trunc(TRY_CAST(quantity AS DOUBLE)) AS BIGINT) AS quantitylong FROM snapshot"""
+            {lint('quantity', 'BIGINT')} AS quantitylong FROM snapshot"""
         return with_views(["snapshot"], [], body)
     if step == "2":
         return with_views(["previous_accounts"], [], "SELECT environment, accountcode AS code, accountantorlinked, "

@@ -65,7 +65,7 @@ def summary_ctes(as_of: _dt.date = AS_OF, cutoff: _dt.date = LINK_CUTOFF, groupi
     else:
         life = (f"CASE WHEN r.hadcommcontract = 1 THEN CAST((year({end}) - year(r.firstcommstartdate)) * 12 "
                 f"+ month({end}) - month(r.firstcommstartdate) AS INTEGER) ELSE 0 END")
-    link_order = "date DESC" if pick == "latest" else "date ASC"
+    link_order = "date DESC NULLS LAST" if pick == "latest" else "date ASC NULLS FIRST"
     return PREPARED + [
         ("s1", "SELECT DISTINCT c.environment, c.accountcode, a.accountid FROM c "
                "JOIN a ON c.environment = a.environment AND c.accountcode = a.accountcode"),
@@ -107,16 +107,16 @@ def summary_ctes(as_of: _dt.date = AS_OF, cutoff: _dt.date = LINK_CUTOFF, groupi
                 max(startdate) AS latesttrialstartdate, max(finaldate) AS latesttrialfinaldate
             FROM c WHERE contracttype = 'T' AND linepackage = 1 AND inflowoutflow = 'Inflow' AND eventdate <= {A}
             GROUP BY environment, accountcode, itemcode"""),
-        ("mrr", f"""SELECT environment, accountcode, CAST(trunc(round(sum(valuepermonth), 2)) AS INTEGER) AS latestmrr
+        ("mrr", f"""SELECT environment, accountcode, CAST(trunc(round(sum(valuepermonth), 2)) AS BIGINT) AS latestmrr
             FROM c WHERE eventdate <= {A} AND contracttype = 'C' GROUP BY environment, accountcode"""),
         ("ent", f"""SELECT environment, accountcode,
-              CAST(sum(CASE WHEN itemcode <> 'EOL9950' THEN numberofadministrations ELSE 0 END) AS INTEGER)
+              CAST(sum(CASE WHEN itemcode <> 'EOL9950' THEN numberofadministrations ELSE 0 END) AS BIGINT)
                 AS latestnumberofavailableadmins,
-              CAST(sum(CASE WHEN itemcode = 'EOL9950' THEN numberofadministrations ELSE 0 END) AS INTEGER)
+              CAST(sum(CASE WHEN itemcode = 'EOL9950' THEN numberofadministrations ELSE 0 END) AS BIGINT)
                 AS latestnumberofarchivedadmins,
-              CAST(sum(numberofusers) AS INTEGER) AS latestnumberofusers,
-              CAST(sum(CASE WHEN valuepermonth <> 0 THEN numberofusers ELSE 0 END) AS INTEGER) AS latestnumberpayingusers,
-              CAST(sum(CASE WHEN valuepermonth = 0 THEN numberofusers ELSE 0 END) AS INTEGER) AS latestnumberfreeusers
+              CAST(sum(numberofusers) AS BIGINT) AS latestnumberofusers,
+              CAST(sum(CASE WHEN valuepermonth <> 0 THEN numberofusers ELSE 0 END) AS BIGINT) AS latestnumberpayingusers,
+              CAST(sum(CASE WHEN valuepermonth = 0 THEN numberofusers ELSE 0 END) AS BIGINT) AS latestnumberfreeusers
             FROM c WHERE finaldate >= {A} AND eventdate <= {A} GROUP BY environment, accountcode"""),
         ("fcx", """SELECT environment, accountcode, cancellationdate AS fullcancellationrequestdate,
               CASE WHEN cancellationdate IS NULL THEN 0 ELSE 1 END AS requestedfullcancellation FROM (

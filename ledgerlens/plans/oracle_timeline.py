@@ -16,7 +16,7 @@ def _adc_ctes(cutoff: _dt.date) -> list[tuple[str, str]]:
     return [
         ("fl", """SELECT environment, accountcode, date, linkstatus FROM (
               SELECT trim(environment) AS environment, accountcode, linkstatus, date,
-                     row_number() OVER (PARTITION BY trim(environment), accountcode, linkstatus ORDER BY date) AS rn
+                     row_number() OVER (PARTITION BY trim(environment), accountcode, linkstatus ORDER BY date NULLS FIRST) AS rn
               FROM linkedaccountantlog WHERE linkstatus = 'Accountant Linked') t WHERE rn = 1"""),
         ("bj", """SELECT s.environment, s.accountcode, s.firstcommstartdate, s.hadcommcontract,
               s.datefirstlinkedtoaccountant, a.entrepreneuraccountantlinked, a.accountid, fl.linkstatus, fl.date
@@ -41,25 +41,20 @@ def _adc_ctes(cutoff: _dt.date) -> list[tuple[str, str]]:
               CAST(sum(u) OVER w AS BIGINT) AS numberofusers,
               CAST(sum(ad) OVER w AS BIGINT) AS numberofadministrations,
               CAST(sum(v) OVER w AS BIGINT) AS valuepermonth
-            FROM (SELECT environment, accountcode, eventdate, sum(CAST(numberofusers AS INTEGER)) AS u,
-                         sum(CAST(numberofadministrations AS INTEGER)) AS ad,
-                         sum(CAST(trunc(valuepermonth) AS INTEGER)) AS v
+            FROM (SELECT environment, accountcode, eventdate, sum(CAST(numberofusers AS BIGINT)) AS u,
+                         sum(CAST(numberofadministrations AS BIGINT)) AS ad,
+                         sum(CAST(trunc(valuepermonth) AS BIGINT)) AS v
                   FROM contracts GROUP BY environment, accountcode, eventdate) x
-            WINDOW w AS (PARTITION BY environment, accountcode ORDER BY eventdate)"""),
+            WINDOW w AS (PARTITION BY environment, accountcode ORDER BY eventdate NULLS FIRST)"""),
         ("cs", """SELECT DISTINCT ev.*, feat.numberofusers, feat.valuepermonth, feat.numberofadministrations
             FROM ev LEFT JOIN feat ON ev.accountcode = feat.accountcode AND ev.environment = feat.environment
               AND ev.eventdate = feat.eventdate"""),
         ("od", """SELECT cs.*, b.datefirstlinkedtoaccountant, b.datefirstlinkedtoaccountantz, b.accountantlinked AS al,
               b.accountid, b.hadcommcontract
             FROM cs LEFT JOIN bfa b ON cs.accountcode = b.accountcode AND cs.environment = b.environment"""),
-        ("od2", """SELECT od.*, CASE
-              WHEN al = 1 AND datefirstlinkedtoaccountantz IS NULL THEN 1
-              WHEN al = 1 AND datefirstlinkedtoaccountantz <= eventdate THEN 1
-              WHEN al = 0 AND datefirstlinkedtoaccountantz IS NULL THEN 0
-              WHEN al = 0 AND datefirstlinkedtoaccountantz <= eventdate THEN 1
-              WHEN al = 1 AND datefirstlinkedtoaccountantz >= eventdate THEN 0
-              WHEN al = 0 AND datefirstlinkedtoaccountantz >= eventdate THEN 0 END AS accountantlinked
-            FROM od"""),
+        # without a link date the account's flag, else whether the link date has come
+        ("od2", """SELECT od.*, CASE WHEN al IS NULL THEN NULL WHEN datefirstlinkedtoaccountantz IS NULL THEN al
+              ELSE CAST(datefirstlinkedtoaccountantz <= eventdate AS INTEGER) END AS accountantlinked FROM od"""),
         ("nl0", """SELECT * FROM od2 WHERE eventdate <= datefirstlinkedtoaccountant
               AND datefirstlinkedtoaccountant IS NOT NULL AND hadcommcontract = 1"""),
         ("nl1", """SELECT b.environment, b.accountcode, b.accountid, b.datefirstlinkedtoaccountant,
@@ -79,7 +74,8 @@ def _adc_ctes(cutoff: _dt.date) -> list[tuple[str, str]]:
             FROM (SELECT nl2.*, row_number() OVER (PARTITION BY environment, accountcode
                     ORDER BY eventdate ASC NULLS FIRST, valuepermonth ASC NULLS FIRST,
                              numberofadministrations ASC NULLS FIRST, numberofusers ASC NULLS FIRST,
-                             packagecode DESC NULLS LAST) AS rn
+                             packagecode DESC NULLS LAST, datefirstlinkedtoaccountantz DESC NULLS LAST,
+                             accountid DESC NULLS LAST) AS rn
                   FROM nl2 WHERE valuepermonth IS NOT NULL) t WHERE rn = 1"""),
         ("ow", """SELECT environment, accountcode, eventdate, max(numberofusers) AS usersnew, max(packagecode) AS pcn,
               max(numberofadministrations) AS admnew, max(valuepermonth) AS vpmnew
@@ -116,8 +112,8 @@ def _adc_ctes(cutoff: _dt.date) -> list[tuple[str, str]]:
               u.eventtype, u.accountantlinked, u.numberofusers, u.numberofadministrations, u.valuepermonth, u.accountid
             FROM un u"""),
         ("fin", """SELECT DISTINCT CAST(eventdate AS DATE) AS date, environment, accountcode, packagecode, eventtype,
-              CAST(accountantlinked AS BOOLEAN) AS accountantorlinked, CAST(numberofusers AS INTEGER) AS numberofusers,
-              CAST(numberofadministrations AS INTEGER) AS numberofadministrations, CAST(valuepermonth AS FLOAT) AS mrr,
+              CAST(accountantlinked AS BOOLEAN) AS accountantorlinked, CAST(numberofusers AS BIGINT) AS numberofusers,
+              CAST(numberofadministrations AS BIGINT) AS numberofadministrations, CAST(valuepermonth AS FLOAT) AS mrr,
               accountid
             FROM (SELECT bf.*, row_number() OVER (PARTITION BY environment, accountcode, eventdate, eventtype
                     ORDER BY valuepermonth ASC NULLS FIRST, numberofadministrations ASC NULLS FIRST,

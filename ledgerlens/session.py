@@ -6,10 +6,11 @@ cluster; ``local_session`` is only for tests and the local bench.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins (broadcast when the
 # *measured* size is small), coalesces shuffle partitions and splits skewed
@@ -19,7 +20,6 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -40,43 +40,40 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-def apply_job_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session (cluster or test)."""
-    for k, v in JOB_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # some settings are static on managed clusters
-            pass
-    return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a scratch one only when unset.
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The session's checkpoint folder: ``spark.checkpoint.dir`` as the cluster names it,
+    else ``folder``, else a temp folder for a ``local`` master.
 
-    Clusters name a shared folder in ``spark.checkpoint.dir``; it is never
-    overridden here.  Only a local test session without one gets a temp folder.
+    A cluster without a folder is an error: its machines do not see each other's disks,
+    so a machine-local fallback would lose data.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
-        return current
-    path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+        return current.rstrip("/")
+    if folder is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
-def checkpoint_shared(df, name: str = "intermediate"):
+def checkpoint_shared(df: DataFrame, name: str = "intermediate") -> DataFrame:
     """Materialise an intermediate that feeds several outputs of one job.
 
-    Written once as a parquet table under the session's checkpoint directory
-    (the shared folder on a cluster; a scratch folder only when none is
-    configured) and read back: consumers read it instead of recomputing it, the
-    lineage is cut, and a lost executor does not force recomputation.  (A
-    reliable ``checkpoint()`` would compute its input twice unless cached; a
-    local checkpoint would not survive executor loss.)
+    Written once as a parquet table under the session's checkpoint directory (the
+    shared folder on a cluster) and read back: consumers read it instead of recomputing
+    it, the lineage is cut, and a lost executor does not force recomputation.  The
+    folder is the cluster's to clear (``remove_intermediates`` does it after a job's
+    outputs are written): the returned frame is lazy and reads the files later.
     """
-    import uuid
-
-    root = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{root.rstrip('/')}/ledgerlens-intermediate/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/ledgerlens-intermediate/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete what ``checkpoint_shared`` wrote, once all frames that read it are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/ledgerlens-intermediate")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,8 +1,7 @@
 """Sources and sinks (SRC-1..4, SNK-1..4).
 
 Parquet (optionally catalogued) and JDBC only, as in the jobs being rebuilt.
-Sinks never force a single output file unless asked: at scale one file means
-one task; the default lets AQE size the output partitions.
+Sinks never force a number of output files: at scale one file means one task.
 """
 
 from __future__ import annotations
@@ -25,12 +24,12 @@ __all__ = [
 
 
 def read_table(spark: SparkSession, name: str | None = None, path: str | list[str] | None = None,
-               fmt: str = "parquet") -> DataFrame:
-    """SRC-1 / SRC-3: a catalogued table by name, or files by path or glob."""
+               fmt: str = "parquet", database: str | None = None) -> DataFrame:
+    """SRC-1 / SRC-3: a catalogued table by (database and) name, or files by path or glob."""
     if path is None and name is None:
         raise ValueError("read_table needs a table name or a path")
     if path is None:
-        return spark.table(name)
+        return spark.table(f"{database}.{name}" if database else name)
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.format(fmt).load(paths)
 
@@ -38,69 +37,65 @@ def read_table(spark: SparkSession, name: str | None = None, path: str | list[st
 def read_ingestion_day(df: DataFrame, day: _dt.date, year_col: str = "ingestionyear",
                        month_col: str = "ingestionmonth", day_col: str = "ingestionday") -> DataFrame:
     """SRC-2: one ingestion partition.  On partition columns Catalyst prunes the
-    directories; on plain columns the predicate is pushed into the Parquet scan."""
-    return df.where((F.col(year_col) == day.year) & (F.col(month_col) == day.month)
-                    & (F.col(day_col) == day.day))
+    directories.  On text columns the values are read as numbers first (so nothing is
+    pushed into the scan); a malformed value belongs to no day."""
+    def number(c: str):
+        return F.col(c).try_cast("int")
+
+    return df.where((number(year_col) == day.year) & (number(month_col) == day.month) & (number(day_col) == day.day))
 
 
 def lower_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def snapshot_jdbc(spark: SparkSession, url: str, table: str, dest: str, files: int = 2,
-                  properties: dict | None = None, partition_column: str | None = None,
-                  lower_bound: int | None = None, upper_bound: int | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+def snapshot_jdbc(spark: SparkSession, url: str, table: str, dest: str, properties: dict | None = None,
+                  partition_column: str | None = None, lower_bound: int | None = None,
+                  upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """SRC-4: copy a JDBC table to Parquet with lower-case column names.
 
-    Give ``partition_column`` and bounds for a parallel read on big tables.
-    Returns the written data read back.
+    Give ``partition_column``, bounds and ``num_partitions`` for a parallel read of a big
+    table; each partition is read and written by a task of its own.  Returns the written
+    data read back.
     """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
-                  .option("upperBound", upper_bound).option("numPartitions", num_partitions or files))
-    df = lower_case_columns(reader.load())
-    df.coalesce(files).write.mode("overwrite").parquet(dest)
+                  .option("upperBound", upper_bound).option("numPartitions", num_partitions))
+    lower_case_columns(reader.load()).write.mode("overwrite").parquet(dest)
     return spark.read.parquet(dest)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
-                partition_by: list[str] | None = None) -> None:
-    """SNK-1: write Parquet.  ``files`` caps the file count (coalesce, no extra shuffle)."""
-    out = df.coalesce(files) if files else df
-    writer = out.write.mode(mode)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+    """SNK-1: write Parquet.  AQE sizes the output tasks; partitioned output is gathered
+    by partition first."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
+
+
+def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    """Overwrite only the partitions present in ``df``, as an option of this one write.
+    The rebalance gathers a partition's rows, splits large ones, and so bounds the files."""
+    (df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*columns).parquet(path))
 
 
 def append_log(df: DataFrame, path: str, date_col: str = "date") -> None:
     """SNK-2: add a day's log rows.
 
-    Partitioned by day with dynamic partition overwrite, so re-running a day
-    replaces that day instead of appending duplicates.
+    Partitioned by day: re-running a day replaces that day instead of appending
+    duplicates.  A re-run without rows names no day and so leaves what is there.
     """
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(date_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    _replace_partitions(df, path, date_col)
 
 
 def write_month(df: DataFrame, path: str, year_col: str = "year", month_col: str = "month") -> None:
     """SNK-3: (re)write only the ``year=/month=`` partitions present in ``df``."""
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(year_col, month_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    _replace_partitions(df, path, year_col, month_col)
 
 
 def write_if_nonempty(df: DataFrame, write, *args, **kwargs) -> bool:
