@@ -4,12 +4,16 @@
    least hash, and an empty bin borrows from a full one that a fixed random
    sequence names (optimal densification).  Bands of ``ROWS`` bins are bucket keys.
    Texts of equal sets are one class and go on as one row.
-2. A bucket's classes are linked to one centre each (a star), not to each other, so
+2. A bucket's classes are linked to one centre (a star), not to each other, so
    candidates are as many as bucket entries.  A candidate is confirmed on both full sets.
-3. A bucket whose classes are then still in several components gets further centres:
-   its classes outside its largest component, few at first and then more, until each
-   of them has been one.  So every bucket's links between components are found without
-   forming all its pairs.
+   A second star has as its centre a class outside the first centre's component.
+3. What stars can miss is a link between x and y where x has another component than the
+   centre c of both.  Such a link needs |x & y| >= L, the least overlap that similarity
+   allows for |x| + |y|, while |x & y & c| is at most min(|x & c|, |y & c|).  So either
+   that bound reaches L, which is decided by sizes alone, or x and y share a shingle that c
+   lacks, and those are few in a group of near copies.  Both are equi-joins; the pairs they
+   give are confirmed like the others.  So no link inside a bucket is lost, and no bucket's
+   pairs are all formed.
 4. Components are found by alternating stars on stored tables.
 
 Two sets of Jaccard similarity s share some bucket with probability
@@ -24,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerlens.llm import textwords as tw
 from ledgerlens.llm.components import components
@@ -34,8 +37,6 @@ BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
 ID_BITS = 54  # of a shingle's hash; the other ten bits number the texts of a batch
 BATCH_ROWS = 1 << (64 - ID_BITS)
-#: Centres of a bucket in each round; the last number repeats.
-CENTRES = (8, 64, 512, 4096)
 
 _MASK = np.uint64((1 << ID_BITS) - 1)
 
@@ -146,9 +147,9 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "set bigint, ids array<bigint>")
 
 
-def similar(a: Column, b: Column, percent: int) -> Column:
-    shared = F.size(F.array_intersect(a, b))
-    return 100 * shared >= percent * (F.size(a) + F.size(b) - shared)
+def enough(shared: Column, a: Column, b: Column, percent: int) -> Column:
+    """Whether sets of sizes a and b that share so much are similar."""
+    return shared * (100 + percent) >= percent * (a + b)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -177,57 +178,78 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         reps, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left_semi")
     sets = stored(full_sets(texts, k).dropDuplicates(["set"]), "sets")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """(u, v) of the pairs (a, b) whose full sets are similar."""
-        with_b = pairs.join(sets.select(F.col("set").alias("b"), F.col("ids").alias("b_ids")), "b")
-        with_a = with_b.join(sets.select(F.col("set").alias("a"), F.col("ids").alias("a_ids")), "a")
-        return with_a.where(similar(F.col("a_ids"), F.col("b_ids"), percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-    def pair(a: str, b: str) -> list[Column]:
-        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-    alike = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    sizes = classes.select(F.col("set").alias("centre"), F.col("n").alias("m"))
-    tried = stored(members.where("set <> centre").select("centre", "set", "n").distinct()
-                   .join(sizes, "centre").where(alike).select(*pair("centre", "set")), "pairs")
-    found = components(confirmed(tried))
-    centres = members.select("key", F.col("centre").alias("set")).distinct()  # classes that were centres, by bucket
-
-    for most in iter_centres():
-        placed = members.select("key", "set", "n").join(found.select(F.col("u").alias("set"), "v"), "set", "left").withColumn(
-            "root", F.coalesce("v", "set"))
-        parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-        split = parts.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        active = stored(placed.join(split.select("key", "major"), "key").select("key", "set", "n", "root", "major"), "active")
-        order = Window.partitionBy("key").orderBy("set")
-        chosen = stored(active.where("root <> major").join(centres, ["key", "set"], "left_anti")
-                        .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most)
-                        .select("key", F.col("set").alias("centre"), F.col("n").alias("m"), F.col("root").alias("centre_root")), "centres")
-        if chosen.isEmpty():
-            break
-        pairs = (chosen.join(active, "key").where((F.col("root") != F.col("centre_root")) & F.expr(alike))
-                 .select(*pair("centre", "set")).distinct().join(tried, ["a", "b"], "left_anti"))
-        pairs = stored(pairs, "pairs")
-        links = stored(confirmed(pairs), "confirmed")
-        if not links.isEmpty():
-            found = components(found.unionAll(links))
-        tried = tried.unionAll(pairs)
-        centres = centres.unionAll(chosen.select("key", F.col("centre").alias("set")))
-
-    rooted = classes.select("set", "label").join(found.select(F.col("u").alias("set"), "v"), "set", "left").withColumn("root", F.coalesce("v", "set"))
-    least = rooted.groupBy("root").agg(F.min("label").alias("component"))
-    named = stored(rooted.join(least, "root").select("set", "component"), "components")
+    size = {x: F.col(f"n_{x}") for x in "abcxy"}
+    ids = {x: sets.select(F.col("set").alias(x), F.col("ids").alias(f"ids_{x}")) for x in "abcx"}
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        """a, b, n_a, n_b, shared: what the full sets of the pairs have in common."""
+        both = pairs.select("a", "b").join(ids["b"], "b").join(ids["a"], "a")
+        return both.select("a", "b", F.size("ids_a").alias("n_a"), F.size("ids_b").alias("n_b"),
+                           F.size(F.array_intersect("ids_a", "ids_b")).alias("shared"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.where(enough(F.col("shared"), size["a"], size["b"], percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    def rooted(df: DataFrame, column: str, found: DataFrame) -> DataFrame:
+        """``df`` with the component ``root_<column>`` of a column of classes."""
+        roots = found.select(F.col("u").alias(column), F.col("v").alias("_root"))
+        return df.join(roots, column, "left").withColumn(f"root_{column}", F.coalesce("_root", column)).drop("_root")
+
+    def alike(x: Column, y: Column) -> Column:
+        return (100 * x >= percent * y) & (100 * y >= percent * x)
+
+    star = stored(measured(members.where("set <> centre").select(F.col("centre").alias("a"), F.col("set").alias("b")).distinct()), "star")
+    found = components(linked(star))
+
+    # a second star around the least class that the first centre's component lacks
+    outside = rooted(rooted(members.select("key", "centre", F.col("set").alias("x"), F.col("n").alias("n_x")), "centre", found), "x", found)
+    outside = stored(outside.where("root_x <> root_centre").select("key", "x", "n_x", "root_x"), "outside")
+    second = outside.groupBy("key").agg(F.min("x").alias("b"))
+    second = rooted(second.join(classes.select(F.col("set").alias("b"), F.col("n").alias("n_b")), "b"), "b", found)
+    others = rooted(members.select("key", F.col("set").alias("a"), F.col("n").alias("n_a")), "a", found)
+    again = others.join(second, "key").where((F.col("root_a") != F.col("root_b")) & alike(size["a"], size["b"])).select(
+        F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
+    again = stored(measured(again.join(star, ["a", "b"], "left_anti")), "second-star")
+    found = components(found.unionAll(linked(again)))
+
+    # step 3: centres c with members x of another component, and all members of those centres
+    around = rooted(rooted(star.select(F.col("a").alias("c"), F.col("b").alias("x"), F.col("n_b").alias("n_x"), "shared"), "c", found), "x", found)
+    around = stored(around.withColumn("outside", F.col("root_x") != F.col("root_c")), "around")
+    open_groups = around.groupBy("c").agg(F.count(F.lit(1)).alias("members"), F.max("outside").alias("any")).where("any and members > 1").select("c")
+    around = around.join(open_groups, "c").select("c", "x", "n_x", "shared", "outside", "root_x")
+    y = around.select("c", *[F.col(f).alias(f.replace("x", "y") if f in ("x", "n_x", "root_x") else f"{f}_y") for f in around.columns[1:]])
+    x = around.where("outside")
+    apart = (F.col("x") != F.col("y")) & (F.col("root_x") != F.col("root_y")) & alike(size["x"], size["y"])
+    most = F.least("shared", "shared_y")  # of x & y inside c
+    pair = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
+    # the largest y that the overlap of x with c alone allows
+    reach = F.floor(F.col("shared") * (100 + percent) / percent).cast("int") - size["x"]
+    sizes = F.when(F.ceil(size["x"] * percent / 100) <= reach, F.sequence(F.ceil(size["x"] * percent / 100).cast("int"), reach))
+    by_size = (x.withColumn("n_y", F.explode(sizes)).join(y, ["c", "n_y"])
+               .where(apart & enough(most, size["x"], size["y"], percent)).select(*pair))
+    rest = stored(around.join(ids["x"], "x").join(ids["c"], "c").select(
+        *around.columns, F.array_except("ids_x", "ids_c").alias("rest")), "rest")
+    spread = rest.withColumn("shingle", F.explode("rest")).drop("rest")
+    # so much of the least overlap must come from shingles outside c
+    wanted = enough(most + F.least(size["x"] - F.col("shared"), size["y"] - F.col("shared_y")), size["x"], size["y"], percent)
+    by_rest = spread.where("outside").join(
+        spread.select("c", "shingle", F.col("x").alias("y"), F.col("n_x").alias("n_y"), F.col("root_x").alias("root_y"), F.col("shared").alias("shared_y")),
+        ["c", "shingle"]).where(apart & wanted).select(*pair)
+    last = by_size.unionAll(by_rest).distinct()
+    for tried in (star, again):
+        last = last.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    links = stored(linked(measured(stored(last, "last-pairs"))), "last-links")
+    if not links.isEmpty():
+        found = components(found.unionAll(links))
+
+    whole = rooted(classes.select("set", "label"), "set", found)
+    least = whole.groupBy("root_set").agg(F.min("label").alias("component"))
+    named = stored(whole.join(least, "root_set").select("set", "component"), "components")
     out = sketch.join(named, "set", "left").withColumn(
         "component_id", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component")))
     return out.select("doc_id", "text_key", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def iter_centres() -> Iterator[int]:
-    yield from CENTRES
-    while True:
-        yield CENTRES[-1]
-
-
 def distinct_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Rows of ``docs`` whose document is the least of its component, columns unchanged."""
     gone = (near_duplicates(docs, k, percent).where(~F.col("kept"))
