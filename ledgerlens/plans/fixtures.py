@@ -97,6 +97,7 @@ SELECT
   'Package ' || CASE WHEN p.p_brand = 'Brand#1' THEN 'EOL9950' ELSE upper(p.p_brand) END AS itemdescription,
   p.p_type AS itemtype,
   CAST(l.l_linenumber AS INT) AS linenumber,
+  CAST(l.l_orderkey * 7 + l.l_linenumber + CAST(l.l_quantity AS INT) AS BIGINT) AS rownumber,
   l.l_tax AS l_tax,
   l.l_discount AS l_discount
 FROM {{lineitem}} l
@@ -108,11 +109,19 @@ JOIN {{part}} p ON l.l_partkey = p.p_partkey
 # Domain contracts: the line view with the event description and the duplicate
 # event type code, without fixture helper columns.
 DOMAIN_CONTRACTS_SQL = f"""
-SELECT environment, accountcode, contractnumber, contracttype, startdate, enddate, finaldate,
-  eventdate, inflowoutflow, itemcode, packagecode, linepackage, quantity, numberofadministrations,
+SELECT
+  CASE WHEN rownumber % 31 = 4 THEN ' ' || environment ELSE environment END AS environment,
+  CASE WHEN rownumber % 29 = 3 THEN accountcode || ' ' ELSE accountcode END AS accountcode,
+  CASE WHEN rownumber % 23 = 5 THEN NULL ELSE contractnumber END AS contractnumber,
+  CASE WHEN rownumber % 37 = 6 THEN NULL WHEN rownumber % 37 = 7 THEN ' ' || contracttype ELSE contracttype END AS contracttype,
+  CASE WHEN rownumber % 41 = 8 THEN NULL ELSE startdate END AS startdate, enddate,
+  CASE WHEN rownumber % 43 = 9 THEN NULL ELSE finaldate END AS finaldate,
+  CASE WHEN rownumber % 47 = 10 THEN NULL ELSE eventdate END AS eventdate, inflowoutflow,
+  CASE WHEN rownumber % 53 = 11 THEN itemcode || ' ' ELSE itemcode END AS itemcode,
+  CASE WHEN rownumber % 7 = 2 THEN NULL ELSE packagecode END AS packagecode, linepackage, quantity, numberofadministrations,
   numberofusers, contractlinevalue, valuepermonth, valueperyear, contractlinevaluedc, valuepermonthdc,
   valueperyeardc, exchangerate, cancellationdate, itembasepricepermonth, itembasepriceperyear, name,
-  eventyearmonth, eventyear, eventmonth, eventtype,
+  eventyearmonth, eventyear, eventmonth, CASE WHEN rownumber % 59 = 12 THEN ' ' || eventtype ELSE eventtype END AS eventtype,
   {_EVENT_DESCRIPTION.format(e='eventtype')} AS eventdescription,
   item, itemdescription, itemtype, eventtype AS contracteventtypecode
 FROM {{contract_lines}}
@@ -133,6 +142,11 @@ SELECT
   CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'EOL' WHEN 'BUILDING' THEN 'ACC'
        WHEN 'FURNITURE' THEN 'AC7' WHEN 'HOUSEHOLD' THEN 'JB0' ELSE 'OTH' END AS accountclassificationcode
 FROM {{customer}} c
+UNION ALL
+SELECT c.c_name || ' (2)', CAST(c.c_custkey AS STRING), {_ENV.format(k='c.c_nationkey')}, c.c_name, 'Entrepreneur',
+  CASE WHEN c.c_custkey % 2 = 0 THEN 'EntrepreneurWithAccountant' ELSE 'EntrepreneurWithoutAccountant' END,
+  true, NULL, 'EOL'
+FROM {{customer}} c WHERE c.c_custkey % 17 = 5
 """
 
 # Accountant link log from the event stream.
@@ -142,7 +156,7 @@ SELECT
   CAST(e.user_id AS STRING) AS accountcode,
   CASE e.event_type WHEN 'signup' THEN 'Accountant Linked' WHEN 'error' THEN 'Accountant Link Removed'
        ELSE 'Accountant Change' END AS linkstatus,
-  CAST(e.ts AS DATE) AS date,
+  CASE WHEN e.event_id % 19 = 4 THEN NULL ELSE CAST(e.ts AS DATE) END AS date,
   'AC' || CAST(CAST(floor(e.value) AS BIGINT) % 11 AS STRING) AS newaccountantcode,
   'AC' || CAST(e.user_id % 11 AS STRING) AS previousaccountantcode
 FROM {{events}} e
@@ -206,7 +220,8 @@ SELECT
   l.itemcode AS itemcode,
   l.packagecode AS packagecode,
   CAST(l.linepackage AS STRING) AS linepackage,
-  CAST(l.quantity AS STRING) AS quantity,
+  CASE l.rownumber % 61 WHEN 1 THEN '9007199254740993' WHEN 2 THEN '1e3' WHEN 3 THEN '5d' WHEN 4 THEN '-7.9' WHEN 5 THEN '.5'
+    WHEN 6 THEN '' WHEN 7 THEN ' +12. ' WHEN 8 THEN '2147483648' ELSE CAST(l.quantity AS STRING) END AS quantity,
   CAST(l.numberofadministrations AS STRING) AS numberofadministrations,
   CAST(l.numberofusers AS STRING) AS numberofusers,
   CAST(l.contractlinevalue AS STRING) AS contractlinevalue,
@@ -430,11 +445,12 @@ VIEWS["opportunities"] = (OPPORTUNITIES_SQL, ["orders", "customer"])
 VIEWS["monthlyappusage"] = (APP_USAGE_SQL, ["events", "customer"])
 # Dimension views used by the contract history (one row per code).
 VIEWS["contracteventtypes"] = (
-    "SELECT DISTINCT environment, eventtype AS contracteventtypecode, eventdescription AS contracteventdescription "
-    "FROM {contracts}", ["contracts"])
+    "SELECT DISTINCT CASE WHEN eventtype = 'PI' THEN lower(environment) ELSE environment END AS environment, "
+    "CASE WHEN eventtype = 'CT' THEN eventtype || ' ' ELSE eventtype END AS contracteventtypecode, "
+    "eventdescription || ' ' AS contracteventdescription FROM {contract_lines_described}", ["contract_lines_described"])
 VIEWS["itemclassifications"] = (
-    "SELECT environment, itemcode, itemdescription, min(itemtype) AS itemtype FROM {contracts} "
-    "GROUP BY environment, itemcode, itemdescription", ["contracts"])
+    "SELECT environment, itemcode, itemdescription, min(itemtype) AS itemtype FROM {contract_lines} "
+    "GROUP BY environment, itemcode, itemdescription", ["contract_lines"])
 # The snapshot template names its input ``contract_lines``; point it at the
 # described variant.
 VIEWS["snapshot"] = (SNAPSHOT_SQL.replace("{contract_lines}", "{contract_lines_described}"),
