@@ -46,3 +46,19 @@ def maybe_in(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
             yield batch.select(columns).filter(pa.array(ok))
 
     return hashed.mapInArrow(run, df.schema)
+
+
+def bitmap(hashes: DataFrame, key: str) -> np.ndarray:
+    """A bit for each value of a long column that is a hash already, by its low bits."""
+    low = F.col(key).bitwiseAND(F.lit(LONGS * 64 - 1))
+    words = (hashes.groupBy(F.shiftright(low, 6).cast("int").alias("word"))
+             .agg(F.expr(f"bit_or(shiftleft(1L, int({key} & 63)))").alias("bits")))
+    got = words.toArrow()
+    out = np.zeros(LONGS, np.int64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    low = keys.astype(np.int64) & (LONGS * 64 - 1)
+    return (bits[low >> 6] >> (low & 63).astype(np.uint64)) & np.uint64(1) == 1

@@ -30,11 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textwords as tw
-from ledgerlens.llm.bloom import bloom_bits, maybe_in
+from ledgerlens.llm.bloom import bitmap, bloom_bits, in_bitmap, maybe_in
 from ledgerlens.llm.storage import stored
 
 PERCENT = 80
-EARLIEST = 8
+EARLIEST = 2
 #: Counters of the sketch, sent to the tasks as one byte each.
 COUNTER_BITS = 20
 BLOCK = 1 << 12
@@ -130,15 +130,23 @@ def needed(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-size * percent // 100)
 
 
-def postings(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
-    """doc, line, word, level, place (in the prefix), size, bits (bitmap of the set)."""
-    sent = docs.sparkSession.sparkContext.broadcast(levels)
+def postings(docs: DataFrame, levels: np.ndarray, percent: int, only_texts: np.ndarray | None = None, only_words: np.ndarray | None = None) -> DataFrame:
+    """doc, line, word (32 bits of its hash), level, place (in the prefix), size, bits (bitmap
+    of the set), twin (32 bits of the set's hash).  ``only_texts`` and ``only_words`` are
+    bitmaps of the text keys and words that are asked for."""
+    sent = docs.sparkSession.sparkContext.broadcast((levels, only_texts, only_words))
+    kinds = {"doc": pa.int64(), "line": pa.int64(), "word": pa.int32(), "level": pa.int32(), "place": pa.int32(), "size": pa.int32(),
+             "bits": pa.int64(), "twin": pa.int32()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        level_of, texts, asked = sent.value
+        seen: dict[int, tuple[int, int]] = {}  # the earliest line so far of each set
         for batch in tw.small_batches(batches, "text"):
+            if texts is not None:
+                batch = batch.filter(pa.array(in_bitmap(texts, batch.column("text_key").to_numpy() & ((1 << 31) - 1))))
+                seen = {}  # lines are asked for, not sets
             lines = Lines(batch.column("text"))
-            level = sent.value[bucket_of(lines.words)]
+            level = level_of[bucket_of(lines.words)]
             order = np.lexsort((lines.words, level, lines.owner))
             words, level, owner = lines.words[order], level[order], lines.owner
             place = np.arange(len(words)) - lines.first[owner]
@@ -148,23 +156,29 @@ def postings(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
             if len(full):
                 bits[full] = np.bitwise_or.reduceat(one, lines.first[full])
             use = np.zeros(len(lines.size), bool)
-            for i in np.flatnonzero(lines.size > 3).tolist():
-                if (s := int(lines.set[i])) not in seen:
-                    seen.add(s)
+            doc_of, key_of = batch.column("doc").to_numpy(), batch.column("text_key").to_numpy()
+            long = np.flatnonzero(lines.size > 3)
+            places = zip(doc_of[lines.text[long]].tolist(), line_ids(key_of[lines.text[long]], lines.number[long]).tolist(), strict=True)
+            for i, s, at in zip(long.tolist(), lines.set[long].tolist(), places, strict=True):
+                if texts is not None or s not in seen or at < seen[s]:
+                    seen[s] = at
                     use[i] = True
             if len(seen) > SEEN:
-                seen = set()
-            at = np.flatnonzero(use[owner] & (place <= lines.size[owner] - needed(lines.size[owner], percent)))
+                seen = {}
+            short = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            ok = use[owner] & (place <= lines.size[owner] - needed(lines.size[owner], percent))
+            if asked is not None:
+                ok &= in_bitmap(asked, short)
+            at = np.flatnonzero(ok)
             own = owner[at]
             text = pa.array(lines.text[own])
-            ids = line_ids(batch.column("text_key").take(text).to_numpy(), lines.number[own])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(text), pa.array(ids), pa.array(words[at].view(np.int64)), pa.array(level[at].astype(np.int32)),
-                 pa.array(place[at].astype(np.int32)), pa.array(lines.size[own].astype(np.int32)), pa.array(bits[own].view(np.int64))],
-                ["doc", "line", "word", "level", "place", "size", "bits"])
+            cols = {"doc": batch.column("doc").take(text), "line": line_ids(batch.column("text_key").take(text).to_numpy(), lines.number[own]),
+                    "word": short[at], "level": level[at], "place": place[at], "size": lines.size[own], "bits": bits[own].view(np.int64),
+                    "twin": (lines.set[own] >> np.uint64(32)).astype(np.uint32).view(np.int32)}
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[n]) for n, c in cols.items()], list(cols))
 
     return docs.select(*line_order(), "text").mapInArrow(
-        run, "doc bigint, line bigint, word bigint, level int, place int, size int, bits bigint")
+        run, "doc bigint, line bigint, word int, level int, place int, size int, bits bigint, twin int")
 
 
 def may_match(size_a, size_b, place_a, place_b, apart, least, percent: int):
@@ -182,18 +196,22 @@ def may_match(size_a, size_b, place_a, place_b, apart, least, percent: int):
 def list_pairs(table: pa.Table, percent: int) -> pa.Table:
     """(doc, line, early_doc, early_line, more) for the word lists of one group; ``more``
     rows, without a partner, name lines whose list has candidates that were not tried."""
-    table = table.sort_by([("word", "ascending"), ("salt", "ascending"), ("doc", "ascending"), ("line", "ascending")])
-    col = {n: table.column(n).to_numpy() for n in ("word", "salt", "doc", "line", "place", "size", "bits", "salted")}
-    new = np.ones(len(col["word"]), bool)  # repeated rows of a table are one
-    new[1:] = np.any([col[k][1:] != col[k][:-1] for k in ("word", "salt", "doc", "line")], axis=0)
-    col = {k: v[new] for k, v in col.items()}
+    names = ("word", "salt", "twin", "bits", "size", "doc", "line", "place")
+    col = {n: table.column(n).to_numpy() for n in names}
+    col["word"], col["salt"] = col["word"].astype(np.int64), col["salt"].astype(np.int64)
+    # of lines of equal sets, the first stands for all: the others are removed anyway
+    order = np.lexsort([col[n] for n in ("line", "doc", "size", "bits", "twin", "salt", "word")])
+    same = np.all([col[n][order[1:]] == col[n][order[:-1]] for n in ("word", "salt", "twin", "bits", "size")], axis=0)
+    order = order[np.append(True, ~same)[:len(order)]]
+    order = order[np.lexsort([col[n][order] for n in ("line", "doc", "salt", "word")])]
+    col = {n: v[order] for n, v in col.items()}
     n = len(col["word"])
     opens = np.ones(n, bool)
     opens[1:] = (col["word"][1:] != col["word"][:-1]) | (col["salt"][1:] != col["salt"][:-1])
     start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
     earlier = np.arange(n) - start
     size, place, bits = col["size"].astype(np.int64), col["place"].astype(np.int64), col["bits"].view(np.uint64)
-    late, early, short = [], [], [np.flatnonzero(col["salted"])]
+    late, early, short = [], [], [np.flatnonzero(col["salt"] >= 0)]
     upto = np.cumsum(earlier)
     i = 0
     while i < n:
@@ -210,6 +228,7 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
         short.append(a[nth == EARLIEST])
         i = j
     late, early, short = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (late, early, short))
+    short = short[np.unique(np.stack([col["doc"][short], col["line"][short]]), axis=1, return_index=True)[1]] if len(short) else short
     none = np.zeros(len(short), np.int64)
     return pa.table({"doc": np.concatenate([col["doc"][late], col["doc"][short]]), "line": np.concatenate([col["line"][late], col["line"][short]]),
                      "early_doc": np.concatenate([col["doc"][early], none]), "early_line": np.concatenate([col["line"][early], none]),
@@ -260,9 +279,10 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     posted = postings(docs, levels, percent)
     # a list is no longer than its word's count; a list that may be long is divided at random
     parts = F.ceil(F.pow(F.lit(2.0), F.col("level") / 4) / LONG_LIST).cast("int")
-    salted = posted.withColumn("salted", parts > 1).withColumn("salt", F.pmod(F.xxhash64("doc", "line"), F.greatest(parts, F.lit(1))).cast("int"))
+    salt = F.when(parts > 1, F.pmod(F.xxhash64("doc", "line"), parts)).otherwise(-1).cast("int")
+    salted = posted.withColumn("salt", salt).drop("level")
     groups = max(8, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES))
-    found = stored(salted.withColumn("group", F.pmod(F.xxhash64("word", "salt"), F.lit(groups))).groupBy("group").applyInArrow(
+    found = stored(salted.withColumn("group", F.pmod(F.xxhash64("word", "salt"), F.lit(groups)).cast("int")).groupBy("group").applyInArrow(
         lambda t: list_pairs(t, percent), "doc bigint, line bigint, early_doc bigint, early_line bigint, more boolean"), "line-pairs")
     pair = ["doc", "line", "early_doc", "early_line"]
     tried = stored(found.where("not more").select(*pair).distinct(), "tried")
@@ -270,10 +290,14 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     open_lines = stored(found.where("more").select("doc", "line").distinct().join(matched, ["doc", "line"], "left_anti"), "open-lines")
     if not open_lines.isEmpty():
-        late = posted.join(open_lines, ["doc", "line"]).select("word", "doc", "line", "size", "place", "bits")
-        early = posted.select("word", *[F.col(c).alias(f"early_{c}") for c in ("doc", "line", "size", "place", "bits")])
+        texts = bitmap(open_lines.select(F.shiftright("line", LINE_BITS).alias("key")), "key")
+        late = stored(postings(docs, levels, percent, only_texts=texts).join(open_lines, ["doc", "line"])
+                      .select("word", "doc", "line", "size", "place", "bits", "twin").distinct(), "late")
+        early = postings(docs, levels, percent, only_words=bitmap(late.select(F.col("word").cast("long").alias("word")), "word"))
+        early = early.select("word", *[F.col(c).alias(f"early_{c}") for c in ("doc", "line", "size", "place", "bits", "twin")])
         before = (F.col("early_doc") < F.col("doc")) | ((F.col("early_doc") == F.col("doc")) & (F.col("early_line") < F.col("line")))
-        ok = may_match(F.col("size"), F.col("early_size"), F.col("place"), F.col("early_place"),
+        twins = (F.col("twin") == F.col("early_twin")) & (F.col("bits") == F.col("early_bits")) & (F.col("size") == F.col("early_size"))
+        ok = ~twins & may_match(F.col("size"), F.col("early_size"), F.col("place"), F.col("early_place"),
                        F.bit_count(F.col("bits").bitwiseXOR(F.col("early_bits"))), F.least, percent)
         rest = late.join(early, "word").where(before & ok).select(*pair).distinct().join(tried, pair, "left_anti")
         matched = matched.unionAll(verified(docs, stored(rest, "rest"), percent))

@@ -356,6 +356,21 @@ def test_line_dedup_equals_all_pairs(llm_spark, awkward, which, monkeypatch):
             assert (r["doc_id"], r["n_lines"], r["n_removed"], kept) == expected[r["doc_id"]], r["doc_id"]
 
 
+def test_line_dedup_in_any_file_order(llm_spark):
+    """The first of some equal lines may come last in its file."""
+    rng = random.Random(6)
+    base = [words(rng, 25, 3000).split() for _ in range(12)]
+    rows = []
+    for i in range(240):
+        w = list(rng.choice(base))
+        if rng.random() < 0.5:
+            w[rng.randrange(25)] = f"v{rng.randrange(4)}"
+        rows.append((i, " ".join(w)))
+    docs = llm_spark.createDataFrame(sorted(rows, reverse=True), "doc_id bigint, text string").coalesce(2)
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in linededup.without_repeated_lines(docs).collect()}
+    assert got == {d: (n, gone) for d, n, gone, _ in brute.line_dedup(rows)} and 0 < sum(g for _, g in got.values()) < 240
+
+
 def test_line_dedup_awkward(clashing, with_nulls, empty):
     assert linededup.without_repeated_lines(empty).count() == 0
     out = linededup.without_repeated_lines(clashing)
