@@ -37,7 +37,7 @@ NIBBLE_BITS = int("1" * 15, 16)  # the low bit of each 4-bit counter but the top
 NIBBLES = 0xF | 0xF << LANE_BITS | 0xF << 2 * LANE_BITS
 #: Rows of a table are put in order in ranges of about so many bytes.
 RANGE_BYTES = 4 << 20
-MAX_RANGES = 4096
+MAX_RANGES = 1 << 16
 
 NAMES = [f"w{i}" for i in range(WIDE)] + ["n"] + [f"p{i}" for i in range(PACKED)]
 
