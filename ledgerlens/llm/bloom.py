@@ -29,8 +29,8 @@ def bloom_bits(keys: DataFrame, key: str) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def maybe_in(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose key may be in the filter."""
+def maybe_in(df: DataFrame, key: str, bits: np.ndarray, wanted: bool = True) -> DataFrame:
+    """Rows of ``df`` whose key may be in the filter, or (``wanted=False``) surely is not."""
     sent = df.sparkSession.sparkContext.broadcast(bits)
     columns = df.columns
     names = [f"_bloom{s}" for s in _SEEDS]
@@ -43,7 +43,7 @@ def maybe_in(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
             for n in names:
                 bit = batch.column(n).to_numpy()
                 ok &= (words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
-            yield batch.select(columns).filter(pa.array(ok))
+            yield batch.select(columns).filter(pa.array(ok == wanted))
 
     return hashed.mapInArrow(run, df.schema)
 

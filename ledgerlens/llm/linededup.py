@@ -34,19 +34,24 @@ from ledgerlens.llm.bloom import bitmap, bloom_bits, in_bitmap, maybe_in
 from ledgerlens.llm.storage import stored
 
 PERCENT = 80
-EARLIEST = 2
+EARLIEST = 6
 #: Counters of the sketch, sent to the tasks as one byte each.
 COUNTER_BITS = 20
 BLOCK = 1 << 12
 #: Text whose postings make one group of lists (a posting for each 35 bytes or so).
 GROUP_BYTES = 6 << 20
-#: Lists of words that may be longer than this are divided.
-LONG_LIST = 20_000
+#: Lists of words that occur more often than this are divided.
+LONG_LIST = 1_000_000
+#: Of a longer list, only so many of the earliest lines are partners at first.
+PARTNERS = 5_000
 #: Pairs held at once.
 PAIRS = 1 << 20
 #: Equal lines that a task leaves out after the first; forgotten at this many.
 SEEN = 500_000
 
+#: Bits of a word's hash; the other 22 number the lines of a slice of texts.
+WORD_BITS = 42
+
 LAST = (1 << 63) - 1
 LINE_BITS = 32
 
@@ -66,11 +71,9 @@ class Lines:
         self.number = np.arange(len(lines)) - np.repeat(np.cumsum(n_lines) - n_lines, n_lines)
         words = tw.words_of(lines, tw.SPACE_SEPARATED, tw.LOWER)
         owner = words.text_of()
-        order = np.lexsort((words.hash, owner))
-        h, owner = words.hash[order], owner[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        self.words, self.owner = h[new], owner[new]
+        # one sort of (line, word); words are told apart by WORD_BITS of their hash
+        both = np.unique((owner.astype(np.uint64) << np.uint64(WORD_BITS)) | (words.hash >> np.uint64(64 - WORD_BITS)))
+        self.words, self.owner = both & np.uint64((1 << WORD_BITS) - 1), (both >> np.uint64(WORD_BITS)).astype(np.int64)
         self.size = np.bincount(self.owner, minlength=len(lines))
         self.first = np.cumsum(self.size) - self.size
         with np.errstate(over="ignore"):
@@ -84,7 +87,8 @@ def line_ids(text_keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
 
 
 def bucket_of(words: np.ndarray) -> np.ndarray:
-    return (tw.mix(words) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+    """Counter of words given by ``WORD_BITS`` of their hash."""
+    return (words & np.uint64((1 << COUNTER_BITS) - 1)).astype(np.int64)
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
@@ -94,7 +98,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in tw.small_batches(batches, "text"):
             words = tw.words_of(batch.column("text"), tw.SPACE_SEPARATED, tw.LOWER)
-            total += np.bincount(bucket_of(words.hash), minlength=len(total))
+            total += np.bincount(bucket_of(words.hash >> np.uint64(64 - WORD_BITS)), minlength=len(total))
         parts = total.reshape(-1, BLOCK)
         held = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([zlib.compress(parts[i].tobytes(), 1) for i in held], pa.binary())], ["block", "counts"])
@@ -165,7 +169,7 @@ def postings(docs: DataFrame, levels: np.ndarray, percent: int, only_texts: np.n
                     use[i] = True
             if len(seen) > SEEN:
                 seen = {}
-            short = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            short = (words >> np.uint64(WORD_BITS - 32)).astype(np.uint32).view(np.int32)
             ok = use[owner] & (place <= lines.size[owner] - needed(lines.size[owner], percent))
             if asked is not None:
                 ok &= in_bitmap(asked, short)
@@ -197,8 +201,9 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
     """(doc, line, early_doc, early_line, more) for the word lists of one group; ``more``
     rows, without a partner, name lines whose list has candidates that were not tried."""
     names = ("word", "salt", "twin", "bits", "size", "doc", "line", "place")
-    col = {n: table.column(n).to_numpy() for n in names}
-    col["word"], col["salt"] = col["word"].astype(np.int64), col["salt"].astype(np.int64)
+    col = {n: table.column(n).to_numpy() for n in ("doc", "line", "bits")}
+    word_twin, shape = table.column("word_twin").to_numpy(), table.column("shape").to_numpy()
+    col |= {"word": word_twin >> 32, "twin": word_twin & 0xFFFFFFFF, "salt": (shape >> 48) - 1, "size": (shape >> 24) & 0xFFFFFF, "place": shape & 0xFFFFFF}
     # of lines of equal sets, the first stands for all: the others are removed anyway
     order = np.lexsort([col[n] for n in ("line", "doc", "size", "bits", "twin", "salt", "word")])
     same = np.all([col[n][order[1:]] == col[n][order[:-1]] for n in ("word", "salt", "twin", "bits", "size")], axis=0)
@@ -209,9 +214,9 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
     opens = np.ones(n, bool)
     opens[1:] = (col["word"][1:] != col["word"][:-1]) | (col["salt"][1:] != col["salt"][:-1])
     start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
-    earlier = np.arange(n) - start
+    earlier = np.minimum(np.arange(n) - start, PARTNERS)
     size, place, bits = col["size"].astype(np.int64), col["place"].astype(np.int64), col["bits"].view(np.uint64)
-    late, early, short = [], [], [np.flatnonzero(col["salt"] >= 0)]
+    late, early, short = [], [], [np.flatnonzero((col["salt"] >= 0) | (np.arange(n) - start > PARTNERS))]
     upto = np.cumsum(earlier)
     i = 0
     while i < n:
@@ -271,7 +276,7 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc, line) of every line with an earlier match."""
-    lines = all_lines(docs)
+    lines = stored(all_lines(docs), "lines")
     firsts = lines.groupBy("set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     copies = lines.join(firsts, "set").where((F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line"))).select("doc", "line")
 
@@ -280,9 +285,12 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # a list is no longer than its word's count; a list that may be long is divided at random
     parts = F.ceil(F.pow(F.lit(2.0), F.col("level") / 4) / LONG_LIST).cast("int")
     salt = F.when(parts > 1, F.pmod(F.xxhash64("doc", "line"), parts)).otherwise(-1).cast("int")
-    salted = posted.withColumn("salt", salt).drop("level")
+    # packed, as most of this operator's shuffle is these rows; a line has less than 2**24 words
+    salted = posted.withColumn("salt", salt).select(
+        "doc", "line", "bits", "word", "salt", F.shiftleft(F.col("word").cast("long"), 32).bitwiseOR(F.col("twin").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("word_twin"),
+        (F.shiftleft((F.col("salt") + 1).cast("long"), 48) + F.shiftleft(F.col("size").cast("long"), 24) + F.col("place")).alias("shape"))
     groups = max(8, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES))
-    found = stored(salted.withColumn("group", F.pmod(F.xxhash64("word", "salt"), F.lit(groups)).cast("int")).groupBy("group").applyInArrow(
+    found = stored(salted.withColumn("group", F.pmod(F.xxhash64("word", "salt"), F.lit(groups)).cast("int")).drop("word", "salt").groupBy("group").applyInArrow(
         lambda t: list_pairs(t, percent), "doc bigint, line bigint, early_doc bigint, early_line bigint, more boolean"), "line-pairs")
     pair = ["doc", "line", "early_doc", "early_line"]
     tried = stored(found.where("not more").select(*pair).distinct(), "tried")
@@ -326,7 +334,11 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     cuts = cut_lines(docs.select("doc_id", "text"), percent)
     rows = docs.select(*keep, line_order()[0].alias("_doc"), F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1)).alias("_key"))
-    both = rows.join(cuts.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "gone"), ["_doc", "_key"], "left")
+    # texts without any cut are not shuffled
+    bits = bloom_bits(cuts, "key")
+    cuts = cuts.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "gone")
+    both = maybe_in(rows, "_key", bits).join(cuts, ["_doc", "_key"], "left").unionByName(
+        maybe_in(rows, "_key", bits, wanted=False).withColumn("gone", F.lit(None).cast("array<int>")))
     n_lines = F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long")
     return both.select(*[c for c in keep if c != "text"], F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept_text(F.col("text"), F.col("gone"))).alias("text"),
                        n_lines.alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed")).select(*keep, "n_lines", "n_removed")

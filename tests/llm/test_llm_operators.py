@@ -349,6 +349,7 @@ def test_line_dedup_equals_all_pairs(llm_spark, awkward, which, monkeypatch):
     for earliest, long_list in ((8, 20_000), (1, 5)):
         monkeypatch.setattr(linededup, "EARLIEST", earliest)
         monkeypatch.setattr(linededup, "LONG_LIST", long_list)
+        monkeypatch.setattr(linededup, "PARTNERS", earliest + 2)
         rows = linededup.without_repeated_lines(docs).collect()
         assert len(rows) == docs.count()
         for r in rows:
