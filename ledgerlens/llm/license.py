@@ -5,6 +5,11 @@ of the text.  Its words (runs of a-z with A-Z folded, 0-9 and characters beyond
 ASCII) are its normal form.  Known sentences have identifiers; a rule is a sequence
 of identifiers, and rules are tried in order at each known sentence.  Between two
 sentences of a rule, ``GAP`` unknown ones may stand (names, years, addresses).
+
+A known sentence may be wrapped over lines: it is also found as a run of sentences
+with nothing but a line end between them (and comment markers without words, such as
+``#``, ``*``, ``//``, ``;``); the longest run from a sentence counts.  Blank lines and
+the punctuation above end a run.
 """
 
 from __future__ import annotations
@@ -106,45 +111,77 @@ class Sentences:
         opens = np.ones(len(text), bool)
         opens[1:] = (text[1:] != text[:-1]) | (after[1:] != after[:-1])
         self.first = np.flatnonzero(opens)
-        self.length = np.diff(np.append(self.first, len(text)))
         self.text = text[self.first]
         self.count = np.bincount(self.text, minlength=len(texts))
-        self.hash = stretch_hashes(words.hash, self.first, self.length)
-
-    def normal(self, i: int) -> str:
+        self.bound = np.append(opens, True)  # words that begin a sentence, and the end
+        # a run goes on over a single line end after no punctuation
+        lines, marks = np.flatnonzero(raw == 10), np.append(np.flatnonzero(_ENDS[raw] & blank_next), len(raw))
+        before, here = words.end[self.first[1:] - 1], words.start[self.first[1:]]
+        i = np.searchsorted(lines, before)
+        single = (self.text[1:] == self.text[:-1]) & (np.searchsorted(lines, here) - i == 1)
+        goes_on = np.zeros(len(self.first), bool)
+        goes_on[1:][single] = marks[np.searchsorted(marks, before[single])] > lines[i[single]]
+        ends = np.append(self.first[~goes_on][1:], len(text))
+        self.run_end = ends[np.cumsum(~goes_on) - 1] if len(text) else ends[:0]
+
+    def normal(self, i: int, length: int) -> str:
+        """``length`` words from the beginning of sentence ``i``."""
         w, a = self.words, self.first[i]
-        return " ".join(w.raw[s:e].tobytes().decode() for s, e in zip(w.start[a:a + self.length[i]], w.end[a:a + self.length[i]], strict=True))
+        return " ".join(w.raw[s:e].tobytes().decode() for s, e in zip(w.start[a:a + length], w.end[a:a + length], strict=True))
 
 
 class Scanner:
     def __init__(self, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, str, list[str]]] = RULES, gap: int = GAP):
         self.names = {normal(s): name for name, s in sentences.items()}
-        self.known = np.sort(np.concatenate([Sentences(pa.array([n])).hash for n in self.names]))
+        words = tw.words_of(pa.array(list(self.names), pa.string()), tw.ALPHANUMERIC, tw.LOWER)
+        first, length = words.first[:-1], words.counts()
+        first, length = first[length > 0], length[length > 0]
+        self.openers = np.unique(words.hash[first])
+        hashes = stretch_hashes(words.hash, first, length)
+        self.known = {int(n): np.unique(hashes[length == n]) for n in np.unique(length)[::-1]}
         self.rules, self.gap = rules, gap
 
-    def match(self, found: list[tuple[int, str]]) -> list[tuple[str, str, int, int]]:
-        """Rules over (sentence number, identifier) in order; a matched sentence is used once."""
+    def match(self, found: list[tuple[int, int, str]]) -> list[tuple[str, str, int, int]]:
+        """Rules over (first and last sentence number, identifier) in order; a matched sentence is used once."""
         out, i = [], 0
         while i < len(found):
             for rule, name, wanted in self.rules:
-                at = [found[j] for j in range(i, min(i + len(wanted), len(found)))]
-                if [n for _, n in at] == wanted and all(b[0] - a[0] <= self.gap + 1 for a, b in zip(at, at[1:], strict=False)):
-                    out.append((rule, name, at[0][0], at[-1][0]))
+                at = found[i:i + len(wanted)]
+                if [n for _, _, n in at] == wanted and all(b[0] - a[1] <= self.gap + 1 for a, b in zip(at, at[1:], strict=False)):
+                    out.append((rule, name, at[0][0], at[-1][1]))
                     i += len(wanted)
                     break
             else:
                 i += 1
         return out
 
+    def identified(self, s: Sentences) -> list[tuple[int, int, str]]:
+        """(first sentence, last sentence, identifier) of the known sentences, longest first where several begin."""
+        opening = np.flatnonzero(np.isin(s.words.hash[s.first], self.openers))
+        out = []
+        for length, known in self.known.items():
+            end = s.first[opening] + length
+            at = opening[end <= s.run_end[opening]]
+            at = at[s.bound[s.first[at] + length]]
+            at = at[np.isin(stretch_hashes(s.words.hash, s.first[at], np.full(len(at), length)), known)]
+            last = np.searchsorted(s.first, s.first[at] + length) - 1
+            out += [(i, -length, j, name) for i, j in zip(at.tolist(), last.tolist(), strict=True)
+                    if (name := self.names.get(s.normal(i, length))) is not None]
+        kept, free = [], 0
+        for i, _, j, name in sorted(out):
+            if i >= free:
+                kept.append((i, j, name))
+                free = j + 1
+        return kept
+
     def scan(self, texts: pa.Array) -> tuple[np.ndarray, list[list[tuple[str, str, int, int]]]]:
         """(sentences of each text, matches of each text)."""
         s = Sentences(texts)
-        by_text: dict[int, list[tuple[int, str]]] = {}
+        by_text: dict[int, list[tuple[int, int, str]]] = {}
         base = np.cumsum(s.count) - s.count
-        for i in np.flatnonzero(np.isin(s.hash, self.known)).tolist():
-            if (name := self.names.get(s.normal(i))) is not None:
-                t = int(s.text[i])
-                by_text.setdefault(t, []).append((i - int(base[t]), name))
+        for i, j, name in self.identified(s):
+            t = int(s.text[i])
+            by_text.setdefault(t, []).append((i - int(base[t]), j - int(base[t]), name))
         return s.count, [self.match(by_text[t]) if t in by_text else [] for t in range(len(texts))]
 
 
