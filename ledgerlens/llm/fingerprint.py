@@ -9,12 +9,13 @@ Lanes of a paragraph's vector:
 
 * ``WIDE`` lanes of 32 bits, independent hashes of the whole paragraph; they
   decide equality.
-* ``PACKED`` longs of three 20-bit lanes: how many of the paragraph's phrases
-  (three words each, from its start) have a given hash bit set.  With the number
-  of phrases, a lane gives a sum of random signs, and the cosine of two such vectors
-  estimates the likeness of the texts.  A packed long is a sum modulo 2**60;
-  beyond a million phrases its lanes run into each other, which blurs the
-  likeness of such texts but leaves equality, insertion and deletion exact.
+* ``PACKED`` longs of a 32-bit and a 28-bit lane: how many of the paragraph's
+  phrases (three words each, one from every word that two others follow) have a
+  given hash bit set.  With the number of phrases, a lane gives a sum of random
+  signs, and the cosine of two such vectors estimates the likeness of the texts.
+  Phrases overlap, so a word put in or taken out changes three of them at most.
+  A packed long is a sum modulo 2**60; its lanes hold any text of fewer than 2**28
+  phrases.
 """
 
 from __future__ import annotations
@@ -27,14 +28,15 @@ from ledgerlens.llm.sharding import key_of, lookup, range_of, sampled_ranges
 WIDE = 8
 QUARTERS = 4  # a 64-bit hash is four longs of sixteen 4-bit counters
 GROUP = 15  # so many phrases fit the 4-bit counters
-FIFTHS = 5  # a long of 4-bit counters is five longs of three 20-bit lanes
-PACKED = QUARTERS * FIFTHS
-LANE_BITS = 20
+PHRASE = 3
+EIGHTHS = 8  # a long of 4-bit counters is eight longs of two lanes, the last of one
+PACKED = QUARTERS * EIGHTHS
+LANE_BITS = 32
 LANE = (1 << LANE_BITS) - 1
 WIDE_MASK = (1 << 32) - 1
 PACK_MASK = (1 << 60) - 1
 NIBBLE_BITS = int("1" * 15, 16)  # the low bit of each 4-bit counter but the top one
-NIBBLES = 0xF | 0xF << LANE_BITS | 0xF << 2 * LANE_BITS
+NIBBLES = 0xF | 0xF << LANE_BITS
 #: Rows of a table are put in order in ranges of about so many bytes.
 RANGE_BYTES = 4 << 20
 MAX_RANGES = 1 << 16
@@ -47,8 +49,12 @@ def paragraphs(text: Column) -> Column:
 
 
 def phrase_hashes(paragraph: Column) -> Column:
-    """Hashes of the paragraph's phrases: each three words in turn, from its start."""
-    return F.transform(F.regexp_extract_all(paragraph, F.lit("[^ ]+(?: [^ ]+){0,2}"), F.lit(0)), lambda p: F.xxhash64(p))
+    """Hashes of the paragraph's phrases: ``PHRASE`` words from each place, or all of fewer."""
+    words = F.transform(F.filter(F.split(paragraph, " "), lambda w: w != ""), lambda w: F.xxhash64(w))
+    phrases = F.transform(F.array(words), lambda w: F.transform(  # a lambda, so that the words are hashed once
+        F.when(F.size(w) > 0, F.sequence(F.lit(0), F.greatest(F.size(w) - PHRASE, F.lit(0)))).otherwise(F.array().cast("array<int>")),
+        lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(PHRASE)])))
+    return phrases[0]
 
 
 def _zero(names: list[str]) -> Column:
@@ -68,7 +74,7 @@ def _sign_counts(hashes: Column) -> Column:
     return F.aggregate(
         F.when(F.size(hashes) > 0, groups), F.struct(F.size(hashes).cast("long").alias("n"), *[F.lit(0).cast("long").alias(f"p{i}") for i in range(PACKED)]),
         lambda acc, g: F.struct(acc["n"].alias("n"), *[
-            (acc[f"p{i}"] + F.shiftrightunsigned(g[f"q{i // FIFTHS}"], 4 * (i % FIFTHS)).bitwiseAND(F.lit(NIBBLES)))
+            (acc[f"p{i}"] + F.shiftrightunsigned(g[f"q{i // EIGHTHS}"], 4 * (i % EIGHTHS)).bitwiseAND(F.lit(NIBBLES)))
             .bitwiseAND(F.lit(PACK_MASK)).alias(f"p{i}") for i in range(PACKED)]))
 
 
@@ -87,9 +93,9 @@ def vector(text: Column) -> Column:
 
 def _lanes(v: Column) -> Column:
     """Sums of random signs, one for each lane."""
-    packed = F.array(*[v["packed"][f"p{i}"] for i in range(PACKED)])
-    return F.flatten(F.transform(packed, lambda p: F.array(*[
-        F.shiftrightunsigned(p, LANE_BITS * j).bitwiseAND(F.lit(LANE)) * 2.0 - v["packed"]["n"] for j in range(3)])))
+    low = [v["packed"][f"p{i}"].bitwiseAND(F.lit(LANE)) for i in range(PACKED)]
+    high = [F.shiftrightunsigned(v["packed"][f"p{i}"], LANE_BITS) for i in range(PACKED) if i % EIGHTHS < EIGHTHS - 1]
+    return F.transform(F.array(*low, *high), lambda c: c * 2.0 - v["packed"]["n"])
 
 
 def _dot(a: Column, b: Column) -> Column:
