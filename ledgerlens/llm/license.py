@@ -14,6 +14,7 @@ the punctuation above end a run.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,6 +62,41 @@ SENTENCES = {
     "ccbync4-notice": "Licensed under CC BY-NC 4.0.",
     "ccby4-notice": "Licensed under CC BY 4.0.",
     "ccbysa4-notice": "Licensed under CC BY-SA 4.0.",
+    "gnu-library": "This library is free software;",
+    "lgpl21-2": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;",
+    "lgpl21-3": "either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-2": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+               "either version 3 of the License, or (at your option) any later version.",
+    "lgpl3-3": "either version 3 of the License, or (at your option) any later version.",
+    "agpl3-2": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+               "either version 3 of the License, or (at your option) any later version.",
+    "mpl2-1": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",  # "2.0." is a sentence of its own; the address tells it
+    "mpl2-2": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "mpl2-2-http": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "epl2-1": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+              "https://www.eclipse.org/legal/epl-2.0/",
+    "isc-1": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+             "copyright notice and this permission notice appear in all copies.",
+    "isc-1-and": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+                 "copyright notice and this permission notice appear in all copies.",
+    "zlib-1": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-2": "In no event will the authors be held liable for any damages arising from the use of this software.",
+    "zlib-3": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, "
+              "subject to the following restrictions:",
+    "bsl-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "bsl-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "unlicense-1": "This is free and unencumbered software released into the public domain.",
+    "unlicense-2": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+                   "for any purpose, commercial or non-commercial, and by any means.",
+    "cc0-title": "CC0 1.0 Universal",
+    "apache-title": "Apache License Version 2.0, January 2004",
+    "gpl2-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "gpl3-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "lgpl21-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "lgpl3-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "agpl3-title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "epl2-title": "Eclipse Public License - v 2.0",
 }
 
 # Fixed values: (rule, licence, sentence identifiers), longer rules before the shorter ones they contain.
@@ -79,8 +115,34 @@ RULES = [
     ("cc-by-nc-4", "CC-BY-NC-4.0", ["ccbync4-notice"]),
     ("cc-by-4", "CC-BY-4.0", ["ccby4-notice"]),
     ("cc-by-sa-4", "CC-BY-SA-4.0", ["ccbysa4-notice"]),
+    ("lgpl-2.1-header", "LGPL-2.1-or-later", ["gnu-library", "lgpl21-2", "lgpl21-3"]),
+    ("lgpl-3-library-header", "LGPL-3.0-or-later", ["gnu-library", "lgpl21-2", "lgpl3-3"]),
+    ("lgpl-3-header", "LGPL-3.0-or-later", ["gpl-1", "lgpl3-2"]),
+    ("agpl-3-header", "AGPL-3.0-or-later", ["gpl-1", "agpl3-2"]),
+    ("mpl-2-header", "MPL-2.0", ["mpl2-1", "mpl2-2"]),
+    ("mpl-2-header-http", "MPL-2.0", ["mpl2-1", "mpl2-2-http"]),
+    ("epl-2-header", "EPL-2.0", ["epl2-1"]),
+    ("isc-text", "ISC", ["isc-1"]),
+    ("isc-text-and", "ISC", ["isc-1-and"]),
+    ("zlib-text", "Zlib", ["zlib-1", "zlib-2", "zlib-3"]),
+    ("bsl-notice", "BSL-1.0", ["bsl-notice"]),
+    ("bsl-title", "BSL-1.0", ["bsl-title"]),
+    ("unlicense-text", "Unlicense", ["unlicense-1", "unlicense-2"]),
+    ("cc0-title", "CC0-1.0", ["cc0-title"]),
+    ("apache-title", "Apache-2.0", ["apache-title"]),
+    ("gpl-2-title", "GPL-2.0", ["gpl2-title"]),
+    ("gpl-3-title", "GPL-3.0", ["gpl3-title"]),
+    ("lgpl-2.1-title", "LGPL-2.1", ["lgpl21-title"]),
+    ("lgpl-3-title", "LGPL-3.0", ["lgpl3-title"]),
+    ("agpl-3-title", "AGPL-3.0", ["agpl3-title"]),
+    ("mpl-2-title", "MPL-2.0", ["mpl2-title"]),
+    ("epl-2-title", "EPL-2.0", ["epl2-title"]),
 ]
 
+# The licence names of an SPDX line, as written; what follows WITH is an exception.
+_SPDX = re.compile(rb"[ \t]*:[ \t]*(\(*[ \t]*[A-Za-z0-9][\w.+-]*[ \t)]*(?:(?:AND|OR|WITH|and|or|with)[ \t]+\(*[ \t]*[A-Za-z0-9][\w.+-]*[ \t)]*)*)")
+_SPDX_NAME = re.compile(rb"(WITH[ \t]+|with[ \t]+)?([A-Za-z0-9][\w.+-]*)")
+
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?;:"]] = True
 
@@ -130,6 +192,25 @@ class Sentences:
         return " ".join(w.raw[s:e].tobytes().decode() for s, e in zip(w.start[a:a + length], w.end[a:a + length], strict=True))
 
 
+def spdx_lines(texts: pa.Array, s: Sentences) -> Iterator[tuple[int, tuple[str, str, int, int]]]:
+    """(text, match) for each licence named in a SPDX-License-Identifier line."""
+    raw, off = tw.text_bytes(texts)
+    w, base = s.words, np.cumsum(s.count) - s.count
+    for i in np.flatnonzero(w.hash == tw.words_of(pa.array(["spdx"]), tw.ALPHANUMERIC).hash[0]).tolist():
+        t = int(np.searchsorted(w.first, i, "right") - 1)
+        if i + 2 >= w.first[t + 1] or w.raw[w.start[i]:w.end[i + 2]].tobytes() != b"spdx-license-identifier":
+            continue
+        at, end = int(w.end[i + 2]), int(off[t + 1])
+        found = _SPDX.match(raw[at:min(end, at + 4096)].tobytes().split(b"\n")[0])
+        if found is None:
+            continue
+        first = int(np.searchsorted(s.first, i, "right") - 1 - base[t])
+        for exception, name in _SPDX_NAME.findall(found[1]):
+            if not exception and name not in (b"AND", b"OR", b"and", b"or"):
+                stop = np.searchsorted(w.start, at + found.end(1), "left") - 1
+                yield t, ("spdx", name.decode(errors="replace").rstrip("."), first, int(np.searchsorted(s.first, stop, "right") - 1 - base[t]))
+
+
 class Scanner:
     def __init__(self, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, str, list[str]]] = RULES, gap: int = GAP):
         self.names = {normal(s): name for name, s in sentences.items()}
@@ -182,7 +263,10 @@ class Scanner:
         for i, j, name in self.identified(s):
             t = int(s.text[i])
             by_text.setdefault(t, []).append((i - int(base[t]), j - int(base[t]), name))
-        return s.count, [self.match(by_text[t]) if t in by_text else [] for t in range(len(texts))]
+        out = [self.match(by_text[t]) if t in by_text else [] for t in range(len(texts))]
+        for t, match in spdx_lines(texts, s):
+            out[t] = sorted([*out[t], match], key=lambda m: m[2])
+        return s.count, out
 
 
 def license_scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, str, list[str]]] = RULES, gap: int = GAP) -> DataFrame:

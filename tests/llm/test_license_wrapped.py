@@ -41,3 +41,16 @@ def test_blank_lines_and_punctuation_end_a_run():
 def test_texts_do_not_run_into_each_other():
     count, found = licences.Scanner().scan(pa.array(["Released under the\n", "MIT License.", None, "", "\n"]))
     assert count.tolist() == [1, 1, 0, 0, 0] and not any(found)
+
+
+def test_spdx_lines():
+    texts = ["// SPDX-License-Identifier: MIT\nint x;", "/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR Apache-2.0 */", "SPDX-License-Identifier", "spdx"]
+    _, found = licences.Scanner().scan(pa.array(texts))
+    assert [[m[:2] for m in f] for f in found] == [[("spdx", "MIT")], [("spdx", "GPL-2.0-only"), ("spdx", "Apache-2.0")], [], []]
+
+
+def test_common_licences_have_rules():
+    names = {name for _, name, _ in licences.RULES}
+    assert names >= {"LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later", "MPL-2.0", "EPL-2.0", "ISC", "Zlib", "BSL-1.0", "Unlicense", "CC0-1.0"}
+    # a sentence that the splitter divides could never be found
+    assert {n: c for n, c in zip(licences.SENTENCES, licences.Sentences(pa.array(list(licences.SENTENCES.values()))).count.tolist(), strict=True) if c != 1} == {}
