@@ -160,3 +160,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = F.transform("matches", lambda m: F.concat_ws(":", m["rule"], m["first"], m["last"]))
     return found.select("doc_id", "n_sentences", F.size("matches").cast("long").alias("n_matches"),
                         F.concat_ws(",", names).alias("licenses"), F.concat_ws(",", places).alias("rules"))
+
+
+# --- 11: token-id output --------------------------------------------------------------------
+from ledgerlens.llm import tokenfile  # noqa: E402
+
+
+@register("op11_tokenids")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.token_digests(spark, tokenfile.write_token_files(documents(spark, sf_dir), tokenizer_path()))

@@ -24,11 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage,
     and later readers do not recompute it when an executor is lost."""
     path = f"{shared_folder(df.sparkSession)}/ledgerlens-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
