@@ -169,3 +169,25 @@ from ledgerlens.llm import tokenfile  # noqa: E402
 @register("op11_tokenids")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digests(spark, tokenfile.write_token_files(documents(spark, sf_dir), tokenizer_path()))
+
+
+# --- 12: Merkle dataset manifest ---------------------------------------------------------------
+from ledgerlens.llm import merkle  # noqa: E402
+
+
+@register("op12_merkle", merkle.manifest_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = documents(spark, sf_dir, *columns)
+    found = merkle.verified_manifest(docs, columns, tampered={"text": merkle.tampered_text(F.col("doc_id"), F.col("text"))})
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                        "folded_root", "verified")
+
+
+# --- 13: cross-tokenizer alignment -----------------------------------------------------------------
+from ledgerlens.llm import alignment  # noqa: E402
+
+
+@register("op13_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections import Counter
 
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,3 +135,103 @@ def license_scan(text, sentences, rules, gap):
         else:
             i += 1
     return len(kept), out
+
+
+def token_files(docs, encode, end_id=1):
+    """[(doc_id, start, n_tokens, ids_crc32)] of docs [(doc_id, text)] in ascending doc_id order, by plain calls of ``encode``."""
+    out, at = [], 0
+    for doc_id, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*encode(text or ""), end_id]
+        out.append((doc_id, at, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        at += len(ids)
+    return out
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle(rows, fanout=16):
+    """[(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)] of rows (doc_id, text, lang, source, n_chars)."""
+    def leaf(doc_id, text, lang, source, n_chars):
+        return digest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)])
+
+    def tree(digests):
+        """(root, [path of each]); a path is [(left, right)]."""
+        levels = [digests]
+        while len(levels[-1]) > 1:
+            last = levels[-1]
+            levels.append([digest(*last[i:i + fanout]) for i in range(0, len(last), fanout)])
+        paths = []
+        for i in range(len(digests)):
+            path = []
+            for level in levels[:-1]:
+                run = i // fanout * fanout
+                path.append(("".join(level[run:i]), "".join(level[i + 1:run + fanout])))
+                i //= fanout
+            paths.append(path)
+        return levels[-1][0], paths
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[3], []).append((r, leaf(*r)))
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    for held in groups.values():
+        held.sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+    trees = [tree([x for _, x in groups[s]]) for s in order]
+    root, upper = tree([t[0] for t in trees]) if trees else (None, [])
+    out = []
+    for source, (subroot, paths), above in zip(order, trees, upper, strict=True):
+        for (r, own), path in zip(groups[source], paths, strict=True):
+            changed = list(r)
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[1] is not None:
+                changed[1] = r[1].translate(LOWER)
+            acc = leaf(*changed)
+            for left, right in path + above:
+                acc = digest(left, acc, right)
+            out.append((r[0], own, subroot, root, digest(*[x + y for x, y in path + above]), acc, acc == root))
+    return out
+
+
+def alignment(docs, encode_a, bytes_a, encode_b, bytes_b):
+    """[(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)] of docs [(doc_id, text)]."""
+    held, counts = [], Counter()
+    for doc_id, text in docs:
+        sides, whole = [], bool(text)
+        for encode, as_bytes in ((encode_a, bytes_a), (encode_b, bytes_b)) if whole else ():
+            spans, at = [], 0
+            for i in encode(text):
+                spans.append((i, at, at + len(as_bytes[i])))
+                at += len(as_bytes[i])
+            whole &= b"".join(as_bytes[i] for i, _, _ in spans) == (" " + text).encode()
+            sides.append(spans)
+        if not whole:
+            held.append((doc_id, 0, 0, [], []))
+            continue
+        a, b = sides
+        links, j = [], 0
+        for i, s, e in a:
+            while b[j][2] <= s:
+                j += 1
+            k = j
+            while k < len(b) and b[k][1] < e:
+                links.append((i, b[k][0]))
+                k += 1
+        ends = sorted({e for *_, e in a} & {e for *_, e in b})
+        groups, p, q = [], 0, 0
+        for end in ends:
+            left, right = [], []
+            while p < len(a) and a[p][2] <= end:
+                left.append(str(a[p][0]))
+                p += 1
+            while q < len(b) and b[q][2] <= end:
+                right.append(str(b[q][0]))
+                q += 1
+            groups.append(",".join(left) + "|" + ",".join(right))
+        held.append((doc_id, len(a), len(b), groups, links))
+        counts.update(set(links))
+    best = {}
+    for (i, _), n in counts.items():
+        best[i] = max(best.get(i, 0), n)
+    return [(doc_id, n_a, n_b, len(groups), len(links), sum(counts[x] == best[x[0]] for x in links), sum(counts[x] for x in links),
+             hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "") for doc_id, n_a, n_b, groups, links in held]
