@@ -1,25 +1,27 @@
 """Contract history chart feed (CPH-1 ... CPH-ALL).
 
-The two window sums of the original (quantity per account/day/event/item and
-the running commercial MRR per account) are computed as aggregates:
+All outputs depend on (account, id, day, event, item, package flag) and on how many lines
+there are, so the contract lines are counted and summed at that grain (map-side) before they meet
+the dimensions, and no raw line is joined or stored:
 
-* per (account, day, event description, item description) quantity sum;
-* per (account, day) commercial MRR, then a running sum over the *daily* rows.
+* per (account, day, event description, item description) the quantity sum, with the ids and
+  flags that share it and their counts;
+* per (account, day) commercial MRR, then a running sum over the *daily* rows in two levels
+  (``functions.prefix``).
 
-A running-sum window over raw lines would put all lines of an account in one
-task; over daily rows its size is bounded by the number of distinct days.
-The line rows then pick both values up with one equi-join.
+The line rows are expanded from their counts at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import KEYS, as_date
-from ledgerlens.session import checkpoint_shared
+from ledgerlens.functions.prefix import prefix_scan
+from ledgerlens.session import JobStore, checkpoint_shared
 
-__all__ = ["history_lines", "history_base", "history_points", "step_points", "current_points", "contract_history",
+__all__ = ["history_groups", "history_base", "history_points", "step_points", "current_points", "contract_history",
            "HISTORY_COLUMNS"]
 
 COMMERCIAL = "C"
@@ -28,30 +30,32 @@ HISTORY_COLUMNS = ["accountid", "eventdate", "linepackage", "summrr", "descripti
 _DETAIL = KEYS + ["eventdate", "contracteventdescription", "itemdescription"]
 
 
-def history_lines(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
-                  item_classifications: DataFrame) -> DataFrame:
-    """The joined contract lines behind the history (one row per line and matching
-    summary / event type / classification row, as the original inner joins)."""
+#: Copies that one array makes of a counted row.
+_COPIES = 4096
+
+
+def history_groups(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
+                   item_classifications: DataFrame) -> DataFrame:
+    """Counted rows behind the history: per (account, id, day, event description, item description,
+    package flag) the number of joined lines, their quantity and their commercial MRR.
+
+    Lines are counted by their codes first; every matching summary / event type /
+    classification row then stands for as many lines, as in the original inner joins.
+    """
     def t(name: str, out: str | None = None):
         return F.trim(F.col(name)).alias(out or name)
 
     env = F.upper(F.trim(F.col("environment"))).alias("environment")
-    c = contracts.select(env, t("accountcode"), "eventdate", t("eventtype"), t("itemcode"), "linepackage", "quantity",
-                         t("contracttype"), "valuepermonth")
-    s = summary.select(env, t("accountcode"), t("accountid"))
-    et = event_types.select(env, t("contracteventtypecode"), t("contracteventdescription"))
-    ic = item_classifications.select(env, t("itemcode", "_item"), t("itemdescription"))
-    return (c.join(s, KEYS, "inner")
-            .join(et, (c["environment"] == et["environment"]) & (c["eventtype"] == et["contracteventtypecode"]), "inner")
-            .drop(et["environment"])
-            .join(ic, (c["environment"] == ic["environment"]) & (c["itemcode"] == ic["_item"]), "inner")
-            .drop(ic["environment"])
-            .where(F.col("accountid").isNotNull())
-            .select(*KEYS, "accountid", "eventdate", "contracteventdescription", "itemdescription",
-                    F.when(F.col("eventtype") == PRICE_INCREASE, F.lit(0)).otherwise(F.col("linepackage"))
-                    .cast("int").alias("linepackage"),
-                    "quantity", "contracttype",
-                    F.when(F.col("contracttype") == COMMERCIAL, F.col("valuepermonth")).otherwise(0).alias("_m")))
+    flag = F.when(F.trim("eventtype") == PRICE_INCREASE, F.lit(0)).otherwise(F.col("linepackage")).cast("int").alias("linepackage")
+    mrr = F.when(F.trim("contracttype") == COMMERCIAL, F.col("valuepermonth")).otherwise(0)
+    c = contracts.groupBy(env, t("accountcode"), "eventdate", t("eventtype"), t("itemcode"), flag).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("quantity").alias("_quantity"), F.sum(mrr).alias("_m"))
+    s = summary.where(F.col("accountid").isNotNull()).select(env, t("accountcode"), t("accountid"))
+    et = event_types.select(env, t("contracteventtypecode", "eventtype"), t("contracteventdescription"))
+    ic = item_classifications.select(env, t("itemcode"), t("itemdescription"))
+    joined = c.join(s, KEYS, "inner").join(et, ["environment", "eventtype"], "inner").join(ic, ["environment", "itemcode"], "inner")
+    return joined.groupBy(*KEYS, "accountid", "eventdate", "contracteventdescription", "itemdescription", "linepackage").agg(
+        F.sum("_n").alias("_n"), F.sum("_quantity").alias("_quantity"), F.sum("_m").alias("_m"))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,25 +65,31 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(right, on, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
-def _daily(lines: DataFrame):
+def _daily(groups: DataFrame):
     """(account, day) running commercial MRR and (account id, day) line counts."""
-    g = lines.groupBy(*KEYS, "accountid", "eventdate").agg(F.count(F.lit(1)).alias("_n"), F.sum("_m").alias("_m"))
-    daily = g.groupBy(*KEYS, "eventdate").agg(F.sum("_m").alias("_m"))
-    running = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    daily = daily.select(*KEYS, "eventdate", F.sum("_m").over(running).cast("double").alias("summrr"))
+    g = groups.groupBy(*KEYS, "accountid", "eventdate").agg(F.sum("_n").alias("_n"), F.sum("_m").alias("_m"))
+    daily = prefix_scan(g.groupBy(*KEYS, "eventdate").agg(F.sum("_m").alias("_m")), KEYS, "eventdate", sums={"summrr": "_m"})
+    daily = daily.select(*KEYS, "eventdate", F.col("summrr").cast("double").alias("summrr"))
     per_id = (_null_safe_join(g, daily, KEYS + ["eventdate"])
               .groupBy("accountid", "eventdate").agg(F.sum("_n").alias("_n"), F.max("summrr").alias("_mrr")))
     return daily, per_id
 
 
-def _rows(lines: DataFrame, daily: DataFrame) -> DataFrame:
-    # the group's quantity is aggregated and joined back: a hot account-day is combined
-    # map-side, and AQE may split the join, which a window over the lines would not allow
-    groups = lines.groupBy(*_DETAIL).agg(F.sum("quantity").cast("double").alias("_quantity"))
-    rows = _null_safe_join(lines.drop("quantity"), groups, _DETAIL).withColumnRenamed("_quantity", "quantity")
-    return _null_safe_join(rows, daily, KEYS + ["eventdate"]).select(
-        "accountid", *KEYS, "eventdate", "contracteventdescription", "itemdescription", "linepackage",
-        "quantity", "summrr")
+def _counted_rows(groups: DataFrame, daily: DataFrame) -> DataFrame:
+    """CPH-1 with a count: the ids and flags that share a quantity are kept beside it (as many as an
+    account has ids, times the flags), so it is not joined back."""
+    shared = groups.groupBy(*_DETAIL).agg(F.sum("_quantity").cast("double").alias("quantity"),
+                                          F.collect_list(F.struct("accountid", "linepackage", "_n")).alias("_shared"))
+    rows = _null_safe_join(shared, daily, KEYS + ["eventdate"]).withColumn("_row", F.explode("_shared"))
+    return rows.select("_row.accountid", *_DETAIL, "_row.linepackage", "quantity", "summrr", "_row._n")
+
+
+def _expanded(rows: DataFrame) -> DataFrame:
+    """Each row as often as its count says, in arrays of bounded length."""
+    n, i = F.col("_n"), F.col("_i")
+    parts = rows.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _COPIES).cast("long"))))
+    copies = F.least(F.lit(_COPIES), n - i * _COPIES).cast("int")
+    return parts.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), copies))).drop("_n", "_i", "_copy")
 
 
 def history_base(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
@@ -91,16 +101,15 @@ def history_base(contracts: DataFrame, summary: DataFrame, event_types: DataFram
 
     Duplicate classification rows multiply lines and sums, as in the original.
     """
-    lines = history_lines(contracts, summary, event_types, item_classifications)
-    daily, _ = _daily(lines)
-    return _rows(lines, daily)
+    groups = history_groups(contracts, summary, event_types, item_classifications)
+    return _expanded(_counted_rows(groups, _daily(groups)[0]))
 
 
-def history_points(base: DataFrame) -> DataFrame:
-    """CPH-2: one point per line with ``event | item | Quantity q``."""
+def history_points(base: DataFrame, *more: str) -> DataFrame:
+    """CPH-2: one point per line with ``event | item | Quantity q`` (and ``more`` columns)."""
     desc = F.concat(F.col("contracteventdescription"), F.lit(" | "), F.col("itemdescription"),
                     F.lit(" | Quantity "), F.col("quantity").cast("string"))
-    return base.select("accountid", "eventdate", "linepackage", "summrr", desc.alias("description"))
+    return base.select("accountid", "eventdate", "linepackage", "summrr", desc.alias("description"), *more)
 
 
 def _daily_points(base: DataFrame) -> DataFrame:
@@ -108,8 +117,9 @@ def _daily_points(base: DataFrame) -> DataFrame:
 
 
 def _step_from_daily(daily: DataFrame) -> DataFrame:
-    w = Window.partitionBy("accountid").orderBy("eventdate")
-    daily = daily.withColumn("_prev", F.lag("_mrr", 1, 0.0).over(w))
+    # the row before is the largest day before, with its MRR
+    daily = prefix_scan(daily, ["accountid"], "eventdate", before={"_last": F.struct("eventdate", "_mrr")})
+    daily = daily.withColumn("_prev", F.when(F.col("_last").isNull(), F.lit(0.0)).otherwise(F.col("_last._mrr")))
     day_before = F.date_sub(F.col("eventdate"), 1)
     values = F.when(F.col("_n") >= 2, F.array(F.col("_prev"), F.col("_mrr"))).otherwise(F.array(F.col("_prev")))
     return (daily.select("accountid", day_before.alias("eventdate"), F.explode(values).alias("summrr"))
@@ -142,17 +152,17 @@ def current_points(base: DataFrame, as_of) -> DataFrame:
 
 
 def contract_history(contracts: DataFrame, summary: DataFrame, event_types: DataFrame,
-                     item_classifications: DataFrame, as_of, checkpoint: bool = True) -> DataFrame:
+                     item_classifications: DataFrame, as_of, checkpoint: bool = True, store: JobStore | None = None) -> DataFrame:
     """CPH-ALL: change points, step points and current points.
 
-    The joined lines feed all three outputs, so they are checkpointed once (in
-    the session's shared checkpoint folder) instead of being re-joined by every
-    branch; the row-level points shuffle them once, and the step and current
-    points come from the per (account id, day) aggregate.
+    The counted rows feed all three outputs, so they are checkpointed once (in
+    the job's ``store`` or the session's shared checkpoint folder); the points are expanded
+    from their counts last, and the step and current points come from the per
+    (account id, day) aggregate.
     """
-    lines = history_lines(contracts, summary, event_types, item_classifications)
+    groups = history_groups(contracts, summary, event_types, item_classifications)
     if checkpoint:
-        lines = checkpoint_shared(lines, "history-lines")
-    daily, per_id = _daily(lines)
-    return (history_points(_rows(lines, daily)).unionByName(_step_from_daily(per_id))
-            .unionByName(_current_from_daily(per_id, as_of)))
+        groups = checkpoint_shared(groups, "history-groups", store)
+    daily, per_id = _daily(groups)
+    points = _expanded(history_points(_counted_rows(groups, daily), "_n"))
+    return points.unionByName(_step_from_daily(per_id)).unionByName(_current_from_daily(per_id, as_of))

@@ -78,14 +78,20 @@ def linked_accountant_log(snapshot: DataFrame, previous_accounts: DataFrame, as_
                           day: _dt.date | None = None, dest: str | None = None,
                           null_safe: bool = False) -> DataFrame:
     """LAL-ALL: read the day's snapshot partition, diff against the previous account
-    state and (with ``dest``) write the day's log partition idempotently.
+    state and (with ``dest``) write the day's log partition idempotently; the log as
+    written is returned.
 
-    Both states are explicit inputs; an empty partition yields an empty log.
+    Both states are explicit inputs; an empty partition yields an empty log, which replaces the
+    day's earlier one.
     """
     if day is not None:
         snapshot = read_ingestion_day(snapshot, day)
     snap, prev = prepare_link_inputs(snapshot, previous_accounts)
     out = link_log(link_changes(entrepreneur_links(snap), prev, null_safe), as_of)
-    if dest is not None and not out.isEmpty():
-        append_log(out, dest)
-    return out
+    if dest is None:
+        return out
+    yesterday = out.sparkSession.range(1).select(F.date_sub(as_date(as_of), 1).alias("d")).first()["d"]
+    if not append_log(out, dest, day=yesterday):
+        return out.sparkSession.createDataFrame([], out.schema)
+    # one run of the plan: what is returned is read back
+    return out.sparkSession.read.schema(out.schema).parquet(dest).where(F.col("date") == F.lit(yesterday)).select(*out.columns)

@@ -13,9 +13,10 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.columns import lenient_integer
 from ledgerlens.operators.normalize import (cast_columns, clean_strings, current_records, drop_metadata,
                                             normalize_environment, null_sentinel_date, rename_columns)
-from ledgerlens.session import checkpoint_shared
+from ledgerlens.session import JobStore, checkpoint_shared
 from ledgerlens.sources.tables import read_ingestion_day
 
 __all__ = ["load_snapshot", "load_contracts", "load_dimension", "load_subsectors", "load_sectors",
@@ -57,18 +58,67 @@ def load_snapshot(snapshot: DataFrame, day: _dt.date | None = None) -> DataFrame
     return normalize_environment(cast_columns(df, booleans=["meta_isdeleted"]))
 
 
-def load_all(snapshot: DataFrame, users: DataFrame, day: _dt.date | None = None, checkpoint: bool = True) -> dict[str, DataFrame]:
+# The dimensions that distinct rows of the snapshot give: key, further columns, and whether the key is required.
+DIMENSIONS = {
+    "subsectors": ("subsectorcode", ["subsectordescription"], True),
+    "sectors": ("sectorcode", ["sectordescription"], True),
+    "resellers": ("resellercode", ["resellername"], True),
+    "accountants": ("accountantcode", ["accountantname"], True),
+    "contracteventtypes": ("eventtype", ["eventdescription"], False),
+}
+_ITEMS, _TYPES = ["environment", "itemcode", "itemdescription"], ["itemcode", "itemtype"]
+_MANAGERS = ["accountmanagercode", "eventdate", "accountmanagername", "businesslinecode", "businesslinedescription", "environment",
+             "meta_load_enddts", "meta_isdeleted"]
+
+
+def grouped_snapshot(snap: DataFrame) -> DataFrame:
+    """Distinct rows of every dimension from one pass over the cleaned snapshot: grouping sets, each with
+    the flag of current rows, ``_set`` (its ``grouping_id``) and ``_rows``, combined map-side."""
+    rows = snap.withColumn("_current", F.coalesce(F.col("meta_load_enddts").isNull() & ~F.col("meta_isdeleted"), F.lit(False)))
+    sets = _grouping_sets()
+    columns = sorted({c for s in sets.values() for c in s})
+    # codes that grouping empties are told from NULL codes by the set
+    rows = rows.select(*columns)
+    return rows.groupingSets([[F.col(c) for c in s] for s in sets.values()], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"))
+
+
+def _grouping_sets() -> dict[str, list[str]]:
+    sets = {name: ["_current", "environment", key, *attrs] for name, (key, attrs, _) in DIMENSIONS.items()}
+    return sets | {"items": ["_current", *_ITEMS], "types": ["_current", *_TYPES], "managers": ["_current", *_MANAGERS]}
+
+
+def _of_set(grouped: DataFrame, name: str) -> DataFrame:
+    """The rows of one grouping set."""
+    sets = _grouping_sets()
+    columns = sorted({c for s in sets.values() for c in s})
+    number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in sets[name])
+    return grouped.where(F.col("_set") == number).select(*sets[name], "_rows")
+
+
+def load_all(snapshot: DataFrame, users: DataFrame, day: _dt.date | None = None, checkpoint: bool = True,
+             store: JobStore | None = None) -> dict[str, DataFrame]:
     """LOAD-0 fan-out: every snapshot-derived table from one cleaned snapshot, which is
-    written once to the shared checkpoint folder (``checkpoint=False``: cleaned for each)."""
+    written once to the job's ``store`` or the shared checkpoint folder (``checkpoint=False``: cleaned for each).
+
+    The stored snapshot is scanned twice: for the contract lines, and for the grouping sets that
+    all seven dimensions are read from (stored as well, a few rows for each code)."""
     snap = load_snapshot(snapshot, day)
     if checkpoint:
-        snap = checkpoint_shared(snap, "snapshot")
-    return {
-        "contracts": load_contracts(snap), "subsectors": load_subsectors(snap), "sectors": load_sectors(snap),
-        "resellers": load_resellers(snap), "accountants": load_accountants(snap),
-        "contracteventtypes": load_event_types(snap), "itemclassifications": load_item_classifications(snap),
-        "accountmanager": load_account_managers(snap, users),
-    }
+        snap = checkpoint_shared(snap, "snapshot", store)
+    grouped = grouped_snapshot(snap)
+    if checkpoint:
+        grouped = checkpoint_shared(grouped, "dimensions", store)
+    current = {n: _of_set(grouped, n).where("_current") for n in [*DIMENSIONS, "items", "types"]}
+    out = {"contracts": load_contracts(snap)}
+    for name, (key, attrs, required) in DIMENSIONS.items():
+        df = current[name].select("environment", key, *attrs)
+        out[name] = df.where(F.col(key).isNotNull()) if required else df
+    out["contracteventtypes"] = out["contracteventtypes"].withColumnsRenamed(_EVENT_TYPE_NAMES)
+    out["itemclassifications"] = _classified(current["items"].select(*_ITEMS), current["types"].where(
+        F.col("itemtype").isNotNull()).select(*_TYPES, F.when(F.col("itemcode").isNull(), 0).otherwise(F.col("_rows")).alias("cn")), "least")
+    out["accountmanager"] = load_account_managers(_of_set(grouped, "managers").select(*_MANAGERS), users)
+    return out
 
 
 def load_contracts(snap: DataFrame) -> DataFrame:
@@ -104,10 +154,12 @@ def load_accountants(snap: DataFrame) -> DataFrame:
     return load_dimension(snap, "accountantcode", ["accountantname"])
 
 
+_EVENT_TYPE_NAMES = {"eventtype": "contracteventtypecode", "eventdescription": "contracteventdescription"}
+
+
 def load_event_types(snap: DataFrame) -> DataFrame:
     """LOAD-6: distinct event types (no key test), renamed to the dimension names."""
-    return (load_dimension(snap, "eventtype", ["eventdescription"], require_key=False)
-            .withColumnsRenamed({"eventtype": "contracteventtypecode", "eventdescription": "contracteventdescription"}))
+    return load_dimension(snap, "eventtype", ["eventdescription"], require_key=False).withColumnsRenamed(_EVENT_TYPE_NAMES)
 
 
 def load_item_classifications(snap: DataFrame, pick: str = "least") -> DataFrame:
@@ -118,9 +170,14 @@ def load_item_classifications(snap: DataFrame, pick: str = "least") -> DataFrame
     smallest type; ``"most"`` the most frequent, ties on the largest.
     """
     cur = current_records(snap)
-    items = cur.select("environment", "itemcode", "itemdescription").distinct()
-    counts = (cur.where(F.col("itemtype").isNotNull()).groupBy("itemcode", "itemtype")
+    items = cur.select(*_ITEMS).distinct()
+    counts = (cur.where(F.col("itemtype").isNotNull()).groupBy(*_TYPES)
               .agg(F.count("itemcode").alias("cn")))
+    return _classified(items, counts, pick)
+
+
+def _classified(items: DataFrame, counts: DataFrame, pick: str) -> DataFrame:
+    """Items with the type that ``counts`` (itemcode, itemtype, cn) picks for their code."""
     order = F.struct(F.col("cn"), F.col("itemtype"))
     agg = F.min(order) if pick == "least" else F.max(order)
     if pick not in ("least", "most"):
@@ -149,7 +206,7 @@ def load_account_managers(snap: DataFrame, users: DataFrame) -> DataFrame:
         "_r.environment")
     u = clean_strings(users, upper=["environment"], all_columns=True).select(
         F.col("environment").alias("_env"), F.col("fullname").alias("_name"),
-        F.col("hid").try_cast("int").alias("_hid"), F.col("userid").alias("accountmanagerid"))
+        lenient_integer("hid").alias("_hid"), F.col("userid").alias("accountmanagerid"))
     j = latest.join(u, (latest["environment"] == u["_env"]) & (latest["accountmanagername"] == u["_name"])
                     & (latest["accountmanagercode"] == u["_hid"]), "left")
     return j.select("accountmanagerid", "accountmanagercode", "accountmanagername", "businesslinecode",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import KEYS, as_date
 
 __all__ = ["month_windows", "month_assignments", "monthly_package", "stamp_month", "monthly_totals",
-           "attach_totals", "monthly_lifetime", "monthly_churn", "monthly_summary", "ARCHIVED_ITEM",
+           "attach_totals", "monthly_lifetime", "monthly_churn", "monthly_groups", "main_packages", "monthly_summary", "ARCHIVED_ITEM",
            "FULL_CANCELLATIONS", "MONTHLY_COLUMNS"]
 
 ARCHIVED_ITEM = "EOL9950"
@@ -127,16 +127,22 @@ TOTALS = ["numberofarchivedadmins", "numberofavailableadmins", "numberofpayingus
           "mrr", "numberofusers"]
 
 
-def monthly_totals(contracts: DataFrame, as_of=None, start: int = 0, end: int = -6) -> DataFrame:
-    """ASM-4: per (account, contract, month) admins, users and MRR of active lines;
-    full cancellations (CFC) count zero, users are zeroed before paying/free split."""
+def _total_values() -> list[Column]:
+    """What ASM-4 sums for each of ``TOTALS``."""
     not_cancelled = F.col("eventtype") != CANCELLED
     users = F.when(not_cancelled, F.col("numberofusers")).otherwise(0)
     admins, vpm, item = F.col("numberofadministrations"), F.col("valuepermonth"), F.col("itemcode")
-    values = [F.when((item == ARCHIVED_ITEM) & not_cancelled, admins), F.when((item != ARCHIVED_ITEM) & not_cancelled, admins),
-              F.when(vpm != 0, users), F.when(vpm == 0, users), F.when(not_cancelled, vpm), users]
+    return [F.when((item == ARCHIVED_ITEM) & not_cancelled, admins).otherwise(0),
+            F.when((item != ARCHIVED_ITEM) & not_cancelled, admins).otherwise(0),
+            F.when(vpm != 0, users).otherwise(0), F.when(vpm == 0, users).otherwise(0),
+            F.when(not_cancelled, vpm).otherwise(0), users]
+
+
+def monthly_totals(contracts: DataFrame, as_of=None, start: int = 0, end: int = -6) -> DataFrame:
+    """ASM-4: per (account, contract, month) admins, users and MRR of active lines;
+    full cancellations (CFC) count zero, users are zeroed before paying/free split."""
     return (_lines(contracts, as_of, start, end).where("active").groupBy(*KEYS, "contractnumber", "m")
-            .agg(*[F.sum(v.otherwise(0) if v is not users else v).alias(n) for n, v in zip(TOTALS, values, strict=True)]))
+            .agg(*[F.sum(v).alias(n) for n, v in zip(TOTALS, _total_values(), strict=True)]))
 
 
 def attach_totals(packages: DataFrame, totals: DataFrame) -> DataFrame:
@@ -162,27 +168,63 @@ def monthly_lifetime(contracts: DataFrame, as_of, start: int = 0, end: int = -6)
                       .alias("commerciallifetimemonths"))
 
 
+def _ends_in_month() -> Column:
+    """ASM-7: 1 for a line that ends by the month's end with a full cancellation."""
+    return F.when((F.col("finaldate") <= F.col("monthend")) & F.col("eventtype").isin(*FULL_CANCELLATIONS), 1).otherwise(0)
+
+
 def monthly_churn(contracts: DataFrame, as_of=None, start: int = 0, end: int = -6) -> DataFrame:
     """ASM-7: per (account, type, contract, month) 1 when a package line overlapping the
     month ends in it with a full cancellation (no event-date test)."""
-    ends = (F.col("finaldate") <= F.col("monthend")) & F.col("eventtype").isin(*FULL_CANCELLATIONS)
     return (_lines(contracts, as_of, start, end).where(F.col("linepackage") == 1)
             .groupBy(*KEYS, "contracttype", "contractnumber", "m")
-            .agg(F.max(F.when(ends, 1).otherwise(0)).alias("churned")))
+            .agg(F.max(_ends_in_month()).alias("churned")))
+
+
+def monthly_groups(lines: DataFrame) -> DataFrame:
+    """The finest grain of ASM-2, 4 and 7, from one pass over the assigned lines: per
+    (account, type, item, contract, month) the package quantity (and how many lines it sums), the
+    totals of active lines and the churn flag of package lines."""
+    active, package = F.col("active"), F.col("linepackage") == 1
+    return lines.groupBy(*KEYS, "contracttype", "itemcode", "contractnumber", "m").agg(
+        F.count(F.when(active & package, 1)).alias("_lines"), F.sum(F.when(active & package, F.col("quantity"))).alias("quantity"),
+        *[F.sum(F.when(active, v)).alias(n) for n, v in zip(TOTALS, _total_values(), strict=True)],
+        F.max(F.when(package, _ends_in_month())).alias("churned"))
+
+
+def main_packages(groups: DataFrame) -> DataFrame:
+    """The main package of each (account, month) with the totals of its contract and the churn
+    flag of its (type, contract), rolled up from :func:`monthly_groups`.
+
+    Each level keeps the first package so far (quantity descending, NULL last; then type, item and
+    contract ascending) and the values of the level that it belongs to ride along, so
+    nothing is joined.  A NULL contract has no totals, a NULL contract or type no churn flag,
+    as a join on them would find none.
+    """
+    q, contract = F.col("quantity"), F.col("contractnumber")
+    totals = [F.sum(n).alias(n) for n in TOTALS]
+    by_type = groups.groupBy(*KEYS, "contracttype", "contractnumber", "m").agg(
+        F.min(F.when(F.col("_lines") > 0, F.struct(q.isNull().alias("k0"), (-q).alias("k1"), "contracttype", "itemcode", "contractnumber"))).alias("_t"),
+        F.max("churned").alias("churned"), *totals)
+    flag = F.when(contract.isNotNull() & F.col("contracttype").isNotNull(), F.col("churned")).alias("churned")
+    by_contract = by_type.groupBy(*KEYS, "contractnumber", "m").agg(
+        F.min(F.when(F.col("_t").isNotNull(), F.struct(F.col("_t").alias("t"), flag))).alias("_t"), *totals)
+    own = F.struct(F.col("_t.t").alias("t"), F.col("_t.churned").alias("churned"), *[F.when(contract.isNotNull(), F.col(n)).alias(n) for n in TOTALS])
+    by_account = by_contract.groupBy(*KEYS, "m").agg(F.min(F.when(F.col("_t").isNotNull(), own)).alias("_t")).where(F.col("_t").isNotNull())
+    return by_account.select(*KEYS, "m", "_t.t.contracttype", "_t.t.itemcode", "_t.t.contractnumber", (-F.col("_t.t.k1")).alias("quantity"),
+                             "_t.churned", *[f"_t.{n}" for n in TOTALS])
 
 
 def monthly_summary(contracts: DataFrame, accounts: DataFrame, as_of, start: int = 0, end: int = -6) -> DataFrame:
     """ASM-ALL: all reporting months in one plan, keyed by ``yearmonth``.
 
-    Each part is an aggregate of the exploded lines at its own grain, combined
-    map-side: the top package per (account, month), totals per (account, contract,
-    month), churn per (account, type, contract, month).  They are joined on their
-    keys; a NULL contract or type finds no totals or churn, as in the original left
-    joins.  No window holds the lines of an account, and AQE may split the joins.
+    The contracts are scanned and exploded into months once and grouped at the finest
+    grain (:func:`monthly_groups`, combined map-side); packages, totals and churn are rolled
+    up from those groups.  One more scan gives the first commercial start of each account.
+    No window holds the lines of an account.
     ``year``/``month`` are the partition columns for :func:`write_month`.
     """
-    lines = month_assignments(contracts, as_of, start, end)
-    r = attach_totals(monthly_package(lines, accounts), monthly_totals(lines))
+    packages = main_packages(monthly_groups(month_assignments(contracts, as_of, start, end)))
+    r = packages.join(_account_ids(accounts), KEYS, "inner").withColumn("yearmonth", _month_columns(F.col("m"))[0])
     r = r.join(monthly_lifetime(contracts, as_of, start, end), KEYS + ["m"], "left")
-    r = r.join(monthly_churn(lines), KEYS + ["contracttype", "contractnumber", "m"], "left")
     return stamp_month(r.withColumnRenamed("itemcode", "packagecode")).select(*MONTHLY_COLUMNS)

@@ -13,21 +13,21 @@ Shape of the computation:
 
 Every "first/last row per account" of the original is an aggregate here
 (``max`` over a struct whose fields spell the sort order, numeric keys negated
-for ascending parts), and every running value is a window over *daily* rows,
-whose size per account is bounded by the number of distinct days.  No window
-ever holds all lines of one account and the quadratic range join of the
-package back-fill is replaced by a running max over earlier days.
+for ascending parts), and every running value is a scan over *daily* rows in two
+levels (``functions.prefix``).  No window ever holds all lines or all days of one account and
+the quadratic range join of the package back-fill is replaced by a running max over earlier days.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import KEYS, as_date
-from ledgerlens.session import checkpoint_shared
+from ledgerlens.functions.prefix import prefix_scan
+from ledgerlens.session import JobStore, checkpoint_shared
 
 __all__ = ["first_link", "link_base", "change_events", "timeline_events", "running_features", "timeline_with_features",
            "linked_as_of_event", "link_events", "overwrite_on_link_date", "timeline_union", "backfill_package",
@@ -111,8 +111,7 @@ def _daily_features() -> list[Column]:
 
 
 def _running(daily: DataFrame) -> DataFrame:
-    w = Window.partitionBy(*KEYS).orderBy("eventdate").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.select(*KEYS, "eventdate", *[F.sum(f).over(w).alias(f) for f in _FEATURES])
+    return prefix_scan(daily.select(*KEYS, "eventdate", *_FEATURES), KEYS, "eventdate", sums={f: f for f in _FEATURES})
 
 
 def running_features(contracts: DataFrame) -> DataFrame:
@@ -218,8 +217,8 @@ def _item_candidates() -> Column:
 
 def _fill_before(days: DataFrame) -> DataFrame:
     """(account, day, _fill): the largest item of strictly earlier days; one row per account-day in and out."""
-    w = Window.partitionBy(*KEYS).orderBy("eventdate").rowsBetween(Window.unboundedPreceding, -1)
-    return days.where(_c("eventdate").isNotNull()).select(*KEYS, "eventdate", F.max("_item").over(w).alias("_fill"))
+    days = days.where(_c("eventdate").isNotNull()).select(*KEYS, "eventdate", "_item")
+    return prefix_scan(days, KEYS, "eventdate", before={"_fill": _c("_item")}).drop("_item")
 
 
 def backfill_package(timeline: DataFrame, contracts: DataFrame) -> DataFrame:
@@ -256,7 +255,7 @@ def _final_rows(timeline: DataFrame) -> DataFrame:
 
 
 def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame, accounts: DataFrame,
-                      cutoff=DEFAULT_LINK_CUTOFF, checkpoint: bool = True) -> DataFrame:
+                      cutoff=DEFAULT_LINK_CUTOFF, checkpoint: bool = True, store: JobStore | None = None) -> DataFrame:
     """ADC-ALL (ADC-15): the daily contract activity timeline.
 
     The output has one row per (account, day, event type), and within such a
@@ -268,9 +267,9 @@ def contract_activity(contracts: DataFrame, log: DataFrame, summary: DataFrame,
     rolled up to days, they give the running features and the back-fill.
 
     The groups and the link base feed several consumers; with ``checkpoint=True``
-    (default) each is written once to the session's shared checkpoint folder.
+    (default) each is written once to the job's ``store`` or the session's shared checkpoint folder.
     """
-    keep = (lambda df, name: checkpoint_shared(df, name)) if checkpoint else (lambda df, name: df)
+    keep = (lambda df, name: checkpoint_shared(df, name, store)) if checkpoint else (lambda df, name: df)
     base = keep(link_base(summary, accounts, log, cutoff), "activity-base")
     event, pkg = _is_timeline_event(), _c("packagecode")
     groups = keep(contracts.groupBy(*KEYS, "eventdate", "eventtype").agg(

@@ -466,11 +466,39 @@ def scratch_path(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/ledgerlens-sinks/{uuid.uuid4().hex}/{name}"
 
 
+def _read_and_drop(spark, entry: str) -> DataFrame:
+    """A catalogued table over files of its own; the entry goes once the plan knows the files."""
+    df = io.read_table(spark, entry, database="default")
+    df._jdf.queryExecution().executedPlan()
+    spark.sql(f"DROP TABLE default.{entry}")
+    return df
+
+
 def _catalogued(spark, sf_dir: str, name: str) -> DataFrame:
     """The table of that name, declared in the session's catalogue over the given files."""
     entry = f"ledgerlens_{name}_{uuid.uuid4().hex}"
     spark.sql(f"CREATE TABLE default.{entry} USING parquet LOCATION '{sf_dir}/{name}.parquet'")
-    return io.read_table(spark, entry, database="default")
+    return _read_and_drop(spark, entry)
+
+
+def bucketed_contracts(spark, contracts: DataFrame, buckets: int = 8) -> DataFrame:
+    """Contracts stored in buckets of accounts and read back through the catalogue."""
+    entry = f"ledgerlens_contracts_{uuid.uuid4().hex}"
+    io.write_bucketed(contracts, entry, ["environment", "accountcode"], buckets, path=scratch_path(spark, "contracts"))
+    return _read_and_drop(spark, entry)
+
+
+@register("ACS-ALL-bucketed", acs_sql.summary_sql(14))
+def _acs_bucketed(spark, sf_dir):
+    """The summary over a bucketed table of prepared contracts: no exchange below its aggregates."""
+    c, a, l = acs.prepare_summary_inputs(*summary_inputs(spark, sf_dir))
+    return acs.contract_summary(bucketed_contracts(spark, c), a, l, AS_OF, LINK_CUTOFF, prepare=False)
+
+
+@register("ADC-15-bucketed", adc_sql("15"))
+def _adc_bucketed(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return adc.contract_activity(bucketed_contracts(spark, fx.contracts), fx.log, summary_input(spark, sf_dir), fx.accounts, LINK_CUTOFF)
 
 
 register("SRC-1", "SELECT * FROM customer")(lambda spark, sf: _catalogued(spark, sf, "customer"))
@@ -553,6 +581,41 @@ register("NRM-9-previous", with_views(["previous_accounts"], [], (
     "FROM previous_accounts")))(lambda spark, sf: _lal_inputs(spark, sf)[1])
 
 
-# Whole-job aliases of the last step of each multi-step family.
-register("NAD-6", nad_sql("ALL"))(dashboard_df)
-register("ADC-ALL", adc_sql("15"))(activity_df)
+# ---------------------------------------------------------------------------
+# The whole jobs: read by name, transform, write; the written table is read back.
+# ---------------------------------------------------------------------------
+from ledgerlens import jobs  # noqa: E402
+
+
+class _Tables:
+    """A job's inputs by the names it reads them by, each a view over the driver tables."""
+
+    NAMES = {"contractstatistics": "snapshot", "config_calendar": "calendar"}
+
+    def __init__(self, spark, sf_dir: str):
+        self.spark, self.sf_dir, self.views = spark, sf_dir, Fixtures(spark, sf_dir)
+
+    def __call__(self, name: str) -> DataFrame:
+        if name == "accountscontract_summary":
+            return summary_input(self.spark, self.sf_dir)
+        return self.views[self.NAMES.get(name, name)]
+
+
+def _job(job, table: str, *args, **options):
+    def run(spark, sf_dir):
+        dest = scratch_path(spark, "domain")
+        job(_Tables(spark, sf_dir), dest, *args, **options)
+        return io.read_table(spark, path=f"{dest}/{table}")
+    return run
+
+
+register("NAD-6", nad_sql("ALL"))(_job(jobs.activity_dashboard, "noactivity_dashboard", AS_OF))
+register("ADC-ALL", adc_sql("15"))(_job(jobs.contract_activity, "activitydaily_contracts", cutoff=LINK_CUTOFF))
+register("JOB-summary", acs_sql.summary_sql(14))(_job(jobs.contract_summary, "accountscontract_summary", AS_OF, cutoff=LINK_CUTOFF))
+register("JOB-history", cph_sql("ALL"))(_job(jobs.contract_history, "customerprofile_contracthistory", AS_OF))
+register("JOB-accounts", acc_sql("8"))(_job(jobs.load_accounts, "accounts", INGESTION_DAY, PROFILE_PREFIX, CARD_TEMPLATES))
+register("JOB-appbilling", load_sql("9"))(_job(jobs.load_raw_tables, "appbillingproposal", INGESTION_DAY))
+register("JOB-opportunities", load_sql("10"))(_job(jobs.load_raw_tables, "opportunities", INGESTION_DAY))
+register("JOB-appusage", load_sql("11"))(_job(jobs.load_raw_tables, "monthlyappusage", INGESTION_DAY))
+register("JOB-contracts", load_sql("1"))(_job(jobs.load_snapshot_tables, "contracts", INGESTION_DAY))
+register("JOB-accountmanager", load_sql("8"))(_job(jobs.load_snapshot_tables, "accountmanager", INGESTION_DAY))

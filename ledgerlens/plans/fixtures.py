@@ -183,7 +183,7 @@ SELECT
   c.c_name AS accountid,
   {_ENV.format(k='c.c_nationkey')} AS environment,
   'Manager ' || CAST(u.user_id % 20 AS STRING) AS fullname,
-  CAST(u.user_id % 20 AS STRING) AS hid
+  CASE WHEN u.user_id % 3 = 1 THEN CAST(u.user_id % 20 AS STRING) || '.0' ELSE CAST(u.user_id % 20 AS STRING) END AS hid
 FROM (SELECT DISTINCT user_id FROM {{events}}) u
 JOIN {{customer}} c ON c.c_custkey = u.user_id
 """

@@ -133,8 +133,8 @@ def _load_ctes() -> list[tuple[str, str]]:
                 businesslinedescription DESC NULLS LAST, environment DESC NULLS LAST, meta_load_enddts DESC NULLS LAST,
                 meta_isdeleted DESC NULLS LAST) AS rn FROM am) t
               WHERE rn = 1 AND meta_load_enddts IS NULL AND NOT meta_isdeleted AND accountmanagercode IS NOT NULL"""),
-        ("uc", """SELECT trim(userid) AS userid, upper(trim(environment)) AS environment, trim(fullname) AS fullname,
-              TRY_CAST(trim(hid) AS INTEGER) AS hid FROM users"""),
+        ("uc", f"""SELECT trim(userid) AS userid, upper(trim(environment)) AS environment, trim(fullname) AS fullname,
+              {lint('hid')} AS hid FROM users"""),
         ("l8", """SELECT uc.userid AS accountmanagerid, am1.accountmanagercode, am1.accountmanagername,
               am1.businesslinecode, am1.businesslinedescription, am1.environment
             FROM am1 LEFT JOIN uc ON am1.environment = uc.environment AND am1.accountmanagername = uc.fullname

@@ -10,7 +10,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on.  AQE re-plans joins (broadcast when the
 # *measured* size is small), coalesces shuffle partitions and splits skewed
@@ -58,22 +59,44 @@ def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str
     return folder.rstrip("/")
 
 
-def checkpoint_shared(df: DataFrame, name: str = "intermediate") -> DataFrame:
-    """Materialise an intermediate that feeds several outputs of one job.
+class JobStore:
+    """Intermediates of one job, in a folder of its own under the session's checkpoint folder
+    (the shared one on a cluster).
 
-    Written once as a parquet table under the session's checkpoint directory (the
-    shared folder on a cluster) and read back: consumers read it instead of recomputing
-    it, the lineage is cut, and a lost executor does not force recomputation.  The
-    folder is the cluster's to clear (``remove_intermediates`` does it after a job's
-    outputs are written): the returned frame is lazy and reads the files later.
+    ``keep`` writes a frame once as a Parquet table and reads it back: consumers read it instead of
+    recomputing it, the lineage is cut, and a lost executor does not force recomputation.
+    Used as a context, the store deletes its folder at the end, when the job's outputs are written;
+    no other job's files are touched.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/ledgerlens-intermediate/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+    def __init__(self, spark: SparkSession, name: str = "job"):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/ledgerlens-jobs/{name}-{uuid.uuid4().hex}"
+        #: Rows of what was kept, by name, counted by the writes.
+        self.rows: dict[str, int] = {}
 
-def remove_intermediates(spark: SparkSession) -> None:
-    """Delete what ``checkpoint_shared`` wrote, once all frames that read it are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/ledgerlens-intermediate")
+    def keep(self, df: DataFrame, name: str = "intermediate") -> DataFrame:
+        path, seen = f"{self.folder}/{name}-{uuid.uuid4().hex}", Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        self.rows[name] = seen.get["n"]
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        remove_folder(self.spark, self.folder)
+
+    def __enter__(self) -> JobStore:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.remove()
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def checkpoint_shared(df: DataFrame, name: str = "intermediate", store: JobStore | None = None) -> DataFrame:
+    """Materialise an intermediate that feeds several outputs of one job: in the job's ``store``, which deletes
+    it, or (a frame that is returned lazily has no end) in a store of its own, which the cluster clears."""
+    return (store or JobStore(df.sparkSession)).keep(df, name)

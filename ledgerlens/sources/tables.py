@@ -7,15 +7,20 @@ Sinks never force a number of output files: at scale one file means one task.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.session import remove_folder
+
 __all__ = [
     "read_table",
     "read_ingestion_day",
     "snapshot_jdbc",
+    "counted",
     "write_table",
+    "write_bucketed",
     "append_log",
     "write_month",
     "write_if_nonempty",
@@ -68,6 +73,13 @@ def snapshot_jdbc(spark: SparkSession, url: str, table: str, dest: str, properti
     return spark.read.parquet(dest)
 
 
+def counted(df: DataFrame, condition: Column | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its rows (``n``; only those of ``condition``), filled by the
+    action that writes it: nothing runs a second time to learn whether there are any."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1) if condition is None else F.when(condition, 1)).alias("n")), seen
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """SNK-1: write Parquet.  AQE sizes the output tasks; partitioned output is gathered
     by partition first."""
@@ -77,6 +89,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         df.write.mode(mode).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None, database: str = "default") -> None:
+    """SNK-1 into the catalogue: a Parquet table bucketed and sorted by ``keys``, for the jobs that group
+    or join on them: their first aggregate then needs no exchange.
+
+    A bucket is one file, written and later read by one task, so this suits keys of which none
+    holds a large part of the rows; a table with such a key is better left unbucketed (its partial
+    aggregates are then spread).  ``path`` makes the table external."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(f"{database}.{name}")
+
+
 def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
     """Overwrite only the partitions present in ``df``, as an option of this one write.
     The rebalance gathers a partition's rows, splits large ones, and so bounds the files."""
@@ -84,13 +107,19 @@ def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
      .partitionBy(*columns).parquet(path))
 
 
-def append_log(df: DataFrame, path: str, date_col: str = "date") -> None:
-    """SNK-2: add a day's log rows.
+def append_log(df: DataFrame, path: str, date_col: str = "date", day: _dt.date | None = None) -> int:
+    """SNK-2: add a day's log rows; returns how many were written.
 
     Partitioned by day: re-running a day replaces that day instead of appending
-    duplicates.  A re-run without rows names no day and so leaves what is there.
+    duplicates.  With ``day`` that day is replaced by the rows given even if there are none:
+    its partition then goes, and no other.  Without it, a run without rows leaves what is there.
     """
-    _replace_partitions(df, path, date_col)
+    rows, seen = counted(df)
+    own, of_day = counted(rows, None if day is None else F.col(date_col) == F.lit(day))
+    _replace_partitions(own, path, date_col)
+    if day is not None and not of_day.get["n"]:
+        remove_folder(df.sparkSession, f"{path}/{date_col}={day.isoformat()}")
+    return seen.get["n"]
 
 
 def write_month(df: DataFrame, path: str, year_col: str = "year", month_col: str = "month") -> None:
@@ -98,9 +127,22 @@ def write_month(df: DataFrame, path: str, year_col: str = "year", month_col: str
     _replace_partitions(df, path, year_col, month_col)
 
 
-def write_if_nonempty(df: DataFrame, write, *args, **kwargs) -> bool:
-    """SNK-4: skip empty inputs.  ``isEmpty`` reads at most one row, not a full count."""
-    if df.isEmpty():
+def write_if_nonempty(df: DataFrame, write, path: str, seen: Observation | None = None, **kwargs) -> bool:
+    """SNK-4: skip empty inputs.  The rows are counted by the write itself, which goes to a folder beside
+    ``path``; that takes its place only if there are any.  Returns whether it did.
+
+    ``seen`` is an observation (see :func:`counted`) below ``df`` that decides instead of its own rows."""
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    if seen is None:
+        df, seen = counted(df)
+    write(df, staged, **kwargs)
+    if not seen.get["n"]:
+        remove_folder(spark, staged)
         return False
-    write(df, *args, **kwargs)
+    remove_folder(spark, path)
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{staged} was not moved to {path}")
     return True
