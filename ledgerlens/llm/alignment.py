@@ -32,9 +32,9 @@ from ledgerlens.llm.storage import stored
 from ledgerlens.llm.tokenfile import decode, encode
 
 #: Bytes of text in a block; a longer text is a block of its own and is aligned in parts.
-TEXT_SLICE = 12 << 20
+TEXT_SLICE = 4 << 20
 #: Chunks that a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Chunks that are aligned at once, and encoded in one string.
 ENCODED, JOINED = 20_000, 32
 
@@ -86,16 +86,14 @@ def safe_ends(raw: np.ndarray) -> np.ndarray:
 def cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Positions at which a chunk begins: the start of each text, and each space after a
     character that is none, unless only spaces follow in the text."""
-    n = len(raw)
-    safe = safe_ends(raw)
     begins = raw == SPACE
-    begins[1:] &= safe[:-1]
-    begins[:1] = False
-    # behind the last other byte of a text nothing is cut
-    last = np.zeros(n + 1, np.int64)
-    last[1:] = np.maximum.accumulate(np.where(raw != SPACE, np.arange(1, n + 1), 0))
-    ends = np.repeat(last[offsets[1:]], np.diff(offsets))
-    begins &= np.arange(n) < ends
+    begins[1:] &= safe_ends(raw)[:-1]
+    # nothing is cut off that is only spaces: a run of them can be cut at its first one
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        if b > a and raw[b - 1] == SPACE:
+            others = np.flatnonzero(raw[a:b] != SPACE)
+            if len(others):
+                begins[a + others[-1] + 1] = False
     begins[offsets[:-1][np.diff(offsets) > 0]] = True
     return np.flatnonzero(begins)
 
