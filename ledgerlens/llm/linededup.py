@@ -5,17 +5,22 @@ lines match when the Jaccard similarity of their sets is at least ``PERCENT`` /
 
 1. Word counts of the whole corpus go into a sketch of fixed size.  It orders the
    words of a line from rare to frequent (ties by hash).
-2. Lines of equal sets: all but the first are removed.
-3. Lines that match share a word among the first n - ceil(0.8 n) + 1 of each: those
-   prefixes are posted by word.  In a word's list, pairs must also pass the length
-   filter, the positional filter and a bitmap bound of their difference.  A line is
-   paired with the ``EARLIEST`` earlier lines that pass, for a start.
-4. Pairs are verified on the full sets; a line with an earlier match is removed.
+2. Each line is posted once by the hash of its set: of equal sets all but the first line are
+   removed (a task sends only its first one).  Lines of more than three words are also posted by
+   the words of their prefix, the first n - ceil(0.8 n) + 1: lines that match share one of those.
+   Postings are dealt to groups of lists as packed arrays.
+3. In a word's list, pairs must also pass the length filter, the positional filter and a bitmap
+   bound of their difference.  A line is paired with the ``EARLIEST`` earlier lines that pass, for a start.
+4. Pairs are verified on the full sets, which are read from the texts for the lines in pairs
+   only; a line with an earlier match is removed.
 5. A line that had more earlier candidates than were tried, and no match among them,
-   is then paired with all of them.  Lists of very frequent words are divided at
-   random in step 3 and completed here.
+   is then paired with all of them, by word and band of sizes.  Lists of very frequent words are
+   divided at random in step 2 and completed here.
 
-Lists of up to three words match equal sets only and are not posted.
+Lists of up to three words match equal sets only and are not posted by word.
+
+A line is known by its doc_id, the 64-bit hash of its text and its number.  Words are compared by some 46 bits
+of their hash (42 and the count's byte) inside a line, 32 in lists, 40 when pairs are verified; sets by 64.
 """
 
 from __future__ import annotations
@@ -39,7 +44,7 @@ EARLIEST = 6
 COUNTER_BITS = 20
 BLOCK = 1 << 12
 #: Text whose postings make one group of lists (a posting for each 35 bytes or so).
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 16 << 20
 #: Lists of words that occur more often than this are divided.
 LONG_LIST = 1_000_000
 #: Of a longer list, only so many of the earliest lines are partners at first.
@@ -48,47 +53,63 @@ PARTNERS = 5_000
 PAIRS = 1 << 20
 #: Equal lines that a task leaves out after the first; forgotten at this many.
 SEEN = 500_000
+#: Postings that a task holds before it sends them.
+HELD = 400_000
 
-#: Bits of a word's hash; the other 22 number the lines of a slice of texts.
+#: Lines handled at once; their numbers and the words' order share 64 bits.
+LINES_BITS = 14
 WORD_BITS = 42
+U64 = np.uint64
 
 LAST = (1 << 63) - 1
-LINE_BITS = 32
+LINE = ["doc", "key", "line"]
 
 
 def line_order() -> list[Column]:
-    return [F.coalesce(F.col("doc_id"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("text_key")]
+    """doc (null doc_ids last) and key of a document: rows of one doc_id and text are one."""
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit("no doc_id"))).otherwise(F.xxhash64("text"))
+    return [F.coalesce(F.col("doc_id"), F.lit(LAST)).alias("doc"), key.alias("key")]
+
+
+def line_hash(doc: np.ndarray, key: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """64 bits for a line (or, with line -1, a text), for the bitmaps."""
+    with np.errstate(over="ignore"):
+        return tw.mix(tw.mix(doc.view(U64) + U64(1)) ^ (key.view(U64) + line.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15))).view(np.int64)
 
 
 class Lines:
-    """Word sets of the lines of some texts."""
-
-    def __init__(self, texts: pa.Array):
-        split = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), "\n")
-        lines = split.flatten()
-        n_lines = split.value_lengths().to_numpy().astype(np.int64)
-        self.text = np.repeat(np.arange(len(texts)), n_lines)
-        self.number = np.arange(len(lines)) - np.repeat(np.cumsum(n_lines) - n_lines, n_lines)
+    """Word sets of some lines, each from rare to frequent words.  The words of line i are
+    ``words[first[i]:first[i] + size[i]]``: level of the count, then bits of the hash."""
+
+    def __init__(self, lines: pa.Array, level_of: np.ndarray):
         words = tw.words_of(lines, tw.SPACE_SEPARATED, tw.LOWER)
-        owner = words.text_of()
-        # one sort of (line, word); words are told apart by WORD_BITS of their hash
-        both = np.unique((owner.astype(np.uint64) << np.uint64(WORD_BITS)) | (words.hash >> np.uint64(64 - WORD_BITS)))
-        self.words, self.owner = both & np.uint64((1 << WORD_BITS) - 1), (both >> np.uint64(WORD_BITS)).astype(np.int64)
-        self.size = np.bincount(self.owner, minlength=len(lines))
+        n = len(lines)
+        level = level_of[bucket_of(words.hash)].astype(U64)
+        owner = words.text_of().astype(U64)
+        both = tw.distinct((owner << U64(64 - LINES_BITS)) | (level << U64(WORD_BITS)) | (words.hash >> U64(64 - WORD_BITS)))
+        self.words, self.owner = both & U64((1 << (64 - LINES_BITS)) - 1), (both >> U64(64 - LINES_BITS)).astype(np.int64)
+        self.size = np.bincount(self.owner, minlength=n)
         self.first = np.cumsum(self.size) - self.size
         with np.errstate(over="ignore"):
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(tw.mix(self.words + np.uint64(1)))])
-            self.set = tw.mix(sums[self.first + self.size] - sums[self.first] + self.size.astype(np.uint64))
+            sums = np.concatenate([[U64(0)], np.cumsum(tw.mix(self.words + U64(1)))])
+            self.set = tw.mix(sums[self.first + self.size] - sums[self.first] + self.size.astype(U64))
 
 
-def line_ids(text_keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """One long for a text (of one doc_id) and a line, in order of lines."""
-    return ((text_keys & ((1 << 31) - 1)) << LINE_BITS) | numbers
+def line_blocks(batch: pa.RecordBatch, level_of: np.ndarray) -> Iterator[tuple[dict[str, np.ndarray], Lines]]:
+    """(doc, key and line, word sets) of the lines of some texts, a block at a time."""
+    split = pc.split_pattern(pc.fill_null(batch.column("text").cast(pa.large_string()), ""), "\n")
+    lines, n_lines = split.flatten(), split.value_lengths().to_numpy().astype(np.int64)
+    text = np.repeat(np.arange(batch.num_rows), n_lines)
+    number = np.arange(len(lines)) - np.repeat(np.cumsum(n_lines) - n_lines, n_lines)
+    doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
+    for i in range(0, len(lines), 1 << LINES_BITS):
+        own = slice(i, i + (1 << LINES_BITS))
+        yield {"doc": doc[text[own]], "key": key[text[own]], "line": number[own]}, Lines(lines.slice(i, 1 << LINES_BITS), level_of)
 
 
-def bucket_of(words: np.ndarray) -> np.ndarray:
-    """Counter of words given by ``WORD_BITS`` of their hash."""
-    return (words & np.uint64((1 << COUNTER_BITS) - 1)).astype(np.int64)
+def bucket_of(hashes: np.ndarray) -> np.ndarray:
+    """Counter of words."""
+    return (hashes & U64((1 << COUNTER_BITS) - 1)).astype(np.int64)
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
@@ -98,7 +119,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in tw.small_batches(batches, "text"):
             words = tw.words_of(batch.column("text"), tw.SPACE_SEPARATED, tw.LOWER)
-            total += np.bincount(bucket_of(words.hash >> np.uint64(64 - WORD_BITS)), minlength=len(total))
+            np.add.at(total, bucket_of(words.hash), 1)
         parts = total.reshape(-1, BLOCK)
         held = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([zlib.compress(parts[i].tobytes(), 1) for i in held], pa.binary())], ["block", "counts"])
@@ -115,76 +136,132 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def all_lines(docs: DataFrame) -> DataFrame:
-    """doc, line, set of every line that has words."""
+def needed(size: np.ndarray, percent: int) -> np.ndarray:
+    """Words that a match of a line of this size must share with it at least."""
+    return -(-size * percent // 100)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tw.small_batches(batches, "text"):
-            lines = Lines(batch.column("text"))
-            ok = np.flatnonzero(lines.size)
-            text = pa.array(lines.text[ok])
-            ids = line_ids(batch.column("text_key").take(text).to_numpy(), lines.number[ok])
-            yield pa.RecordBatch.from_arrays([batch.column("doc").take(text), pa.array(ids), pa.array(lines.set[ok].view(np.int64))], ["doc", "line", "set"])
 
-    return docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, line bigint, set bigint")
+# --- postings ----------------------------------------------------------------------
+#: What is sent for a line, and for a posting (``at`` is its line in the same message).
+LINE_KINDS = {"doc": "<i8", "key": "<i8", "line": "<i4", "size": "<i4", "bits": "<u8", "twin": "<u4"}
+POST_KINDS = {"word": "<u4", "salt": "<u4", "at": "<u4", "place": "<i4"}
+SET_KINDS = {"set": "<u8", "doc": "<i8", "key": "<i8", "line": "<i4"}
 
 
-def needed(size: np.ndarray, percent: int) -> np.ndarray:
-    """Words that a match of a line of this size must share with it at least."""
-    return -(-size * percent // 100)
+def prefixes(ids: dict[str, np.ndarray], lines: Lines, use: np.ndarray, percent: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """(lines, postings) of the lines to ``use`` that have more than three words; ``salt`` is the word's level, until its list is divided."""
+    use = use & (lines.size > 3)
+    rows = np.flatnonzero(use)
+    place = np.arange(len(lines.words)) - lines.first[lines.owner]
+    sent = np.flatnonzero(use[lines.owner] & (place <= lines.size[lines.owner] - needed(lines.size[lines.owner], percent)))
+    bits = np.zeros(len(lines.size), U64)
+    full = np.flatnonzero(lines.size)
+    if len(full):
+        bits[full] = np.bitwise_or.reduceat(U64(1) << (lines.words & U64(63)), lines.first[full])
+    number = np.cumsum(use) - 1
+    words = lines.words[sent]
+    return ({"doc": ids["doc"][rows], "key": ids["key"][rows], "line": ids["line"][rows], "size": lines.size[rows], "bits": bits[rows], "twin": lines.set[rows] >> U64(32)},
+            {"word": words >> U64(WORD_BITS - 32) & U64(0xFFFFFFFF), "salt": words >> U64(WORD_BITS), "at": number[lines.owner[sent]], "place": place[sent]})
+
 
+def packed(columns: dict[str, np.ndarray], kinds: dict[str, str]) -> bytes:
+    return b"".join(np.ascontiguousarray(columns[n].astype(k)).tobytes() for n, k in kinds.items())
 
-def postings(docs: DataFrame, levels: np.ndarray, percent: int, only_texts: np.ndarray | None = None, only_words: np.ndarray | None = None) -> DataFrame:
-    """doc, line, word (32 bits of its hash), level, place (in the prefix), size, bits (bitmap
-    of the set), twin (32 bits of the set's hash).  ``only_texts`` and ``only_words`` are
-    bitmaps of the text keys and words that are asked for."""
-    sent = docs.sparkSession.sparkContext.broadcast((levels, only_texts, only_words))
-    kinds = {"doc": pa.int64(), "line": pa.int64(), "word": pa.int32(), "level": pa.int32(), "place": pa.int32(), "size": pa.int32(),
-             "bits": pa.int64(), "twin": pa.int32()}
+
+def unpacked(blob: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
+    n, at, out = len(blob) // sum(np.dtype(k).itemsize for k in kinds.values()), 0, {}
+    for name, k in kinds.items():
+        out[name] = np.frombuffer(blob, k, n, at)
+        at += n * np.dtype(k).itemsize
+    return out
+
+
+def joined(parts: list[dict[str, np.ndarray]], kinds: dict[str, str]) -> dict[str, np.ndarray]:
+    return {n: np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, k) for n, k in kinds.items()}
+
+
+def posted(docs: DataFrame, levels: np.ndarray, percent: int, groups: int) -> DataFrame:
+    """Messages to the groups: (group, lines, posts, sets, copies).  ``sets`` are lines by the hash of their set,
+    ``copies`` lines that have an equal earlier one in their task."""
+    sent = docs.sparkSession.sparkContext.broadcast(levels)
+
+    def messages(lines: list, posts: list, sets: list, copies: list) -> Iterator[pa.RecordBatch]:
+        base = np.cumsum([0] + [len(x["doc"]) for x in lines])
+        posts = [p | {"at": p["at"] + b} for p, b in zip(posts, base[:-1], strict=True)]
+        lines, posts, sets, copies = joined(lines, LINE_KINDS), joined(posts, POST_KINDS), joined(sets, SET_KINDS), joined(copies, SET_KINDS)
+        # a list is no longer than its word's count; a list that may be long is divided at random
+        parts = np.ceil(np.exp2(posts["salt"].astype(np.int64) / 4) / LONG_LIST).astype(np.int64)
+        own = line_hash(*(lines[n] for n in LINE))[posts["at"].astype(np.int64)].view(U64) >> U64(8)
+        salt = np.where(parts > 1, own.astype(np.int64) % np.maximum(parts, 1) + 1, 0) & 0xFFFFFFFF
+        posts["salt"] = salt
+        post_group = (tw.mix(posts["word"].astype(U64) + (salt.astype(U64) << U64(32))) % U64(groups)).astype(np.int64)
+        set_group = (tw.mix(sets["set"].astype(U64)) % U64(groups)).astype(np.int64)
+        copy_group = np.arange(len(copies["doc"])) % groups
+        orders = [(np.argsort(g, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(g, minlength=groups))])) for g in (post_group, set_group, copy_group)]
+        rows = []
+        for g in range(groups):
+            mine = [o[e[g]:e[g + 1]] for o, e in orders]
+            if not any(map(len, mine)):
+                continue
+            held, at = np.unique(posts["at"][mine[0]], return_inverse=True)
+            post = {n: posts[n][mine[0]] for n in POST_KINDS} | {"at": at}
+            rows.append((g, packed({n: lines[n][held] for n in LINE_KINDS}, LINE_KINDS), packed(post, POST_KINDS),
+                         packed({n: sets[n][mine[1]] for n in SET_KINDS}, SET_KINDS), packed({n: copies[n][mine[2]] for n in SET_KINDS}, SET_KINDS)))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)],
+                                             ["group", "lines", "posts", "sets", "copies"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level_of = sent.value
+        seen: dict[int, tuple[int, int, int]] = {}  # the earliest line so far of each set
+        held, size = ([], [], [], []), 0
+        for batch in tw.small_batches(batches, "text"):
+            for ids, lines in line_blocks(batch, level_of):
+                first, copy = np.zeros(len(lines.size), bool), np.zeros(len(lines.size), bool)
+                full = np.flatnonzero(lines.size)
+                places = zip(*(ids[n][full].tolist() for n in LINE), strict=True)
+                for i, s, at in zip(full.tolist(), lines.set[full].tolist(), places, strict=True):
+                    if (before := seen.get(s)) is None or at < before:
+                        seen[s] = at
+                        first[i] = True
+                    elif at > before:
+                        copy[i] = True
+                if len(seen) > SEEN:
+                    seen = {}
+                for out, part in zip(held, (*prefixes(ids, lines, first, percent), *[
+                        {"set": lines.set[x]} | {n: ids[n][x] for n in LINE} for x in (first, copy)]), strict=True):
+                    out.append(part)
+                size += len(held[1][-1]["at"]) + int(first.sum() + copy.sum())
+                if size > HELD:
+                    yield from messages(*held)
+                    held, size = ([], [], [], []), 0
+        if size:
+            yield from messages(*held)
+
+    return docs.select(*line_order(), "text").mapInArrow(run, "group int, lines binary, posts binary, sets binary, copies binary")
+
+
+def posting_rows(docs: DataFrame, levels: np.ndarray, percent: int, only_lines: np.ndarray | None = None, only_words: np.ndarray | None = None) -> DataFrame:
+    """Postings as rows (doc, key, line, word, place, size, bits, twin) of the lines, or by the words, that may be in a bitmap."""
+    sent = docs.sparkSession.sparkContext.broadcast((levels, only_lines, only_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level_of, texts, asked = sent.value
-        seen: dict[int, tuple[int, int]] = {}  # the earliest line so far of each set
+        level_of, asked_lines, asked_words = sent.value
         for batch in tw.small_batches(batches, "text"):
-            if texts is not None:
-                batch = batch.filter(pa.array(in_bitmap(texts, batch.column("text_key").to_numpy() & ((1 << 31) - 1))))
-                seen = {}  # lines are asked for, not sets
-            lines = Lines(batch.column("text"))
-            level = level_of[bucket_of(lines.words)]
-            order = np.lexsort((lines.words, level, lines.owner))
-            words, level, owner = lines.words[order], level[order], lines.owner
-            place = np.arange(len(words)) - lines.first[owner]
-            one = np.uint64(1) << (lines.words & np.uint64(63))
-            bits = np.zeros(len(lines.size), np.uint64)
-            full = np.flatnonzero(lines.size)
-            if len(full):
-                bits[full] = np.bitwise_or.reduceat(one, lines.first[full])
-            use = np.zeros(len(lines.size), bool)
-            doc_of, key_of = batch.column("doc").to_numpy(), batch.column("text_key").to_numpy()
-            long = np.flatnonzero(lines.size > 3)
-            places = zip(doc_of[lines.text[long]].tolist(), line_ids(key_of[lines.text[long]], lines.number[long]).tolist(), strict=True)
-            for i, s, at in zip(long.tolist(), lines.set[long].tolist(), places, strict=True):
-                if texts is not None or s not in seen or at < seen[s]:
-                    seen[s] = at
-                    use[i] = True
-            if len(seen) > SEEN:
-                seen = {}
-            short = (words >> np.uint64(WORD_BITS - 32)).astype(np.uint32).view(np.int32)
-            ok = use[owner] & (place <= lines.size[owner] - needed(lines.size[owner], percent))
-            if asked is not None:
-                ok &= in_bitmap(asked, short)
-            at = np.flatnonzero(ok)
-            own = owner[at]
-            text = pa.array(lines.text[own])
-            cols = {"doc": batch.column("doc").take(text), "line": line_ids(batch.column("text_key").take(text).to_numpy(), lines.number[own]),
-                    "word": short[at], "level": level[at], "place": place[at], "size": lines.size[own], "bits": bits[own].view(np.int64),
-                    "twin": (lines.set[own] >> np.uint64(32)).astype(np.uint32).view(np.int32)}
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[n]) for n, c in cols.items()], list(cols))
-
-    return docs.select(*line_order(), "text").mapInArrow(
-        run, "doc bigint, line bigint, word int, level int, place int, size int, bits bigint, twin int")
+            for ids, lines in line_blocks(batch, level_of):
+                use = np.ones(len(lines.size), bool) if asked_lines is None else in_bitmap(asked_lines, line_hash(*(ids[n] for n in LINE)))
+                rows, posts = prefixes(ids, lines, use, percent)
+                ok = np.ones(len(posts["at"]), bool) if asked_words is None else in_bitmap(asked_words, posts["word"])
+                at = posts["at"][ok]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows["doc"][at]), pa.array(rows["key"][at]), pa.array(rows["line"][at], pa.int32()), pa.array(posts["word"][ok].astype(np.int64)),
+                     pa.array(posts["place"][ok], pa.int32()), pa.array(rows["size"][at], pa.int32()), pa.array(rows["bits"][at].view(np.int64)),
+                     pa.array(rows["twin"][at].astype(np.int64))], ["doc", "key", "line", "word", "place", "size", "bits", "twin"])
+
+    return docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, key bigint, line int, word bigint, place int, size int, bits bigint, twin bigint")
 
 
+# --- pairs -------------------------------------------------------------------------
 def may_match(size_a, size_b, place_a, place_b, apart, least, percent: int):
     """Length, positional and bitmap filters; ``apart``: differing bits of the bitmaps,
     ``least``: the least of two numbers.  For numpy arrays and for columns alike."""
@@ -197,26 +274,66 @@ def may_match(size_a, size_b, place_a, place_b, apart, least, percent: int):
     return length & positional & bitmap
 
 
+FOUND = ("kind int, doc bigint, key bigint, line int, early_doc bigint, early_key bigint, early_line int, hash bigint, early_hash bigint, "
+         "text_hash bigint, early_text_hash bigint")
+GONE, PAIR, MORE = 0, 1, 2
+
+
+def _found(kind: int, late: dict[str, np.ndarray], early: dict[str, np.ndarray] | None = None) -> pa.Table:
+    n = len(late["doc"])
+    out = {"kind": pa.array(np.full(n, kind), pa.int32())}
+    hashes = {}
+    for side, rows in (("", late), ("early_", early)):
+        for name in LINE:
+            out[side + name] = pa.nulls(n, pa.int32() if name == "line" else pa.int64()) if rows is None else pa.array(
+                rows[name].astype(np.int32 if name == "line" else np.int64))
+        for name, line in (("hash", None), ("text_hash", -1)):
+            hashes[side + name] = pa.nulls(n, pa.int64()) if rows is None else pa.array(
+                line_hash(rows["doc"], rows["key"], rows["line"] if line is None else np.full(n, -1)))
+    return pa.table(out | {c: hashes[c] for c in ("hash", "early_hash", "text_hash", "early_text_hash")})
+
+
+def _take(rows: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
+    return {n: rows[n][at] for n in LINE}
+
+
+def equal_sets(sets: dict[str, np.ndarray]) -> pa.Table:
+    """Lines that have an equal set in an earlier line."""
+    order = np.lexsort([sets[n] for n in ("line", "key", "doc", "set")])
+    rows = {n: v[order] for n, v in sets.items()}
+    opens = np.append(True, rows["set"][1:] != rows["set"][:-1])[:len(order)]
+    start = np.flatnonzero(opens)[np.cumsum(opens) - 1] if len(order) else np.zeros(0, np.int64)
+    gone = np.any([rows[n] != rows[n][start] for n in LINE], axis=0)
+    return _found(GONE, _take(rows, gone))
+
+
 def list_pairs(table: pa.Table, percent: int) -> pa.Table:
-    """(doc, line, early_doc, early_line, more) for the word lists of one group; ``more``
-    rows, without a partner, name lines whose list has candidates that were not tried."""
-    names = ("word", "salt", "twin", "bits", "size", "doc", "line", "place")
-    col = {n: table.column(n).to_numpy() for n in ("doc", "line", "bits")}
-    word_twin, shape = table.column("word_twin").to_numpy(), table.column("shape").to_numpy()
-    col |= {"word": word_twin >> 32, "twin": word_twin & 0xFFFFFFFF, "salt": (shape >> 48) - 1, "size": (shape >> 24) & 0xFFFFFF, "place": shape & 0xFFFFFF}
-    # of lines of equal sets, the first stands for all: the others are removed anyway
-    order = np.lexsort([col[n] for n in ("line", "doc", "size", "bits", "twin", "salt", "word")])
-    same = np.all([col[n][order[1:]] == col[n][order[:-1]] for n in ("word", "salt", "twin", "bits", "size")], axis=0)
-    order = order[np.append(True, ~same)[:len(order)]]
-    order = order[np.lexsort([col[n][order] for n in ("line", "doc", "salt", "word")])]
-    col = {n: v[order] for n, v in col.items()}
-    n = len(col["word"])
-    opens = np.ones(n, bool)
-    opens[1:] = (col["word"][1:] != col["word"][:-1]) | (col["salt"][1:] != col["salt"][:-1])
-    start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
+    """Rows of ``FOUND`` for one group: copies, pairs, and lines (``MORE``) whose lists have candidates that were not tried."""
+    blobs = {c: table.column(c).to_pylist() for c in ("lines", "posts", "sets", "copies")}
+    lines, posts = [unpacked(x, LINE_KINDS) for x in blobs["lines"]], [unpacked(x, POST_KINDS) for x in blobs["posts"]]
+    base = np.cumsum([0] + [len(x["doc"]) for x in lines])
+    posts = joined([p | {"at": p["at"].astype(np.int64) + b} for p, b in zip(posts, base[:-1], strict=True)], POST_KINDS)
+    lines = joined(lines, LINE_KINDS)
+    out = [equal_sets(joined([unpacked(x, SET_KINDS) for x in blobs["sets"]], SET_KINDS)),
+           _found(GONE, joined([unpacked(x, SET_KINDS) for x in blobs["copies"]], SET_KINDS))]
+    # a number for each line in order, one for lines of equal sets: the first stands for all, the others are removed anyway
+    order = np.lexsort([lines[n] for n in ("line", "key", "doc")])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    at = posts["at"].astype(np.int64)
+    salt = posts["salt"].astype(np.int64)
+    word = posts["word"].astype(np.int64) | salt << 32  # the parts of a divided list are lists of their own
+    twins = np.lexsort([rank[at], lines["bits"][at], lines["twin"][at], lines["size"][at], word])
+    same = np.all([x[twins[1:]] == x[twins[:-1]] for x in (word, lines["size"][at], lines["twin"][at], lines["bits"][at])], axis=0)
+    use = twins[np.append(True, ~same)[:len(twins)]]
+    use = use[np.lexsort([rank[at[use]], word[use]])]
+    word, at, salt, place = word[use], at[use], salt[use], posts["place"][use].astype(np.int64)
+    size, bits = lines["size"][at].astype(np.int64), lines["bits"][at]
+    n = len(at)
+    opens = np.append(True, word[1:] != word[:-1])[:n]
+    start = np.flatnonzero(opens)[np.cumsum(opens) - 1] if n else np.zeros(0, np.int64)
     earlier = np.minimum(np.arange(n) - start, PARTNERS)
-    size, place, bits = col["size"].astype(np.int64), col["place"].astype(np.int64), col["bits"].view(np.uint64)
-    late, early, short = [], [], [np.flatnonzero((col["salt"] >= 0) | (np.arange(n) - start > PARTNERS))]
+    late, early, short = [], [], [np.flatnonzero((salt > 0) | (np.arange(n) - start > PARTNERS))]
     upto = np.cumsum(earlier)
     i = 0
     while i < n:
@@ -225,120 +342,171 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
         b = tw.ranges(start[i:j], earlier[i:j])
         ok = may_match(size[a], size[b], place[a], place[b], np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64), np.minimum, percent)
         a, b = a[ok], b[ok]
-        new = np.ones(len(a), bool)
-        new[1:] = a[1:] != a[:-1]
+        new = np.append(True, a[1:] != a[:-1])[:len(a)]
         nth = np.arange(len(a)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(a) else np.zeros(0, np.int64)
-        late.append(a[nth < EARLIEST])
-        early.append(b[nth < EARLIEST])
+        late.append(at[a[nth < EARLIEST]])
+        early.append(at[b[nth < EARLIEST]])
         short.append(a[nth == EARLIEST])
         i = j
-    late, early, short = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (late, early, short))
-    short = short[np.unique(np.stack([col["doc"][short], col["line"][short]]), axis=1, return_index=True)[1]] if len(short) else short
-    none = np.zeros(len(short), np.int64)
-    return pa.table({"doc": np.concatenate([col["doc"][late], col["doc"][short]]), "line": np.concatenate([col["line"][late], col["line"][short]]),
-                     "early_doc": np.concatenate([col["doc"][early], none]), "early_line": np.concatenate([col["line"][early], none]),
-                     "more": np.concatenate([np.zeros(len(late), bool), np.ones(len(short), bool)])})
+    late, early = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (late, early))
+    both = tw.distinct(late * max(1, len(order)) + early)
+    late, early = np.divmod(both, max(1, len(order)))
+    short = tw.distinct(at[np.concatenate(short)])
+    out += [_found(PAIR, _take(lines, late), _take(lines, early)), _found(MORE, _take(lines, short))]
+    return pa.concat_tables(out)
 
 
-def line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, line, words: the word sets of the ``wanted`` lines (doc, line)."""
-    by_text = stored(wanted.withColumn("key", F.shiftright("line", LINE_BITS)).groupBy("doc", "key").agg(
-        F.collect_set("line").alias("lines")), "wanted-lines")
-    rows = docs.select(*line_order(), "text").withColumn("key", F.col("text_key").bitwiseAND(F.lit((1 << 31) - 1)))
-    texts = maybe_in(rows, "key", bloom_bits(by_text, "key")).dropDuplicates(["doc", "key"]).join(by_text, ["doc", "key"])
+# --- verification --------------------------------------------------------------------
+#: Bytes of a word when sets are compared.
+WORD_BYTES = 5
+
+
+def line_sets(docs: DataFrame, levels: np.ndarray, pairs: DataFrame) -> DataFrame:
+    """Stored (doc, key, line, words) of the lines in ``pairs``, and of some more: bitmaps of their hashes
+    choose them, an exact join follows.  ``words`` are ``WORD_BYTES`` of each, in order."""
+    either = pairs.select("hash", "text_hash").unionAll(pairs.select(F.col("early_hash").alias("hash"), F.col("early_text_hash").alias("text_hash")))
+    sent = docs.sparkSession.sparkContext.broadcast((levels, bitmap(either, "text_hash"), bitmap(either, "hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level_of, texts, wanted = sent.value
+        done: set[tuple[int, int]] = set()  # repeated rows are one document
         for batch in tw.small_batches(batches, "text"):
-            lines = Lines(batch.column("text"))
-            ids = line_ids(batch.column("key").take(pa.array(lines.text)).to_numpy(), lines.number)
-            asked = batch.column("lines")
-            text = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy())
-            place = np.flatnonzero(np.append(True, lines.text[1:] != lines.text[:-1]))  # first line of each text
-            at = place[text] + (asked.flatten().to_numpy() & ((1 << LINE_BITS) - 1))
-            n = lines.size[at]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(pa.array(text)), pa.array(ids[at]),
-                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(lines.words[tw.ranges(lines.first[at], n)].view(np.int64)))],
-                ["doc", "line", "words"])
-
-    return texts.select("doc", "key", "text", "lines").mapInArrow(run, "doc bigint, line bigint, words array<bigint>")
-
-
-def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(doc, line) of the later lines of the pairs that match on their full sets."""
-    wanted = pairs.select("doc", "line").unionAll(pairs.select("early_doc", "early_line")).distinct()
-    sets = stored(line_sets(docs, wanted), "line-sets")
-    both = (pairs.join(sets.withColumnRenamed("words", "a"), ["doc", "line"])
-            .join(sets.select(F.col("doc").alias("early_doc"), F.col("line").alias("early_line"), F.col("words").alias("b")), ["early_doc", "early_line"]))
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.where(shared * 100 >= percent * (F.size("a") + F.size("b") - shared)).select("doc", "line").distinct()
+            doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
+            use = in_bitmap(texts, line_hash(doc, key, np.full(len(doc), -1)))
+            for i in np.flatnonzero(use).tolist():
+                if (at := (int(doc[i]), int(key[i]))) in done:
+                    use[i] = False
+                done.add(at)
+            if len(done) > SEEN:
+                done = set()
+            for ids, lines in line_blocks(batch.filter(pa.array(use)), level_of):
+                at = np.flatnonzero(in_bitmap(wanted, line_hash(*(ids[n] for n in LINE))) & (lines.size > 0))
+                n = lines.size[at]
+                short = tw.mix(lines.words[tw.ranges(lines.first[at], n)])
+                # sorted in each line, so that pairs can be merged; the order by rarity is done with
+                short = np.sort(np.repeat(np.arange(len(at)), n).astype(U64) << U64(8 * WORD_BYTES) | short >> U64(64 - 8 * WORD_BYTES)) & U64((1 << 8 * WORD_BYTES) - 1)
+                raw = np.ascontiguousarray(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
+                off = WORD_BYTES * np.concatenate([[0], np.cumsum(n)])
+                words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([pa.array(ids["doc"][at]), pa.array(ids["key"][at]), pa.array(ids["line"][at], pa.int32()), words.cast(pa.binary())],
+                                                 [*LINE, "words"])
+
+    rows = docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, key bigint, line int, words binary")
+    return stored(rows.groupBy(*LINE).agg(F.first("words").alias("words")), "line-sets")
+
+
+def _sets_match(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """doc, key, line of the rows whose sets ``a`` and ``b`` match."""
+    for batch in tw.small_batches(batches, "a"):
+        words, sizes = [], []
+        for name in ("a", "b"):
+            raw, off = tw.text_bytes(batch.column(name))
+            wide = np.zeros((len(raw) // WORD_BYTES, 8), np.uint8)
+            wide[:, :WORD_BYTES] = raw.reshape(-1, WORD_BYTES)
+            sizes.append(np.diff(off) // WORD_BYTES)
+            # the row in the high bits: equal values are words that a row's sets share (in 24 bits of rows at most)
+            row = np.repeat(np.arange(batch.num_rows), sizes[-1])
+            words.append(wide.view("<u8").ravel() | row.astype(U64) << U64(8 * WORD_BYTES))
+        both = np.sort(np.concatenate(words))
+        shared = np.bincount((both[1:][both[1:] == both[:-1]] >> U64(8 * WORD_BYTES)).astype(np.int64), minlength=batch.num_rows)
+        ok = shared * 100 >= percent * (sizes[0] + sizes[1] - shared)
+        yield batch.select(LINE).filter(pa.array(ok))
+
+
+def verified(docs: DataFrame, levels: np.ndarray, pairs: DataFrame, percent: int) -> DataFrame:
+    """(doc, key, line) of the later lines of the pairs that match on their full sets."""
+    sets = line_sets(docs, levels, pairs)
+    names = [*LINE, *[f"early_{n}" for n in LINE]]
+    both = (pairs.select(*names).join(sets.withColumnRenamed("words", "a"), LINE)
+            .join(sets.select(*[F.col(n).alias(f"early_{n}") for n in LINE], F.col("words").alias("b")), names[3:]).select(*LINE, "a", "b"))
+    return both.mapInArrow(lambda batches: _sets_match(batches, percent), "doc bigint, key bigint, line int").distinct()
+
+
+def size_band(size: Column, percent: int) -> Column:
+    """Sizes of lines that match are in the same or in neighbouring bands."""
+    return F.floor(F.log(size.cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
 
 
 def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc, line) of every line with an earlier match."""
-    lines = stored(all_lines(docs), "lines")
-    firsts = lines.groupBy("set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    copies = lines.join(firsts, "set").where((F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line"))).select("doc", "line")
-
+    """(doc, key, line) of every line with an earlier match."""
     levels = rarity(docs)
-    posted = postings(docs, levels, percent)
-    # a list is no longer than its word's count; a list that may be long is divided at random
-    parts = F.ceil(F.pow(F.lit(2.0), F.col("level") / 4) / LONG_LIST).cast("int")
-    salt = F.when(parts > 1, F.pmod(F.xxhash64("doc", "line"), parts)).otherwise(-1).cast("int")
-    # packed, as most of this operator's shuffle is these rows; a line has less than 2**24 words
-    salted = posted.withColumn("salt", salt).select(
-        "doc", "line", "bits", "word", "salt", F.shiftleft(F.col("word").cast("long"), 32).bitwiseOR(F.col("twin").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("word_twin"),
-        (F.shiftleft((F.col("salt") + 1).cast("long"), 48) + F.shiftleft(F.col("size").cast("long"), 24) + F.col("place")).alias("shape"))
     groups = max(8, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES))
-    found = stored(salted.withColumn("group", F.pmod(F.xxhash64("word", "salt"), F.lit(groups)).cast("int")).drop("word", "salt").groupBy("group").applyInArrow(
-        lambda t: list_pairs(t, percent), "doc bigint, line bigint, early_doc bigint, early_line bigint, more boolean"), "line-pairs")
-    pair = ["doc", "line", "early_doc", "early_line"]
-    tried = stored(found.where("not more").select(*pair).distinct(), "tried")
-    matched = stored(verified(docs, tried, percent), "matched")
-
-    open_lines = stored(found.where("more").select("doc", "line").distinct().join(matched, ["doc", "line"], "left_anti"), "open-lines")
+    found = stored(posted(docs, levels, percent, groups).groupBy("group").applyInArrow(lambda t: list_pairs(t, percent), FOUND), "line-pairs")
+    pair = [*LINE, *[f"early_{n}" for n in LINE]]
+    copies = found.where(F.col("kind") == GONE).select(*LINE)
+    tried = stored(found.where(F.col("kind") == PAIR).drop("kind").dropDuplicates(pair), "tried")
+    matched = stored(verified(docs, levels, tried, percent), "matched")
+
+    more = found.where(F.col("kind") == MORE).select(*LINE, "hash").dropDuplicates(LINE)
+    open_lines = stored(more.join(matched.unionAll(copies), LINE, "left_anti"), "open-lines")
     if not open_lines.isEmpty():
-        texts = bitmap(open_lines.select(F.shiftright("line", LINE_BITS).alias("key")), "key")
-        late = stored(postings(docs, levels, percent, only_texts=texts).join(open_lines, ["doc", "line"])
-                      .select("word", "doc", "line", "size", "place", "bits", "twin").distinct(), "late")
-        early = postings(docs, levels, percent, only_words=bitmap(late.select(F.col("word").cast("long").alias("word")), "word"))
-        early = early.select("word", *[F.col(c).alias(f"early_{c}") for c in ("doc", "line", "size", "place", "bits", "twin")])
-        before = (F.col("early_doc") < F.col("doc")) | ((F.col("early_doc") == F.col("doc")) & (F.col("early_line") < F.col("line")))
+        late = posting_rows(docs, levels, percent, only_lines=bitmap(open_lines, "hash")).join(open_lines.select(*LINE), LINE)
+        late = stored(late.dropDuplicates([*LINE, "word"]), "late")
+        early = posting_rows(docs, levels, percent, only_words=bitmap(late, "word"))
+        early = early.withColumn("band", size_band(F.col("size"), percent)).withColumnsRenamed({
+            c: f"early_{c}" for c in ("doc", "key", "line", "size", "place", "bits", "twin")})
+        near = size_band(F.col("size"), percent)
+        late = late.withColumn("band", F.explode(F.array(near - 1, near, near + 1)))
+        before = F.struct("early_doc", "early_key", "early_line") < F.struct("doc", "key", "line")
         twins = (F.col("twin") == F.col("early_twin")) & (F.col("bits") == F.col("early_bits")) & (F.col("size") == F.col("early_size"))
         ok = ~twins & may_match(F.col("size"), F.col("early_size"), F.col("place"), F.col("early_place"),
-                       F.bit_count(F.col("bits").bitwiseXOR(F.col("early_bits"))), F.least, percent)
-        rest = late.join(early, "word").where(before & ok).select(*pair).distinct().join(tried, pair, "left_anti")
-        matched = matched.unionAll(verified(docs, stored(rest, "rest"), percent))
+                                F.bit_count(F.col("bits").bitwiseXOR(F.col("early_bits"))), F.least, percent)
+        rest = late.join(early, ["word", "band"]).where(before & ok).select(*pair).distinct().join(tried, pair, "left_anti")
+        matched = matched.unionAll(verified(docs, levels, stored(_with_hashes(rest), "rest"), percent))
     return copies.unionAll(matched).distinct()
 
 
+def _with_hashes(pairs: DataFrame) -> DataFrame:
+    """Pairs with the hashes that ``line_sets`` chooses by."""
+    names = [*LINE, *[f"early_{n}" for n in LINE]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = {n: batch.column(n).to_numpy() for n in names}
+            late, early = ({n: col[side + n] for n in LINE} for side in ("", "early_"))
+            yield from _found(PAIR, late, early).drop_columns(["kind"]).to_batches()
+
+    return pairs.select(*names).mapInArrow(run, FOUND.removeprefix("kind int, "))
+
+
 def cut_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc, key, gone: for each text with repeated lines, their numbers from 0."""
-    return stored(repeated_lines(docs, percent).groupBy("doc", F.shiftright("line", LINE_BITS).alias("key")).agg(
-        F.collect_list(F.col("line").bitwiseAND(F.lit((1 << LINE_BITS) - 1)).cast("int")).alias("gone")), "cut-lines")
+    """doc, key, gone: for each text with repeated lines, their numbers from 0 in order."""
+    return stored(repeated_lines(docs, percent).groupBy("doc", "key").agg(F.array_sort(F.collect_list("line")).alias("gone")), "cut-lines")
 
 
-def kept_text(text: Column, gone: Column) -> Column:
-    return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(gone, i)), "\n")
+def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text`` without the lines whose numbers are in ``gone``."""
+    for batch in batches:
+        kept = []
+        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            if gone:
+                out = set(gone)
+                text = "\n".join([x for i, x in enumerate(text.split("\n")) if i not in out])
+            kept.append(text)
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(kept, batch.column("text").type))
 
 
 def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, and ``n_lines``, ``n_removed``.
 
-    A line is removed when a line of a smaller doc_id (null: last; equal doc_ids: by a hash
+    A line is removed when a line of a smaller doc_id (null: last; equal doc_ids: by a 64-bit hash
     of the text), or an earlier line of the same text, matches it; lines are judged on the
     input.  Lines without words stay.  Null and empty texts have no lines and stay as they
-    are.  Rows of one doc_id and text are one document.  Other columns stay; input columns
-    named n_lines or n_removed are replaced.
+    are.  Rows of one doc_id and text are one document.  Texts may have any number of lines and lines
+    any number of words.  Other columns stay; input columns named n_lines or n_removed are replaced.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     cuts = cut_lines(docs.select("doc_id", "text"), percent)
-    rows = docs.select(*keep, line_order()[0].alias("_doc"), F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1)).alias("_key"))
+    doc, key = line_order()
+    rows = docs.select(*keep, doc.alias("_doc"), key.alias("_key"))
     # texts without any cut are not shuffled
     bits = bloom_bits(cuts, "key")
     cuts = cuts.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "gone")
-    both = maybe_in(rows, "_key", bits).join(cuts, ["_doc", "_key"], "left").unionByName(
-        maybe_in(rows, "_key", bits, wanted=False).withColumn("gone", F.lit(None).cast("array<int>")))
-    n_lines = F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long")
-    return both.select(*[c for c in keep if c != "text"], F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept_text(F.col("text"), F.col("gone"))).alias("text"),
-                       n_lines.alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed")).select(*keep, "n_lines", "n_removed")
+    cut = maybe_in(rows, "_key", bits).join(cuts, ["_doc", "_key"], "left").withColumn(
+        "n_lines", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long"))
+    cut = cut.withColumn("n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long"))
+    cut = cut.select(*keep, "n_lines", "n_removed", "gone")
+    cut = cut.mapInArrow(without_lines, cut.schema).drop("gone")
+    whole = maybe_in(rows, "_key", bits, wanted=False).select(
+        *keep, F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    return cut.unionByName(whole)

@@ -448,3 +448,34 @@ def test_native_plans_have_no_python(llm_spark):
     for name in ("op1_sharding", "op10_fingerprint"):
         plan = QUERIES[name](llm_spark, SF)._jdf.queryExecution().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+# --- 8: long texts and many texts without doc_id --------------------------------
+def test_line_dedup_of_very_many_lines(llm_spark):
+    """Lines beyond any narrow line number: the last two of 2**22 + 2 keep their words."""
+    lines = [""] * ((1 << 22) + 2)
+    lines[0], lines[1] = "first line has these six words", "second line is of other words"
+    lines[-2], lines[-1] = "alpha beta gamma delta epsilon zeta", "first line has these six words"
+    lines[70000] = "somewhere in the middle stands this line"
+    docs = llm_spark.createDataFrame([(1, "\n".join(lines)), (2, "alpha beta gamma delta epsilon zeta\nsomewhere in the middle stands this line\nown"),
+                                      (3, "second line is of other words")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in linededup.without_repeated_lines(docs).collect()}
+    assert {d: (r["n_lines"], r["n_removed"]) for d, r in got.items()} == {1: ((1 << 22) + 2, 1), 2: (3, 2), 3: (1, 1)}
+    assert got[2]["text"] == "own" and got[1]["text"].endswith("zeta") and got[1]["text"].startswith(lines[0])
+
+
+def test_line_dedup_of_many_texts_without_doc_id(llm_spark):
+    rng = random.Random(12)
+    texts = [f"own line number {i} of this text {rng.random()}\n" + ("a line that all of these texts share here" if i % 2 else f"another one {i * 7919} alone {i} here") for i in range(3000)]
+    docs = llm_spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    rows = linededup.without_repeated_lines(docs).collect()
+    assert sum(r["n_removed"] for r in rows) == 1499 and all(r["n_removed"] == 0 for r in rows if "share" not in r["text"] and r["n_lines"] == 2 and "\n" in r["text"])
+
+
+def test_line_sets_split_words_as_python_does(llm_spark):
+    levels = linededup.rarity(documents(llm_spark, SF))
+    import pyarrow as pa
+    lines = ["a b a B", "", "  ", "é ñ\x0bx", "one two three four five six"]
+    got = linededup.Lines(pa.array(lines, pa.large_string()), levels)
+    assert got.size.tolist() == [2, 0, 0, 3, 6]
+    assert len(set(got.set[[0, 3, 4]].tolist())) == 3
