@@ -19,7 +19,7 @@ lines match when the Jaccard similarity of their sets is at least ``PERCENT`` /
 
 Lists of up to three words match equal sets only and are not posted by word.
 
-A line is known by its doc_id, the 64-bit hash of its text and its number.  Words are compared by some 46 bits
+A line is known by its doc_id, the 64-bit hash of its text (only where the doc_id may occur more than once) and its number.  Words are compared by some 46 bits
 of their hash (42 and the count's byte) inside a line, 32 in lists, 40 when pairs are verified; sets by 64.
 """
 
@@ -31,11 +31,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textwords as tw
-from ledgerlens.llm.bloom import bitmap, bloom_bits, in_bitmap, maybe_in
+from ledgerlens.llm.bloom import bitmap, in_bitmap
 from ledgerlens.llm.storage import stored
 
 PERCENT = 80
@@ -77,6 +78,30 @@ def line_hash(doc: np.ndarray, key: np.ndarray, line: np.ndarray) -> np.ndarray:
         return tw.mix(tw.mix(doc.view(U64) + U64(1)) ^ (key.view(U64) + line.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15))).view(np.int64)
 
 
+def hash_bitmap(lines: DataFrame, of_text: bool = False) -> np.ndarray:
+    """Bitmap of the ``line_hash`` of lines (doc, key, line), or of their texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, key, line = (batch.column(c).to_numpy() for c in LINE)
+            yield pa.RecordBatch.from_arrays([pa.array(line_hash(doc, key, np.full(len(doc), -1) if of_text else line))], ["hash"])
+
+    return bitmap(lines.select(*LINE).mapInArrow(run, "hash bigint"), "hash")
+
+
+def repeated_ids(docs: DataFrame) -> np.ndarray:
+    """Bitmap of the doc_ids that occur more than once."""
+    doc = line_order()[0]
+    twice = docs.groupBy(doc).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return hash_bitmap(twice.select("doc", F.lit(0).cast("long").alias("key"), F.lit(-1).alias("line")))
+
+
+def own_keys(doc: np.ndarray, key: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """The key of a text: its hash where the doc_id alone may not tell it apart, else zero."""
+    zero = np.zeros(len(doc), np.int64)
+    return np.where((doc == LAST) | in_bitmap(repeated, line_hash(doc, zero, zero - 1)), key, 0)
+
+
 class Lines:
     """Word sets of some lines, each from rare to frequent words.  The words of line i are
     ``words[first[i]:first[i] + size[i]]``: level of the count, then bits of the hash."""
@@ -95,13 +120,14 @@ class Lines:
             self.set = tw.mix(sums[self.first + self.size] - sums[self.first] + self.size.astype(U64))
 
 
-def line_blocks(batch: pa.RecordBatch, level_of: np.ndarray) -> Iterator[tuple[dict[str, np.ndarray], Lines]]:
+def line_blocks(batch: pa.RecordBatch, level_of: np.ndarray, repeated: np.ndarray) -> Iterator[tuple[dict[str, np.ndarray], Lines]]:
     """(doc, key and line, word sets) of the lines of some texts, a block at a time."""
     split = pc.split_pattern(pc.fill_null(batch.column("text").cast(pa.large_string()), ""), "\n")
     lines, n_lines = split.flatten(), split.value_lengths().to_numpy().astype(np.int64)
     text = np.repeat(np.arange(batch.num_rows), n_lines)
     number = np.arange(len(lines)) - np.repeat(np.cumsum(n_lines) - n_lines, n_lines)
     doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
+    key = own_keys(doc, key, repeated)
     for i in range(0, len(lines), 1 << LINES_BITS):
         own = slice(i, i + (1 << LINES_BITS))
         yield {"doc": doc[text[own]], "key": key[text[own]], "line": number[own]}, Lines(lines.slice(i, 1 << LINES_BITS), level_of)
@@ -165,14 +191,18 @@ def prefixes(ids: dict[str, np.ndarray], lines: Lines, use: np.ndarray, percent:
 
 
 def packed(columns: dict[str, np.ndarray], kinds: dict[str, str]) -> bytes:
-    return b"".join(np.ascontiguousarray(columns[n].astype(k)).tobytes() for n, k in kinds.items())
+    """Columns as bytes: the first bytes of all values, then the second, and so on, compressed."""
+    planes = [np.ascontiguousarray(columns[n].astype(k)).view(np.uint8).reshape(-1, np.dtype(k).itemsize).T.tobytes() for n, k in kinds.items()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
 def unpacked(blob: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
-    n, at, out = len(blob) // sum(np.dtype(k).itemsize for k in kinds.values()), 0, {}
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    n, at, out = len(raw) // sum(np.dtype(k).itemsize for k in kinds.values()), 0, {}
     for name, k in kinds.items():
-        out[name] = np.frombuffer(blob, k, n, at)
-        at += n * np.dtype(k).itemsize
+        size = n * np.dtype(k).itemsize
+        out[name] = np.ascontiguousarray(raw[at:at + size].reshape(np.dtype(k).itemsize, n).T).view(k).ravel()
+        at += size
     return out
 
 
@@ -180,10 +210,10 @@ def joined(parts: list[dict[str, np.ndarray]], kinds: dict[str, str]) -> dict[st
     return {n: np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, k) for n, k in kinds.items()}
 
 
-def posted(docs: DataFrame, levels: np.ndarray, percent: int, groups: int) -> DataFrame:
+def posted(docs: DataFrame, known: tuple, percent: int, groups: int) -> DataFrame:
     """Messages to the groups: (group, lines, posts, sets, copies).  ``sets`` are lines by the hash of their set,
     ``copies`` lines that have an equal earlier one in their task."""
-    sent = docs.sparkSession.sparkContext.broadcast(levels)
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def messages(lines: list, posts: list, sets: list, copies: list) -> Iterator[pa.RecordBatch]:
         base = np.cumsum([0] + [len(x["doc"]) for x in lines])
@@ -212,11 +242,11 @@ def posted(docs: DataFrame, levels: np.ndarray, percent: int, groups: int) -> Da
                                              ["group", "lines", "posts", "sets", "copies"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level_of = sent.value
+        level_of, repeated = sent.value
         seen: dict[int, tuple[int, int, int]] = {}  # the earliest line so far of each set
         held, size = ([], [], [], []), 0
         for batch in tw.small_batches(batches, "text"):
-            for ids, lines in line_blocks(batch, level_of):
+            for ids, lines in line_blocks(batch, level_of, repeated):
                 first, copy = np.zeros(len(lines.size), bool), np.zeros(len(lines.size), bool)
                 full = np.flatnonzero(lines.size)
                 places = zip(*(ids[n][full].tolist() for n in LINE), strict=True)
@@ -241,14 +271,14 @@ def posted(docs: DataFrame, levels: np.ndarray, percent: int, groups: int) -> Da
     return docs.select(*line_order(), "text").mapInArrow(run, "group int, lines binary, posts binary, sets binary, copies binary")
 
 
-def posting_rows(docs: DataFrame, levels: np.ndarray, percent: int, only_lines: np.ndarray | None = None, only_words: np.ndarray | None = None) -> DataFrame:
+def posting_rows(docs: DataFrame, known: tuple, percent: int, only_lines: np.ndarray | None = None, only_words: np.ndarray | None = None) -> DataFrame:
     """Postings as rows (doc, key, line, word, place, size, bits, twin) of the lines, or by the words, that may be in a bitmap."""
-    sent = docs.sparkSession.sparkContext.broadcast((levels, only_lines, only_words))
+    sent = docs.sparkSession.sparkContext.broadcast((*known, only_lines, only_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level_of, asked_lines, asked_words = sent.value
+        level_of, repeated, asked_lines, asked_words = sent.value
         for batch in tw.small_batches(batches, "text"):
-            for ids, lines in line_blocks(batch, level_of):
+            for ids, lines in line_blocks(batch, level_of, repeated):
                 use = np.ones(len(lines.size), bool) if asked_lines is None else in_bitmap(asked_lines, line_hash(*(ids[n] for n in LINE)))
                 rows, posts = prefixes(ids, lines, use, percent)
                 ok = np.ones(len(posts["at"]), bool) if asked_words is None else in_bitmap(asked_words, posts["word"])
@@ -274,23 +304,18 @@ def may_match(size_a, size_b, place_a, place_b, apart, least, percent: int):
     return length & positional & bitmap
 
 
-FOUND = ("kind int, doc bigint, key bigint, line int, early_doc bigint, early_key bigint, early_line int, hash bigint, early_hash bigint, "
-         "text_hash bigint, early_text_hash bigint")
+FOUND = "kind int, doc bigint, key bigint, line int, early_doc bigint, early_key bigint, early_line int"
 GONE, PAIR, MORE = 0, 1, 2
 
 
 def _found(kind: int, late: dict[str, np.ndarray], early: dict[str, np.ndarray] | None = None) -> pa.Table:
     n = len(late["doc"])
     out = {"kind": pa.array(np.full(n, kind), pa.int32())}
-    hashes = {}
     for side, rows in (("", late), ("early_", early)):
         for name in LINE:
-            out[side + name] = pa.nulls(n, pa.int32() if name == "line" else pa.int64()) if rows is None else pa.array(
-                rows[name].astype(np.int32 if name == "line" else np.int64))
-        for name, line in (("hash", None), ("text_hash", -1)):
-            hashes[side + name] = pa.nulls(n, pa.int64()) if rows is None else pa.array(
-                line_hash(rows["doc"], rows["key"], rows["line"] if line is None else np.full(n, -1)))
-    return pa.table(out | {c: hashes[c] for c in ("hash", "early_hash", "text_hash", "early_text_hash")})
+            kind_of = pa.int32() if name == "line" else pa.int64()
+            out[side + name] = pa.nulls(n, kind_of) if rows is None else pa.array(rows[name]).cast(kind_of)
+    return pa.table(out)
 
 
 def _take(rows: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
@@ -359,32 +384,40 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
 # --- verification --------------------------------------------------------------------
 #: Bytes of a word when sets are compared.
 WORD_BYTES = 5
+#: Lines whose sets one task compares, about; words compared at once.
+CELL_LINES, COMPARED = 5_000, 4 << 20
+
 
+def by_late(pairs: DataFrame) -> DataFrame:
+    """Stored (doc, key, line, early): each later line with its earlier partners, once."""
+    early = F.struct(*[F.col(f"early_{n}").alias(n) for n in LINE])
+    return stored(pairs.groupBy(*LINE).agg(F.collect_set(early).alias("early")), "tried")
 
-def line_sets(docs: DataFrame, levels: np.ndarray, pairs: DataFrame) -> DataFrame:
-    """Stored (doc, key, line, words) of the lines in ``pairs``, and of some more: bitmaps of their hashes
+
+def line_sets(docs: DataFrame, known: tuple, wanted: DataFrame) -> DataFrame:
+    """(doc, key, line, words) of the ``wanted`` lines, and of some more: bitmaps of their hashes
     choose them, an exact join follows.  ``words`` are ``WORD_BYTES`` of each, in order."""
-    either = pairs.select("hash", "text_hash").unionAll(pairs.select(F.col("early_hash").alias("hash"), F.col("early_text_hash").alias("text_hash")))
-    sent = docs.sparkSession.sparkContext.broadcast((levels, bitmap(either, "text_hash"), bitmap(either, "hash")))
+    sent = docs.sparkSession.sparkContext.broadcast((*known, hash_bitmap(wanted, of_text=True), hash_bitmap(wanted)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level_of, texts, wanted = sent.value
+        level_of, repeated, texts, asked = sent.value
         done: set[tuple[int, int]] = set()  # repeated rows are one document
         for batch in tw.small_batches(batches, "text"):
             doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
+            key = own_keys(doc, key, repeated)
             use = in_bitmap(texts, line_hash(doc, key, np.full(len(doc), -1)))
-            for i in np.flatnonzero(use).tolist():
+            for i in np.flatnonzero(use & (key != 0)).tolist():
                 if (at := (int(doc[i]), int(key[i]))) in done:
                     use[i] = False
                 done.add(at)
             if len(done) > SEEN:
                 done = set()
-            for ids, lines in line_blocks(batch.filter(pa.array(use)), level_of):
-                at = np.flatnonzero(in_bitmap(wanted, line_hash(*(ids[n] for n in LINE))) & (lines.size > 0))
+            for ids, lines in line_blocks(batch.filter(pa.array(use)), level_of, repeated):
+                at = np.flatnonzero(in_bitmap(asked, line_hash(*(ids[n] for n in LINE))) & (lines.size > 0))
                 n = lines.size[at]
-                short = tw.mix(lines.words[tw.ranges(lines.first[at], n)])
-                # sorted in each line, so that pairs can be merged; the order by rarity is done with
-                short = np.sort(np.repeat(np.arange(len(at)), n).astype(U64) << U64(8 * WORD_BYTES) | short >> U64(64 - 8 * WORD_BYTES)) & U64((1 << 8 * WORD_BYTES) - 1)
+                short = tw.mix(lines.words[tw.ranges(lines.first[at], n)]) >> U64(64 - 8 * WORD_BYTES)
+                # sorted in each line; the order by rarity is done with
+                short = np.sort(np.repeat(np.arange(len(at)), n).astype(U64) << U64(8 * WORD_BYTES) | short) & U64((1 << 8 * WORD_BYTES) - 1)
                 raw = np.ascontiguousarray(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
                 off = WORD_BYTES * np.concatenate([[0], np.cumsum(n)])
                 words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(raw)])
@@ -392,34 +425,58 @@ def line_sets(docs: DataFrame, levels: np.ndarray, pairs: DataFrame) -> DataFram
                                                  [*LINE, "words"])
 
     rows = docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, key bigint, line int, words binary")
-    return stored(rows.groupBy(*LINE).agg(F.first("words").alias("words")), "line-sets")
-
-
-def _sets_match(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """doc, key, line of the rows whose sets ``a`` and ``b`` match."""
-    for batch in tw.small_batches(batches, "a"):
-        words, sizes = [], []
-        for name in ("a", "b"):
-            raw, off = tw.text_bytes(batch.column(name))
-            wide = np.zeros((len(raw) // WORD_BYTES, 8), np.uint8)
-            wide[:, :WORD_BYTES] = raw.reshape(-1, WORD_BYTES)
-            sizes.append(np.diff(off) // WORD_BYTES)
-            # the row in the high bits: equal values are words that a row's sets share (in 24 bits of rows at most)
-            row = np.repeat(np.arange(batch.num_rows), sizes[-1])
-            words.append(wide.view("<u8").ravel() | row.astype(U64) << U64(8 * WORD_BYTES))
-        both = np.sort(np.concatenate(words))
-        shared = np.bincount((both[1:][both[1:] == both[:-1]] >> U64(8 * WORD_BYTES)).astype(np.int64), minlength=batch.num_rows)
-        ok = shared * 100 >= percent * (sizes[0] + sizes[1] - shared)
-        yield batch.select(LINE).filter(pa.array(ok))
-
-
-def verified(docs: DataFrame, levels: np.ndarray, pairs: DataFrame, percent: int) -> DataFrame:
-    """(doc, key, line) of the later lines of the pairs that match on their full sets."""
-    sets = line_sets(docs, levels, pairs)
-    names = [*LINE, *[f"early_{n}" for n in LINE]]
-    both = (pairs.select(*names).join(sets.withColumnRenamed("words", "a"), LINE)
-            .join(sets.select(*[F.col(n).alias(f"early_{n}") for n in LINE], F.col("words").alias("b")), names[3:]).select(*LINE, "a", "b"))
-    return both.mapInArrow(lambda batches: _sets_match(batches, percent), "doc bigint, key bigint, line int").distinct()
+    return rows.groupBy(*LINE).agg(F.first("words").alias("words"))
+
+
+def matching(tried: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """(doc, key, line) of the later lines of a cell that match one of their partners."""
+    tried, sets = tried.combine_chunks(), sets.combine_chunks()
+    if not len(tried):
+        return tried.select(LINE)
+    raw, off = tw.text_bytes(sets["words"].combine_chunks())
+    wide = np.zeros((len(raw) // WORD_BYTES, 8), np.uint8)
+    wide[:, :WORD_BYTES] = raw.reshape(-1, WORD_BYTES)
+    words, size, first = wide.view("<u8").ravel(), np.diff(off) // WORD_BYTES, off[:-1] // WORD_BYTES
+    known = line_hash(*(sets[n].to_numpy() for n in LINE))
+    order = np.argsort(known)
+
+    def place(doc: np.ndarray, key: np.ndarray, line: np.ndarray) -> np.ndarray:
+        return order[np.searchsorted(known[order], line_hash(doc, key, line))]
+
+    early = tried["early"].combine_chunks()
+    owner, flat = np.repeat(np.arange(len(tried)), early.value_lengths().to_numpy()), early.flatten()
+    a = place(*(tried[n].to_numpy() for n in LINE))[owner]
+    b = place(*(flat.field(n).to_numpy() for n in LINE))
+    ok = np.zeros(len(tried), bool)
+    upto, i = np.cumsum(size[a] + size[b]), 0
+    while i < len(a):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + COMPARED, "right")))
+        n = np.arange(j - i).astype(U64) << U64(8 * WORD_BYTES)
+        # equal values are words that the sets of a pair share
+        both = np.sort(np.concatenate([words[tw.ranges(first[x[i:j]], size[x[i:j]])] | np.repeat(n, size[x[i:j]]) for x in (a, b)]))
+        shared = np.bincount((both[1:][both[1:] == both[:-1]] >> U64(8 * WORD_BYTES)).astype(np.int64), minlength=j - i)
+        ok[owner[i:j][shared * 100 >= percent * (size[a[i:j]] + size[b[i:j]] - shared)]] = True
+        i = j
+    return tried.select(LINE).filter(pa.array(ok))
+
+
+def verified(docs: DataFrame, known: tuple, tried: DataFrame, percent: int) -> DataFrame:
+    """(doc, key, line) of the later lines of ``by_late`` that match a partner on their full sets.
+
+    Later lines with the same first partner go to one cell, since they mostly share the others
+    too, and so do the sets of all of them, each once; where a partner has very many, its later lines
+    go to all cells."""
+    cells = max(8, -(-tried.count() // CELL_LINES))
+    partner = F.array_min("early").alias("_first")
+    hot = tried.groupBy(partner).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > CELL_LINES)
+    placed = tried.withColumn("_first", F.array_min("early")).join(hot, "_first", "left")
+    spread = F.when(F.col("_n").isNull(), F.xxhash64("_first")).otherwise(F.xxhash64(*LINE))
+    placed = placed.select(F.pmod(spread, F.lit(cells)).cast("int").alias("cell"), *LINE, "early")
+    asked = placed.select("cell", F.explode(F.array_union("early", F.array(F.struct(*LINE)))).alias("_l")).select(
+        F.col("cell").alias("_cell"), "_l.*").distinct()
+    sets = line_sets(docs, known, asked.select(*LINE)).join(asked, LINE)
+    return placed.groupBy("cell").cogroup(sets.groupBy("_cell")).applyInArrow(
+        lambda left, right: matching(left, right, percent), "doc bigint, key bigint, line int")
 
 
 def size_band(size: Column, percent: int) -> Column:
@@ -427,22 +484,21 @@ def size_band(size: Column, percent: int) -> Column:
     return F.floor(F.log(size.cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
 
 
-def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def repeated_lines(docs: DataFrame, known: tuple, percent: int = PERCENT) -> DataFrame:
     """(doc, key, line) of every line with an earlier match."""
-    levels = rarity(docs)
     groups = max(8, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES))
-    found = stored(posted(docs, levels, percent, groups).groupBy("group").applyInArrow(lambda t: list_pairs(t, percent), FOUND), "line-pairs")
+    found = stored(posted(docs, known, percent, groups).groupBy("group").applyInArrow(lambda t: list_pairs(t, percent), FOUND), "line-pairs")
     pair = [*LINE, *[f"early_{n}" for n in LINE]]
     copies = found.where(F.col("kind") == GONE).select(*LINE)
-    tried = stored(found.where(F.col("kind") == PAIR).drop("kind").dropDuplicates(pair), "tried")
-    matched = stored(verified(docs, levels, tried, percent), "matched")
+    tried = by_late(found.where(F.col("kind") == PAIR))
+    matched = stored(verified(docs, known, tried, percent), "matched")
 
-    more = found.where(F.col("kind") == MORE).select(*LINE, "hash").dropDuplicates(LINE)
+    more = found.where(F.col("kind") == MORE).select(*LINE).distinct()
     open_lines = stored(more.join(matched.unionAll(copies), LINE, "left_anti"), "open-lines")
     if not open_lines.isEmpty():
-        late = posting_rows(docs, levels, percent, only_lines=bitmap(open_lines, "hash")).join(open_lines.select(*LINE), LINE)
+        late = posting_rows(docs, known, percent, only_lines=hash_bitmap(open_lines)).join(open_lines, LINE)
         late = stored(late.dropDuplicates([*LINE, "word"]), "late")
-        early = posting_rows(docs, levels, percent, only_words=bitmap(late, "word"))
+        early = posting_rows(docs, known, percent, only_words=bitmap(late, "word"))
         early = early.withColumn("band", size_band(F.col("size"), percent)).withColumnsRenamed({
             c: f"early_{c}" for c in ("doc", "key", "line", "size", "place", "bits", "twin")})
         near = size_band(F.col("size"), percent)
@@ -451,27 +507,29 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         twins = (F.col("twin") == F.col("early_twin")) & (F.col("bits") == F.col("early_bits")) & (F.col("size") == F.col("early_size"))
         ok = ~twins & may_match(F.col("size"), F.col("early_size"), F.col("place"), F.col("early_place"),
                                 F.bit_count(F.col("bits").bitwiseXOR(F.col("early_bits"))), F.least, percent)
-        rest = late.join(early, ["word", "band"]).where(before & ok).select(*pair).distinct().join(tried, pair, "left_anti")
-        matched = matched.unionAll(verified(docs, levels, stored(_with_hashes(rest), "rest"), percent))
+        rest = by_late(late.join(early, ["word", "band"]).where(before & ok).select(*pair))
+        matched = matched.unionAll(verified(docs, known, rest, percent))
     return copies.unionAll(matched).distinct()
 
 
-def _with_hashes(pairs: DataFrame) -> DataFrame:
-    """Pairs with the hashes that ``line_sets`` chooses by."""
-    names = [*LINE, *[f"early_{n}" for n in LINE]]
+def cut_lines(docs: DataFrame, known: tuple, percent: int = PERCENT) -> DataFrame:
+    """doc, key, gone: for each text with repeated lines, their numbers from 0 in order."""
+    return stored(repeated_lines(docs, known, percent).groupBy("doc", "key").agg(F.array_sort(F.collect_list("line")).alias("gone")), "cut-lines")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = {n: batch.column(n).to_numpy() for n in names}
-            late, early = ({n: col[side + n] for n in LINE} for side in ("", "early_"))
-            yield from _found(PAIR, late, early).drop_columns(["kind"]).to_batches()
 
-    return pairs.select(*names).mapInArrow(run, FOUND.removeprefix("kind int, "))
+def with_own_keys(rows: DataFrame, known: tuple, texts: np.ndarray, wanted: bool) -> DataFrame:
+    """``rows`` with ``_key`` as lines have it, of the texts that may be (or surely are not) in a bitmap."""
+    sent = rows.sparkSession.sparkContext.broadcast((known[1], texts))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated, asked = sent.value
+        for batch in batches:
+            doc = batch.column("_doc").to_numpy()
+            key = own_keys(doc, batch.column("_key").to_numpy(), repeated)
+            batch = batch.set_column(batch.schema.get_field_index("_key"), "_key", pa.array(key))
+            yield batch.filter(pa.array(in_bitmap(asked, line_hash(doc, key, np.full(len(doc), -1))) == wanted))
 
-def cut_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc, key, gone: for each text with repeated lines, their numbers from 0 in order."""
-    return stored(repeated_lines(docs, percent).groupBy("doc", "key").agg(F.array_sort(F.collect_list("line")).alias("gone")), "cut-lines")
+    return rows.mapInArrow(run, rows.schema)
 
 
 def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -496,17 +554,18 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     any number of words.  Other columns stay; input columns named n_lines or n_removed are replaced.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    cuts = cut_lines(docs.select("doc_id", "text"), percent)
+    known = rarity(docs), repeated_ids(docs)
+    cuts = cut_lines(docs.select("doc_id", "text"), known, percent)
     doc, key = line_order()
     rows = docs.select(*keep, doc.alias("_doc"), key.alias("_key"))
     # texts without any cut are not shuffled
-    bits = bloom_bits(cuts, "key")
+    texts = hash_bitmap(cuts.select("doc", "key", F.lit(-1).alias("line")))
     cuts = cuts.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "gone")
-    cut = maybe_in(rows, "_key", bits).join(cuts, ["_doc", "_key"], "left").withColumn(
+    cut = with_own_keys(rows, known, texts, True).join(cuts, ["_doc", "_key"], "left").withColumn(
         "n_lines", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long"))
     cut = cut.withColumn("n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long"))
     cut = cut.select(*keep, "n_lines", "n_removed", "gone")
     cut = cut.mapInArrow(without_lines, cut.schema).drop("gone")
-    whole = maybe_in(rows, "_key", bits, wanted=False).select(
+    whole = with_own_keys(rows, known, texts, False).select(
         *keep, F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
     return cut.unionByName(whole)
