@@ -10,6 +10,7 @@ dealt into new, fewer groups and packed again, ``ROUNDS`` times in all.
 
 from __future__ import annotations
 
+import random
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -17,13 +18,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textwords as tw
 from ledgerlens.llm.storage import stored
+from ledgerlens.llm.wordids import word_ids
 
 CAPACITY = 4096
 END_ID = 1
@@ -31,113 +31,27 @@ GROUP_PIECES = 20_000
 ROUNDS = 3
 #: Bins of at least this fill are left alone by later rounds.
 FULL = 0.998
-#: Partner bins that one pass of the local search tries for a bin.
+#: Partner bins that one pass of the local search tries for a bin; a pass without gain is
+#: followed by one with the next partners, until all were tried.
 PARTNERS = 64
-#: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
-
 #: Bytes of text encoded at once.
 TOKEN_SLICE = 12 << 20
 
-PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt int"
 
 
 # --- token ids ---------------------------------------------------------------
-class WordIds:
-    """Ids of texts by a tokenizer whose tokens never reach across ASCII white
-    space: each distinct word is encoded once and remembered."""
-
-    #: Letters for which lower case and NFC do nothing but fold single letters.
-    SIMPLE = regex.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
-    BREAK = "\x01"
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.break_ids = self._encode(self.BREAK)
-        self.forget()
-
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def forget(self) -> None:
-        self.numbers: dict[str, int] = {"": 0}
-        self.flat, self.starts, self.sizes = np.zeros(1 << 20, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _keep(self, words: list[str], ids: list[np.ndarray]) -> None:
-        """Give each word a number and store its ids."""
-        n, sizes = len(self.numbers), np.array([len(x) for x in ids], np.int64)
-        while self.used + sizes.sum() > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(words) > len(self.sizes):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-        self.flat[self.used:self.used + sizes.sum()] = np.concatenate(ids)
-        self.starts[n:n + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[n:n + len(words)] = sizes
-        self.used += int(sizes.sum())
-        self.numbers.update(zip(words, range(n, n + len(words)), strict=True))
-
-    def _learn_parts(self, words: list[str]) -> None:
-        """Encode words that are not known yet, many in one call."""
-        alone = [w for w in words if self.BREAK in w or len(w) > 1000 or len(self.break_ids) != 1]
-        if alone:
-            self._keep(alone, [np.array(self._encode(w), np.uint32) for w in alone])
-        words = sorted(set(words) - set(alone))
-        for i in range(0, len(words), 2000):
-            some = words[i:i + 2000]
-            ids = np.array(self._encode(f" {self.BREAK} ".join(some)), np.uint32)
-            breaks = np.flatnonzero(ids == self.break_ids[0])
-            self._keep(some, [x[k > 0:] for k, x in enumerate(np.split(ids, breaks))])
-
-    def _ids(self, word: str) -> np.ndarray:
-        n = self.numbers[word]
-        return self.flat[self.starts[n]:self.starts[n] + self.sizes[n]]
-
-    def numbered(self, words: list[str]) -> np.ndarray:
-        """Number of each of some distinct words."""
-        new = [w for w in words if w not in self.numbers]
-        parts = [(w, m[1].lower(), m[2]) if (m := self.SIMPLE.fullmatch(w)) else (w, w, "") for w in new]
-        self._learn_parts(list({p for _, *pair in parts for p in pair if p not in self.numbers}))
-        joined = [(w, a, b) for w, a, b in parts if w not in self.numbers]
-        if joined:
-            self._keep([w for w, _, _ in joined], [np.concatenate([self._ids(a), self._ids(b)]) for _, a, b in joined])
-        return np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-
-    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets)."""
-        if len(self.numbers) > REMEMBERED:
-            self.forget()
-        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        word_off = split.offsets.to_numpy().astype(np.int64)
-        coded = split.flatten().dictionary_encode()
-        which = self.numbered(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        n = self.sizes[which]
-        ids = self.flat[tw.ranges(self.starts[which], n)]
-        at = np.concatenate([[0], np.cumsum(n)])
-        return ids, at[word_off - word_off[0]]
-
-
-_TOKENIZERS: dict[str, WordIds] = {}
-
-
-def tokenizer(path: str) -> WordIds:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordIds(path)
-    return _TOKENIZERS[path]
-
-
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of at most ``capacity`` ids of each row of ``docs`` (doc_id, text).
 
-    A document is the ids of its whole text and ``end_id``; null counts as empty
-    and is one piece of one id.  Only documents longer than ``capacity`` are cut.
+    A document is the ids of its whole text by the tokenizer's plain call (without special
+    tokens added; their strings in a text are what the call makes of them) and ``end_id``; null
+    counts as empty and is one piece of one id.  Only documents longer than ``capacity`` are cut.
+    ``salt`` is drawn at random, to tell equal rows apart: store the pieces before using it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokenizer(path)
+        coder, draw = word_ids(path), random.Random()
         for batch in tw.small_batches(batches, "text", TOKEN_SLICE):
             ids, off = coder.of_texts(batch.column("text"))
             rows: list[tuple] = []
@@ -145,10 +59,10 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
                 own = np.append(ids[off[r]:off[r + 1]], end_id).astype("<u4")
                 for piece, start in enumerate(range(0, len(own), capacity)):
                     part = own[start:start + capacity]
-                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes()), draw.getrandbits(31)))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                             ["doc_id", "piece", "start", "length", "ids_crc32"])
+                                             ["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECE)
 
@@ -229,20 +143,30 @@ class Swaps:
         return best
 
     def run(self) -> list[list[int]]:
-        improved = True
-        while improved:
-            improved = False
-            for _, low in list(self.order):
-                partners = [b for _, b in reversed(self.order)][:PARTNERS] if low in self.bins else []
-                for high in partners:
+        """Bins of one make-up (the same lengths) gain alike, so only one of them is tried for all."""
+        skip = 0  # partners that were tried by a pass without gain
+        while True:
+            alike: dict[tuple[int, ...], list[int]] = {}
+            for _, b in self.order:
+                alike.setdefault(tuple(n for n, _ in self.bins[b]), []).append(b)
+            kinds = list(alike.values())  # from the emptiest up
+            if skip >= len(kinds):
+                break
+            partners, improved = kinds[::-1][skip:skip + PARTNERS], False
+            for lows in kinds:
+                for highs in partners:
                     # towards the fuller bin, so the sum of squares grows
-                    if low not in self.bins or high not in self.fill or high == low or self.fill[high] < self.fill[low]:
-                        continue
-                    gain, out, back = self._best(low, high)
-                    if gain > 0:
+                    while lows and len(highs) > (highs is lows) and self.fill[highs[0]] >= self.fill[lows[-1]]:
+                        low, high = lows[-1], highs[-1 - (highs is lows)]
+                        gain, out, back = self._best(low, high)
+                        if gain <= 0:
+                            break
                         self._change(low, out, back)
                         self._change(high, back, out)
+                        lows.remove(low)  # both have another make-up now
+                        highs.remove(high)
                         improved = True
+            skip = 0 if improved else skip + PARTNERS
         return [[i for _, i in items] for items in self.bins.values()]
 
 
@@ -275,7 +199,7 @@ def _packed(rows: DataFrame, capacity: int, level: int) -> DataFrame:
 def pack(pieces: DataFrame, key: list[Column], capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: sequences of at most
     ``capacity``, each gapless from 0.  ``length`` is 1 to ``capacity``; ``key``
-    tells rows apart (equal rows may share a group).  An empty table stays empty."""
+    deals rows to groups, so it should tell them apart.  An empty table stays empty."""
     names = pieces.columns
     rows = pieces.withColumn("_draw", F.xxhash64(*key))
     done = None
@@ -300,4 +224,4 @@ def packed_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> Da
     ``token_pieces`` and ``pack``.  Other columns are dropped; null doc_ids and
     repeated rows are packed like any other row."""
     pieces = stored(token_pieces(docs, path, capacity), "pieces")
-    return pack(pieces, [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], capacity)
+    return pack(pieces, [F.col(c) for c in ("doc_id", "piece", "ids_crc32", "salt")], capacity).drop("salt")

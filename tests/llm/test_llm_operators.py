@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, fingerprint, langid, linededup, neardup, packing, quality, sharding, substring
+from ledgerlens.llm import decontaminate, fingerprint, langid, linededup, neardup, packing, quality, sharding, substring, wordids
 from ledgerlens.llm import license as licences
 from ledgerlens.llm.queries import QUERIES, documents, table, tokenizer_path
 from tests.llm import brute
@@ -278,6 +278,21 @@ def test_packing_search_beats_best_fit():
     assert len(swaps.run()) == 2
 
 
+def test_packing_of_equal_bins_and_special_tokens(llm_spark):
+    """Bins of one make-up are tried once; equal rows are dealt to all groups; special tokens' strings as the plain call has them."""
+    import numpy as np
+    assert len(packing.pack_group(np.full(20_000, 1500), 4096)) == 10_000
+    from tokenizers import Tokenizer
+    text = "one <|endoftext|> two"
+    docs = llm_spark.range(60).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    pieces = packing.stored(packing.token_pieces(docs, tokenizer_path()), "pieces")
+    ids = [*Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids, 1]
+    assert 49407 in ids and {r["ids_crc32"] for r in pieces.collect()} == {zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))}
+    placed = packing.pack(pieces, [F.col(c) for c in ("doc_id", "piece", "ids_crc32", "salt")], group_pieces=10)
+    assert placed.count() == 60 and placed.select("sequence_id").distinct().count() <= 6
+    assert pieces.select(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(6))).distinct().count() > 3
+
+
 def test_packing_several_groups(llm_spark, empty, with_nulls):
     rng = random.Random(2)
     rows = llm_spark.createDataFrame([(i, int(rng.lognormvariate(4, 1)) % 900 + 1) for i in range(3000)], "id bigint, length bigint")
@@ -295,7 +310,7 @@ def test_word_ids_of_odd_words():
     from tokenizers import Tokenizer
     odd = ["", "  ", "a\x01b \x01", "ΣΑΣ ς Σ", "İstanbul ﬁ Å Å", "x\x85y z　w ́q", "don't we'LL 'S '' 12345", "\x0bA\x0cB\x1cC", "日本語 テキスト🙂👍🏽", None,
            "Word, word. WORD!! wörd; " * 50, "z" * 3000]
-    ids, off = packing.WordIds(tokenizer_path()).of_texts(pa.array(odd))
+    ids, off = wordids.WordIds(tokenizer_path()).of_texts(pa.array(odd))
     plain = Tokenizer.from_file(tokenizer_path())
     assert [ids[off[i]:off[i + 1]].tolist() for i in range(len(odd))] == [plain.encode(t or "", add_special_tokens=False).ids for t in odd]
 
