@@ -18,6 +18,8 @@ them (plus subdivisions), whatever the input.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,17 +38,21 @@ def key_of(column: Column | str, default: int = LEAST) -> Column:
     return F.coalesce(column.cast("long"), F.lit(default))
 
 
+def longs(values: list[int]) -> Column:
+    """A list of longs as one literal (folded once by the optimiser), however long."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+
 def lookup(values: list[int], index: Column) -> Column:
     """Entry ``index`` of a list of longs."""
-    return F.get(F.array(*[F.lit(v).cast("long") for v in values]), index)
+    return F.get(longs(values), index)
 
 
 def range_of(bounds: list[tuple[int, int]], key: Column, tie: Column) -> Column:
     """Number of boundaries at or below (key, tie), by binary search."""
     if not bounds:
         return F.lit(0)
-    keys = F.array(*[F.lit(b[0]).cast("long") for b in bounds])
-    ties = F.array(*[F.lit(b[1]).cast("long") for b in bounds])
+    keys, ties = longs([b[0] for b in bounds]), longs([b[1] for b in bounds])
     steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
 
     def descend(at: Column, step: Column) -> Column:

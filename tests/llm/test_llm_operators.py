@@ -494,3 +494,15 @@ def test_line_sets_split_words_as_python_does(llm_spark):
     got = linededup.Lines(pa.array(lines, pa.large_string()), levels)
     assert got.size.tolist() == [2, 0, 0, 3, 6]
     assert len(set(got.set[[0, 3, 4]].tolist())) == 3
+
+
+def test_very_many_boundaries(llm_spark):
+    """65,536 boundaries are one literal: built and used in seconds."""
+    import time
+    bounds = [(i * 1000 - (1 << 62), i % 7 - 3) for i in range(65_536)]
+    rows = llm_spark.range(2000).select((F.col("id") * 32_768 - (1 << 62)).alias("key"), F.lit(0).cast("long").alias("tie"))
+    began = time.time()
+    got = rows.select("key", sharding.range_of(bounds, F.col("key"), F.col("tie")).alias("r"), sharding.lookup(list(range(65_536)), F.lit(9)).alias("l")).collect()
+    assert time.time() - began < 30
+    from bisect import bisect_right
+    assert all(r["r"] == bisect_right(bounds, (r["key"], 0)) and r["l"] == 9 for r in got)
