@@ -56,7 +56,7 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
         if len(few):
             hashes.append(tw.sequence_hashes(words.hash, n, seed=n)[first[few]])
             owner.append(few)
-    ids = np.unique((np.concatenate(owner).astype(np.uint64) << np.uint64(ID_BITS)) | (np.concatenate(hashes) & _MASK))
+    ids = tw.distinct((np.concatenate(owner).astype(np.uint64) << np.uint64(ID_BITS)) | (np.concatenate(hashes) & _MASK))
     offsets = np.searchsorted(ids >> np.uint64(ID_BITS), np.arange(len(texts) + 1).astype(np.uint64))
     return ids & _MASK, offsets
 
