@@ -8,8 +8,11 @@ segment, with a gap between documents that no phrase can bridge.
 A phrase is looked up from its rarest term (the shortest list in the segment):
 the list, shifted by the term's offset in the phrase, gives candidate starts,
 which are intersected with the shifted lists of the other terms, next-rarest
-first.  ``proximity`` finds the shortest stretches that hold all terms of a query
-in any order.  Documents are never shuffled and no pair of documents is formed.
+first.  Proximity matches are looked up the same way: a window of a test item, cut from it
+without overlap, matches where all its distinct words (``LEAST_TERMS`` at least) stand
+within ``SPREAD`` words in any order; the places of its rarest word that have each other word
+near enough are tried.  So passages with words put in, left out or moved about are found too.
+Documents are never shuffled and no pair of documents is formed.
 
 Test items are sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text;
 a larger benchmark is done block by block and the results are merged.
@@ -28,23 +31,30 @@ from ledgerlens.llm import textwords as tw
 from ledgerlens.llm.storage import stored
 
 WINDOW = 10
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
+#: Words within which a proximity match holds all words of a window, and words that such a window must have.
+SPREAD, LEAST_TERMS = 20, 6
 
 SEGMENT = ("doc_ids array<bigint>, text_keys array<bigint>, n_words array<int>, first array<int>, "
            "terms array<bigint>, counts array<int>, steps array<int>")
-FOUND = "doc_id bigint, text_key bigint, n_words bigint, starts array<int>, ends array<int>, items array<string>"
+FOUND = "doc_id bigint, text_key bigint, n_words bigint, starts array<int>, ends array<int>, items array<string>, near array<string>"
 
 
 class Phrases:
-    """Distinct word windows of test items, as rows of term hashes."""
+    """Distinct word windows of test items, as rows of term hashes; and, without overlap, their sets of words."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
         words = tw.words_of(pa.array([t for _, t in items], pa.string()), tw.ALPHANUMERIC, tw.LOWER)
         owners: dict[bytes, set] = {}
+        sets: dict[bytes, set] = {}
         for i, (name, _) in enumerate(items):
             own = words.hash[words.first[i]:words.first[i + 1]]
             for s in range(max(1, len(own) - window + 1) if len(own) else 0):
                 owners.setdefault(own[s:s + window].tobytes(), set()).add(None if name is None else str(name))
+            for s in {*range(0, len(own) - window + 1, window), max(0, len(own) - window)}:
+                terms = tw.distinct(own[s:s + window])
+                if len(terms) >= LEAST_TERMS and name is not None:
+                    sets.setdefault(terms.tobytes(), set()).add(str(name))
         self.window = window
         self.lengths = np.array([len(k) // 8 for k in owners], np.int64)
         self.terms = np.zeros((len(owners), window), np.uint64)
@@ -53,6 +63,11 @@ class Phrases:
         self.owners = [sorted(x for x in v if x is not None) for v in owners.values()]
         inside = np.arange(window) < self.lengths[:, None]
         self.vocabulary = np.unique(self.terms[inside])
+        self.near = [np.frombuffer(k, np.uint64) for k in sets]
+        self.near_owners = list(sets.values())
+        self.near_terms, self.near_lengths = np.zeros((len(sets), window), np.uint64), np.array([len(x) for x in self.near], np.int64)
+        for r, x in enumerate(self.near):
+            self.near_terms[r, :len(x)] = x
 
 
 def build_segment(ids: np.ndarray, keys: np.ndarray, texts: pa.Array, vocabulary: np.ndarray, gap: int) -> dict:
@@ -123,6 +138,29 @@ class Postings:
             row, start = row[ok], start[ok]
         return alive[row], start
 
+    def nearby(self, phrases: Phrases, span: int = SPREAD) -> list[tuple[int, list[tuple[int, int]]]]:
+        """(number of a set of words, its ``proximity`` stretches) of every set that has some."""
+        inside = np.arange(phrases.window) < phrases.near_lengths[:, None]
+        lists = np.where(inside, self.find(phrases.near_terms), -2)
+        alive = np.flatnonzero(~(lists == -1).any(axis=1))
+        if not len(alive) or not len(self.at):
+            return []
+        lists = lists[alive]
+        sizes = np.where(lists >= 0, self.counts[np.maximum(lists, 0)], np.iinfo(np.int64).max)
+        rarest = np.argsort(sizes, axis=1, kind="stable")
+        seed = lists[np.arange(len(alive)), rarest[:, 0]]
+        row = np.repeat(np.arange(len(alive)), self.counts[seed])
+        at = self.at[tw.ranges(self.starts[seed], self.counts[seed])]
+        for step in range(1, phrases.window):
+            which = lists[row, rarest[row, step]]
+            ok = which == -2  # the set is smaller
+            base, place = which[~ok] * self.span, at[~ok]
+            i = np.minimum(np.searchsorted(self.keys, base + np.maximum(place - span + 1, 0)), len(self.keys) - 1)
+            ok[~ok] = (self.keys[i] >= base) & (self.keys[i] < base + np.minimum(place + span, self.span))
+            row, at = row[ok], at[ok]
+        found = ((int(r), self.proximity(phrases.near[r], span)) for r in alive[tw.distinct(row)])
+        return [(r, stretches) for r, stretches in found if stretches]
+
     def proximity(self, terms: np.ndarray, span: int) -> list[tuple[int, int]]:
         """[start, end) of the shortest stretches of at most ``span`` positions that
         begin with one of ``terms`` and hold them all, in any order."""
@@ -146,8 +184,8 @@ class Postings:
 
 def index_documents(docs: DataFrame, phrases: Phrases) -> DataFrame:
     """Segments over all rows of ``docs`` (doc_id, text_key, text)."""
-    # a gap of one window, so that no shifted list can meet another document's positions
-    vocabulary, gap = docs.sparkSession.sparkContext.broadcast(phrases.vocabulary), phrases.window
+    # a gap, so that no shifted list and no stretch can meet another document's positions
+    vocabulary, gap = docs.sparkSession.sparkContext.broadcast(phrases.vocabulary), max(phrases.window, SPREAD)
     kinds = {"doc_ids": pa.int64(), "text_keys": pa.int64(), "n_words": pa.int32(), "first": pa.int32(),
              "terms": pa.int64(), "counts": pa.int32(), "steps": pa.int32()}
 
@@ -163,7 +201,8 @@ def index_documents(docs: DataFrame, phrases: Phrases) -> DataFrame:
 
 def search(segments: DataFrame, phrases: Phrases) -> DataFrame:
     """A row for each document of the segments: its merged hit intervals
-    ``[starts, ends)`` in words and the items of the phrases found in it."""
+    ``[starts, ends)`` in words, the items of the phrases found in it, and those with
+    proximity matches."""
     sent = segments.sparkSession.sparkContext.broadcast(phrases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,10 +227,14 @@ def search(segments: DataFrame, phrases: Phrases) -> DataFrame:
                     else:
                         starts[d].append(s)
                         ends[d].append(e)
+                near = [set() for _ in n]
+                for p, stretches in lists.nearby(queries):
+                    for d in np.searchsorted(first, [s for s, _ in stretches], "right") - 1:
+                        near[d].update(queries.near_owners[p])
                 yield pa.RecordBatch.from_arrays(
                     [col["doc_ids"], col["text_keys"], pa.array(n, pa.int64()), pa.array(starts, pa.list_(pa.int32())),
-                     pa.array(ends, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    ["doc_id", "text_key", "n_words", "starts", "ends", "items"])
+                     pa.array(ends, pa.list_(pa.int32())), *[pa.array([sorted(x) for x in names], pa.list_(pa.string())) for names in (items, near)]],
+                    ["doc_id", "text_key", "n_words", "starts", "ends", "items", "near"])
 
     return segments.mapInArrow(run, FOUND)
 
@@ -200,7 +243,8 @@ def search(segments: DataFrame, phrases: Phrases) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, text_key, n_words, n_hit
-    (words inside an occurrence of a window), items (sorted, distinct, as strings).
+    (words inside an occurrence of a window), items (sorted, distinct, as strings) and near (the same, of the
+    items with a proximity match).
 
     Words are runs of a-z (A-Z folded), 0-9 and characters beyond ASCII.  A window
     is ``window`` consecutive words of an item, or the whole item if it has fewer.
@@ -221,7 +265,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     if blocks > 1:  # a row, or n equal rows, gave `blocks` results each
         found = (found.groupBy("doc_id", "text_key", "n_words")
                  .agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"),
-                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.count(F.lit(1)).alias("_n"))
+                      *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near")], F.count(F.lit(1)).alias("_n"))
                  .withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.col("_n") / blocks).cast("int")))))
         # merged intervals: those that begin beyond all earlier ends
         pairs = F.array_sort(F.arrays_zip("starts", "ends"))
@@ -230,7 +274,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
                                                   F.greatest(a["reach"], p["ends"]).alias("reach")), lambda a: a["n"])
     else:
         n_hit = F.aggregate(F.zip_with("starts", "ends", lambda s, e: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
-    return found.select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), "items")
+    return found.select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), "items", "near")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

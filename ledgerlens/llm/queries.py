@@ -76,7 +76,8 @@ from ledgerlens.llm import decontaminate  # noqa: E402
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                        F.size("near").cast("long").alias("n_near"), F.sha2(F.concat_ws(",", "near"), 256).alias("near_sha256"))
 
 
 # --- 6: best-fit packing ------------------------------------------------------

@@ -38,6 +38,23 @@ def contamination(docs, items, window=10):
     return out
 
 
+def nearby(docs, items, window=10, span=20, least=6):
+    """{doc_id: items with a window, cut without overlap, whose distinct words all stand within ``span`` words}."""
+    sets = set()
+    for name, text in items:
+        w = alnum_words(text)
+        for i in {*range(0, len(w) - window + 1, window), max(0, len(w) - window)}:
+            if len(set(w[i:i + window])) >= least and name is not None:
+                sets.add((frozenset(w[i:i + window]), str(name)))
+    out = {}
+    for doc_id, text in docs:
+        w = alnum_words(text)
+        stretches = [frozenset(w[i:i + span]) for i in range(max(1, len(w) - span + 1))]
+        words = set(w)
+        out.setdefault(doc_id, set()).update(name for s, name in sets if s <= words and any(s <= x for x in stretches))
+    return {d: sorted(x) for d, x in out.items()}
+
+
 def repeats(docs, window=20):
     """[(doc_id, n_words, n_removed, kept_sha256)]: words covered by a window that starts earlier elsewhere."""
     rows = sorted(docs, key=lambda r: r[0])

@@ -333,6 +333,20 @@ def test_contamination_equals_plain_search(llm_spark, awkward, which, block):
     assert set(rows) == {(d, n, h, tuple(i)) for d, n, h, i in brute.contamination(pairs(docs), tests)}
 
 
+@both_tables
+@pytest.mark.parametrize("block", [1 << 24, 4000])
+def test_proximity_matches_equal_plain_search(llm_spark, awkward, which, block):
+    """Words put in, left out of a longer item, and moved about; words that stand too far apart do not match."""
+    tests = benchmark_rows(llm_spark) + [(950, "one two three four five six seven eight nine ten")]
+    docs = source(llm_spark, which, awkward).select("doc_id", "text").unionAll(llm_spark.createDataFrame(
+        [(8001, "x ten nine y eight seven z six five four one two three end"), (8002, "one two three four five and so on, " + "w " * 9 + "six seven eight nine ten"),
+         (8003, "k j i h g f e d c b a"), (8004, "one two three four five")], "doc_id bigint, text string"))
+    got = decontaminate.contamination(docs, llm_spark.createDataFrame(tests, "item_id bigint, text string"), block_bytes=block)
+    want = brute.nearby(pairs(docs), tests)
+    assert {(r["doc_id"], tuple(r["near"])) for r in got.collect()} == {(d, tuple(x)) for d, x in want.items()}
+    assert want[8001] == ["950"] and want[8002] == [] and want[8003] == ["903"]
+
+
 def test_contamination_awkward(llm_spark, clashing, with_nulls, empty):
     tests = llm_spark.createDataFrame(benchmark_rows(llm_spark), "item_id bigint, text string")
     assert decontaminate.contamination(empty, tests).count() == 0
