@@ -45,17 +45,17 @@ EARLIEST = 6
 COUNTER_BITS = 20
 BLOCK = 1 << 12
 #: Text whose postings make one group of lists (a posting for each 35 bytes or so).
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 #: Lists of words that occur more often than this are divided.
 LONG_LIST = 1_000_000
 #: Of a longer list, only so many of the earliest lines are partners at first.
 PARTNERS = 5_000
 #: Pairs held at once.
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 #: Equal lines that a task leaves out after the first; forgotten at this many.
-SEEN = 500_000
+SEEN = 100_000
 #: Postings that a task holds before it sends them.
-HELD = 400_000
+HELD = 300_000
 
 #: Lines handled at once; their numbers and the words' order share 64 bits.
 LINES_BITS = 14
@@ -385,7 +385,7 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
 #: Bytes of a word when sets are compared.
 WORD_BYTES = 5
 #: Lines whose sets one task compares, about; words compared at once.
-CELL_LINES, COMPARED = 5_000, 4 << 20
+CELL_LINES, COMPARED = 5_000, 1 << 20
 
 
 def by_late(pairs: DataFrame) -> DataFrame:
