@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import textwords as tw
 from ledgerlens.llm.bloom import bloom_bits, maybe_in
 from ledgerlens.llm.fmindex import FMIndex
-from ledgerlens.llm.storage import stored
+from ledgerlens.llm.storage import arrow_rows, stored
 
 WINDOW = 20
 GRAM = 6
@@ -38,6 +38,8 @@ GRAM = 6
 SHARD_WORDS = 400_000
 #: An anchor whose different runs have more words than this is divided into windows.
 HOT_WORDS = 100_000
+#: Words and runs sent on at once; texts (with their runs) handed to a Python worker at once.
+OUT_WORDS, BATCH_TEXTS = 200_000, 500
 
 LAST = (1 << 63) - 1
 
@@ -131,12 +133,17 @@ def run_words(texts: DataFrame, window: int) -> DataFrame:
             if hot.any():
                 anchor[hot] = stretch_hashes(words.hash, at[hot], size[hot]).view(np.int64)
             held = np.where(hot, 0, size)  # single windows need no words
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor, pa.int64()), pa.array(hot, pa.bool_()), batch.column("doc").take(pa.array(text)), batch.column("text_key").take(pa.array(text)),
-                 pa.array(start, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held)]), pa.int32()),
-                                          pa.array(words.hash[tw.ranges(at, held)].view(np.int64)))],
-                ["anchor", "hot", "doc", "text_key", "start", "words"])
+            upto, i = np.cumsum(held + 1), 0
+            while i < len(held):  # the words of a slice's runs overlap, so they come out in pieces
+                j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + OUT_WORDS, "right")))
+                own = slice(i, j)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor[own], pa.int64()), pa.array(hot[own], pa.bool_()), batch.column("doc").take(pa.array(text[own])),
+                     batch.column("text_key").take(pa.array(text[own])), pa.array(start[own], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held[own])]), pa.int32()),
+                                              pa.array(words.hash[tw.ranges(at[own], held[own])].view(np.int64)))],
+                    ["anchor", "hot", "doc", "text_key", "start", "words"])
+                i = j
 
     return texts.select("doc", "text_key", "text", "runs").mapInArrow(
         run, "anchor bigint, hot boolean, doc bigint, text_key bigint, start int, words array<bigint>")
@@ -186,7 +193,8 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM)
         F.collect_list(F.struct("first.start", "first.n", "hot", "anchor")).alias("runs")), "wanted")
     bits = bloom_bits(wanted, "text_key")
     texts = maybe_in(docs.select(*document_order(), "text"), "text_key", bits).dropDuplicates(doc).join(wanted, doc)
-    cut = stored(run_words(texts, window), "run-words")
+    with arrow_rows(docs.sparkSession, BATCH_TEXTS):
+        cut = stored(run_words(texts, window), "run-words")
 
     total = several.where("not hot").agg(F.sum("_words")).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
@@ -237,7 +245,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = docs.select("doc_id", *document_order(), "text")
     bits = bloom_bits(cuts, "text_key")
     changed = _kept(maybe_in(rows.select(*doc, "text"), "text_key", bits).dropDuplicates(doc).join(cuts, doc), True)
-    changed = stored(changed.select(*doc, "n_removed", F.col("kept_sha256").alias("_kept")), "changed")
+    with arrow_rows(docs.sparkSession, BATCH_TEXTS):
+        changed = stored(changed.select(*doc, "n_removed", F.col("kept_sha256").alias("_kept")), "changed")
     base = _kept(rows.select(*doc, "text"), False).select(*doc, "n_words", "kept_sha256")
     out = base.join(changed, doc, "left")
     return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_words",
