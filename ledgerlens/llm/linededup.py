@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import textwords as tw
 from ledgerlens.llm.bloom import bitmap, in_bitmap
-from ledgerlens.llm.storage import stored
+from ledgerlens.llm.storage import arrow_rows, stored
 
 PERCENT = 80
 EARLIEST = 6
@@ -57,6 +57,9 @@ SEEN = 100_000
 #: Postings that a task holds before it sends them.
 HELD = 300_000
 
+#: Texts handed to a Python worker at once.
+BATCH_TEXTS = 2_000
+
 #: Lines handled at once; their numbers and the words' order share 64 bits.
 LINES_BITS = 14
 WORD_BITS = 42
@@ -267,19 +270,27 @@ def posted(docs: DataFrame, known: tuple, percent: int, groups: int) -> DataFram
                     held, size = ([], [], [], []), 0
         if size:
             yield from messages(*held)
+        del held, seen
+        tw.release()
 
     return docs.select(*line_order(), "text").mapInArrow(run, "group int, lines binary, posts binary, sets binary, copies binary")
 
 
-def posting_rows(docs: DataFrame, known: tuple, percent: int, only_lines: np.ndarray | None = None, only_words: np.ndarray | None = None) -> DataFrame:
-    """Postings as rows (doc, key, line, word, place, size, bits, twin) of the lines, or by the words, that may be in a bitmap."""
+def posting_rows(docs: DataFrame, known: tuple, percent: int, only_lines: tuple[np.ndarray, np.ndarray] | None = None,
+                 only_words: np.ndarray | None = None) -> DataFrame:
+    """Postings as rows (doc, key, line, word, place, size, bits, twin) of the lines (bitmaps of texts and of lines), or
+    by the words, that may be in a bitmap."""
     sent = docs.sparkSession.sparkContext.broadcast((*known, only_lines, only_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of, repeated, asked_lines, asked_words = sent.value
         for batch in tw.small_batches(batches, "text"):
+            if asked_lines is not None:
+                doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
+                own = line_hash(doc, own_keys(doc, key, repeated), np.full(len(doc), -1))
+                batch = batch.filter(pa.array(in_bitmap(asked_lines[0], own)))
             for ids, lines in line_blocks(batch, level_of, repeated):
-                use = np.ones(len(lines.size), bool) if asked_lines is None else in_bitmap(asked_lines, line_hash(*(ids[n] for n in LINE)))
+                use = np.ones(len(lines.size), bool) if asked_lines is None else in_bitmap(asked_lines[1], line_hash(*(ids[n] for n in LINE)))
                 rows, posts = prefixes(ids, lines, use, percent)
                 ok = np.ones(len(posts["at"]), bool) if asked_words is None else in_bitmap(asked_words, posts["word"])
                 at = posts["at"][ok]
@@ -423,6 +434,7 @@ def line_sets(docs: DataFrame, known: tuple, wanted: DataFrame) -> DataFrame:
                 words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays([pa.array(ids["doc"][at]), pa.array(ids["key"][at]), pa.array(ids["line"][at], pa.int32()), words.cast(pa.binary())],
                                                  [*LINE, "words"])
+        tw.release()
 
     rows = docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, key bigint, line int, words binary")
     return rows.groupBy(*LINE).agg(F.first("words").alias("words"))
@@ -496,7 +508,7 @@ def repeated_lines(docs: DataFrame, known: tuple, percent: int = PERCENT) -> Dat
     more = found.where(F.col("kind") == MORE).select(*LINE).distinct()
     open_lines = stored(more.join(matched.unionAll(copies), LINE, "left_anti"), "open-lines")
     if not open_lines.isEmpty():
-        late = posting_rows(docs, known, percent, only_lines=hash_bitmap(open_lines)).join(open_lines, LINE)
+        late = posting_rows(docs, known, percent, only_lines=(hash_bitmap(open_lines, of_text=True), hash_bitmap(open_lines))).join(open_lines, LINE)
         late = stored(late.dropDuplicates([*LINE, "word"]), "late")
         early = posting_rows(docs, known, percent, only_words=bitmap(late, "word"))
         early = early.withColumn("band", size_band(F.col("size"), percent)).withColumnsRenamed({
@@ -554,12 +566,13 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     any number of words.  Other columns stay; input columns named n_lines or n_removed are replaced.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    known = rarity(docs), repeated_ids(docs)
-    cuts = cut_lines(docs.select("doc_id", "text"), known, percent)
+    with arrow_rows(docs.sparkSession, BATCH_TEXTS):
+        known = rarity(docs), repeated_ids(docs)
+        cuts = cut_lines(docs.select("doc_id", "text"), known, percent)
+        # texts without any cut are not shuffled
+        texts = hash_bitmap(cuts.select("doc", "key", F.lit(-1).alias("line")))
     doc, key = line_order()
     rows = docs.select(*keep, doc.alias("_doc"), key.alias("_key"))
-    # texts without any cut are not shuffled
-    texts = hash_bitmap(cuts.select("doc", "key", F.lit(-1).alias("line")))
     cuts = cuts.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "gone")
     cut = with_own_keys(rows, known, texts, True).join(cuts, ["_doc", "_key"], "left").withColumn(
         "n_lines", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long"))

@@ -7,6 +7,7 @@ Nulls count as empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -154,6 +155,16 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + shift
 
 
+def release() -> None:
+    """Give freed memory back to the machine: Python workers live on between tasks, beside
+    the executor's heap.  Without glibc only Arrow's part."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def distinct(x: np.ndarray) -> np.ndarray:
     """The sorted distinct numbers of ``x`` (``np.unique`` hashes them first, which takes far longer)."""
     x = np.sort(x)
