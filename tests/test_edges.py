@@ -171,7 +171,7 @@ def test_running_mrr_last_value_is_total(spark):
     """The running commercial MRR on an account's last day equals its total."""
     fx = Fixtures(spark, SF_SMALL)
     s = summary.contract_summary(fx.contracts, fx.accounts, fx.log, AS_OF, LINK_CUTOFF)
-    lines = history.history_lines(fx.contracts, s, fx["contracteventtypes"], fx["itemclassifications"])
+    lines = history.history_groups(fx.contracts, s, fx["contracteventtypes"], fx["itemclassifications"])
     base = history.history_base(fx.contracts, s, fx["contracteventtypes"], fx["itemclassifications"])
     last = base.groupBy("environment", "accountcode").agg(F.max_by("summrr", "eventdate").alias("last"))
     total = lines.groupBy("environment", "accountcode").agg(F.sum("_m").alias("total"))
