@@ -10,7 +10,8 @@ lines match when the Jaccard similarity of their sets is at least ``PERCENT`` /
    the words of their prefix, the first n - ceil(0.8 n) + 1: lines that match share one of those.
    Postings are dealt to groups of lists as packed arrays.
 3. In a word's list, pairs must also pass the length filter, the positional filter and a bitmap
-   bound of their difference.  A line is paired with the ``EARLIEST`` earlier lines that pass, for a start.
+   bound of their difference (128 bits for lines of ``LONG`` words or more, else 64).  A line is paired with
+   the ``EARLIEST`` earlier lines that pass with the least difference of their bitmaps, for a start.
 4. Pairs are verified on the full sets, which are read from the texts for the lines in pairs
    only; a line with an earlier match is removed.
 5. A line that had more earlier candidates than were tried, and no match among them,
@@ -41,6 +42,7 @@ from ledgerlens.llm.storage import arrow_rows, stored
 
 PERCENT = 80
 EARLIEST = 6
+LONG = 64
 #: Counters of the sketch, sent to the tasks as one byte each.
 COUNTER_BITS = 20
 BLOCK = 1 << 12
@@ -172,7 +174,7 @@ def needed(size: np.ndarray, percent: int) -> np.ndarray:
 
 # --- postings ----------------------------------------------------------------------
 #: What is sent for a line, and for a posting (``at`` is its line in the same message).
-LINE_KINDS = {"doc": "<i8", "key": "<i8", "line": "<i4", "size": "<i4", "bits": "<u8", "twin": "<u4"}
+LINE_KINDS = {"doc": "<i8", "key": "<i8", "line": "<i4", "size": "<i4", "bits": "<u8", "more": "<u8", "twin": "<u4"}
 POST_KINDS = {"word": "<u4", "salt": "<u4", "at": "<u4", "place": "<i4"}
 SET_KINDS = {"set": "<u8", "doc": "<i8", "key": "<i8", "line": "<i4"}
 
@@ -183,13 +185,19 @@ def prefixes(ids: dict[str, np.ndarray], lines: Lines, use: np.ndarray, percent:
     rows = np.flatnonzero(use)
     place = np.arange(len(lines.words)) - lines.first[lines.owner]
     sent = np.flatnonzero(use[lines.owner] & (place <= lines.size[lines.owner] - needed(lines.size[lines.owner], percent)))
-    bits = np.zeros(len(lines.size), U64)
+    bits, more = np.zeros(len(lines.size), U64), np.zeros(len(lines.size), U64)
     full = np.flatnonzero(lines.size)
     if len(full):
-        bits[full] = np.bitwise_or.reduceat(U64(1) << (lines.words & U64(63)), lines.first[full])
+        one, high = U64(1) << (lines.words & U64(63)), lines.words & U64(64) > 0
+        for half, own in ((bits, ~high), (more, high)):
+            half[full] = np.bitwise_or.reduceat(np.where(own, one, U64(0)), lines.first[full])
+        # short lines have both halves in one
+        short = lines.size < LONG
+        bits[short] |= more[short]
+        more[short] = 0
     number = np.cumsum(use) - 1
     words = lines.words[sent]
-    return ({"doc": ids["doc"][rows], "key": ids["key"][rows], "line": ids["line"][rows], "size": lines.size[rows], "bits": bits[rows], "twin": lines.set[rows] >> U64(32)},
+    return ({"doc": ids["doc"][rows], "key": ids["key"][rows], "line": ids["line"][rows], "size": lines.size[rows], "bits": bits[rows], "more": more[rows], "twin": lines.set[rows] >> U64(32)},
             {"word": words >> U64(WORD_BITS - 32) & U64(0xFFFFFFFF), "salt": words >> U64(WORD_BITS), "at": number[lines.owner[sent]], "place": place[sent]})
 
 
@@ -278,7 +286,7 @@ def posted(docs: DataFrame, known: tuple, percent: int, groups: int) -> DataFram
 
 def posting_rows(docs: DataFrame, known: tuple, percent: int, only_lines: tuple[np.ndarray, np.ndarray] | None = None,
                  only_words: np.ndarray | None = None) -> DataFrame:
-    """Postings as rows (doc, key, line, word, place, size, bits, twin) of the lines (bitmaps of texts and of lines), or
+    """Postings as rows (doc, key, line, word, place, size, bits, more, twin) of the lines (bitmaps of texts and of lines), or
     by the words, that may be in a bitmap."""
     sent = docs.sparkSession.sparkContext.broadcast((*known, only_lines, only_words))
 
@@ -296,13 +304,28 @@ def posting_rows(docs: DataFrame, known: tuple, percent: int, only_lines: tuple[
                 at = posts["at"][ok]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows["doc"][at]), pa.array(rows["key"][at]), pa.array(rows["line"][at], pa.int32()), pa.array(posts["word"][ok].astype(np.int64)),
-                     pa.array(posts["place"][ok], pa.int32()), pa.array(rows["size"][at], pa.int32()), pa.array(rows["bits"][at].view(np.int64)),
-                     pa.array(rows["twin"][at].astype(np.int64))], ["doc", "key", "line", "word", "place", "size", "bits", "twin"])
+                     pa.array(posts["place"][ok], pa.int32()), pa.array(rows["size"][at], pa.int32()), *[pa.array(rows[c][at].view(np.int64)) for c in ("bits", "more")],
+                     pa.array(rows["twin"][at].astype(np.int64))], ["doc", "key", "line", "word", "place", "size", "bits", "more", "twin"])
 
-    return docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, key bigint, line int, word bigint, place int, size int, bits bigint, twin bigint")
+    return docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, key bigint, line int, word bigint, place int, size int, bits bigint, more bigint, twin bigint")
 
 
 # --- pairs -------------------------------------------------------------------------
+def bits_apart(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> np.ndarray:
+    """Differing bits of the bitmaps of lines (bits, more, size), folded to 64 unless both are long."""
+    long = (a["size"] >= LONG) & (b["size"] >= LONG)
+    apart = np.bitwise_count(np.where(long, a["bits"] ^ b["bits"], (a["bits"] | a["more"]) ^ (b["bits"] | b["more"])))
+    return apart.astype(np.int64) + np.where(long, np.bitwise_count(a["more"] ^ b["more"]), 0)
+
+
+def columns_apart() -> Column:
+    """The same of columns, those of the other line with ``early_``."""
+    a, b, c, d = F.col("bits"), F.col("early_bits"), F.col("more"), F.col("early_more")
+    long = (F.col("size") >= LONG) & (F.col("early_size") >= LONG)
+    return F.when(long, F.bit_count(a.bitwiseXOR(b)) + F.bit_count(c.bitwiseXOR(d))).otherwise(
+        F.bit_count(a.bitwiseOR(c).bitwiseXOR(b.bitwiseOR(d))))
+
+
 def may_match(size_a, size_b, place_a, place_b, apart, least, percent: int):
     """Length, positional and bitmap filters; ``apart``: differing bits of the bitmaps,
     ``least``: the least of two numbers.  For numpy arrays and for columns alike."""
@@ -359,12 +382,13 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
     at = posts["at"].astype(np.int64)
     salt = posts["salt"].astype(np.int64)
     word = posts["word"].astype(np.int64) | salt << 32  # the parts of a divided list are lists of their own
-    twins = np.lexsort([rank[at], lines["bits"][at], lines["twin"][at], lines["size"][at], word])
-    same = np.all([x[twins[1:]] == x[twins[:-1]] for x in (word, lines["size"][at], lines["twin"][at], lines["bits"][at])], axis=0)
+    own = [lines[n][at] for n in ("more", "bits", "twin", "size")]
+    twins = np.lexsort([rank[at], *own, word])
+    same = np.all([x[twins[1:]] == x[twins[:-1]] for x in (word, *own)], axis=0)
     use = twins[np.append(True, ~same)[:len(twins)]]
     use = use[np.lexsort([rank[at[use]], word[use]])]
     word, at, salt, place = word[use], at[use], salt[use], posts["place"][use].astype(np.int64)
-    size, bits = lines["size"][at].astype(np.int64), lines["bits"][at]
+    size, sketch = lines["size"][at].astype(np.int64), {n: lines[n][at] for n in ("bits", "more", "size")}
     n = len(at)
     opens = np.append(True, word[1:] != word[:-1])[:n]
     start = np.flatnonzero(opens)[np.cumsum(opens) - 1] if n else np.zeros(0, np.int64)
@@ -376,8 +400,11 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
         j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PAIRS, "right")))
         a = np.repeat(np.arange(i, j), earlier[i:j])
         b = tw.ranges(start[i:j], earlier[i:j])
-        ok = may_match(size[a], size[b], place[a], place[b], np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64), np.minimum, percent)
-        a, b = a[ok], b[ok]
+        apart = bits_apart(*({n: v[x] for n, v in sketch.items()} for x in (a, b)))
+        ok = may_match(size[a], size[b], place[a], place[b], apart, np.minimum, percent)
+        a, b, apart = a[ok], b[ok], apart[ok]
+        likeliest = np.lexsort((b, apart, a))
+        a, b = a[likeliest], b[likeliest]
         new = np.append(True, a[1:] != a[:-1])[:len(a)]
         nth = np.arange(len(a)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(a) else np.zeros(0, np.int64)
         late.append(at[a[nth < EARLIEST]])
@@ -512,13 +539,14 @@ def repeated_lines(docs: DataFrame, known: tuple, percent: int = PERCENT) -> Dat
         late = stored(late.dropDuplicates([*LINE, "word"]), "late")
         early = posting_rows(docs, known, percent, only_words=bitmap(late, "word"))
         early = early.withColumn("band", size_band(F.col("size"), percent)).withColumnsRenamed({
-            c: f"early_{c}" for c in ("doc", "key", "line", "size", "place", "bits", "twin")})
+            c: f"early_{c}" for c in ("doc", "key", "line", "size", "place", "bits", "more", "twin")})
         near = size_band(F.col("size"), percent)
         late = late.withColumn("band", F.explode(F.array(near - 1, near, near + 1)))
         before = F.struct("early_doc", "early_key", "early_line") < F.struct("doc", "key", "line")
-        twins = (F.col("twin") == F.col("early_twin")) & (F.col("bits") == F.col("early_bits")) & (F.col("size") == F.col("early_size"))
-        ok = ~twins & may_match(F.col("size"), F.col("early_size"), F.col("place"), F.col("early_place"),
-                                F.bit_count(F.col("bits").bitwiseXOR(F.col("early_bits"))), F.least, percent)
+        twins = F.lit(True)
+        for c in ("twin", "bits", "more", "size"):
+            twins &= F.col(c) == F.col(f"early_{c}")
+        ok = ~twins & may_match(F.col("size"), F.col("early_size"), F.col("place"), F.col("early_place"), columns_apart(), F.least, percent)
         rest = by_late(late.join(early, ["word", "band"]).where(before & ok).select(*pair))
         matched = matched.unionAll(verified(docs, known, rest, percent))
     return copies.unionAll(matched).distinct()
