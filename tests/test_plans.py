@@ -36,6 +36,9 @@ def _nodes(node):
         inner = node.plan() if "QueryStage" in name else node.executedPlan()
         yield from _nodes(inner)
         return
+    if name == "ReusedExchange":
+        yield from _nodes(node.child())
+        return
     children = node.children()
     for i in range(children.size()):
         yield from _nodes(children.apply(i))
