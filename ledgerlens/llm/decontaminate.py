@@ -195,6 +195,7 @@ def index_documents(docs: DataFrame, phrases: Phrases) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([s[k]], pa.list_(kind)) if isinstance(s[k], np.ndarray)
                                               else pa.ListArray.from_arrays(pa.array([0, len(s[k])], pa.int32()), s[k])
                                               for k, kind in kinds.items()], list(kinds))
+        tw.release()
 
     return docs.select("doc_id", "text_key", "text").mapInArrow(run, SEGMENT)
 
@@ -235,6 +236,7 @@ def search(segments: DataFrame, phrases: Phrases) -> DataFrame:
                     [col["doc_ids"], col["text_keys"], pa.array(n, pa.int64()), pa.array(starts, pa.list_(pa.int32())),
                      pa.array(ends, pa.list_(pa.int32())), *[pa.array([sorted(x) for x in names], pa.list_(pa.string())) for names in (items, near)]],
                     ["doc_id", "text_key", "n_words", "starts", "ends", "items", "near"])
+        tw.release()
 
     return segments.mapInArrow(run, FOUND)
 

@@ -128,6 +128,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                  pa.array(set_hashes(ids, off).view(np.int64), pa.int64(), mask=n == 0),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(keys))],
                 ["doc_id", "text_key", "n_shingles", "set", "bands"])
+        tw.release()
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
         run, "doc_id bigint, text_key bigint, n_shingles bigint, set bigint, bands array<bigint>")
@@ -142,6 +143,7 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(set_hashes(ids, off).view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids.view(np.int64)))], ["set", "ids"])
+        tw.release()
 
     return docs.select("text").mapInArrow(run, "set bigint, ids array<bigint>")
 

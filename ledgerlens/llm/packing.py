@@ -35,7 +35,7 @@ FULL = 0.998
 #: followed by one with the next partners, until all were tried.
 PARTNERS = 64
 #: Bytes of text encoded at once.
-TOKEN_SLICE = 12 << 20
+TOKEN_SLICE = 4 << 20
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt int"
 
@@ -63,6 +63,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
+        tw.release()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECE)
 

@@ -192,5 +192,6 @@ def scored(docs: DataFrame, network: Network, text: str = "text", score: str = "
         for batch in tw.small_batches(batches, text, 2 << 20):
             scores = pa.array(sent.value.score(batch.column(text)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, score])
+        tw.release()
 
     return keep.mapInArrow(run, schema)

@@ -24,7 +24,7 @@ from ledgerlens.llm import textwords as tw
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Units whose ids a worker remembers.
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 #: Units encoded in one piece of text.
 JOINED = 64
 #: A longer text (bytes) is encoded in parts, cut at white space.
