@@ -59,8 +59,8 @@ SEEN = 100_000
 #: Postings that a task holds before it sends them.
 HELD = 300_000
 
-#: Texts handed to a Python worker at once.
-BATCH_TEXTS = 2_000
+#: Texts handed to a Python worker at once, and bytes of them handled at once.
+BATCH_TEXTS, TEXT_SLICE = 2_000, 1 << 20
 
 #: Lines handled at once; their numbers and the words' order share 64 bits.
 LINES_BITS = 14
@@ -148,7 +148,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
-        for batch in tw.small_batches(batches, "text"):
+        for batch in tw.small_batches(batches, "text", TEXT_SLICE):
             words = tw.words_of(batch.column("text"), tw.SPACE_SEPARATED, tw.LOWER)
             np.add.at(total, bucket_of(words.hash), 1)
         parts = total.reshape(-1, BLOCK)
@@ -256,7 +256,7 @@ def posted(docs: DataFrame, known: tuple, percent: int, groups: int) -> DataFram
         level_of, repeated = sent.value
         seen: dict[int, tuple[int, int, int]] = {}  # the earliest line so far of each set
         held, size = ([], [], [], []), 0
-        for batch in tw.small_batches(batches, "text"):
+        for batch in tw.small_batches(batches, "text", TEXT_SLICE):
             for ids, lines in line_blocks(batch, level_of, repeated):
                 first, copy = np.zeros(len(lines.size), bool), np.zeros(len(lines.size), bool)
                 full = np.flatnonzero(lines.size)
@@ -292,7 +292,7 @@ def posting_rows(docs: DataFrame, known: tuple, percent: int, only_lines: tuple[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of, repeated, asked_lines, asked_words = sent.value
-        for batch in tw.small_batches(batches, "text"):
+        for batch in tw.small_batches(batches, "text", TEXT_SLICE):
             if asked_lines is not None:
                 doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
                 own = line_hash(doc, own_keys(doc, key, repeated), np.full(len(doc), -1))
@@ -440,7 +440,7 @@ def line_sets(docs: DataFrame, known: tuple, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of, repeated, texts, asked = sent.value
         done: set[tuple[int, int]] = set()  # repeated rows are one document
-        for batch in tw.small_batches(batches, "text"):
+        for batch in tw.small_batches(batches, "text", TEXT_SLICE):
             doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
             key = own_keys(doc, key, repeated)
             use = in_bitmap(texts, line_hash(doc, key, np.full(len(doc), -1)))
