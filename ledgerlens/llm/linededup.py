@@ -41,7 +41,7 @@ from ledgerlens.llm.bloom import bitmap, in_bitmap
 from ledgerlens.llm.storage import arrow_rows, stored
 
 PERCENT = 80
-EARLIEST = 6
+EARLIEST = 24
 LONG = 64
 #: Counters of the sketch, sent to the tasks as one byte each.
 COUNTER_BITS = 20
@@ -513,7 +513,7 @@ def verified(docs: DataFrame, known: tuple, tried: DataFrame, percent: int) -> D
     placed = placed.select(F.pmod(spread, F.lit(cells)).cast("int").alias("cell"), *LINE, "early")
     asked = placed.select("cell", F.explode(F.array_union("early", F.array(F.struct(*LINE)))).alias("_l")).select(
         F.col("cell").alias("_cell"), "_l.*").distinct()
-    sets = line_sets(docs, known, asked.select(*LINE)).join(asked, LINE)
+    sets = line_sets(docs, known, asked.select(*LINE)).join(asked.hint("merge"), LINE)
     return placed.groupBy("cell").cogroup(sets.groupBy("_cell")).applyInArrow(
         lambda left, right: matching(left, right, percent), "doc bigint, key bigint, line int")
 
@@ -602,7 +602,8 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     doc, key = line_order()
     rows = docs.select(*keep, doc.alias("_doc"), key.alias("_key"))
     cuts = cuts.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "gone")
-    cut = with_own_keys(rows, known, texts, True).join(cuts, ["_doc", "_key"], "left").withColumn(
+    # the same plan at every size
+    cut = with_own_keys(rows, known, texts, True).join(cuts.hint("merge"), ["_doc", "_key"], "left").withColumn(
         "n_lines", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long"))
     cut = cut.withColumn("n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long"))
     cut = cut.select(*keep, "n_lines", "n_removed", "gone")
