@@ -5,7 +5,9 @@
    sequence names (optimal densification).  Bands of ``ROWS`` bins are bucket keys.
    Texts of equal sets are one class and go on as one row.
 2. A bucket's classes are linked to one centre each (a star), not to each other, so
-   candidates are as many as bucket entries.  A candidate is confirmed on both full sets.
+   candidates are as many as bucket entries.  Each class also has the parities of its hashes
+   in ``PARITIES`` cells.  Two classes' parities differ in no more cells than their sets differ in shingles, so
+   a pair with too many is no link.  Any other candidate is confirmed on both full sets.
 3. A bucket whose classes are then still in several components gets further centres:
    its classes outside its largest component, few at first and then more, until each
    of them has been one.  So every bucket's links between components are found without
@@ -34,6 +36,9 @@ BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
 ID_BITS = 54  # of a shingle's hash; the other ten bits number the texts of a batch
 BATCH_ROWS = 1 << (64 - ID_BITS)
+#: Cells of a set's parities, 64 in a long.
+PARITIES = 512
+ODD = [f"odd{i}" for i in range(PARITIES // 64)]
 #: Centres of a bucket in each round; the last number repeats.
 CENTRES = (8, 64, 512, 4096)
 
@@ -109,6 +114,16 @@ def set_hashes(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return tw.mix(sums[offsets[1:]] - sums[offsets[:-1]] + np.diff(offsets).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def parities(ids: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """For each of ``ODD`` one long of each text: the bits of cells with an odd number of its hashes."""
+    cell = ids >> np.uint64(ID_BITS - PARITIES.bit_length() + 1)
+    bit, part, out = np.uint64(1) << (cell & np.uint64(63)), cell >> np.uint64(6), []
+    for i in range(len(ODD)):
+        upto = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.where(part == np.uint64(i), bit, np.uint64(0)))])
+        out.append((upto[offsets[1:]] ^ upto[offsets[:-1]]).view(np.int64))
+    return out
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in tw.small_batches(batches, "text"):
         for i in range(0, batch.num_rows, BATCH_ROWS):
@@ -116,7 +131,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, set (a hash of the shingle set, null if empty), bands."""
+    """doc_id, text_key, n_shingles, set (a hash of the shingle set, null if empty), bands, ``ODD``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches):
@@ -126,12 +141,13 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()),
                  pa.array(set_hashes(ids, off).view(np.int64), pa.int64(), mask=n == 0),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(keys))],
-                ["doc_id", "text_key", "n_shingles", "set", "bands"])
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(keys)),
+                 *map(pa.array, parities(ids, off))],
+                ["doc_id", "text_key", "n_shingles", "set", "bands", *ODD])
         tw.release()
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        run, "doc_id bigint, text_key bigint, n_shingles bigint, set bigint, bands array<bigint>")
+        run, "doc_id bigint, text_key bigint, n_shingles bigint, set bigint, bands array<bigint>, " + ", ".join(f"{c} bigint" for c in ODD))
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -153,6 +169,14 @@ def similar(a: Column, b: Column, percent: int) -> Column:
     return 100 * shared >= percent * (F.size(a) + F.size(b) - shared)
 
 
+def may_be_similar(percent: int) -> Column:
+    """False only where a class (n, ``ODD``) and a centre (m, ``ODD`` with ``centre_``) surely are not similar, by
+    sizes and parities: they share at most (n + m - differing cells) / 2 shingles."""
+    n, m = F.col("n"), F.col("m")
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"centre_{c}"))) for c in ODD), F.lit(0))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((n + m - apart) * (100 + percent) >= 2 * percent * (n + m))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, text_key, n_shingles, component_id, kept.
 
@@ -167,7 +191,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sketch = stored(sketches(docs, k), "sketches")
     classes = stored(sketch.where("set is not null").groupBy("set").agg(
         F.min("doc_id").alias("label"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"),
-        F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+        F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in ODD]), "classes")
 
     # buckets of at least two classes, each with a centre
     entries = classes.select(F.explode("bands").alias("key"), "set", "n")
@@ -188,10 +212,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     def pair(a: str, b: str) -> list[Column]:
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
-    alike = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    sizes = classes.select(F.col("set").alias("centre"), F.col("n").alias("m"))
+    alike, centre_odd = may_be_similar(percent), [F.col(c).alias(f"centre_{c}") for c in ODD]
+    odd = classes.select("set", *ODD)
+    sizes = classes.select(F.col("set").alias("centre"), F.col("n").alias("m"), *centre_odd)
     tried = stored(members.where("set <> centre").select("centre", "set", "n").distinct()
-                   .join(sizes, "centre").where(alike).select(*pair("centre", "set")), "pairs")
+                   .join(odd, "set").join(sizes, "centre").where(alike).select(*pair("centre", "set")), "pairs")
     found = components(confirmed(tried))
     centres = members.select("key", F.col("centre").alias("set")).distinct()  # classes that were centres, by bucket
 
@@ -200,14 +225,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             "root", F.coalesce("v", "set"))
         parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
         split = parts.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        active = stored(placed.join(split.select("key", "major"), "key").select("key", "set", "n", "root", "major"), "active")
+        active = stored(placed.join(split.select("key", "major"), "key").join(odd, "set").select("key", "set", "n", "root", "major", *ODD), "active")
         order = Window.partitionBy("key").orderBy("set")
         chosen = stored(active.where("root <> major").join(centres, ["key", "set"], "left_anti")
                         .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most)
-                        .select("key", F.col("set").alias("centre"), F.col("n").alias("m"), F.col("root").alias("centre_root")), "centres")
+                        .select("key", F.col("set").alias("centre"), F.col("n").alias("m"), F.col("root").alias("centre_root"), *centre_odd), "centres")
         if chosen.isEmpty():
             break
-        pairs = (chosen.join(active, "key").where((F.col("root") != F.col("centre_root")) & F.expr(alike))
+        pairs = (chosen.join(active, "key").where((F.col("root") != F.col("centre_root")) & alike)
                  .select(*pair("centre", "set")).distinct().join(tried, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "pairs")
         links = stored(confirmed(pairs), "confirmed")
