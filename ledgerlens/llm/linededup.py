@@ -52,8 +52,8 @@ GROUP_BYTES = 8 << 20
 LONG_LIST = 1_000_000
 #: Of a longer list, only so many of the earliest lines are partners at first.
 PARTNERS = 5_000
-#: Pairs held at once.
-PAIRS = 1 << 18
+#: Pairs held at once, few enough for a core's cache.
+PAIRS = 1 << 15
 #: Equal lines that a task leaves out after the first; forgotten at this many.
 SEEN = 100_000
 #: Postings that a task holds before it sends them.
@@ -125,14 +125,17 @@ class Lines:
             self.set = tw.mix(sums[self.first + self.size] - sums[self.first] + self.size.astype(U64))
 
 
-def line_blocks(batch: pa.RecordBatch, level_of: np.ndarray, repeated: np.ndarray) -> Iterator[tuple[dict[str, np.ndarray], Lines]]:
-    """(doc, key and line, word sets) of the lines of some texts, a block at a time."""
+def line_blocks(batch: pa.RecordBatch, level_of: np.ndarray, repeated: np.ndarray, asked: np.ndarray | None = None) -> Iterator[tuple[dict[str, np.ndarray], Lines]]:
+    """(doc, key and line, word sets) of the lines of some texts, a block at a time; with ``asked``, of the lines that may be in that bitmap."""
     split = pc.split_pattern(pc.fill_null(batch.column("text").cast(pa.large_string()), ""), "\n")
     lines, n_lines = split.flatten(), split.value_lengths().to_numpy().astype(np.int64)
     text = np.repeat(np.arange(batch.num_rows), n_lines)
     number = np.arange(len(lines)) - np.repeat(np.cumsum(n_lines) - n_lines, n_lines)
     doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
     key = own_keys(doc, key, repeated)
+    if asked is not None:
+        use = in_bitmap(asked, line_hash(doc[text], key[text], number))
+        lines, text, number = lines.filter(pa.array(use)), text[use], number[use]
     for i in range(0, len(lines), 1 << LINES_BITS):
         own = slice(i, i + (1 << LINES_BITS))
         yield {"doc": doc[text[own]], "key": key[text[own]], "line": number[own]}, Lines(lines.slice(i, 1 << LINES_BITS), level_of)
@@ -179,32 +182,47 @@ POST_KINDS = {"word": "<u4", "salt": "<u4", "at": "<u4", "place": "<i4"}
 SET_KINDS = {"set": "<u8", "doc": "<i8", "key": "<i8", "line": "<i4"}
 
 
-def prefixes(ids: dict[str, np.ndarray], lines: Lines, use: np.ndarray, percent: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """(lines, postings) of the lines to ``use`` that have more than three words; ``salt`` is the word's level, until its list is divided."""
-    use = use & (lines.size > 3)
-    rows = np.flatnonzero(use)
+def prefixes(ids: dict[str, np.ndarray], lines: Lines, use: np.ndarray, percent: int, only_words: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """(lines, postings) of the lines to ``use`` that have more than three words, with ``only_words`` by the words that may be in that
+    bitmap; ``salt`` is the word's level, until its list is divided."""
     place = np.arange(len(lines.words)) - lines.first[lines.owner]
-    sent = np.flatnonzero(use[lines.owner] & (place <= lines.size[lines.owner] - needed(lines.size[lines.owner], percent)))
-    bits, more = np.zeros(len(lines.size), U64), np.zeros(len(lines.size), U64)
-    full = np.flatnonzero(lines.size)
-    if len(full):
-        one, high = U64(1) << (lines.words & U64(63)), lines.words & U64(64) > 0
-        for half, own in ((bits, ~high), (more, high)):
-            half[full] = np.bitwise_or.reduceat(np.where(own, one, U64(0)), lines.first[full])
+    most = np.where(use & (lines.size > 3), lines.size - needed(lines.size, percent), -1)
+    sent = np.flatnonzero(place <= most[lines.owner])
+    if only_words is not None:
+        sent = sent[in_bitmap(only_words, list_words(lines.words[sent]))]
+    words, owner = lines.words[sent], lines.owner[sent]
+    rows = tw.distinct(owner)
+    size = lines.size[rows]
+    bits, more = np.zeros(len(rows), U64), np.zeros(len(rows), U64)
+    if len(rows):
+        own = lines.words[tw.ranges(lines.first[rows], size)]
+        first = np.cumsum(size) - size
+        one, high = U64(1) << (own & U64(63)), own & U64(64) > 0
+        more = np.bitwise_or.reduceat(np.where(high, one, U64(0)), first)
+        bits = np.bitwise_or.reduceat(np.where(high, U64(0), one), first)
         # short lines have both halves in one
-        short = lines.size < LONG
+        short = size < LONG
         bits[short] |= more[short]
         more[short] = 0
-    number = np.cumsum(use) - 1
-    words = lines.words[sent]
-    return ({"doc": ids["doc"][rows], "key": ids["key"][rows], "line": ids["line"][rows], "size": lines.size[rows], "bits": bits[rows], "more": more[rows], "twin": lines.set[rows] >> U64(32)},
-            {"word": words >> U64(WORD_BITS - 32) & U64(0xFFFFFFFF), "salt": words >> U64(WORD_BITS), "at": number[lines.owner[sent]], "place": place[sent]})
+    number = np.zeros(len(lines.size), np.int64)
+    number[rows] = np.arange(len(rows))
+    return ({"doc": ids["doc"][rows], "key": ids["key"][rows], "line": ids["line"][rows], "size": size, "bits": bits, "more": more, "twin": lines.set[rows] >> U64(32)},
+            {"word": list_words(words), "salt": words >> U64(WORD_BITS), "at": number[owner], "place": place[sent]})
 
 
-def packed(columns: dict[str, np.ndarray], kinds: dict[str, str]) -> bytes:
-    """Columns as bytes: the first bytes of all values, then the second, and so on, compressed."""
-    planes = [np.ascontiguousarray(columns[n].astype(k)).view(np.uint8).reshape(-1, np.dtype(k).itemsize).T.tobytes() for n, k in kinds.items()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+def list_words(words: np.ndarray) -> np.ndarray:
+    """The bits of words that name their lists."""
+    return words >> U64(WORD_BITS - 32) & U64(0xFFFFFFFF)
+
+
+def rows_of_bytes(columns: dict[str, np.ndarray], kinds: dict[str, str]) -> np.ndarray:
+    """Columns side by side: the bytes of a row are a row."""
+    return np.hstack([np.ascontiguousarray(columns[n].astype(k, copy=False)).view(np.uint8).reshape(-1, np.dtype(k).itemsize) for n, k in kinds.items()])
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """``rows_of_bytes`` as bytes: the first bytes of all rows, then the second, and so on, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(rows.T))
 
 
 def unpacked(blob: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
@@ -238,16 +256,24 @@ def posted(docs: DataFrame, known: tuple, percent: int, groups: int) -> DataFram
         post_group = (tw.mix(posts["word"].astype(U64) + (salt.astype(U64) << U64(32))) % U64(groups)).astype(np.int64)
         set_group = (tw.mix(sets["set"].astype(U64)) % U64(groups)).astype(np.int64)
         copy_group = np.arange(len(copies["doc"])) % groups
-        orders = [(np.argsort(g, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(g, minlength=groups))])) for g in (post_group, set_group, copy_group)]
+        small = np.min_scalar_type(groups)  # numbers of two bytes are sorted by their digits
+        orders = [(np.argsort(g.astype(small), kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(g, minlength=groups))]))
+                  for g in (post_group, set_group, copy_group)]
+        line_rows, post_rows = rows_of_bytes(lines, LINE_KINDS), rows_of_bytes(posts, POST_KINDS)[orders[0][0]]
+        set_rows, copy_rows = (rows_of_bytes(x, SET_KINDS)[o] for x, (o, _) in zip((sets, copies), orders[1:], strict=True))
+        at_of, spot = posts["at"][orders[0][0]], list(POST_KINDS).index("at")
+        before = sum(np.dtype(k).itemsize for k in list(POST_KINDS.values())[:spot])
         rows = []
         for g in range(groups):
-            mine = [o[e[g]:e[g + 1]] for o, e in orders]
-            if not any(map(len, mine)):
+            mine = [slice(e[g], e[g + 1]) for _, e in orders]
+            if all(x.start == x.stop for x in mine):
                 continue
-            held, at = np.unique(posts["at"][mine[0]], return_inverse=True)
-            post = {n: posts[n][mine[0]] for n in POST_KINDS} | {"at": at}
-            rows.append((g, packed({n: lines[n][held] for n in LINE_KINDS}, LINE_KINDS), packed(post, POST_KINDS),
-                         packed({n: sets[n][mine[1]] for n in SET_KINDS}, SET_KINDS), packed({n: copies[n][mine[2]] for n in SET_KINDS}, SET_KINDS)))
+            # a group's postings are in the order of their lines
+            at = at_of[mine[0]]
+            new = np.append(True, at[1:] != at[:-1])[:len(at)]
+            post = post_rows[mine[0]]
+            post[:, before:before + 4] = (np.cumsum(new) - 1).astype(POST_KINDS["at"]).view(np.uint8).reshape(-1, 4)
+            rows.append((g, packed(line_rows[at[new]]), packed(post), packed(set_rows[mine[1]]), packed(copy_rows[mine[2]])))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)],
                                              ["group", "lines", "posts", "sets", "copies"])
@@ -297,14 +323,12 @@ def posting_rows(docs: DataFrame, known: tuple, percent: int, only_lines: tuple[
                 doc, key = (batch.column(c).to_numpy() for c in ("doc", "key"))
                 own = line_hash(doc, own_keys(doc, key, repeated), np.full(len(doc), -1))
                 batch = batch.filter(pa.array(in_bitmap(asked_lines[0], own)))
-            for ids, lines in line_blocks(batch, level_of, repeated):
-                use = np.ones(len(lines.size), bool) if asked_lines is None else in_bitmap(asked_lines[1], line_hash(*(ids[n] for n in LINE)))
-                rows, posts = prefixes(ids, lines, use, percent)
-                ok = np.ones(len(posts["at"]), bool) if asked_words is None else in_bitmap(asked_words, posts["word"])
-                at = posts["at"][ok]
+            for ids, lines in line_blocks(batch, level_of, repeated, None if asked_lines is None else asked_lines[1]):
+                rows, posts = prefixes(ids, lines, np.ones(len(lines.size), bool), percent, asked_words)
+                at = posts["at"]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["doc"][at]), pa.array(rows["key"][at]), pa.array(rows["line"][at], pa.int32()), pa.array(posts["word"][ok].astype(np.int64)),
-                     pa.array(posts["place"][ok], pa.int32()), pa.array(rows["size"][at], pa.int32()), *[pa.array(rows[c][at].view(np.int64)) for c in ("bits", "more")],
+                    [pa.array(rows["doc"][at]), pa.array(rows["key"][at]), pa.array(rows["line"][at], pa.int32()), pa.array(posts["word"].astype(np.int64)),
+                     pa.array(posts["place"], pa.int32()), pa.array(rows["size"][at], pa.int32()), *[pa.array(rows[c][at].view(np.int64)) for c in ("bits", "more")],
                      pa.array(rows["twin"][at].astype(np.int64))], ["doc", "key", "line", "word", "place", "size", "bits", "more", "twin"])
 
     return docs.select(*line_order(), "text").mapInArrow(run, "doc bigint, key bigint, line int, word bigint, place int, size int, bits bigint, more bigint, twin bigint")
@@ -366,6 +390,14 @@ def equal_sets(sets: dict[str, np.ndarray]) -> pa.Table:
     return _found(GONE, _take(rows, gone))
 
 
+def by_two(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Stable order by two numbers, the second not negative; where both fit 64 bits together, as one number."""
+    wide = int(second.max(initial=0)).bit_length()
+    if max(int(first.max(initial=0)), -int(first.min(initial=0))).bit_length() + wide <= 62:
+        return np.argsort(first << wide | second, kind="stable")
+    return np.lexsort([second, first])
+
+
 def list_pairs(table: pa.Table, percent: int) -> pa.Table:
     """Rows of ``FOUND`` for one group: copies, pairs, and lines (``MORE``) whose lists have candidates that were not tried."""
     blobs = {c: table.column(c).to_pylist() for c in ("lines", "posts", "sets", "copies")}
@@ -376,23 +408,30 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
     out = [equal_sets(joined([unpacked(x, SET_KINDS) for x in blobs["sets"]], SET_KINDS)),
            _found(GONE, joined([unpacked(x, SET_KINDS) for x in blobs["copies"]], SET_KINDS))]
     # a number for each line in order, one for lines of equal sets: the first stands for all, the others are removed anyway
-    order = np.lexsort([lines[n] for n in ("line", "key", "doc")])
+    order = np.lexsort([lines[n] for n in ("line", "key", "doc")]) if lines["key"].any() else by_two(lines["doc"], lines["line"].astype(np.int64))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     at = posts["at"].astype(np.int64)
     salt = posts["salt"].astype(np.int64)
     word = posts["word"].astype(np.int64) | salt << 32  # the parts of a divided list are lists of their own
-    own = [lines[n][at] for n in ("more", "bits", "twin", "size")]
-    twins = np.lexsort([rank[at], *own, word])
-    same = np.all([x[twins[1:]] == x[twins[:-1]] for x in (word, *own)], axis=0)
-    use = twins[np.append(True, ~same)[:len(twins)]]
-    use = use[np.lexsort([rank[at[use]], word[use]])]
+    # lines that are equal in all of these are neighbours in the order of a hash
+    alike = np.argsort(tw.mix(tw.mix(lines["more"] ^ (lines["twin"].astype(U64) << U64(32) | lines["size"].astype(U64))) ^ lines["bits"]))
+    other = np.any([lines[n][alike[1:]] != lines[n][alike[:-1]] for n in ("more", "bits", "twin", "size")], axis=0)
+    twin = np.empty(len(alike), np.int64)
+    twin[alike] = np.cumsum(np.append(False, other)[:len(alike)])
+    use = by_two(word, rank[at])
+    twins = use[by_two(word[use], twin[at[use]])]  # still by rank among themselves
+    same = (word[twins[1:]] == word[twins[:-1]]) & (twin[at[twins[1:]]] == twin[at[twins[:-1]]])
+    kept = np.zeros(len(use), bool)
+    kept[twins[np.append(True, ~same)[:len(twins)]]] = True
+    use = use[kept[use]]
     word, at, salt, place = word[use], at[use], salt[use], posts["place"][use].astype(np.int64)
     size, sketch = lines["size"][at].astype(np.int64), {n: lines[n][at] for n in ("bits", "more", "size")}
     n = len(at)
     opens = np.append(True, word[1:] != word[:-1])[:n]
     start = np.flatnonzero(opens)[np.cumsum(opens) - 1] if n else np.zeros(0, np.int64)
     earlier = np.minimum(np.arange(n) - start, PARTNERS)
+    least, most = needed(size, percent), size * 100 // percent  # sizes of the lines that a line may match
     late, early, short = [], [], [np.flatnonzero((salt > 0) | (np.arange(n) - start > PARTNERS))]
     upto = np.cumsum(earlier)
     i = 0
@@ -400,10 +439,14 @@ def list_pairs(table: pa.Table, percent: int) -> pa.Table:
         j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PAIRS, "right")))
         a = np.repeat(np.arange(i, j), earlier[i:j])
         b = tw.ranges(start[i:j], earlier[i:j])
+        # the length filter first: it needs the least
+        near = np.flatnonzero((b_size := size[b]) >= np.repeat(least[i:j], earlier[i:j]))
+        near = near[b_size[near] <= most[a[near]]]
+        a, b = a[near], b[near]
         apart = bits_apart(*({n: v[x] for n, v in sketch.items()} for x in (a, b)))
         ok = may_match(size[a], size[b], place[a], place[b], apart, np.minimum, percent)
         a, b, apart = a[ok], b[ok], apart[ok]
-        likeliest = np.lexsort((b, apart, a))
+        likeliest = by_two(a, apart)  # and by b, in whose order they are
         a, b = a[likeliest], b[likeliest]
         new = np.append(True, a[1:] != a[:-1])[:len(a)]
         nth = np.arange(len(a)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(a) else np.zeros(0, np.int64)
@@ -450,8 +493,8 @@ def line_sets(docs: DataFrame, known: tuple, wanted: DataFrame) -> DataFrame:
                 done.add(at)
             if len(done) > SEEN:
                 done = set()
-            for ids, lines in line_blocks(batch.filter(pa.array(use)), level_of, repeated):
-                at = np.flatnonzero(in_bitmap(asked, line_hash(*(ids[n] for n in LINE))) & (lines.size > 0))
+            for ids, lines in line_blocks(batch.filter(pa.array(use)), level_of, repeated, asked):
+                at = np.flatnonzero(lines.size)
                 n = lines.size[at]
                 short = tw.mix(lines.words[tw.ranges(lines.first[at], n)]) >> U64(64 - 8 * WORD_BYTES)
                 # sorted in each line; the order by rarity is done with
@@ -558,7 +601,7 @@ def cut_lines(docs: DataFrame, known: tuple, percent: int = PERCENT) -> DataFram
 
 
 def with_own_keys(rows: DataFrame, known: tuple, texts: np.ndarray, wanted: bool) -> DataFrame:
-    """``rows`` with ``_key`` as lines have it, of the texts that may be (or surely are not) in a bitmap."""
+    """``rows`` with ``_key`` as lines have it and ``n_lines``, of the texts that may be (or surely are not) in a bitmap."""
     sent = rows.sparkSession.sparkContext.broadcast((known[1], texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -567,9 +610,12 @@ def with_own_keys(rows: DataFrame, known: tuple, texts: np.ndarray, wanted: bool
             doc = batch.column("_doc").to_numpy()
             key = own_keys(doc, batch.column("_key").to_numpy(), repeated)
             batch = batch.set_column(batch.schema.get_field_index("_key"), "_key", pa.array(key))
-            yield batch.filter(pa.array(in_bitmap(asked, line_hash(doc, key, np.full(len(doc), -1))) == wanted))
+            batch = batch.filter(pa.array(in_bitmap(asked, line_hash(doc, key, np.full(len(doc), -1))) == wanted))
+            text = batch.column("text")
+            n_lines = pc.if_else(pc.greater(pc.binary_length(text), 0), pc.add(pc.count_substring(text, "\n"), 1), 0)
+            yield batch.append_column("n_lines", pc.fill_null(n_lines, 0).cast(pa.int64()))
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(run, rows.select("*", F.lit(0).cast("long").alias("n_lines")).schema)
 
 
 def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -603,11 +649,9 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     rows = docs.select(*keep, doc.alias("_doc"), key.alias("_key"))
     cuts = cuts.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "gone")
     # the same plan at every size
-    cut = with_own_keys(rows, known, texts, True).join(cuts.hint("merge"), ["_doc", "_key"], "left").withColumn(
-        "n_lines", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long"))
+    cut = with_own_keys(rows, known, texts, True).join(cuts.hint("merge"), ["_doc", "_key"], "left")
     cut = cut.withColumn("n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long"))
     cut = cut.select(*keep, "n_lines", "n_removed", "gone")
     cut = cut.mapInArrow(without_lines, cut.schema).drop("gone")
-    whole = with_own_keys(rows, known, texts, False).select(
-        *keep, F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    whole = with_own_keys(rows, known, texts, False).select(*keep, "n_lines", F.lit(0).cast("long").alias("n_removed"))
     return cut.unionByName(whole)
