@@ -50,12 +50,17 @@ def maybe_in(df: DataFrame, key: str, bits: np.ndarray, wanted: bool = True) ->
 
 def bitmap(hashes: DataFrame, key: str) -> np.ndarray:
     """A bit for each value of a long column that is a hash already, by its low bits."""
+    return bitmaps(hashes.select(key, F.lit(0).alias("which")), key, "which", 1)[0]
+
+
+def bitmaps(hashes: DataFrame, key: str, which: str, n: int) -> np.ndarray:
+    """``n`` bitmaps in one pass: a row's bit is in the one with the number ``which``, from 0."""
     low = F.col(key).bitwiseAND(F.lit(LONGS * 64 - 1))
-    words = (hashes.groupBy(F.shiftright(low, 6).cast("int").alias("word"))
+    words = (hashes.groupBy(F.col(which).alias("which"), F.shiftright(low, 6).cast("int").alias("word"))
              .agg(F.expr(f"bit_or(shiftleft(1L, int({key} & 63)))").alias("bits")))
     got = words.toArrow()
-    out = np.zeros(LONGS, np.int64)
-    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    out = np.zeros((n, LONGS), np.int64)
+    out[got.column("which").to_numpy(), got.column("word").to_numpy()] = got.column("bits").to_numpy()
     return out.view(np.uint64)
 
 

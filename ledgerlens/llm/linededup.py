@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textwords as tw
-from ledgerlens.llm.bloom import bitmap, in_bitmap
+from ledgerlens.llm.bloom import bitmap, bitmaps, in_bitmap
 from ledgerlens.llm.storage import arrow_rows, stored
 
 PERCENT = 80
@@ -94,6 +94,18 @@ def hash_bitmap(lines: DataFrame, of_text: bool = False) -> np.ndarray:
     return bitmap(lines.select(*LINE).mapInArrow(run, "hash bigint"), "hash")
 
 
+def text_and_line_bitmaps(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """``hash_bitmap`` of the texts and of the lines, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, key, line = (batch.column(c).to_numpy() for c in LINE)
+            hashes = np.concatenate([line_hash(doc, key, np.full(len(doc), -1)), line_hash(doc, key, line)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], len(doc)), pa.int32()), pa.array(hashes)], ["which", "hash"])
+
+    return tuple(bitmaps(lines.select(*LINE).mapInArrow(run, "which int, hash bigint"), "hash", "which", 2))
+
+
 def repeated_ids(docs: DataFrame) -> np.ndarray:
     """Bitmap of the doc_ids that occur more than once."""
     doc = line_order()[0]
@@ -478,7 +490,7 @@ def by_late(pairs: DataFrame) -> DataFrame:
 def line_sets(docs: DataFrame, known: tuple, wanted: DataFrame) -> DataFrame:
     """(doc, key, line, words) of the ``wanted`` lines, and of some more: bitmaps of their hashes
     choose them, an exact join follows.  ``words`` are ``WORD_BYTES`` of each, in order."""
-    sent = docs.sparkSession.sparkContext.broadcast((*known, hash_bitmap(wanted, of_text=True), hash_bitmap(wanted)))
+    sent = docs.sparkSession.sparkContext.broadcast((*known, *text_and_line_bitmaps(wanted)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of, repeated, texts, asked = sent.value
@@ -578,7 +590,7 @@ def repeated_lines(docs: DataFrame, known: tuple, percent: int = PERCENT) -> Dat
     more = found.where(F.col("kind") == MORE).select(*LINE).distinct()
     open_lines = stored(more.join(matched.unionAll(copies), LINE, "left_anti"), "open-lines")
     if not open_lines.isEmpty():
-        late = posting_rows(docs, known, percent, only_lines=(hash_bitmap(open_lines, of_text=True), hash_bitmap(open_lines))).join(open_lines, LINE)
+        late = posting_rows(docs, known, percent, only_lines=text_and_line_bitmaps(open_lines)).join(open_lines, LINE)
         late = stored(late.dropDuplicates([*LINE, "word"]), "late")
         early = posting_rows(docs, known, percent, only_words=bitmap(late, "word"))
         early = early.withColumn("band", size_band(F.col("size"), percent)).withColumnsRenamed({

@@ -87,3 +87,12 @@ def test_words_do_not_depend_on_blocks(monkeypatch):
     for name in ("first", "start", "end", "hash", "raw"):
         assert (getattr(one, name) == getattr(other, name)).all()
     assert one.counts().tolist() == [18000, 0, 0, 2, 0]
+
+
+def test_both_bitmaps_come_from_one_pass(spark):
+    lines = spark.range(500).selectExpr("id % 7 AS doc", "id % 2 AS key", "CAST(id AS INT) AS line")
+    texts, own = ld.text_and_line_bitmaps(lines)
+    assert (texts == ld.hash_bitmap(lines, of_text=True)).all() and (own == ld.hash_bitmap(lines)).all()
+    assert np.bitwise_count(texts).sum() == 14 and np.bitwise_count(own).sum() == 500
+    nothing = ld.text_and_line_bitmaps(lines.where("doc < 0"))
+    assert not any(x.any() for x in nothing)
