@@ -20,17 +20,26 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    linked = down.join(_least_neighbour(down), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return linked.unionAll(_least_neighbour(down).withColumnRenamed("m", "v"))
+    return down.join(_least_neighbour(down), "u").select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v"))
+
+
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether ``edges`` (distinct, u > v) are not stars yet: a node has two lesser neighbours, or a lesser and a greater one."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("lesser"), F.lit(0).alias("greater")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("lesser"), F.lit(1).alias("greater")))).alias("end")).select("end.*")
+    nodes = ends.groupBy("node").agg(F.sum("lesser").alias("lesser"), F.max("greater").alias("greater"))
+    return not nodes.where("lesser > 0 and lesser + greater > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): each node of ``edges`` (u, v: longs) but the least of its component, with that
-    least node.  Each step is stored; nothing but a count and a checksum reaches the driver."""
-    edges, mark = edges.where("u <> v").distinct(), None
+    least node.  Each step is stored; nothing but the answer whether it was the last reaches the driver.
+
+    Steps keep what is connected.  Once no node has more than one neighbour but those that
+    only have greater ones, the edges are one star for each component."""
+    edges = edges.where("u <> v")
     while True:
         edges = stored(_small_star(_large_star(edges)).where("u <> v").distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark or not now[0]:
+        if not _unfinished(edges):
             return edges
-        mark = now

@@ -40,7 +40,7 @@ BATCH_ROWS = 1 << (64 - ID_BITS)
 PARITIES = 512
 ODD = [f"odd{i}" for i in range(PARITIES // 64)]
 #: Centres of a bucket in each round; the last number repeats.
-CENTRES = (8, 64, 512, 4096)
+CENTRES = (8, 64, 4096)
 
 _MASK = np.uint64((1 << ID_BITS) - 1)
 
@@ -203,11 +203,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         reps, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left_semi")
     sets = stored(full_sets(texts, k).dropDuplicates(["set"]), "sets")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """(u, v) of the pairs (a, b) whose full sets are similar."""
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b), each with ``ok``: whether its full sets are similar.  Stored, since links and later rounds read it."""
         with_b = pairs.join(sets.select(F.col("set").alias("b"), F.col("ids").alias("b_ids")), "b")
         with_a = with_b.join(sets.select(F.col("set").alias("a"), F.col("ids").alias("a_ids")), "a")
-        return with_a.where(similar(F.col("a_ids"), F.col("b_ids"), percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return stored(with_a.select("a", "b", similar(F.col("a_ids"), F.col("b_ids"), percent).alias("ok")), "pairs")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        return pairs.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
     def pair(a: str, b: str) -> list[Column]:
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
@@ -215,31 +218,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     alike, centre_odd = may_be_similar(percent), [F.col(c).alias(f"centre_{c}") for c in ODD]
     odd = classes.select("set", *ODD)
     sizes = classes.select(F.col("set").alias("centre"), F.col("n").alias("m"), *centre_odd)
-    tried = stored(members.where("set <> centre").select("centre", "set", "n").distinct()
-                   .join(odd, "set").join(sizes, "centre").where(alike).select(*pair("centre", "set")), "pairs")
-    found = components(confirmed(tried))
-    centres = members.select("key", F.col("centre").alias("set")).distinct()  # classes that were centres, by bucket
+    tried = checked(members.where("set <> centre").select("centre", "set", "n").distinct()
+                    .join(odd, "set").join(sizes, "centre").where(alike).select(*pair("centre", "set")))
+    found = components(links(tried))
+    centres = None  # classes that were further centres, by bucket
 
     for most in iter_centres():
-        placed = members.select("key", "set", "n").join(found.select(F.col("u").alias("set"), "v"), "set", "left").withColumn(
-            "root", F.coalesce("v", "set"))
+        placed = members.join(found.select(F.col("u").alias("set"), "v"), "set", "left").withColumn("root", F.coalesce("v", "set")).drop("v")
         parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
         split = parts.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        active = stored(placed.join(split.select("key", "major"), "key").join(odd, "set").select("key", "set", "n", "root", "major", *ODD), "active")
+        active = stored(placed.join(split.select("key", "major"), "key").join(odd, "set"), "active")
+        left = active.where("root <> major and set <> centre")
+        if centres is not None:
+            left = left.join(centres, ["key", "set"], "left_anti")
         order = Window.partitionBy("key").orderBy("set")
-        chosen = stored(active.where("root <> major").join(centres, ["key", "set"], "left_anti")
-                        .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most)
-                        .select("key", F.col("set").alias("centre"), F.col("n").alias("m"), F.col("root").alias("centre_root"), *centre_odd), "centres")
-        if chosen.isEmpty():
+        ranked = stored(left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most + 1)
+                        .select("key", "rank", F.col("set").alias("centre"), F.col("n").alias("m"), F.col("root").alias("centre_root"), *centre_odd), "centres")
+        last = ranked.agg(F.max("rank")).first()[0]
+        if last is None:
+            break
+        chosen = ranked.where(F.col("rank") <= most)
+        pairs = checked(chosen.join(active.drop("centre"), "key").where((F.col("root") != F.col("centre_root")) & alike)
+                        .select(*pair("centre", "set")).distinct().join(tried, ["a", "b"], "left_anti"))
+        if not links(pairs).isEmpty():
+            found = components(found.unionAll(links(pairs)))
+        if last <= most:  # two classes of a bucket that are still apart were apart before, so that one of them has been a centre
             break
-        pairs = (chosen.join(active, "key").where((F.col("root") != F.col("centre_root")) & alike)
-                 .select(*pair("centre", "set")).distinct().join(tried, ["a", "b"], "left_anti"))
-        pairs = stored(pairs, "pairs")
-        links = stored(confirmed(pairs), "confirmed")
-        if not links.isEmpty():
-            found = components(found.unionAll(links))
         tried = tried.unionAll(pairs)
-        centres = centres.unionAll(chosen.select("key", F.col("centre").alias("set")))
+        now = chosen.select("key", F.col("centre").alias("set"))
+        centres = now if centres is None else centres.unionAll(now)
 
     rooted = classes.select("set", "label").join(found.select(F.col("u").alias("set"), "v"), "set", "left").withColumn("root", F.coalesce("v", "set"))
     least = rooted.groupBy("root").agg(F.min("label").alias("component"))
